@@ -7,9 +7,8 @@ from functools import reduce
 from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
-from tickloom.functions import dt_hour
 from tickloom.operators import decode_klines, merge_sources
-from tickloom.schemas import CANDLE_SCHEMA, conform
+from tickloom.schemas import conform
 from tickloom.sources.lake import HourRange, Lake, Table, rows_per_file
 
 
@@ -21,21 +20,20 @@ def merge_tables(spark: SparkSession, sources: dict[str, Table], target: Table,
     compaction and backfill in either order ends in the same state.
     """
     frames = {
-        name: conform(_within(table.read(spark), hours), CANDLE_SCHEMA, ("dt", "hour"))
-        for name, table in sources.items()
+        name: conform(table.within(table.read(spark), hours)) for name, table in sources.items()
     }
     target.replace_partitions(merge_sources(frames), sort_by=("window_start",))
 
 
 def compaction_metrics(spark: SparkSession, sources: dict[str, Table], target: Table, hours: HourRange | None = None) -> DataFrame:
     """One row: files and rows on both sides, measured from the files themselves."""
-    written = [(table.open(spark), "before") for table in sources.values()] + [(target.open(spark), "after")]
+    tables = [(table, "before") for table in sources.values()] + [(target, "after")]
     files = reduce(
         DataFrame.unionByName,
         [
-            rows_per_file(_within(rows, hours)).withColumn("side", F.lit(side))
-            for rows, side in written
-            if rows is not None
+            rows_per_file(table.within(rows, hours)).withColumn("side", F.lit(side))
+            for table, side in tables
+            if (rows := table.open(spark)) is not None
         ],
     )
     before, after = F.col("side") == "before", F.col("side") == "after"
@@ -52,6 +50,7 @@ def compact(spark: SparkSession, lake: Lake, hours: HourRange | None = None) ->
 
     Any range of hours is one Spark job. Returns the metrics row.
     """
+    hours = hours and lake.span(hours)
     sources = {"stream": lake.streamed, "backfill": lake.backfilled}
     merge_tables(spark, sources, lake.compacted, hours)
     return compaction_metrics(spark, sources, lake.compacted, hours)
@@ -63,6 +62,7 @@ def backfill(spark: SparkSession, lake: Lake, pages: DataFrame, hours: HourRange
     ``pages`` holds (symbol, page). Klines outside ``hours`` are left out;
     klines without a readable start time are counted as malformed.
     """
+    hours = lake.span(hours)
     seen = Observation()
     decoded = decode_klines(pages).observe(
         seen,
@@ -70,11 +70,7 @@ def backfill(spark: SparkSession, lake: Lake, pages: DataFrame, hours: HourRange
         F.count_if(F.col("window_start").isNull()).alias("malformed"),
     )
     usable = decoded.filter(hours.covers("window_start"))
-    lake.backfilled.replace_partitions(dt_hour(usable, "window_start"), sort_by=("window_start",))
+    lake.backfilled.replace_partitions(usable, sort_by=("window_start",))
     merge_tables(spark, {"stream": lake.streamed, "backfill": lake.backfilled}, lake.compacted, hours)
     return seen.get
 
-
-def _within(df: DataFrame, hours: HourRange | None) -> DataFrame:
-    return df if hours is None else df.filter(hours.partitions())
-

@@ -16,7 +16,7 @@ trades AS (
            CAST(value AS DECIMAL(18,8)) AS price,
            CAST(json_extract_string(props, '$.k') AS DECIMAL(18,8)) AS quantity,
            json_extract_string(props, '$.k') AS quantity_text,
-           epoch_ms(ts) AS ms
+           epoch_us(ts) // 1000 AS ms
     FROM events
 )"""
 
@@ -70,6 +70,11 @@ def rolled(base: str, width: str) -> str:
     return f"{base}, {rollup_cte('rolled', width, 'candles')} SELECT {ROLLED} FROM rolled"
 
 
+def json_amount(column: str) -> str:
+    """A zero amount prints with its scale, as ``0E-8``."""
+    return f"CASE WHEN {column} = 0 THEN '0E-8' ELSE CAST({column} AS VARCHAR) END"
+
+
 HISTORY = f"""{MINUTELY}, history AS (
     SELECT * FROM candles
     WHERE symbol = '{HISTORY_SYMBOL}'
@@ -170,7 +175,7 @@ SQL: dict[str, str] = {
                || '","symbol":"' || symbol
                || '","open":' || CAST(open AS VARCHAR) || ',"high":' || CAST(high AS VARCHAR)
                || ',"low":' || CAST(low AS VARCHAR) || ',"close":' || CAST(close AS VARCHAR)
-               || ',"volume":' || CAST(volume AS VARCHAR) || ',"quote_volume":' || CAST(quote_volume AS VARCHAR)
+               || ',"volume":' || {json_amount('volume')} || ',"quote_volume":' || {json_amount('quote_volume')}
                || ',"trade_count":' || CAST(trade_count AS VARCHAR) || '}}' AS value
         FROM candles""",
     "latest_message_per_symbol": f"""{HOURLY}
@@ -248,18 +253,17 @@ SQL: dict[str, str] = {
         FROM events WHERE CAST(ts AS DATE) < DATE '{EXPIRY_DATE}' - 7
         GROUP BY 1, 2""",
     "compaction_report": f"""{HOURLY}, {PARTIAL}
-        SELECT (SELECT count(*) FROM partial) + (SELECT count(*) FROM candles) AS files_before,
-               (SELECT count(*) FROM candles) AS files_after,
+        SELECT (SELECT count(DISTINCT (symbol, CAST(window_start AS DATE))) FROM partial)
+               + (SELECT count(DISTINCT (symbol, CAST(window_start AS DATE))) FROM candles) AS files_before,
+               (SELECT count(DISTINCT (symbol, CAST(window_start AS DATE))) FROM candles) AS files_after,
                (SELECT count(*) FROM partial) + (SELECT count(*) FROM candles) AS rows_before,
                (SELECT count(*) FROM candles) AS rows_after,
                'all' AS hours""",
     "gold_candles": f"""{HOURLY}, {rollup_cte('rolled_4h', '4 hours', 'candles')},
         {rollup_cte('rolled_1d', '1 day', 'candles')}
-        SELECT {ROLLED}, strftime(bucket, '%Y-%m-%d') AS dt, CAST(hour(bucket) AS INTEGER) AS hour,
-               '4h' AS resolution FROM rolled_4h
+        SELECT {ROLLED}, strftime(bucket, '%Y-%m-%d') AS dt, '4h' AS resolution FROM rolled_4h
         UNION ALL
-        SELECT {ROLLED}, strftime(bucket, '%Y-%m-%d') AS dt, CAST(hour(bucket) AS INTEGER) AS hour,
-               '1d' AS resolution FROM rolled_1d""",
+        SELECT {ROLLED}, strftime(bucket, '%Y-%m-%d') AS dt, '1d' AS resolution FROM rolled_1d""",
     "stream_closed_candles": f"""
         WITH {TRADES}, cut AS (
             SELECT * REPLACE (date_trunc('milliseconds', trade_time) AS trade_time) FROM trades
@@ -273,8 +277,7 @@ SQL: dict[str, str] = {
         SELECT {CANDLE} FROM candles""",
     "stream_bronze_archive": f"""
         WITH {TRADES}
-        SELECT symbol, strftime(trade_time, '%Y-%m-%d') AS dt, CAST(hour(trade_time) AS INTEGER) AS hour,
-               trade_id, CAST(price AS DOUBLE) AS price, CAST(quantity AS DOUBLE) AS quantity,
+        SELECT symbol, strftime(trade_time, '%Y-%m-%d') AS dt, trade_id, CAST(price AS DOUBLE) AS price, CAST(quantity AS DOUBLE) AS quantity,
                date_trunc('milliseconds', trade_time) AS trade_time
         FROM trades""",
 }

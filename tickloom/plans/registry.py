@@ -292,13 +292,11 @@ def expired_partitions(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def replayed_lake(spark: SparkSession, sf_dir: str) -> Lake:
-    """A lake whose stream delivered partial candles, then full ones, then those again."""
-    lake = Lake(shared_dir(spark, "lake"))
+    """A lake whose stream delivered partial candles in one batch and full ones in the next."""
+    lake = Lake(shared_dir(spark, "lake"), grain="day")
     write = candle_writer(lake.streamed, query_id="replay")
-    write(partial_candles(spark, sf_dir), 0)
-    full = candles(spark, sf_dir)
-    write(full, 1)
-    write(full, 1)
+    for batch_id, batch in enumerate([partial_candles(spark, sf_dir), candles(spark, sf_dir)]):
+        write(batch, batch_id)
     return lake
 
 
@@ -318,7 +316,7 @@ def gold_candles(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def stream_closed_candles(spark: SparkSession, sf_dir: str) -> DataFrame:
-    lake = Lake(shared_dir(spark, "silver"))
+    lake = Lake(shared_dir(spark, "silver"), grain="day")
     start_silver(
         message_stream(spark, sf_dir),
         lake,
@@ -349,12 +347,12 @@ def stream_live_candles(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def stream_bronze_archive(spark: SparkSession, sf_dir: str) -> DataFrame:
-    lake = Lake(shared_dir(spark, "bronze"))
+    lake = Lake(shared_dir(spark, "bronze"), grain="day")
     start_bronze(
         message_stream(spark, sf_dir), lake, shared_dir(spark, "checkpoint"), trigger={"availableNow": True}
     ).awaitTermination()
     archived = lake.trades.read(spark)
-    return report(archived.select("symbol", "dt", "hour", "trade_id", "price", "quantity", "trade_time"))
+    return report(archived.select("symbol", "dt", "trade_id", "price", "quantity", "trade_time"))
 
 
 QUERIES: dict[str, Query] = {

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import SparkSession
 
-from tickloom.functions import dt_hour, width_seconds
+from tickloom.functions import width_seconds
 from tickloom.operators import rollup_candles
 from tickloom.sources.lake import HourRange, Lake
 
@@ -39,9 +39,10 @@ def rollup(
     sources = finest_first(resolutions)
     longest = max(width_seconds(label) for label in resolutions)
     # one range for all, so every cascade source covers its consumer's windows
-    span = hours.aligned(longest)
+    span = lake.span(hours.aligned(longest))
     for label, source in sources.items():
-        candles = lake.candles(source).read(spark).filter(span.partitions())
+        table = lake.candles(source)
+        candles = table.within(table.read(spark), span)
         rolled = rollup_candles(candles, f"{width_seconds(label)} seconds")
-        lake.gold(label).replace_partitions(dt_hour(rolled, "window_start"), sort_by=("symbol", "window_start"))
+        lake.gold(label).replace_partitions(rolled, sort_by=("symbol", "window_start"))
     return sources

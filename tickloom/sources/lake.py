@@ -10,11 +10,10 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from tickloom.functions.timeparts import hour_floor, hour_key, parse_hour_key
+from tickloom.functions.timeparts import dt_hour, hour_floor, hour_key, parse_hour_key
 from tickloom.schemas import CANDLE_SCHEMA, TRADE_SCHEMA, conform, with_partitions
 
-SYMBOL_HOURS = ("symbol", "dt", "hour")
-HOURS = ("dt", "hour")
+TIME_PARTITIONS = {"hour": ("dt", "hour"), "day": ("dt",)}
 
 
 @dataclass(frozen=True)
@@ -38,16 +37,19 @@ class HourRange:
             end += timedelta(seconds=seconds)
         return HourRange(hour_floor(self.start, seconds), end)
 
-    def partitions(self) -> Column:
-        """Condition on ``dt`` and ``hour``; both prune, no path globs needed."""
+    def partitions(self, grain: str = "hour") -> Column:
+        """Condition on ``dt`` and ``hour``; both prune, no path globs needed.
+
+        A day-grained table is replaced a day at a time, so there the range
+        means every day it touches.
+        """
         last = self.end - timedelta(hours=1)
         dt, hour = F.col("dt"), F.col("hour")
         first_day, last_day = F.lit(self.start.date()), F.lit(last.date())
-        return (
-            dt.between(first_day, last_day)
-            & ((dt > first_day) | (hour >= self.start.hour))
-            & ((dt < last_day) | (hour <= last.hour))
-        )
+        days = dt.between(first_day, last_day)
+        if grain == "day":
+            return days
+        return days & ((dt > first_day) | (hour >= self.start.hour)) & ((dt < last_day) | (hour <= last.hour))
 
     def covers(self, moment: str) -> Column:
         """Condition on a time column of rows not yet partitioned."""
@@ -67,6 +69,12 @@ class Table:
     schema: T.StructType
     partition_by: tuple[str, ...]
 
+    def within(self, rows: DataFrame, hours: HourRange | None) -> DataFrame:
+        """The rows in the folders ``hours`` touches, all rows without a range."""
+        if hours is None:
+            return rows
+        return rows.filter(hours.partitions("hour" if "hour" in self.partition_by else "day"))
+
     def open(self, spark: SparkSession) -> DataFrame | None:
         """All rows with partition columns, or None for a folder never written.
 
@@ -88,6 +96,11 @@ class Table:
             rows = spark.createDataFrame([], with_partitions(self.schema, self.partition_by))
         return rows
 
+    def placed(self, df: DataFrame, time_column: str = "window_start") -> DataFrame:
+        """``df`` in the table's types, with its time folders derived."""
+        extra = tuple(c for c in self.partition_by if c not in self.schema.fieldNames())
+        return conform(dt_hour(df, time_column), self.schema, extra)
+
     def replace_partitions(self, df: DataFrame, sort_by: tuple[str, ...]) -> None:
         """Write ``df``, replacing exactly the partitions it has rows for.
 
@@ -95,9 +108,9 @@ class Table:
         file, unless it outgrows the advisory partition size; then adaptive
         execution splits it, so a hot partition is never one task's work.
         """
-        rows = conform(df, self.schema, tuple(c for c in self.partition_by if c not in self.schema.fieldNames()))
         (
-            rows.hint("rebalance", *[F.col(c) for c in self.partition_by])
+            self.placed(df)
+            .hint("rebalance", *[F.col(c) for c in self.partition_by])
             .sortWithinPartitions(*self.partition_by, *sort_by)
             .write.mode("overwrite")
             .option("partitionOverwriteMode", "dynamic")
@@ -114,20 +127,34 @@ def rows_per_file(df: DataFrame) -> DataFrame:
 
 @dataclass(frozen=True)
 class Lake:
-    """Paths and tables under one root URI."""
+    """Paths and tables under one root URI.
+
+    ``grain`` is the narrowest time folder. Hours suit a few busy symbols; with
+    many symbols or thin ones, days keep folders and files from outnumbering
+    the rows in them.
+    """
 
     root: str
+    grain: str = "hour"
 
     @staticmethod
-    def in_bucket(bucket: str) -> Lake:
-        return Lake(f"s3a://{bucket}")
+    def in_bucket(bucket: str, grain: str = "hour") -> Lake:
+        return Lake(f"s3a://{bucket}", grain)
 
     def path(self, layer: str, dataset: str) -> str:
         return f"{self.root.rstrip('/')}/{layer}/{dataset}"
 
+    def span(self, hours: HourRange) -> HourRange:
+        """The hours a job over ``hours`` rewrites: whole folders only."""
+        return hours.aligned(86_400) if self.grain == "day" else hours
+
+    def _table(self, layer: str, dataset: str, schema: T.StructType, *extra: str, by_symbol: bool = True) -> Table:
+        by = (("symbol",) if by_symbol else ()) + TIME_PARTITIONS[self.grain]
+        return Table(self.path(layer, dataset), schema, (*by, *extra))
+
     @property
     def trades(self) -> Table:
-        return Table(self.path("bronze", "trades"), TRADE_SCHEMA, SYMBOL_HOURS)
+        return self._table("bronze", "trades", TRADE_SCHEMA)
 
     @property
     def rejects(self) -> str:
@@ -135,21 +162,19 @@ class Lake:
 
     @property
     def streamed(self) -> Table:
-        """Candles as the stream wrote them, one folder per micro-batch."""
-        return Table(
-            self.path("silver", "ohlc_1m"), CANDLE_SCHEMA, (*SYMBOL_HOURS, "query_id", "batch_id")
-        )
+        """Candles as the stream wrote them, in folders of their own per micro-batch."""
+        return self._table("silver", "ohlc_1m", CANDLE_SCHEMA, "query_id", "batch_id")
 
     @property
     def backfilled(self) -> Table:
-        return Table(self.path("silver", "ohlc_1m_backfill"), CANDLE_SCHEMA, SYMBOL_HOURS)
+        return self._table("silver", "ohlc_1m_backfill", CANDLE_SCHEMA)
 
     @property
     def compacted(self) -> Table:
-        return Table(self.path("silver", "ohlc_1m_compacted"), CANDLE_SCHEMA, SYMBOL_HOURS)
+        return self._table("silver", "ohlc_1m_compacted", CANDLE_SCHEMA)
 
     def gold(self, label: str) -> Table:
-        return Table(self.path("gold", f"ohlc_{label}"), CANDLE_SCHEMA, HOURS)
+        return self._table("gold", f"ohlc_{label}", CANDLE_SCHEMA, by_symbol=False)
 
     def candles(self, label: str) -> Table:
         """The table a reader of resolution ``label`` uses."""

@@ -10,9 +10,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql.streaming import StreamingQuery
 
-from tickloom.functions import dt_hour
 from tickloom.operators import build_candles, candle_messages, decode_trades, split_trades
-from tickloom.schemas import TRADE_SCHEMA, conform
 from tickloom.sources.lake import Lake
 from tickloom.streaming.sinks import FileTopic, KafkaTopic, candle_writer
 
@@ -28,7 +26,7 @@ def start_bronze(messages: DataFrame, lake: Lake, checkpoint: str, trigger: dict
     valid, _ = split_trades(decode_trades(messages))
     table = lake.trades
     return (
-        dt_hour(conform(valid, TRADE_SCHEMA), "trade_time")
+        table.placed(valid, "trade_time")
         .writeStream.outputMode("append")
         .format("parquet")
         .option("path", table.path)

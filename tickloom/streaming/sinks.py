@@ -9,8 +9,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import DataStreamWriter
 
-from tickloom.functions import dt_hour
-from tickloom.schemas import CANDLE_SCHEMA, MESSAGE_SCHEMA, conform
+from tickloom.schemas import MESSAGE_SCHEMA, conform
 from tickloom.sources.lake import Table
 
 
@@ -29,11 +28,12 @@ def candle_writer(table: Table, query_id: str | None = None) -> Callable[[DataFr
     """
 
     def write(batch: DataFrame, batch_id: int) -> None:
-        rows = dt_hour(conform(batch, CANDLE_SCHEMA), "window_start").withColumns(
+        owned = batch.withColumns(
             {"query_id": F.lit(query_id or running_query_id(batch)), "batch_id": F.lit(batch_id)}
         )
         (
-            rows.write.mode("overwrite")
+            table.placed(owned)
+            .write.mode("overwrite")
             .option("partitionOverwriteMode", "dynamic")
             .partitionBy(*table.partition_by)
             .parquet(table.path)
