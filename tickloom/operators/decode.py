@@ -47,11 +47,16 @@ def decode_trades(raw: DataFrame, value: str = "value", keep: tuple[str, ...] =
     A row that does not parse comes out with nulls rather than failing the
     job; :func:`split_trades` separates those. ``keep`` carries input columns
     through.
+
+    The parsed struct is unpacked by a generator, not by field access: filters
+    on its fields then stay above the parse. Pushed below it, each mention of
+    a field would parse the message again.
     """
     ms = F.col("trade_time_ms")
+    parsed = F.from_json(F.col(value).cast("string"), TRADE_MESSAGE_SCHEMA)
     return (
-        raw.select(F.from_json(F.col(value).cast("string"), TRADE_MESSAGE_SCHEMA).alias("t"), *keep)
-        .select("t.*", *keep)
+        raw.select(*keep, F.inline_outer(F.array(parsed)))
+        .select(*TRADE_MESSAGE_SCHEMA.fieldNames(), *keep)
         .withColumns(
             {
                 "price": F.col("price").try_cast(PRICE_TYPE),
@@ -63,16 +68,23 @@ def decode_trades(raw: DataFrame, value: str = "value", keep: tuple[str, ...] =
     )
 
 
+def is_usable() -> Column:
+    """Whether a decoded row has everything a candle needs."""
+    usable = F.col("trade_time").isNotNull()
+    for name in REQUIRED:
+        usable = usable & F.col(name).isNotNull()
+    return usable
+
+
 def reject_reason() -> Column:
-    """Why a decoded row cannot be used, null for a good row."""
+    """What a decoded row lacks, null for a usable row."""
     nothing = F.coalesce(*[F.col(c).cast("string") for c in REQUIRED]).isNull()
-    reason = F.when(nothing, "malformed_message")
+    reason = F.when(is_usable(), F.lit(None).cast("string")).when(nothing, "malformed_message")
     for name in REQUIRED:
         reason = reason.when(F.col(name).isNull(), f"bad_{name}")
-    return reason.when(F.col("trade_time").isNull(), "bad_trade_time_ms")
+    return reason.otherwise("bad_trade_time_ms")
 
 
 def split_trades(decoded: DataFrame) -> tuple[DataFrame, DataFrame]:
-    """Valid trades, and rejects with a ``reason`` column; every row is in one of them."""
-    tagged = decoded.withColumn("reason", reject_reason())
-    return tagged.filter("reason IS NULL").drop("reason"), tagged.filter("reason IS NOT NULL")
+    """Usable trades, and rejects with a ``reason`` column; every row is in one of them."""
+    return decoded.filter(is_usable()), decoded.filter(~is_usable()).withColumn("reason", reject_reason())

@@ -144,7 +144,8 @@ SQL: dict[str, str] = {
         )
         SELECT CAST(window_start AS TIMESTAMP) AS window_start, symbol, count(*) AS trades,
                min(lag_ms) AS min_lag_ms, avg(lag_ms) AS avg_lag_ms,
-               quantile_cont(lag_ms, 0.5) AS p50_lag_ms, quantile_cont(lag_ms, 0.95) AS p95_lag_ms,
+               round(quantile_cont(lag_ms, 0.5), 6) AS p50_lag_ms,
+               round(quantile_cont(lag_ms, 0.95), 6) AS p95_lag_ms,
                max(lag_ms) AS max_lag_ms, count(*) / 86400.0::DOUBLE AS trades_per_second
         FROM lags GROUP BY 1, 2""",
     "kline_decode": f"{HOURLY} SELECT {CANDLE} FROM candles",
@@ -173,8 +174,8 @@ SQL: dict[str, str] = {
                '{{"window_start":"' || strftime(window_start, '%Y-%m-%dT%H:%M:%S.000Z')
                || '","window_end":"' || strftime(window_end, '%Y-%m-%dT%H:%M:%S.000Z')
                || '","symbol":"' || symbol
-               || '","open":' || CAST(open AS VARCHAR) || ',"high":' || CAST(high AS VARCHAR)
-               || ',"low":' || CAST(low AS VARCHAR) || ',"close":' || CAST(close AS VARCHAR)
+               || '","open":' || {json_amount('open')} || ',"high":' || {json_amount('high')}
+               || ',"low":' || {json_amount('low')} || ',"close":' || {json_amount('close')}
                || ',"volume":' || {json_amount('volume')} || ',"quote_volume":' || {json_amount('quote_volume')}
                || ',"trade_count":' || CAST(trade_count AS VARCHAR) || '}}' AS value
         FROM candles""",

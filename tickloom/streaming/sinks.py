@@ -23,21 +23,17 @@ def candle_writer(table: Table, query_id: str | None = None) -> Callable[[DataFr
 
     The folders carry the query's id and the batch id, and only they are
     overwritten, so a batch run twice leaves one copy. The query id belongs to
-    the checkpoint: batch ids start over with a new one. An empty batch writes
-    no folder; probing for emptiness first would compute the batch twice.
+    the checkpoint: batch ids start over with a new one. Rows of one folder
+    meet in one task first, so a batch adds one file per folder, not one per
+    shuffle partition. An empty batch writes no folder; probing for emptiness
+    first would compute the batch twice.
     """
 
     def write(batch: DataFrame, batch_id: int) -> None:
         owned = batch.withColumns(
             {"query_id": F.lit(query_id or running_query_id(batch)), "batch_id": F.lit(batch_id)}
         )
-        (
-            table.placed(owned)
-            .write.mode("overwrite")
-            .option("partitionOverwriteMode", "dynamic")
-            .partitionBy(*table.partition_by)
-            .parquet(table.path)
-        )
+        table.replace_partitions(owned, sort_by=("window_start",))
 
     return write
 
