@@ -25,37 +25,32 @@ def build_candles(
     window start, a plain long to sort on, and derives the end afterwards; a
     stream has to group by the window struct, which carries the watermark.
     """
-    tick = F.struct("trade_time", *tie_breakers, "price")
-    windowed = trades
+    streaming = trades.isStreaming
     if watermark is not None:
-        windowed = windowed.withWatermark("trade_time", watermark)
-    windowed = windowed.withColumn("w", F.window("trade_time", width))
-    if not trades.isStreaming:
-        windowed = windowed.withColumn("w", F.col("w.start"))
-
-    candles = windowed.groupBy("w", "symbol").agg(
-        F.min(tick).alias("first_tick"),
-        F.max(tick).alias("last_tick"),
-        F.max("price").alias("high"),
-        F.min("price").alias("low"),
-        F.sum("quantity").alias("volume"),
-        F.sum(F.col("price") * F.col("quantity")).alias("quote_volume"),
-        F.count("*").alias("trade_count"),
-    )
-    if trades.isStreaming:
-        start, end = F.col("w.start"), F.col("w.end")
-    else:
-        start, end = F.col("w"), F.col("w") + F.expr(f"INTERVAL '{width}'")
-    return candles.select(
-        start.alias("window_start"),
+        trades = trades.withWatermark("trade_time", watermark)
+    window = F.window("trade_time", width)
+    tick = F.struct("trade_time", *tie_breakers, "price")
+    measures = {
+        "opening": F.min(tick),
+        "closing": F.max(tick),
+        "high": F.max("price"),
+        "low": F.min("price"),
+        "volume": F.sum("quantity").cast(AMOUNT_TYPE),
+        "quote_volume": F.sum(F.col("price") * F.col("quantity")).cast(AMOUNT_TYPE),
+        "trade_count": F.count("*"),
+    }
+    grouped = trades.withColumn("w", window if streaming else window.start).groupBy("w", "symbol")
+    start, end = ("w.start", F.col("w.end")) if streaming else ("w", F.col("w") + F.expr(f"INTERVAL '{width}'"))
+    return grouped.agg(*[column.alias(name) for name, column in measures.items()]).select(
+        F.col(start).alias("window_start"),
         end.alias("window_end"),
         "symbol",
-        F.col("first_tick.price").alias("open"),
+        F.col("opening.price").alias("open"),
         "high",
         "low",
-        F.col("last_tick.price").alias("close"),
-        F.col("volume").cast(AMOUNT_TYPE).alias("volume"),
-        F.col("quote_volume").cast(AMOUNT_TYPE).alias("quote_volume"),
+        F.col("closing.price").alias("close"),
+        "volume",
+        "quote_volume",
         "trade_count",
     )
 

@@ -111,10 +111,11 @@ def missing_hours(
     else:
         seen = present.groupBy("symbol").agg(first.alias("first"), last.alias("last"))
         bounds = symbols.select("symbol").distinct().join(seen, "symbol", "left")
+    kind = present.schema["hour_start"].dataType
     if start is not None:
-        bounds = bounds.withColumn("first", F.date_trunc("hour", F.lit(start).cast("timestamp")))
+        bounds = bounds.withColumn("first", F.date_trunc("hour", F.lit(start).cast(kind)).cast(kind))
     if end is not None:
-        bounds = bounds.withColumn("last", F.date_trunc("hour", F.lit(end).cast("timestamp")))
+        bounds = bounds.withColumn("last", F.date_trunc("hour", F.lit(end).cast(kind)).cast(kind))
     grid = bounds.filter("first <= last").select(
         "symbol", F.explode(F.expr("sequence(first, last, INTERVAL 1 HOUR)")).alias("hour_start")
     )

@@ -7,7 +7,7 @@ from functools import reduce
 from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
-from tickloom.operators import decode_klines, merge_sources
+from tickloom.operators import decode_klines, dedupe_candles, merge_sources
 from tickloom.schemas import conform
 from tickloom.sources.lake import HourRange, Lake, Table, rows_per_file
 
@@ -70,7 +70,8 @@ def backfill(spark: SparkSession, lake: Lake, pages: DataFrame, hours: HourRange
         F.count_if(F.col("window_start").isNull()).alias("malformed"),
     )
     usable = decoded.filter(hours.covers("window_start"))
-    lake.backfilled.replace_partitions(usable, sort_by=("window_start",))
+    # a page landed twice must not pile up copies in one folder
+    lake.backfilled.replace_partitions(dedupe_candles(usable), sort_by=("window_start",))
     merge_tables(spark, {"stream": lake.streamed, "backfill": lake.backfilled}, lake.compacted, hours)
     return seen.get
 

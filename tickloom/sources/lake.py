@@ -102,15 +102,13 @@ class Table:
         return conform(dt_hour(df, time_column), self.schema, extra)
 
     def replace_partitions(self, df: DataFrame, sort_by: tuple[str, ...]) -> None:
-        """Write ``df``, replacing exactly the partitions it has rows for.
+        """Write candles, replacing exactly the folders there are rows for.
 
-        Rebalancing brings a partition's rows into one task, and so one sorted
-        file, unless it outgrows the advisory partition size; then adaptive
-        execution splits it, so a hot partition is never one task's work.
+        A folder's rows meet in one task and become one sorted file. ``df``
+        must be unique per symbol and window.
         """
         (
-            self.placed(df)
-            .hint("rebalance", *[F.col(c) for c in self.partition_by])
+            self._gathered(self.placed(df))
             .sortWithinPartitions(*self.partition_by, *sort_by)
             .write.mode("overwrite")
             .option("partitionOverwriteMode", "dynamic")
@@ -119,6 +117,19 @@ class Table:
             .parquet(self.path)
         )
 
+    def _gathered(self, rows: DataFrame) -> DataFrame:
+        keys = [F.col(c) for c in self.partition_by]
+        if "symbol" in self.partition_by:
+            # Folders of one symbol's hour or day are many and hold at most
+            # its candles of that time. Their cost is opening files, not
+            # bytes, so they are spread over every shuffle partition; with an
+            # explicit number adaptive execution does not pack them together.
+            width = int(rows.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+            return rows.repartition(width, *keys)
+        # Folders holding all symbols are few and grow with the symbols, so
+        # their size decides: adaptive execution splits the large ones.
+        return rows.hint("rebalance", *keys)
+
 
 def rows_per_file(df: DataFrame) -> DataFrame:
     """One row per file behind ``df`` with its row count; reads footers only."""
