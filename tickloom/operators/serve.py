@@ -50,10 +50,10 @@ def candle_history(
     prunes days.
     """
     own = candles.filter(F.col("symbol") == symbol)
-    newest = own.agg((F.max("window_start") - F.expr(f"INTERVAL {within}")).alias("since"))
-    recent = own.filter(F.col("window_start") >= newest.scalar())
+    since = own.agg(F.max("window_start") - F.expr(f"INTERVAL {within}")).scalar()
+    recent = own.filter(F.col("window_start") >= since)
     if "dt" in candles.columns:
-        recent = recent.filter(F.col("dt") >= newest.select(F.to_date("since")).scalar())
+        recent = recent.filter(F.col("dt") >= F.to_date(since))
     return recent.select(*HISTORY_COLUMNS).orderBy(F.desc("window_start")).limit(limit).orderBy("window_start")
 
 
