@@ -118,7 +118,7 @@ def test_rollup_cascades_and_matches_direct_candles(spark, lake):
     ticks = trades(spark, rows)
     lake.compacted.replace_partitions(build_candles(ticks, "1 minute"), sort_by=("window_start",))
     hours = HourRange.of("2026-01-01-00:00", "2026-01-01-01:00")
-    rollup(spark, lake, hours)
+    assert rollup(spark, lake, hours) == {"5m": 36, "15m": 12, "1h": 4}
     for label, width in {"5m": "5 minutes", "15m": "15 minutes", "1h": "1 hour"}.items():
         gold = lake.gold(label).read(spark)
         assert set(gold.columns) >= {"dt", "hour", "symbol"}
@@ -172,6 +172,7 @@ def test_maintenance_end_to_end(spark, lake):
     invariants, gaps = report.checks
     assert invariants.passed and not gaps.passed and gaps.metrics == {"gaps": 1, "missing": 2}
     assert require(gaps) is gaps
+    assert report.rollups == {"5m": 1, "15m": 1, "1h": 1}
     assert texts(lake.gold("1h").read(spark), "trade_count") == [("14",)]
 
 

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from functools import reduce
 
-from pyspark.sql import DataFrame, Observation, SparkSession
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tickloom.operators import decode_klines, dedupe_candles, merge_sources
@@ -63,15 +63,18 @@ def backfill(spark: SparkSession, lake: Lake, pages: DataFrame, hours: HourRange
     klines without a readable start time are counted as malformed.
     """
     hours = lake.span(hours)
-    seen = Observation()
-    decoded = decode_klines(pages).observe(
-        seen,
-        F.count(F.lit(1)).alias("klines"),
-        F.count_if(F.col("window_start").isNull()).alias("malformed"),
-    )
+    decoded = decode_klines(pages)
     usable = decoded.filter(hours.covers("window_start"))
     # a page landed twice must not pile up copies in one folder
     lake.backfilled.replace_partitions(dedupe_candles(usable), sort_by=("window_start",))
     merge_tables(spark, {"stream": lake.streamed, "backfill": lake.backfilled}, lake.compacted, hours)
-    return seen.get
+    seen = decoded.agg(
+        F.count("*").alias("klines"), F.count_if(F.col("window_start").isNull()).alias("malformed")
+    )
+    return seen.first().asDict()
+
+
 
+def rows_per_symbol(spark: SparkSession, table: Table, hours: HourRange) -> DataFrame:
+    """Candles each symbol has in the hours' folders; reads footers only."""
+    return table.within(table.read(spark), hours).groupBy("symbol").agg(F.count("*").alias("rows"))

@@ -16,7 +16,7 @@ from tickloom.sources.lake import HourRange, Lake
 class MaintenanceReport:
     compaction: dict
     checks: list[CheckResult]
-    rollups: dict[str, str]
+    rollups: dict[str, int]
 
 
 def maintain(

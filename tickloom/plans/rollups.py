@@ -29,20 +29,23 @@ def rollup(
     lake: Lake,
     hours: HourRange,
     resolutions: tuple[str, ...] = RESOLUTIONS,
-) -> dict[str, str]:
-    """Write the hours' candles in every resolution; returns what each was built from.
+) -> dict[str, int]:
+    """Write the hours' candles in every resolution; returns the rows each now has there.
 
     Resolutions cascade: 15m is built from the 5m rows just written and 1h
     from 15m, so the 1m table is scanned once. Windows longer than an hour
     widen the range to whole windows.
     """
-    sources = finest_first(resolutions)
+    written = {}
     longest = max(width_seconds(label) for label in resolutions)
     # one range for all, so every cascade source covers its consumer's windows
     span = lake.span(hours.aligned(longest))
-    for label, source in sources.items():
+    for label, source in finest_first(resolutions).items():
         table = lake.candles(source)
         candles = table.within(table.read(spark), span)
         rolled = rollup_candles(candles, f"{width_seconds(label)} seconds")
-        lake.gold(label).replace_partitions(rolled, sort_by=("symbol", "window_start"))
-    return sources
+        gold = lake.gold(label)
+        gold.replace_partitions(rolled, sort_by=("symbol", "window_start"))
+        # counted from the files' footers: exact even if tasks were retried
+        written[label] = gold.within(gold.read(spark), span).count()
+    return written

@@ -63,11 +63,17 @@ class HourRange:
 
 @dataclass(frozen=True)
 class Table:
-    """A hive-partitioned Parquet folder with a fixed schema."""
+    """A hive-partitioned Parquet folder with a fixed schema.
+
+    ``expiring`` marks a table whose files may be removed by retention while
+    its stream's file log still names them; readers then skip missing files.
+    Elsewhere a missing file is an error.
+    """
 
     path: str
     schema: T.StructType
     partition_by: tuple[str, ...]
+    expiring: bool = False
 
     def within(self, rows: DataFrame, hours: HourRange | None) -> DataFrame:
         """The rows in the folders ``hours`` touches, all rows without a range."""
@@ -76,14 +82,10 @@ class Table:
         return rows.filter(hours.partitions("hour" if "hour" in self.partition_by else "day"))
 
     def open(self, spark: SparkSession) -> DataFrame | None:
-        """All rows with partition columns, or None for a folder never written.
-
-        Files removed by retention may still be named in a stream's file log,
-        hence ``ignoreMissingFiles``.
-        """
+        """All rows with partition columns, or None for a folder never written."""
         schema = with_partitions(self.schema, self.partition_by)
         try:
-            return spark.read.schema(schema).option("ignoreMissingFiles", "true").parquet(self.path)
+            return spark.read.schema(schema).option("ignoreMissingFiles", self.expiring).parquet(self.path)
         except AnalysisException as error:
             if error.getCondition() != "PATH_NOT_FOUND":
                 raise
@@ -159,13 +161,14 @@ class Lake:
         """The hours a job over ``hours`` rewrites: whole folders only."""
         return hours.aligned(86_400) if self.grain == "day" else hours
 
-    def _table(self, layer: str, dataset: str, schema: T.StructType, *extra: str, by_symbol: bool = True) -> Table:
+    def _candles(self, layer: str, dataset: str, *extra: str, by_symbol: bool = True) -> Table:
         by = (("symbol",) if by_symbol else ()) + TIME_PARTITIONS[self.grain]
-        return Table(self.path(layer, dataset), schema, (*by, *extra))
+        return Table(self.path(layer, dataset), CANDLE_SCHEMA, (*by, *extra))
 
     @property
     def trades(self) -> Table:
-        return self._table("bronze", "trades", TRADE_SCHEMA)
+        by = ("symbol", *TIME_PARTITIONS[self.grain])
+        return Table(self.path("bronze", "trades"), TRADE_SCHEMA, by, expiring=True)
 
     @property
     def rejects(self) -> str:
@@ -174,18 +177,18 @@ class Lake:
     @property
     def streamed(self) -> Table:
         """Candles as the stream wrote them, in folders of their own per micro-batch."""
-        return self._table("silver", "ohlc_1m", CANDLE_SCHEMA, "query_id", "batch_id")
+        return self._candles("silver", "ohlc_1m", "query_id", "batch_id")
 
     @property
     def backfilled(self) -> Table:
-        return self._table("silver", "ohlc_1m_backfill", CANDLE_SCHEMA)
+        return self._candles("silver", "ohlc_1m_backfill")
 
     @property
     def compacted(self) -> Table:
-        return self._table("silver", "ohlc_1m_compacted", CANDLE_SCHEMA)
+        return self._candles("silver", "ohlc_1m_compacted")
 
     def gold(self, label: str) -> Table:
-        return self._table("gold", f"ohlc_{label}", CANDLE_SCHEMA, by_symbol=False)
+        return self._candles("gold", f"ohlc_{label}", by_symbol=False)
 
     def candles(self, label: str) -> Table:
         """The table a reader of resolution ``label`` uses."""

@@ -11,6 +11,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql.streaming import StreamingQuery
 
 from tickloom.operators import build_candles, candle_messages, decode_trades, split_trades
+from tickloom.operators.retention import DEFAULT_KEEP_DAYS
 from tickloom.sources.lake import Lake
 from tickloom.streaming.sinks import FileTopic, KafkaTopic, candle_writer
 
@@ -21,8 +22,20 @@ STORE_TRIGGER = {"processingTime": "30 seconds"}
 LIVE_TRIGGER = {"processingTime": "2 seconds"}
 
 
-def start_bronze(messages: DataFrame, lake: Lake, checkpoint: str, trigger: dict = STORE_TRIGGER) -> StreamingQuery:
-    """Archive every usable trade, partitioned by symbol, day and hour."""
+def start_bronze(
+    messages: DataFrame,
+    lake: Lake,
+    checkpoint: str,
+    trigger: dict = STORE_TRIGGER,
+    keep_days: int | None = DEFAULT_KEEP_DAYS,
+) -> StreamingQuery:
+    """Archive every usable trade, partitioned by symbol, day and hour.
+
+    The file sink logs every file it ever wrote. ``keep_days`` lets it forget
+    files of that age, in step with their expiry; without it the log of an
+    endless archive grows until compacting it outlasts the trigger.
+    """
+    retention = {} if keep_days is None else {"retention": f"{keep_days}d"}
     valid, _ = split_trades(decode_trades(messages))
     table = lake.trades
     return (
@@ -30,6 +43,7 @@ def start_bronze(messages: DataFrame, lake: Lake, checkpoint: str, trigger: dict
         .writeStream.outputMode("append")
         .format("parquet")
         .option("path", table.path)
+        .options(**retention)
         .option("checkpointLocation", checkpoint)
         .partitionBy(*table.partition_by)
         .trigger(**trigger)
