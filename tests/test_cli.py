@@ -4,7 +4,7 @@ import json
 
 import pytest
 
-from helpers import START, message
+from helpers import START
 from tickloom.__main__ import arguments, main
 from tickloom.schemas import MESSAGE_SCHEMA
 from tickloom.sources import Lake
@@ -17,15 +17,23 @@ def test_stream_to_history(spark, tmp_path, capsys, monkeypatch):
     monkeypatch.setattr("tickloom.__main__.build_session", lambda *args, **kwargs: spark)
     lake = str(tmp_path / "lake")
     topic = tmp_path / "topic"
-    topic.mkdir()
-    lines = [message("A", m, str(10 + m), time=f"2026-01-01 00:0{m}:30") for m in range(6)]
-    rows = [(None, line, 0, i) for i, line in enumerate(lines)]
-    spark.createDataFrame(rows, MESSAGE_SCHEMA).toPandas().to_parquet(topic / "0.parquet")
+    events = tmp_path / "events"
+    events.mkdir()
+    begin = int(START.timestamp() * 1000) + 30_000
+    (events / "0.txt").write_text(
+        "\n".join(
+            json.dumps({"data": {"s": s, "t": m, "p": str(10 + m), "q": "1", "T": begin + m * 60_000, "E": 0, "m": True}})
+            for m in range(6)
+            for s in ("A", "UNLISTED")
+        )
+    )
 
     def run(*words):
         main(["--lake", lake, *words])
         return capsys.readouterr().out
 
+    run("ingest", "--events", str(events), "--symbols", "b, a", "--files", str(topic), "--checkpoint", str(tmp_path / "in"), "--trigger", "once")
+    assert {(r.key, r.partition) for r in spark.read.schema(MESSAGE_SCHEMA).parquet(str(topic)).collect()} == {("A", 1)}
     for job in ("bronze", "rejects", "silver"):
         run(job, "--files", str(topic), "--checkpoint", str(tmp_path / job), "--trigger", "once")
     out = str(tmp_path / "live-topic")
@@ -41,6 +49,7 @@ def test_stream_to_history(spark, tmp_path, capsys, monkeypatch):
     assert "passed=True" in run("check", "--hours", HOUR)
     assert "'5m': 2" in run("rollup", "--hours", HOUR, "--resolutions", "5m")
     assert "MaintenanceReport" in run("maintain", "--hours", HOUR, HOUR)
+    assert "p95_lag_ms" in run("lag")
     history = run("history", "--symbol", "A", "--resolution", "1m")
     assert "2026-01-01 00:07:00" in history and "2026-01-01 00:00:00" in history
     assert "2026-01-01" in run("expire", "--as-of", "2026-02-01")

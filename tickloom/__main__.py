@@ -1,8 +1,8 @@
 """Command line: ``python -m tickloom <job>`` or ``spark-submit tickloom/__main__.py <job>``.
 
-Streams    bronze, rejects, silver, live
+Streams    ingest, bronze, rejects, silver, live
 Batch      compact, backfill, rollup, check, maintain, expire
-Read       history, latest
+Read       history, latest, lag
 """
 
 from __future__ import annotations
@@ -12,7 +12,14 @@ import datetime
 
 from pyspark.sql import DataFrame, SparkSession
 
-from tickloom.operators import candle_history, history_summary, keep_symbols, latest_messages
+from tickloom.operators import (
+    candle_history,
+    history_summary,
+    keep_symbols,
+    lag_stats,
+    latest_messages,
+    parse_symbols,
+)
 from tickloom.operators.retention import DEFAULT_KEEP_DAYS
 from tickloom.plans.checks import check_gaps, check_invariants, require
 from tickloom.plans.compaction import backfill, compact, rows_per_symbol
@@ -22,10 +29,18 @@ from tickloom.plans.rollups import RESOLUTIONS, rollup
 from tickloom.session import StoreConfig, build_session
 from tickloom.sources import HourRange, Lake, file_messages, kafka_messages
 from tickloom.sources.messages import MessageSource
-from tickloom.streaming import FileTopic, KafkaTopic, start_bronze, start_live, start_rejects, start_silver
+from tickloom.streaming import (
+    FileTopic,
+    KafkaTopic,
+    start_bronze,
+    start_ingest,
+    start_live,
+    start_rejects,
+    start_silver,
+)
 from tickloom.streaming.jobs import WATERMARK, WINDOW
 
-STREAMS = {"bronze": "30 seconds", "rejects": "30 seconds", "silver": "30 seconds", "live": "2 seconds"}
+STREAMS = {"ingest": "2 seconds", "bronze": "30 seconds", "rejects": "30 seconds", "silver": "30 seconds", "live": "2 seconds"}
 
 
 def arguments() -> argparse.ArgumentParser:
@@ -36,6 +51,10 @@ def arguments() -> argparse.ArgumentParser:
 
     for name, trigger in STREAMS.items():
         stream = jobs.add_parser(name)
+        if name == "ingest":
+            stream.add_argument("--events", required=True, help="folder of text files, one exchange event per line")
+            stream.add_argument("--symbols", required=True, type=parse_symbols, help="comma-separated")
+            stream.add_argument("--partitions", type=int, default=3)
         add_topic(stream, "trades.raw")
         stream.add_argument("--checkpoint", required=True)
         stream.add_argument("--trigger", default=trigger, help="interval, or 'once' for all that is there")
@@ -64,6 +83,10 @@ def arguments() -> argparse.ArgumentParser:
     history.add_argument("--resolution", default="1m")
     history.add_argument("--limit", type=int, default=120)
 
+    lag = jobs.add_parser("lag")
+    lag.add_argument("--window", default="1 hour")
+    lag.add_argument("--limit", type=int, default=120)
+
     latest = jobs.add_parser("latest")
     add_topic(latest, "ohlc.1m")
     latest.add_argument("--symbols", nargs="+")
@@ -86,8 +109,12 @@ def messages(args: argparse.Namespace) -> MessageSource:
 
 def run_stream(spark: SparkSession, lake: Lake, args: argparse.Namespace) -> None:
     trigger = {"availableNow": True} if args.trigger == "once" else {"processingTime": args.trigger}
-    stream = messages(args).stream(spark)
-    if args.job == "bronze":
+    stream = None if args.job == "ingest" else messages(args).stream(spark)
+    if args.job == "ingest":
+        events = spark.readStream.text(args.events)
+        out = FileTopic(args.files) if args.files else KafkaTopic(args.servers, args.topic)
+        query = start_ingest(events, out, args.checkpoint, args.symbols, args.partitions, trigger)
+    elif args.job == "bronze":
         query = start_bronze(stream, lake, args.checkpoint, trigger)
     elif args.job == "rejects":
         query = start_rejects(stream, lake, args.checkpoint, trigger)
@@ -123,6 +150,9 @@ def run_read(spark: SparkSession, lake: Lake, args: argparse.Namespace) -> None:
         history: DataFrame = candle_history(lake.candles(args.resolution).read(spark), args.symbol, limit=args.limit)
         history.show(args.limit, truncate=False)
         history_summary(history).show()
+    elif args.job == "lag":
+        stats = lag_stats(lake.trades.read(spark), args.window, by=("symbol",))
+        stats.orderBy("window_start", "symbol").show(args.limit, truncate=False)
     else:
         newest = latest_messages(messages(args).batch(spark))
         (keep_symbols(newest, args.symbols) if args.symbols else newest).show(truncate=False)
@@ -144,7 +174,7 @@ def main(argv: list[str] | None = None) -> None:
         expiry_report(spark, lake, as_of, args.keep_days).orderBy("dt", "symbol").show(truncate=False)
         if args.drop:
             print(f"dropped {len(expire_trades(spark, lake, as_of, args.keep_days))} folders")
-    elif args.job in ("history", "latest"):
+    elif args.job in ("history", "lag", "latest"):
         run_read(spark, lake, args)
     else:
         run_batch(spark, lake, args)

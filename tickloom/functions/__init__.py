@@ -3,6 +3,7 @@ from tickloom.functions.timeparts import (
     boundaries_between,
     dt_hour,
     hour_key,
+    interval,
     parse_hour_key,
     unit_index,
     width_seconds,
@@ -14,6 +15,7 @@ __all__ = [
     "display_window",
     "dt_hour",
     "hour_key",
+    "interval",
     "parse_hour_key",
     "unit_index",
     "width_seconds",

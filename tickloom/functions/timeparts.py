@@ -25,6 +25,11 @@ def width_seconds(width: str) -> int:
     return int(match[1]) * _UNIT_SECONDS[unit]
 
 
+def interval(width: str) -> Column:
+    """``width`` as elapsed time, so a day is 24 hours in every session zone."""
+    return F.expr(f"INTERVAL {width_seconds(width)} SECOND")
+
+
 def parse_hour_key(key: str) -> datetime:
     """``2026-08-05-17:00`` as the naive UTC start of that hour."""
     return datetime.strptime(key, HOUR_KEY_FORMAT).replace(minute=0)

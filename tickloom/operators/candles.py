@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from tickloom.functions import interval
 from tickloom.schemas import AMOUNT_TYPE, CANDLE_VALUES
 
 
@@ -40,7 +41,7 @@ def build_candles(
         "trade_count": F.count("*"),
     }
     grouped = trades.withColumn("w", window if streaming else window.start).groupBy("w", "symbol")
-    start, end = ("w.start", F.col("w.end")) if streaming else ("w", F.col("w") + F.expr(f"INTERVAL '{width}'"))
+    start, end = ("w.start", F.col("w.end")) if streaming else ("w", F.col("w") + interval(width))
     return grouped.agg(*[column.alias(name) for name, column in measures.items()]).select(
         F.col(start).alias("window_start"),
         end.alias("window_end"),
@@ -77,7 +78,7 @@ def rollup_candles(candles: DataFrame, width: str) -> DataFrame:
         )
         .select(
             F.col("bucket").alias("window_start"),
-            (F.col("bucket") + F.expr(f"INTERVAL '{width}'")).alias("window_end"),
+            (F.col("bucket") + interval(width)).alias("window_end"),
             "symbol",
             *CANDLE_VALUES,
         )

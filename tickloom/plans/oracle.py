@@ -276,6 +276,21 @@ SQL: dict[str, str] = {
             SELECT * REPLACE (date_trunc('milliseconds', trade_time) AS trade_time) FROM trades
         ), {candle_cte('candles', '1 hour', 'cut')}
         SELECT {CANDLE} FROM candles""",
+    "lake_backfill": f"{HOURLY} SELECT {CANDLE} FROM candles",
+    "stream_ingest": f"""
+        WITH {TRADES}
+        SELECT upper(symbol) AS key,
+               CAST(CASE symbol WHEN 'click' THEN 0 WHEN 'purchase' THEN 1 ELSE 2 END AS INTEGER) AS partition,
+               trade_id, CAST(price AS DOUBLE) AS price,
+               date_trunc('milliseconds', trade_time) AS trade_time, TRUE AS stamped
+        FROM trades WHERE symbol IN ('click', 'purchase', 'error')""",
+    "stream_rejects": """
+        SELECT CASE event_type WHEN 'view' THEN 'malformed_message' WHEN 'error' THEN 'bad_price'
+                               ELSE 'bad_trade_time_ms' END AS reason,
+               count(*) AS messages,
+               CAST(sum(CASE WHEN event_type = 'view' THEN 0 ELSE event_id END) AS BIGINT) AS trade_ids
+        FROM events WHERE event_type IN ('view', 'error', 'signup')
+        GROUP BY 1""",
     "stream_bronze_archive": f"""
         WITH {TRADES}
         SELECT symbol, strftime(trade_time, '%Y-%m-%d') AS dt, trade_id, CAST(price AS DOUBLE) AS price, CAST(quantity AS DOUBLE) AS quantity,

@@ -15,12 +15,20 @@ from pyspark.sql import types as T
 
 from tickloom import operators as op
 from tickloom.functions import display_number, display_window, dt_hour
-from tickloom.plans.compaction import compact
+from tickloom.plans.compaction import backfill, compact
 from tickloom.plans.rollups import rollup
-from tickloom.schemas import CANDLE_SCHEMA
+from tickloom.schemas import CANDLE_SCHEMA, MESSAGE_SCHEMA
 from tickloom.session import shared_dir
 from tickloom.sources import HourRange, Lake, event_trades, lineitem_trades, read_table
-from tickloom.streaming import FileTopic, candle_writer, start_bronze, start_live, start_silver
+from tickloom.streaming import (
+    FileTopic,
+    candle_writer,
+    start_bronze,
+    start_ingest,
+    start_live,
+    start_rejects,
+    start_silver,
+)
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -92,17 +100,20 @@ def messages(spark: SparkSession, sf_dir: str) -> DataFrame:
     return op.trade_messages(message_fields(read_table(spark, sf_dir, "events")))
 
 
-def message_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
+def event_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
     schema = read_table(spark, sf_dir, "events").schema
-    events = spark.readStream.schema(schema).option("pathGlobFilter", "events.parquet").parquet(sf_dir)
-    return op.trade_messages(message_fields(events))
+    return spark.readStream.schema(schema).option("pathGlobFilter", "events.parquet").parquet(sf_dir)
+
+
+def message_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return op.trade_messages(message_fields(event_stream(spark, sf_dir)))
 
 
 # ---- decode and routing -------------------------------------------------------------
 
 
-def event_normalize(spark: SparkSession, sf_dir: str) -> DataFrame:
-    fields = message_fields(read_table(spark, sf_dir, "events"))
+def envelopes(fields: DataFrame) -> DataFrame:
+    """Trade message fields wrapped as the exchange sends them."""
     payload = F.create_map(
         *[
             item
@@ -110,26 +121,32 @@ def event_normalize(spark: SparkSession, sf_dir: str) -> DataFrame:
             for item in (F.lit(key), F.col(name).cast("string"))
         ]
     )
-    envelopes = fields.select(F.to_json(F.struct(payload.alias("data"))).alias("value"))
-    return report(op.normalize_events(envelopes))
+    return fields.select(F.to_json(F.struct(payload.alias("data"))).alias("value"))
+
+
+def event_normalize(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return report(op.normalize_events(envelopes(message_fields(read_table(spark, sf_dir, "events")))))
 
 
 def trade_decode(spark: SparkSession, sf_dir: str) -> DataFrame:
     return report(op.decode_trades(messages(spark, sf_dir)))
 
 
-def trade_rejects(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Messages damaged in a different way for each event type, counted by reason."""
-    fields = message_fields(read_table(spark, sf_dir, "events")).withColumns(
+def damaged_messages(events: DataFrame) -> DataFrame:
+    """Messages damaged in a different way for each event type."""
+    fields = message_fields(events).withColumns(
         {
             "price": F.when(F.col("symbol") == "error", F.lit("n/a")).otherwise(F.col("price")),
             "trade_time_ms": F.when(F.col("symbol") != "signup", F.col("trade_time_ms")),
         }
     )
-    sent = op.trade_messages(fields).withColumn(
-        "value", F.when(F.col("key") == "view", F.substring("value", 1, 12)).otherwise(F.col("value"))
-    )
-    tagged = op.decode_trades(sent).select(F.coalesce(op.reject_reason(), F.lit("valid")).alias("reason"))
+    cut = F.when(F.col("key") == "view", F.substring("value", 1, 12)).otherwise(F.col("value"))
+    return op.trade_messages(fields).withColumn("value", cut)
+
+
+def trade_rejects(spark: SparkSession, sf_dir: str) -> DataFrame:
+    decoded = op.decode_trades(damaged_messages(read_table(spark, sf_dir, "events")))
+    tagged = decoded.select(F.coalesce(op.reject_reason(), F.lit("valid")).alias("reason"))
     return tagged.groupBy("reason").agg(F.count("*").alias("messages"))
 
 
@@ -292,6 +309,12 @@ def expired_partitions(spark: SparkSession, sf_dir: str) -> DataFrame:
 # ---- lake jobs and streams ----------------------------------------------------------
 
 
+def candle_hours(df: DataFrame) -> HourRange:
+    """The hours from the first to the last candle."""
+    bounds = df.agg(F.min("window_start").alias("first"), F.max("window_start").alias("last"))
+    return HourRange.of(*bounds.select(*[F.date_format(c, "yyyy-MM-dd-HH:mm") for c in ("first", "last")]).first())
+
+
 def compaction_report(spark: SparkSession, sf_dir: str) -> DataFrame:
     """A stream delivered partial candles in one batch and full ones in the next."""
     lake = Lake(shared_dir(spark, "lake"), grain="day")
@@ -301,13 +324,19 @@ def compaction_report(spark: SparkSession, sf_dir: str) -> DataFrame:
     return compact(spark, lake)
 
 
+def lake_backfill(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A partial stream in the lake, completed by the backfill job."""
+    lake = Lake(shared_dir(spark, "lake"), grain="day")
+    candle_writer(lake.streamed, query_id="replay")(partial_candles(spark, sf_dir), 0)
+    backfill(spark, lake, kline_pages(spark, sf_dir), candle_hours(candles(spark, sf_dir)))
+    return report(lake.compacted.read(spark).select(CANDLE_SCHEMA.fieldNames()))
+
+
 def gold_candles(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Compacted candles rolled up through the lake's tables, read back from gold."""
     lake = Lake(shared_dir(spark, "lake"), grain="day")
     lake.compacted.replace_partitions(candles(spark, sf_dir), sort_by=("window_start",))
-    bounds = lake.compacted.read(spark).agg(F.min("window_start").alias("lo"), F.max("window_start").alias("hi"))
-    keys = bounds.select(*[F.date_format(c, "yyyy-MM-dd-HH:mm") for c in ("lo", "hi")]).first()
-    rollup(spark, lake, HourRange.of(*keys), ("4h", "1d"))
+    rollup(spark, lake, candle_hours(lake.compacted.read(spark)), ("4h", "1d"))
     widths = [lake.gold(label).read(spark).withColumn("resolution", F.lit(label)) for label in ("4h", "1d")]
     return report(widths[0].unionByName(widths[1]))
 
@@ -343,6 +372,43 @@ def stream_live_candles(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def stream_ingest(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Exchange events of three listed symbols, routed and stamped on their way to the topic."""
+    topic = FileTopic(shared_dir(spark, "topic"))
+    fields = message_fields(event_stream(spark, sf_dir)).withColumn("symbol", F.upper("symbol"))
+    start_ingest(
+        envelopes(fields),
+        topic,
+        shared_dir(spark, "checkpoint"),
+        op.parse_symbols(LISTED_SYMBOLS),
+        TOPIC_PARTITIONS,
+        trigger={"availableNow": True},
+    ).awaitTermination()
+    sent = spark.read.schema(MESSAGE_SCHEMA).parquet(topic.path)
+    decoded = op.decode_trades(sent, keep=("key", "partition"))
+    return report(
+        decoded.select(
+            "key",
+            "partition",
+            "trade_id",
+            "price",
+            "trade_time",
+            (F.col("ingested_at_ms") > F.col("trade_time_ms")).alias("stamped"),
+        )
+    )
+
+
+def stream_rejects(spark: SparkSession, sf_dir: str) -> DataFrame:
+    lake = Lake(shared_dir(spark, "bronze"))
+    start_rejects(
+        damaged_messages(event_stream(spark, sf_dir)), lake, shared_dir(spark, "checkpoint"), trigger={"availableNow": True}
+    ).awaitTermination()
+    # the stored text still holds the trade ids, except where it was cut before them
+    trade_id = F.regexp_extract("value", r'"trade_id":(\d+)', 1).try_cast("long")
+    kept = spark.read.parquet(lake.rejects).withColumn("trade_id", F.coalesce(trade_id, F.lit(0)))
+    return kept.groupBy("reason").agg(F.count("*").alias("messages"), F.sum("trade_id").alias("trade_ids"))
+
+
 def stream_bronze_archive(spark: SparkSession, sf_dir: str) -> DataFrame:
     lake = Lake(shared_dir(spark, "bronze"), grain="day")
     start_bronze(
@@ -386,9 +452,12 @@ QUERIES: dict[str, Query] = {
     "missing_hours": missing_hours,
     "expired_partitions": expired_partitions,
     "compaction_report": compaction_report,
+    "lake_backfill": lake_backfill,
     "gold_candles": gold_candles,
     "stream_closed_candles": stream_closed_candles,
     "stream_live_candles": stream_live_candles,
+    "stream_ingest": stream_ingest,
+    "stream_rejects": stream_rejects,
     "stream_bronze_archive": stream_bronze_archive,
 }
 

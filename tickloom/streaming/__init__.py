@@ -1,4 +1,12 @@
-from tickloom.streaming.jobs import LIVE_TRIGGER, STORE_TRIGGER, start_bronze, start_live, start_rejects, start_silver
+from tickloom.streaming.jobs import (
+    LIVE_TRIGGER,
+    STORE_TRIGGER,
+    start_bronze,
+    start_ingest,
+    start_live,
+    start_rejects,
+    start_silver,
+)
 from tickloom.streaming.sinks import FileTopic, KafkaTopic, candle_writer
 
 __all__ = [
@@ -8,6 +16,7 @@ __all__ = [
     "STORE_TRIGGER",
     "candle_writer",
     "start_bronze",
+    "start_ingest",
     "start_live",
     "start_rejects",
     "start_silver",

@@ -1,4 +1,4 @@
-"""The streaming jobs: raw archive, closed candles, live candles.
+"""The streaming jobs: ingest, raw archive, rejects, closed candles, live candles.
 
 Each is an independent query with its own checkpoint, so one can fail, be
 restarted or resized without the others. Each takes a stream of messages, from
@@ -8,9 +8,18 @@ whatever source, and a trigger as keyword arguments of ``trigger``.
 from __future__ import annotations
 
 from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
-from tickloom.operators import build_candles, candle_messages, decode_trades, split_trades
+from tickloom.operators import (
+    build_candles,
+    candle_messages,
+    decode_trades,
+    keep_symbols,
+    normalize_events,
+    split_trades,
+    trade_messages,
+)
 from tickloom.operators.retention import DEFAULT_KEEP_DAYS
 from tickloom.sources.lake import Lake
 from tickloom.streaming.sinks import FileTopic, KafkaTopic, candle_writer
@@ -22,6 +31,30 @@ STORE_TRIGGER = {"processingTime": "30 seconds"}
 LIVE_TRIGGER = {"processingTime": "2 seconds"}
 
 
+def start_ingest(
+    events: DataFrame,
+    topic: KafkaTopic | FileTopic,
+    checkpoint: str,
+    symbols: list[str],
+    partitions: int,
+    trigger: dict = LIVE_TRIGGER,
+) -> StreamingQuery:
+    """Turn exchange events (``value``) into trade messages of the listed symbols.
+
+    Each message is stamped with its ingest time and routed by the position of
+    its symbol in the list.
+    """
+    trades = keep_symbols(normalize_events(events), symbols)
+    stamped = trades.withColumn("ingested_at_ms", F.unix_millis(F.current_timestamp()))
+    return (
+        topic.attach(trade_messages(stamped, symbols, partitions))
+        .outputMode("append")
+        .option("checkpointLocation", checkpoint)
+        .trigger(**trigger)
+        .start()
+    )
+
+
 def start_bronze(
     messages: DataFrame,
     lake: Lake,

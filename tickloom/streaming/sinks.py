@@ -67,7 +67,8 @@ class FileTopic:
 
     def attach(self, messages: DataFrame) -> DataStreamWriter:
         def write(batch: DataFrame, batch_id: int) -> None:
-            rows = batch.withColumns({"partition": F.lit(0), "offset": F.lit(batch_id)})
+            partition = F.col("partition") if "partition" in batch.columns else F.lit(0)
+            rows = batch.withColumns({"partition": partition, "offset": F.lit(batch_id)})
             (
                 conform(rows, MESSAGE_SCHEMA)
                 .withColumns({"query_id": F.lit(running_query_id(batch)), "batch_id": F.lit(batch_id)})
