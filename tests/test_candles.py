@@ -102,6 +102,29 @@ def test_rollup_of_minutes_equals_direct_hours(spark, ticks):
     assert plain(rolled, 3600) == brute_candles(ticks, 3600)
 
 
+@settings(max_examples=4, deadline=None, suppress_health_check=list(HealthCheck))
+@given(ticks=TICKS)
+def test_packed_ticks_equal_struct_ticks(spark, ticks):
+    # one price per (symbol, time, id), as copies of a trade have
+    ticks = list({(s, i, t): (s, i, p, q, t) for s, i, p, q, t in ticks}.values())
+    df = as_trades(spark, ticks).repartition(3)
+    for width, seconds in (("1 minute", 60), ("1 hour", 3600)):
+        assert plain(build_candles(df, width, trade_ids_below=6), seconds) == brute_candles(ticks, seconds)
+
+
+def test_packed_ticks_are_hashed_and_refuse_ids_out_of_bounds(spark):
+    rows = [("A", i, "1", "1", "2026-01-01 00:00:05") for i in (0, 7)]
+    df = trades(spark, rows)
+    ok = build_candles(df, trade_ids_below=8)
+    assert "SortAggregate" not in ok._jdf.queryExecution().executedPlan().toString()
+    assert ok.first().trade_count == 2
+    for bad in (build_candles(df, trade_ids_below=7), build_candles(df.withColumn("trade_id", df.trade_id - 1), trade_ids_below=8)):
+        with pytest.raises(Exception, match="trade id missing or not in"):
+            bad.collect()
+    with pytest.raises(ValueError, match="do not fit"):
+        build_candles(df, "1 hour", trade_ids_below=1 << 40)
+
+
 def test_dedupe_keeps_most_trades_and_is_stable_on_ties(spark):
     rows = [candle(count=3, close=11), candle(count=5, close=10), candle(count=5, close=12), candle(minute=1)]
     for order in (rows, rows[::-1]):

@@ -98,11 +98,12 @@ def test_silver_writes_each_candle_once_when_closed(spark, topic, lake, tmp_path
     assert texts(stored, "window_start") == [("2026-01-01 00:00:00",), ("2026-01-01 00:01:00",)]
 
 
-def test_closed_stream_candles_equal_batch(spark, topic, lake, tmp_path):
+@pytest.mark.parametrize("bound", [None, 1000])
+def test_closed_stream_candles_equal_batch(spark, topic, lake, tmp_path, bound):
     lines = [trade(f"0{h}:{m:02}:{(7 * m) % 60:02}", h * 60 + m, str(10 + (m * 13) % 29), s) for h in (0, 1) for m in range(0, 60, 6) for s in "AB"]
     for i in range(0, len(lines), 14):
         topic.send(*lines[i : i + 14])
-    run(start_silver(topic.stream(), lake, str(tmp_path / "c"), "10 minutes", trigger=NOW))
+    run(start_silver(topic.stream(), lake, str(tmp_path / "c"), "10 minutes", trigger=NOW, trade_ids_below=bound))
     valid, _ = split_trades(decode_trades(topic.source().batch(spark)))
     batch = build_candles(valid, "10 minutes")
     newest = valid.agg(F.max("trade_time") - F.expr("INTERVAL 10 SECONDS")).first()[0]

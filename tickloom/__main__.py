@@ -60,6 +60,7 @@ def arguments() -> argparse.ArgumentParser:
         stream.add_argument("--trigger", default=trigger, help="interval, or 'once' for all that is there")
         stream.add_argument("--window", default=WINDOW)
         stream.add_argument("--watermark", default=WATERMARK)
+        stream.add_argument("--trade-ids-below", type=int, help="bound that lets candles skip sorting")
         stream.add_argument("--shuffle-partitions", type=int)
         if name == "live":
             stream.add_argument("--out-topic", default="ohlc.1m")
@@ -118,11 +119,13 @@ def run_stream(spark: SparkSession, lake: Lake, args: argparse.Namespace) -> Non
         query = start_bronze(stream, lake, args.checkpoint, trigger)
     elif args.job == "rejects":
         query = start_rejects(stream, lake, args.checkpoint, trigger)
-    elif args.job == "silver":
-        query = start_silver(stream, lake, args.checkpoint, args.window, args.watermark, trigger)
     else:
-        out = FileTopic(args.out_files) if args.out_files else KafkaTopic(args.servers, args.out_topic)
-        query = start_live(stream, out, args.checkpoint, args.window, args.watermark, trigger)
+        candles = (args.window, args.watermark, trigger, args.trade_ids_below)
+        if args.job == "silver":
+            query = start_silver(stream, lake, args.checkpoint, *candles)
+        else:
+            out = FileTopic(args.out_files) if args.out_files else KafkaTopic(args.servers, args.out_topic)
+            query = start_live(stream, out, args.checkpoint, *candles)
     query.awaitTermination()
 
 

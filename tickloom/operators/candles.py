@@ -2,10 +2,10 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tickloom.functions import interval
+from tickloom.functions import interval, width_seconds
 from tickloom.schemas import AMOUNT_TYPE, CANDLE_VALUES
 
 
@@ -14,6 +14,7 @@ def build_candles(
     width: str = "1 minute",
     watermark: str | None = None,
     tie_breakers: tuple[str, ...] = ("trade_id",),
+    trade_ids_below: int | None = None,
 ) -> DataFrame:
     """One row per tumbling window and symbol; the same function for batch and stream.
 
@@ -25,17 +26,28 @@ def build_candles(
     Struct extremes sort before they aggregate. Batch therefore groups by the
     window start, a plain long to sort on, and derives the end afterwards; a
     stream has to group by the window struct, which carries the watermark.
+
+    ``trade_ids_below`` states that trade ids are from zero up to that bound
+    and that equal ids of a symbol are copies of one trade. Ticks then fit one
+    long and nothing is sorted. A row outside the bound fails the job rather
+    than giving a wrong candle.
     """
     streaming = trades.isStreaming
     if watermark is not None:
         trades = trades.withWatermark("trade_time", watermark)
     window = F.window("trade_time", width)
-    tick = F.struct("trade_time", *tie_breakers, "price")
+    if trade_ids_below is None:
+        tick = F.struct("trade_time", *tie_breakers, "price")
+        opening, closing = F.min(tick)["price"], F.max(tick)["price"]
+    else:
+        tick = _packed_tick(width, trade_ids_below)
+        opening, closing = F.min_by("price", "tick"), F.max_by("price", "tick")
+        trades = trades.withColumn("tick", tick)
     measures = {
-        "opening": F.min(tick),
-        "closing": F.max(tick),
+        "open": opening,
         "high": F.max("price"),
         "low": F.min("price"),
+        "close": closing,
         "volume": F.sum("quantity").cast(AMOUNT_TYPE),
         "quote_volume": F.sum(F.col("price") * F.col("quantity")).cast(AMOUNT_TYPE),
         "trade_count": F.count("*"),
@@ -43,16 +55,19 @@ def build_candles(
     grouped = trades.withColumn("w", window if streaming else window.start).groupBy("w", "symbol")
     start, end = ("w.start", F.col("w.end")) if streaming else ("w", F.col("w") + interval(width))
     return grouped.agg(*[column.alias(name) for name, column in measures.items()]).select(
-        F.col(start).alias("window_start"),
-        end.alias("window_end"),
-        "symbol",
-        F.col("opening.price").alias("open"),
-        "high",
-        "low",
-        F.col("closing.price").alias("close"),
-        "volume",
-        "quote_volume",
-        "trade_count",
+        F.col(start).alias("window_start"), end.alias("window_end"), "symbol", *measures
+    )
+
+
+def _packed_tick(width: str, ids_below: int) -> Column:
+    """Microseconds into the window, then the trade id, in one long."""
+    id_bits = (ids_below - 1).bit_length()
+    if (width_seconds(width) * 1_000_000 - 1).bit_length() + id_bits > 63:
+        raise ValueError(f"ticks of a {width} window with ids below {ids_below} do not fit a long")
+    micros = F.pmod(F.unix_micros(F.col("trade_time").cast("timestamp")), F.lit(width_seconds(width) * 1_000_000))
+    known = F.col("trade_id").between(0, ids_below - 1)
+    return F.when(known, micros * (1 << id_bits) + F.col("trade_id")).when(
+        F.col("trade_time").isNotNull(), F.raise_error(F.lit(f"trade id missing or not in [0, {ids_below})"))
     )
 
 

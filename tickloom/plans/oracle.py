@@ -93,6 +93,7 @@ BROKEN = "high < open OR high < close OR high < low OR low > open OR low > close
 SQL: dict[str, str] = {
     "ohlc_candles": f"{HOURLY} SELECT {CANDLE} FROM candles",
     "ohlc_candles_1m": f"{MINUTELY} SELECT {CANDLE} FROM candles",
+    "ohlc_candles_packed": f"{MINUTELY} SELECT {CANDLE} FROM candles",
     "ohlc_candles_lineitem": f"""
         WITH ticks AS (
             SELECT l_returnflag AS symbol, l_orderkey AS trade_id, l_linenumber AS line_number,

@@ -40,6 +40,8 @@ TOPIC_PARTITIONS = 3
 HISTORY_SYMBOL = "purchase"
 SLICE_KEYS = ("2024-01-10-06:00", "2024-01-12-05:00")
 EXPIRY_DATE = "2024-01-20"
+# the widest ids that share a long with the microseconds of a minute
+TRADE_IDS_BELOW = 1 << 37
 # a stream that was cut off part of the time sees only trades below this price
 PARTIAL_BELOW = 20
 
@@ -202,6 +204,10 @@ def ohlc_candles_1m(spark: SparkSession, sf_dir: str) -> DataFrame:
     return report(candles(spark, sf_dir, "1 minute"))
 
 
+def ohlc_candles_packed(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return report(op.build_candles(trades(spark, sf_dir), "1 minute", trade_ids_below=TRADE_IDS_BELOW))
+
+
 def ohlc_candles_lineitem(spark: SparkSession, sf_dir: str) -> DataFrame:
     ticks = lineitem_trades(read_table(spark, sf_dir, "lineitem"))
     return report(op.build_candles(ticks, "1 day", tie_breakers=("trade_id", "line_number")))
@@ -421,6 +427,7 @@ def stream_bronze_archive(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES: dict[str, Query] = {
     "ohlc_candles": ohlc_candles,
     "ohlc_candles_1m": ohlc_candles_1m,
+    "ohlc_candles_packed": ohlc_candles_packed,
     "ohlc_candles_lineitem": ohlc_candles_lineitem,
     "event_normalize": event_normalize,
     "trade_decode": trade_decode,

@@ -106,11 +106,12 @@ def start_silver(
     width: str = WINDOW,
     watermark: str = WATERMARK,
     trigger: dict = STORE_TRIGGER,
+    trade_ids_below: int | None = None,
 ) -> StreamingQuery:
     """Store each candle once, after the watermark has passed its end."""
     valid, _ = split_trades(decode_trades(messages))
     return (
-        build_candles(valid, width, watermark)
+        build_candles(valid, width, watermark, trade_ids_below=trade_ids_below)
         .writeStream.outputMode("append")
         .foreachBatch(candle_writer(lake.streamed))
         .option("checkpointLocation", checkpoint)
@@ -126,11 +127,12 @@ def start_live(
     width: str = WINDOW,
     watermark: str = WATERMARK,
     trigger: dict = LIVE_TRIGGER,
+    trade_ids_below: int | None = None,
 ) -> StreamingQuery:
     """Publish every candle again whenever a batch changed it."""
     valid, _ = split_trades(decode_trades(messages))
     return (
-        topic.attach(candle_messages(build_candles(valid, width, watermark)))
+        topic.attach(candle_messages(build_candles(valid, width, watermark, trade_ids_below=trade_ids_below)))
         .outputMode("update")
         .option("checkpointLocation", checkpoint)
         .trigger(**trigger)
