@@ -150,13 +150,32 @@ def test_day_grain_rewrites_whole_days(spark, tmp_path):
 def test_hour_ranges_select_folders(spark, lake, capsys):
     df = candles(spark, [candle(minute=60 * h) for h in (0, 23, 24, 30, 47, 48)])
     lake.compacted.replace_partitions(df, sort_by=("window_start",))
-    picked = lake.compacted.within(lake.compacted.read(spark), HourRange.of("2026-01-01-23:00", "2026-01-02-06:00"))
+    picked = lake.compacted.read(spark, HourRange.of("2026-01-01-23:00", "2026-01-02-06:00"))
     assert texts(picked, "dt", "hour") == [("2026-01-01", "23"), ("2026-01-02", "0"), ("2026-01-02", "6")]
     picked.explain("formatted")
     scan = capsys.readouterr().out
     assert "PartitionFilters: [isnotnull(dt" in scan and "PushedFilters" not in scan
 
 
+def test_reads_list_only_the_folders_they_need(spark, lake):
+    table = lake.compacted
+    hours = HourRange.of("2026-01-01-23:00", "2026-01-02-06:00")
+    assert table.folders() == table.path
+    assert table.folders(hours) == table.path + "/symbol=*/dt={2026-01-01,2026-01-02}"
+    assert table.folders(symbol="A") == table.path + "/symbol=A"
+    assert table.folders(hours, "A") == table.path + "/symbol=A/dt={2026-01-01,2026-01-02}"
+    assert table.folders(symbol="A/*") == table.path
+    assert lake.gold("1h").folders(HOUR) == lake.gold("1h").path + "/dt={2026-01-01}"
+    assert table.folders(HourRange.of("2020-01-01-00:00", "2026-01-01-00:00")) == table.path
+    df = candles(spark, [candle(s, 1440 * d) for s in ("A", "B*") for d in range(3)])
+    table.replace_partitions(df, sort_by=("window_start",))
+    assert texts(table.read(spark, hours), "symbol", "dt") == [("A", "2026-01-02"), ("B*", "2026-01-02")]
+    assert texts(table.read(spark, symbol="B*"), "dt") == [("2026-01-01",), ("2026-01-02",), ("2026-01-03",)]
+    assert len(table.open(spark, HOUR, "A").inputFiles()) == 1
+    assert table.open(spark, HourRange.of("2027-01-01-00:00")) is None
+    assert table.read(spark, HourRange.of("2027-01-01-00:00")).count() == 0
+
+
 def test_checks_block_the_rollup(spark, lake):
     stream_in(lake, candles(spark, [candle(minute=0), candle(minute=5, high=8)]), 0)
     with pytest.raises(CheckFailed) as failure:
@@ -176,6 +195,15 @@ def test_maintenance_end_to_end(spark, lake):
     assert texts(lake.gold("1h").read(spark), "trade_count") == [("14",)]
 
 
+def test_an_hour_without_data_is_skipped(spark, lake):
+    stream_in(lake, candles(spark, [candle(minute=600)]), 0)
+    report = maintain(spark, lake, HOUR)
+    assert (report.compaction["files_before"], report.compaction["rows_after"]) == (0, 0)
+    assert all(check.passed for check in report.checks)
+    assert report.rollups == {"5m": 0, "15m": 0, "1h": 0}
+    assert not files(lake.compacted.path)
+
+
 def test_checks_on_an_empty_lake_pass(spark, lake):
     empty = lake.compacted.read(spark)
     assert check_invariants(empty).passed and check_gaps(empty).passed

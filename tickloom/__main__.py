@@ -141,7 +141,7 @@ def run_batch(spark: SparkSession, lake: Lake, args: argparse.Namespace) -> None
     elif args.job == "rollup":
         print(rollup(spark, lake, hours, tuple(args.resolutions)))
     elif args.job == "check":
-        candles = lake.compacted.within(lake.compacted.read(spark), hours)
+        candles = lake.compacted.read(spark, hours)
         print(check_gaps(candles))
         print(require(check_invariants(candles)))
     else:
@@ -150,7 +150,9 @@ def run_batch(spark: SparkSession, lake: Lake, args: argparse.Namespace) -> None
 
 def run_read(spark: SparkSession, lake: Lake, args: argparse.Namespace) -> None:
     if args.job == "history":
-        history: DataFrame = candle_history(lake.candles(args.resolution).read(spark), args.symbol, limit=args.limit)
+        table = lake.candles(args.resolution)
+        listed = args.symbol if "symbol" in table.partition_by else None
+        history: DataFrame = candle_history(table.read(spark, symbol=listed), args.symbol, limit=args.limit)
         history.show(args.limit, truncate=False)
         history_summary(history).show()
     elif args.job == "lag":

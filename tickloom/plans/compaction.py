@@ -2,8 +2,6 @@
 
 from __future__ import annotations
 
-from functools import reduce
-
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -20,7 +18,7 @@ def merge_tables(spark: SparkSession, sources: dict[str, Table], target: Table,
     compaction and backfill in either order ends in the same state.
     """
     frames = {
-        name: conform(table.within(table.read(spark), hours)) for name, table in sources.items()
+        name: conform(table.read(spark, hours)) for name, table in sources.items()
     }
     target.replace_partitions(merge_sources(frames), sort_by=("window_start",))
 
@@ -28,14 +26,11 @@ def merge_tables(spark: SparkSession, sources: dict[str, Table], target: Table,
 def compaction_metrics(spark: SparkSession, sources: dict[str, Table], target: Table, hours: HourRange | None = None) -> DataFrame:
     """One row: files and rows on both sides, measured from the files themselves."""
     tables = [(table, "before") for table in sources.values()] + [(target, "after")]
-    files = reduce(
-        DataFrame.unionByName,
-        [
-            rows_per_file(table.within(rows, hours)).withColumn("side", F.lit(side))
-            for table, side in tables
-            if (rows := table.open(spark)) is not None
-        ],
-    )
+    files = spark.createDataFrame([], "file string, rows long, side string")
+    for table, side in tables:
+        rows = table.open(spark, hours)
+        if rows is not None:
+            files = files.unionByName(rows_per_file(rows).withColumn("side", F.lit(side)))
     before, after = F.col("side") == "before", F.col("side") == "after"
     return files.agg(
         F.count_if(before).alias("files_before"),
@@ -77,4 +72,4 @@ def backfill(spark: SparkSession, lake: Lake, pages: DataFrame, hours: HourRange
 
 def rows_per_symbol(spark: SparkSession, table: Table, hours: HourRange) -> DataFrame:
     """Candles each symbol has in the hours' folders; reads footers only."""
-    return table.within(table.read(spark), hours).groupBy("symbol").agg(F.count("*").alias("rows"))
+    return table.read(spark, hours).groupBy("symbol").agg(F.count("*").alias("rows"))

@@ -34,6 +34,6 @@ def maintain(
     if pages is not None:
         backfill(spark, lake, pages, hours)
     compaction = compact(spark, lake, hours).first().asDict()
-    candles = lake.compacted.within(lake.compacted.read(spark), hours)
+    candles = lake.compacted.read(spark, hours)
     checks = [require(check_invariants(candles)), require(check_gaps(candles))]
     return MaintenanceReport(compaction, checks, rollup(spark, lake, hours, resolutions))

@@ -41,11 +41,10 @@ def rollup(
     # one range for all, so every cascade source covers its consumer's windows
     span = lake.span(hours.aligned(longest))
     for label, source in finest_first(resolutions).items():
-        table = lake.candles(source)
-        candles = table.within(table.read(spark), span)
+        candles = lake.candles(source).read(spark, span)
         rolled = rollup_candles(candles, f"{width_seconds(label)} seconds")
         gold = lake.gold(label)
         gold.replace_partitions(rolled, sort_by=("symbol", "window_start"))
         # counted from the files' footers: exact even if tasks were retried
-        written[label] = gold.within(gold.read(spark), span).count()
+        written[label] = gold.read(spark, span).count()
     return written

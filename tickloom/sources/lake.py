@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import re
 from dataclasses import dataclass
 from datetime import datetime, timedelta, timezone
 
@@ -13,6 +14,9 @@ from pyspark.sql import types as T
 from tickloom.functions.timeparts import dt_hour, hour_floor, hour_key, parse_hour_key
 from tickloom.schemas import CANDLE_SCHEMA, TRADE_SCHEMA, conform, with_partitions
 
+# a longer range lists the whole table: naming each day would cost as much
+_MAX_LISTED_DAYS = 62
+
 TIME_PARTITIONS = {"hour": ("dt", "hour"), "day": ("dt",)}
 
 
@@ -37,6 +41,10 @@ class HourRange:
             end += timedelta(seconds=seconds)
         return HourRange(hour_floor(self.start, seconds), end)
 
+    def days(self) -> int:
+        """Calendar days the range touches."""
+        return ((self.end - timedelta(hours=1)).date() - self.start.date()).days + 1
+
     def partitions(self, grain: str = "hour") -> Column:
         """Condition on ``dt`` and ``hour``; both prune, no path globs needed.
 
@@ -75,25 +83,51 @@ class Table:
     partition_by: tuple[str, ...]
     expiring: bool = False
 
-    def within(self, rows: DataFrame, hours: HourRange | None) -> DataFrame:
-        """The rows in the folders ``hours`` touches, all rows without a range."""
-        if hours is None:
-            return rows
-        return rows.filter(hours.partitions("hour" if "hour" in self.partition_by else "day"))
+    def folders(self, hours: HourRange | None = None, symbol: str | None = None) -> str:
+        """Path pattern of the folders a read has to list.
 
-    def open(self, spark: SparkSession) -> DataFrame | None:
-        """All rows with partition columns, or None for a folder never written."""
+        Plain folders have no catalog, so reading the root lists every symbol
+        and day ever written before any filter prunes. A job over some hours,
+        or a reader of one symbol, lists only the days or the symbol it needs.
+        """
+        levels = []
+        for name in self.partition_by:
+            if name == "symbol" and symbol is not None and re.fullmatch(r"[\w-]+", symbol):
+                levels.append(f"symbol={symbol}")
+            elif name == "dt" and hours is not None and hours.days() <= _MAX_LISTED_DAYS:
+                days = [hours.start.date() + timedelta(days=n) for n in range(hours.days())]
+                levels.append(f"dt={{{','.join(map(str, days))}}}")
+            else:
+                levels.append(f"{name}=*")
+        while levels and levels[-1].endswith("=*"):
+            levels.pop()
+        return "/".join([self.path, *levels])
+
+    def open(
+        self, spark: SparkSession, hours: HourRange | None = None, symbol: str | None = None
+    ) -> DataFrame | None:
+        """Rows with partition columns, or None when no such folder was written.
+
+        ``hours`` and ``symbol`` limit both the listing and the rows; a
+        day-grained table gives every day the hours touch.
+        """
         schema = with_partitions(self.schema, self.partition_by)
+        reader = spark.read.schema(schema).option("ignoreMissingFiles", self.expiring)
         try:
-            return spark.read.schema(schema).option("ignoreMissingFiles", self.expiring).parquet(self.path)
+            rows = reader.option("basePath", self.path).parquet(self.folders(hours, symbol))
         except AnalysisException as error:
             if error.getCondition() != "PATH_NOT_FOUND":
                 raise
             return None
-
-    def read(self, spark: SparkSession) -> DataFrame:
-        """Like :meth:`open`, with an empty frame for a folder never written."""
-        rows = self.open(spark)
+        if hours is not None:
+            rows = rows.filter(hours.partitions("hour" if "hour" in self.partition_by else "day"))
+        return rows if symbol is None else rows.filter(F.col("symbol") == symbol)
+
+    def read(
+        self, spark: SparkSession, hours: HourRange | None = None, symbol: str | None = None
+    ) -> DataFrame:
+        """Like :meth:`open`, with an empty frame where there is nothing."""
+        rows = self.open(spark, hours, symbol)
         if rows is None:
             rows = spark.createDataFrame([], with_partitions(self.schema, self.partition_by))
         return rows
