@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 
 from helpers import START, candle, candles, texts, trades
 from tickloom.operators import build_candles, candle_history
-from tickloom.plans.checks import CheckFailed, check_gaps, check_invariants, require
+from tickloom.plans.checks import CheckFailed, check_gaps, check_hours, check_invariants, require
 from tickloom.plans.compaction import backfill, compact
 from tickloom.plans.maintenance import maintain
 from tickloom.plans.retention import expire_trades, expiry_report
@@ -195,6 +195,13 @@ def test_maintenance_end_to_end(spark, lake):
     assert texts(lake.gold("1h").read(spark), "trade_count") == [("14",)]
 
 
+def test_gaps_before_the_first_candle_of_the_hours_count(spark, lake):
+    df = candles(spark, [candle(minute=m) for m in (10, 58, 65, 66, 130)])
+    lake.compacted.replace_partitions(df, sort_by=("window_start",))
+    _, gaps = check_hours(spark, lake, HourRange.of("2026-01-01-01:00"))
+    assert gaps.metrics == {"gaps": 1, "missing": 6}
+
+
 def test_an_hour_without_data_is_skipped(spark, lake):
     stream_in(lake, candles(spark, [candle(minute=600)]), 0)
     report = maintain(spark, lake, HOUR)

@@ -21,7 +21,7 @@ from tickloom.operators import (
     parse_symbols,
 )
 from tickloom.operators.retention import DEFAULT_KEEP_DAYS
-from tickloom.plans.checks import check_gaps, check_invariants, require
+from tickloom.plans.checks import check_hours, require
 from tickloom.plans.compaction import backfill, compact, rows_per_symbol
 from tickloom.plans.maintenance import maintain
 from tickloom.plans.retention import expire_trades, expiry_report
@@ -141,9 +141,10 @@ def run_batch(spark: SparkSession, lake: Lake, args: argparse.Namespace) -> None
     elif args.job == "rollup":
         print(rollup(spark, lake, hours, tuple(args.resolutions)))
     elif args.job == "check":
-        candles = lake.compacted.read(spark, hours)
-        print(check_gaps(candles))
-        print(require(check_invariants(candles)))
+        results = check_hours(spark, lake, lake.span(hours))
+        print(*results, sep="\n")
+        for result in results:
+            require(result)
     else:
         print(maintain(spark, lake, hours, pages, tuple(args.resolutions)))
 

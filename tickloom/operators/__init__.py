@@ -9,6 +9,7 @@ from tickloom.operators.quality import (
     invariant_report,
     invariant_violations,
     missing_hours,
+    summarize_gaps,
 )
 from tickloom.operators.retention import expired_partitions
 from tickloom.operators.routing import keep_symbols, lag_stats, parse_symbols, partition_skew, route_symbols
@@ -40,5 +41,6 @@ __all__ = [
     "rollup_candles",
     "route_symbols",
     "split_trades",
+    "summarize_gaps",
     "trade_messages",
 ]

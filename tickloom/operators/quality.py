@@ -85,11 +85,14 @@ def candle_gaps(candles: DataFrame, unit: str = "1 minute", unique: bool = False
     )
 
 
-def gap_count(candles: DataFrame, unit: str = "1 minute", unique: bool = False) -> DataFrame:
+def summarize_gaps(gaps: DataFrame) -> DataFrame:
     """One row: number of gaps and of absent candles inside them."""
-    return candle_gaps(candles, unit, unique).agg(
-        F.count("*").alias("gaps"), F.coalesce(F.sum("missing"), F.lit(0)).alias("missing")
-    )
+    return gaps.agg(F.count("*").alias("gaps"), F.coalesce(F.sum("missing"), F.lit(0)).alias("missing"))
+
+
+def gap_count(candles: DataFrame, unit: str = "1 minute", unique: bool = False) -> DataFrame:
+    """:func:`candle_gaps`, summarized."""
+    return summarize_gaps(candle_gaps(candles, unit, unique))
 
 
 def missing_hours(

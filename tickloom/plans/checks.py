@@ -3,10 +3,16 @@
 from __future__ import annotations
 
 from dataclasses import dataclass, field
+from datetime import timedelta
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 
-from tickloom.operators import gap_count, invariant_report
+from tickloom.operators import candle_gaps, invariant_report, summarize_gaps
+from tickloom.sources.lake import HourRange, Lake
+
+# how far before the checked hours a gap may begin; an outage longer than this
+# shows as missing hours instead
+GAP_LOOKBACK = timedelta(days=1)
 
 
 @dataclass(frozen=True)
@@ -32,12 +38,30 @@ def check_invariants(candles: DataFrame) -> CheckResult:
     return CheckResult("ohlc_invariants", passed, True, metrics)
 
 
-def check_gaps(candles: DataFrame, unit: str = "1 minute", unique: bool = True) -> CheckResult:
-    """Not blocking: candles of a symbol follow each other without a missing unit."""
-    metrics = gap_count(candles, unit, unique).first().asDict()
+def check_gaps(
+    candles: DataFrame, unit: str = "1 minute", unique: bool = True, hours: HourRange | None = None
+) -> CheckResult:
+    """Not blocking: candles of a symbol follow each other without a missing unit.
+
+    With ``hours`` only gaps that end inside them count; ``candles`` should
+    then reach back further, or the gap before the first candle goes unseen.
+    """
+    gaps = candle_gaps(candles, unit, unique)
+    if hours is not None:
+        gaps = gaps.filter(hours.covers("window_start"))
+    metrics = summarize_gaps(gaps).first().asDict()
     return CheckResult("no_gaps", metrics["gaps"] == 0, False, metrics)
 
 
+def check_hours(spark: SparkSession, lake: Lake, hours: HourRange) -> list[CheckResult]:
+    """Both checks over the compacted candles of some hours."""
+    before = HourRange(hours.start - GAP_LOOKBACK, hours.end)
+    return [
+        check_invariants(lake.compacted.read(spark, hours)),
+        check_gaps(lake.compacted.read(spark, before), hours=hours),
+    ]
+
+
 def require(result: CheckResult) -> CheckResult:
     if result.blocking and not result.passed:
         raise CheckFailed(result)

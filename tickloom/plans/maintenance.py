@@ -6,7 +6,7 @@ from dataclasses import dataclass
 
 from pyspark.sql import DataFrame, SparkSession
 
-from tickloom.plans.checks import CheckResult, check_gaps, check_invariants, require
+from tickloom.plans.checks import CheckResult, check_hours, require
 from tickloom.plans.compaction import backfill, compact
 from tickloom.plans.rollups import RESOLUTIONS, rollup
 from tickloom.sources.lake import HourRange, Lake
@@ -34,6 +34,5 @@ def maintain(
     if pages is not None:
         backfill(spark, lake, pages, hours)
     compaction = compact(spark, lake, hours).first().asDict()
-    candles = lake.compacted.read(spark, hours)
-    checks = [require(check_invariants(candles)), require(check_gaps(candles))]
+    checks = [require(result) for result in check_hours(spark, lake, lake.span(hours))]
     return MaintenanceReport(compaction, checks, rollup(spark, lake, hours, resolutions))
