@@ -38,7 +38,7 @@ MAX_STATES = 1 << 17
 #: Trie nodes with at most so many tokens below tell apart only what their tokens do.
 WIDE = 64
 #: Bytes run at once.
-BLOCK = 4 << 20
+BLOCK = 2 << 20
 
 # The contractions that the pre-tokenizer splits off, without their apostrophe.
 CONTRACTIONS = ("s", "t", "re", "ve", "m", "ll", "d")
@@ -309,7 +309,7 @@ class Transducer:
                 mark[end] = 1
         return data, mark, offsets, specials
 
-    def _blocks(self, texts: list[bytes]):
+    def blocks(self, texts: list[bytes]):
         """Lists of about BLOCK bytes; one longer text stands alone."""
         block, size = [], 0
         for text in texts:
@@ -362,7 +362,7 @@ class Transducer:
     def count(self, texts: list[bytes]) -> np.ndarray:
         """Tokens of each text (valid UTF-8)."""
         out = []
-        for block in self._blocks(texts):
+        for block in self.blocks(texts):
             data, mark, offsets, specials = self._marked(block)
             counts, _ = self._run_safely(data, mark, False)
             total = np.concatenate([[0], np.cumsum(counts, dtype=np.int64)])
@@ -375,7 +375,7 @@ class Transducer:
     def encode(self, texts: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
         """All token ids of the texts, one after the other, and the number of each text's."""
         all_ids, all_counts = [], []
-        for block in self._blocks(texts):
+        for block in self.blocks(texts):
             data, mark, offsets, specials = self._marked(block)
             counts, last = self._run_safely(data, mark, True)
             for begin, end, token in specials:

@@ -7,6 +7,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tickloom.llm.packing import pack
+from tickloom.llm.simhash import simhash_groups
+from tickloom.llm.substrings import repeated_passages
 from tickloom.llm.token_counts import count_tokens
 from tickloom.sources import read_table
 
@@ -26,8 +28,19 @@ def piece_digests(pieces: DataFrame) -> DataFrame:
     return pieces.withColumn("ids_crc32", F.crc32("ids")).drop("ids")
 
 
+def op7_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return simhash_groups(read_table(spark, sf_dir, "documents")).drop("fp")
+
+
+def op9_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every place of a repeated passage; ``kept``: the document that keeps it."""
+    return repeated_passages(read_table(spark, sf_dir, "documents")).drop("doc").withColumnsRenamed({"id": "doc_id", "first_id": "first_doc_id"})
+
+
 QUERIES = {
     "op1_token_counts": op1_token_counts,
     "op2_packing": op2_packing,
+    "op7_simhash": op7_simhash,
+    "op9_substring_dedup": op9_substring_dedup,
 }
 SQL: dict[str, str] = {}
