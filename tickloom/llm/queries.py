@@ -6,6 +6,10 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from tickloom.llm.decontamination import contaminated
+from tickloom.llm.embeddings import near_vectors
+from tickloom.llm.language_id import predict_languages, train_language_model
+from tickloom.llm.lm_scoring import held_out_column, score_texts
 from tickloom.llm.packing import pack
 from tickloom.llm.simhash import simhash_groups
 from tickloom.llm.substrings import repeated_passages
@@ -28,10 +32,30 @@ def piece_digests(pieces: DataFrame) -> DataFrame:
     return pieces.withColumn("ids_crc32", F.crc32("ids")).drop("ids")
 
 
+def op3_embedding_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return near_vectors(read_table(spark, sf_dir, "embeddings"))
+
+
+def op4_lm_scoring(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return score_texts(read_table(spark, sf_dir, "documents"), held_out_column("doc_id", 10, 0))
+
+
+def op5_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = read_table(spark, sf_dir, "documents")
+    held_out = held_out_column("doc_id", 4, 2)
+    model = train_language_model(docs, ~held_out)
+    return predict_languages(docs, model).select("doc_id", held_out.alias("held_out"), "lang_pred", "score")
+
+
 def op7_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return simhash_groups(read_table(spark, sf_dir, "documents")).drop("fp")
 
 
+def op8_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The documents that overlap with a benchmark text, and where."""
+    return contaminated(read_table(spark, sf_dir, "documents"), read_table(spark, sf_dir, "benchmark")).drop("doc")
+
+
 def op9_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every place of a repeated passage; ``kept``: the document that keeps it."""
     return repeated_passages(read_table(spark, sf_dir, "documents")).drop("doc").withColumnsRenamed({"id": "doc_id", "first_id": "first_doc_id"})
@@ -40,7 +64,11 @@ def op9_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES = {
     "op1_token_counts": op1_token_counts,
     "op2_packing": op2_packing,
+    "op3_embedding_near_dedup": op3_embedding_near_dedup,
+    "op4_lm_scoring": op4_lm_scoring,
+    "op5_language_id": op5_language_id,
     "op7_simhash": op7_simhash,
+    "op8_decontamination": op8_decontamination,
     "op9_substring_dedup": op9_substring_dedup,
 }
 SQL: dict[str, str] = {}
