@@ -14,6 +14,7 @@ from tickloom.llm.packing import pack
 from tickloom.llm.simhash import simhash_groups
 from tickloom.llm.substrings import repeated_passages
 from tickloom.llm.token_counts import count_tokens
+from tickloom.llm.warc import archive_pages
 from tickloom.sources import read_table
 
 BYTE_BPE = public_tokenizers.path("byte_bpe_50k.json")
@@ -47,6 +48,10 @@ def op5_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     return predict_languages(docs, model).select("doc_id", held_out.alias("held_out"), "lang_pred", "score")
 
 
+def op6_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return archive_pages(read_table(spark, sf_dir, "pages"))
+
+
 def op7_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return simhash_groups(read_table(spark, sf_dir, "documents")).drop("fp")
 
@@ -67,8 +72,21 @@ QUERIES = {
     "op3_embedding_near_dedup": op3_embedding_near_dedup,
     "op4_lm_scoring": op4_lm_scoring,
     "op5_language_id": op5_language_id,
+    "op6_warc": op6_warc,
     "op7_simhash": op7_simhash,
     "op8_decontamination": op8_decontamination,
     "op9_substring_dedup": op9_substring_dedup,
 }
-SQL: dict[str, str] = {}
+SQL = {
+    "op6_warc": """
+        WITH p AS (
+            SELECT page_id, coalesce(html, '') AS body, sha256(coalesce(html, '')) AS digest, strlen(coalesce(html, '')) AS size
+            FROM pages
+        ),
+        f AS (SELECT digest, min(page_id) AS first FROM p WHERE size >= 100 GROUP BY digest)
+        SELECT p.page_id, p.size AS payload_bytes, p.digest AS payload_digest,
+               CASE WHEN f.first <> p.page_id THEN 'revisit' ELSE 'response' END AS record_type,
+               CASE WHEN f.first <> p.page_id THEN f.first END AS refers_to
+        FROM p LEFT JOIN f USING (digest)
+    """,
+}
