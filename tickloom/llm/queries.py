@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 from tickloom.llm.decontamination import contaminated
 from tickloom.llm.embeddings import near_vectors
 from tickloom.llm.language_id import predict_languages, train_language_model
+from tickloom.llm.licenses import scan_licenses, scan_sql
 from tickloom.llm.lm_scoring import held_out_column, score_texts
 from tickloom.llm.packing import pack
 from tickloom.llm.simhash import simhash_groups
@@ -66,6 +67,10 @@ def op9_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return repeated_passages(read_table(spark, sf_dir, "documents")).drop("doc").withColumnsRenamed({"id": "doc_id", "first_id": "first_doc_id"})
 
 
+def op10_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return scan_licenses(read_table(spark, sf_dir, "documents"))
+
+
 QUERIES = {
     "op1_token_counts": op1_token_counts,
     "op2_packing": op2_packing,
@@ -76,6 +81,7 @@ QUERIES = {
     "op7_simhash": op7_simhash,
     "op8_decontamination": op8_decontamination,
     "op9_substring_dedup": op9_substring_dedup,
+    "op10_license_scan": op10_license_scan,
 }
 SQL = {
     "op6_warc": """
@@ -89,4 +95,5 @@ SQL = {
                CASE WHEN f.first <> p.page_id THEN f.first END AS refers_to
         FROM p LEFT JOIN f USING (digest)
     """,
+    "op10_license_scan": scan_sql(),
 }
