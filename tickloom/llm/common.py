@@ -2,10 +2,14 @@
 
 from __future__ import annotations
 
+import os
 import uuid
-from collections.abc import Iterable, Iterator
+from collections.abc import Iterator
+from pathlib import Path
 
+import numpy as np
 import pyarrow as pa
+import xxhash
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -33,6 +37,45 @@ def space_words(text: bytes) -> list[bytes]:
     return text.translate(ASCII_LOWER).split()
 
 
+def blocks_of(part: pa.RecordBatch, size: int, text: int = -1) -> Iterator[list[tuple]]:
+    """The rows of a batch in lists of about ``size`` bytes of the text column; only one list is held as objects."""
+    block: list[tuple] = []
+    held = 0
+    for begin in range(0, part.num_rows, 64):
+        for row in zip(*(c.to_pylist() for c in part.slice(begin, 64).columns), strict=True):
+            block.append(row)
+            held += len(row[text])
+            if held >= size:
+                yield block
+                block, held = [], 0
+    if block:
+        yield block
+
+
+def package_on_workers(spark: SparkSession) -> None:
+    """Let Python workers on this machine find the package where the driver found it; a cluster is given it with --py-files."""
+    root = str(Path(__file__).resolve().parents[2])
+    environment = spark.sparkContext.environment
+    paths = [p for p in environment.get("PYTHONPATH", "").split(os.pathsep) if p]
+    if root not in paths:
+        environment["PYTHONPATH"] = os.pathsep.join([*paths, root])
+
+
+class Numbers(dict):
+    """Numbers things in the order in which they are met."""
+
+    def __missing__(self, thing: object) -> int:
+        value = self[thing] = len(self)
+        return value
+
+
+def hashes_of(words: list[bytes]) -> np.ndarray:
+    """A 64-bit hash of every word; each different word is hashed once, and nothing is remembered."""
+    number = Numbers()
+    ids = np.fromiter(map(number.__getitem__, words), np.int64, len(words))
+    return np.fromiter(map(xxhash.xxh64_intdigest, number), np.uint64, len(number))[ids]
+
+
 def shared_folder(spark: SparkSession, purpose: str) -> str:
     """A new folder on storage that driver and executors share: below ``spark.checkpoint.dir``, else the warehouse."""
     base = spark.conf.get("spark.checkpoint.dir", None) or spark.conf.get("spark.sql.warehouse.dir")
@@ -44,16 +87,3 @@ def stored(df: DataFrame, purpose: str) -> DataFrame:
     path = shared_folder(df.sparkSession, purpose)
     df.write.option("compression", "zstd").parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
-
-
-def batches(schema: pa.Schema, rows: Iterable[tuple], size: int = 20_000) -> Iterator[pa.RecordBatch]:
-    """Tuples as record batches."""
-    columns: list[list] = [[] for _ in schema]
-    for row in rows:
-        for column, value in zip(columns, row, strict=True):
-            column.append(value)
-        if len(columns[0]) >= size:
-            yield pa.record_batch([pa.array(c, f.type) for c, f in zip(columns, schema, strict=True)], schema=schema)
-            columns = [[] for _ in schema]
-    if columns[0]:
-        yield pa.record_batch([pa.array(c, f.type) for c, f in zip(columns, schema, strict=True)], schema=schema)

@@ -31,22 +31,22 @@ from pyspark import TaskContext
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tickloom.llm.common import space_words, stored, text_bytes
+from tickloom.llm.common import Numbers, blocks_of, space_words, stored, text_bytes
 
 FILTER_BITS = 1 << 29
+#: The filter travels in so many chunks, by the top bits of the n-gram's hash.
+CHUNKS = 64
 BITS_PER_EVENT = 6
 HASHES = 4
 MU = 16.0
 #: Words whose counts every worker holds.
 FREQUENT = 1 << 18
-#: N-grams a task gathers before it passes them on, and distinct words.
+#: N-grams a task gathers before it passes them on.
 GATHER = 1 << 22
-GATHER_WORDS = 1 << 18
-#: About so many tokens for each part of the n-gram counts.
-PART_TOKENS = 1 << 20
+#: About so many bytes of text for each part of the n-gram counts.
+PART_BYTES = 6 << 20
 #: Bytes of text scored at once.
 BLOCK = 2 << 20
-KNOWN_WORDS = 1 << 18
 #: The end of a text as a word; no word has a space.
 END, BEGIN = b" ", b"  "
 
@@ -66,74 +66,74 @@ LEVELS = _levels()
 COUNTS = np.concatenate([[0.0], np.sqrt(LEVELS[:-1].astype(float) * (LEVELS[1:] - 1)), [float(LEVELS[-1])]])
 
 
-class WordHashes(dict):
-    def __missing__(self, word: bytes) -> int:
-        if len(self) >= KNOWN_WORDS:
-            self.clear()
-        value = self[word] = xxhash.xxh64_intdigest(word)
-        return value
-
-
-HASH = WordHashes()
-
-
 def _mix(x: np.ndarray) -> np.ndarray:
     x = (x ^ x >> np.uint64(32)) * MULTIPLIERS[0]
     x = (x ^ x >> np.uint64(29)) * MULTIPLIERS[1]
     return x ^ x >> np.uint64(32)
 
 
-def ngrams(texts: list[list[bytes]]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """Keys of the histories, the words and the pairs of all texts; a history is the word before, or the begin."""
-    flat = [w for words in texts for w in (BEGIN, *words, END)]
-    h = np.fromiter(map(HASH.__getitem__, flat), np.uint64, len(flat))
-    begin = np.cumsum([0, *(len(words) + 2 for words in texts)])[:-1]
-    first = np.zeros(len(h), bool)
-    first[begin] = True
-    word = ~first
-    one = _mix(h)
-    history = np.concatenate([one[:1], one[:-1]])[word]
-    pair = _mix(np.concatenate([h[:1], h[:-1]])[word] * MULTIPLIERS[2] + h[word] * MULTIPLIERS[3])
-    return history, one[word], pair
+class Block:
+    """Some texts as numbers: their different words, and the pairs of a history (the word before, or the begin) and a word."""
+
+    def __init__(self, texts: list[list[bytes]]):
+        flat = [w for words in texts for w in (BEGIN, *words, END)]
+        number = Numbers()
+        ids = np.fromiter(map(number.__getitem__, flat), np.int64, len(flat))
+        self.words = list(number)
+        hashes = np.fromiter(map(xxhash.xxh64_intdigest, self.words), np.uint64, len(self.words))
+        self.word_keys = _mix(hashes)  # as word_keys has them
+        self.sizes = np.array([len(words) + 1 for words in texts])
+        self.first = np.cumsum([0, *self.sizes[:-1].tolist()])
+        is_word = np.ones(len(flat), bool)
+        is_word[self.first + np.arange(len(texts))] = False
+        self.word = ids[is_word]
+        self.history = np.append(ids[:1], ids[:-1])[is_word]
+        pairs, self.pair, self.pair_counts = np.unique(self.history * len(self.words) + self.word, return_inverse=True, return_counts=True)
+        self.pair_keys = _mix(hashes[pairs // len(self.words)] * MULTIPLIERS[2] + hashes[pairs % len(self.words)] * MULTIPLIERS[3])
+        self.word_counts = np.bincount(ids, minlength=len(self.words))
+
+
+def _events(keys: np.ndarray, level: int) -> np.ndarray:
+    return _mix(keys + np.array([level], np.uint64) * MULTIPLIERS[4])
 
 
-def _events(keys: np.ndarray, level: np.ndarray | int) -> np.ndarray:
-    return _mix(keys + np.asarray(level, np.uint64) * MULTIPLIERS[4])
+def word_keys(words: list[bytes]) -> np.ndarray:
+    return _mix(np.fromiter(map(xxhash.xxh64_intdigest, words), np.uint64, len(words)))
 
 
 class LogBloom:
     """The filter's bits, in chunks by the top bits of the key."""
 
-    def __init__(self, bits: np.ndarray, chunks: int, top: int):
+    def __init__(self, bits: np.ndarray, top: int):
         """``top``: the top level that anything reached."""
-        self.bits, self.chunks, self.top = bits, chunks, top
-
-    def words(self, keys: np.ndarray, events: np.ndarray, k: int) -> tuple[np.ndarray, np.ndarray]:
-        return bit_places(keys, events, k, self.chunks, len(self.bits) // self.chunks)
+        self.bits, self.top = bits, top
 
     def levels(self, keys: np.ndarray) -> np.ndarray:
         """The level of each key by probes from 1 upwards."""
+        chunk_bits = len(self.bits) * 64 // CHUNKS
         out = np.zeros(len(keys), np.int64)
         at = np.arange(len(keys))
+        begin = (chunk_of(keys) * np.uint64(chunk_bits)).astype(np.int64)
         for level in range(1, self.top + 1):
-            own = keys[at]
-            events = _events(own, level)
+            events = _events(keys[at], level)
             for k in range(HASHES):
-                word, bit = self.words(own, events, k)
-                hit = (self.bits[word] >> bit & np.uint64(1)).astype(bool)
-                at, own, events = at[hit], own[hit], events[hit]
+                place = begin[at] + bit_place(events, k, chunk_bits)
+                hit = (self.bits[place >> 6] >> (place & 63).astype(np.uint64) & np.uint64(1)).astype(bool)
+                at, events = at[hit], events[hit]
                 if not len(at):
                     return out
             out[at] = level
         return out
 
 
-def bit_places(keys: np.ndarray, events: np.ndarray, k: int, chunks: int, chunk_words: int) -> tuple[np.ndarray, np.ndarray]:
-    """Word and bit for hash number k; ``chunks`` and ``chunk_words`` are powers of two."""
-    chunk = (keys >> np.uint64(64 - chunks.bit_length() + 1)) if chunks > 1 else np.zeros_like(keys)
-    place = _mix(events + np.array([k], np.uint64) * MULTIPLIERS[5])
-    word = chunk * np.uint64(chunk_words) + (place >> np.uint64(6)) % np.uint64(chunk_words)
-    return word.astype(np.int64), place & np.uint64(63)
+def chunk_of(keys: np.ndarray) -> np.ndarray:
+    return keys >> np.uint64(64 - CHUNKS.bit_length() + 1)
+
+
+def bit_place(events: np.ndarray, k: int, bits: int) -> np.ndarray:
+    """Place number k in a chunk of that many bits, a power of two: two hashes make all."""
+    step = events >> np.uint64(32) | np.uint64(1)
+    return ((events + step * np.array([k], np.uint64)) & np.uint64(bits - 1)).astype(np.int64)
 
 
 def held_out_column(key: str, parts: int, part: int) -> Column:
@@ -141,109 +141,154 @@ def held_out_column(key: str, parts: int, part: int) -> Column:
     return F.pmod(F.crc32(F.coalesce(F.col(key).cast("string"), F.lit("")).cast("binary")), F.lit(parts)) == part
 
 
-def word_counts(texts: DataFrame) -> DataFrame:
-    """``word`` and ``n`` over a table of one binary column; each text has one end."""
+def summed(keys: np.ndarray, n: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Different keys in order, and the sum of the numbers of each."""
+    order = np.argsort(keys)
+    keys = keys[order]
+    first = np.flatnonzero(np.append(True, keys[1:] != keys[:-1]))
+    return keys[first], np.add.reduceat(n[order].astype(np.int64), first)
 
-    def run(parts: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        counts: Counter = Counter()
 
-        def batch() -> pa.RecordBatch:
-            return pa.record_batch([pa.array(list(counts), pa.binary()), pa.array(list(counts.values()), pa.int64())], names=["word", "n"])
+COUNTED = "part long, keys binary, levels binary, sizes array<long>, words binary, times binary, word_sizes array<long>, tokens long"
 
-        for part in parts:
-            for data in part.column(0).to_pylist():
-                counts.update(space_words(data))
-                counts[END] += 1
-                if len(counts) >= GATHER_WORDS:
-                    yield batch()
-                    counts = Counter()
-        if counts:
-            yield batch()
 
-    return texts.mapInArrow(run, "word binary, n long").groupBy("word").agg(F.sum("n").alias("n"))
+def scale_of(n: np.ndarray) -> np.ndarray:
+    """Sixteen steps for each doubling of a count."""
+    return np.floor(np.log2(n) * 16).astype(np.int64)
+
 
+def count_ngrams(texts: DataFrame, parts_bits: int) -> DataFrame:
+    """One row for each part of the hash space that has any n-gram.
 
-def ngram_levels(texts: DataFrame, parts_bits: int) -> DataFrame:
-    """``part``, ``keys`` (sorted 64-bit hashes) and ``counts`` of all words and pairs, one row a part."""
+    ``keys`` are the sorted hashes of its words and pairs, ``levels`` their
+    quantised counts and ``sizes`` how many there are of each level; ``words``
+    its words, one a line, ``times`` their exact counts, ``word_sizes`` how many
+    there are of each step of ``scale_of``, and ``tokens`` the sum.
+    """
     shift = np.uint64(64 - parts_bits)
     count = 1 << parts_bits
 
+    def owners(keys: np.ndarray) -> np.ndarray:
+        return (keys >> shift).astype(np.int64) if parts_bits else np.zeros(len(keys), np.int64)
+
     def run(parts: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        held, size = [], 0
+        held: list[tuple[np.ndarray, np.ndarray]] = []
+        words: Counter = Counter()
+        size = 0
 
         def batch() -> pa.RecordBatch:
-            keys, n = np.unique(np.concatenate(held), return_counts=True)
-            owner = keys >> shift if parts_bits else np.zeros_like(keys)
-            cuts = np.searchsorted(owner, np.arange(count + 1, dtype=np.uint64))
-            own = np.flatnonzero(np.diff(cuts))
-            n = n.astype("<u4")
+            keys, n = summed(np.concatenate([k for k, _ in held]), np.concatenate([n for _, n in held]))
+            cuts = np.searchsorted(owners(keys), np.arange(count + 1))
+            listed = list(words)
+            owner = owners(word_keys(listed))
+            order = np.argsort(owner, kind="stable")
+            times = np.fromiter(words.values(), np.int64, len(words))[order].astype("<u4")
+            word_cuts = np.searchsorted(owner[order], np.arange(count + 1))
+            listed = [listed[k] for k in order.tolist()]
+            own = np.flatnonzero(np.diff(cuts) + np.diff(word_cuts))
             return pa.record_batch(
-                [pa.array(own, pa.int64()), pa.array([keys[cuts[p] : cuts[p + 1]].tobytes() for p in own], pa.binary()), pa.array([n[cuts[p] : cuts[p + 1]].astype("<u8").tobytes() for p in own], pa.binary())],
-                names=["part", "keys", "counts"],
+                [
+                    pa.array(own, pa.int64()),
+                    pa.array([keys[cuts[p] : cuts[p + 1]].tobytes() for p in own], pa.binary()),
+                    pa.array([n[cuts[p] : cuts[p + 1]].astype("<u4").tobytes() for p in own], pa.binary()),
+                    pa.array([b"\n".join(listed[word_cuts[p] : word_cuts[p + 1]]) for p in own], pa.binary()),
+                    pa.array([times[word_cuts[p] : word_cuts[p + 1]].tobytes() for p in own], pa.binary()),
+                ],
+                names=["part", "keys", "counts", "words", "times"],
             )
 
         for part in parts:
-            block, block_bytes = [], 0
-            for data in [*part.column(0).to_pylist(), None]:
-                if data is not None:
-                    block.append(space_words(data))
-                    block_bytes += len(data)
-                if block and (data is None or block_bytes >= BLOCK):
-                    history, word, pair = ngrams(block)
-                    begins = np.full(len(block), _mix(np.array([HASH[BEGIN]], np.uint64))[0])
-                    held.extend((word, pair, begins))
-                    size += len(word) + len(pair)
-                    block, block_bytes = [], 0
-                    if size >= GATHER:
-                        yield batch()
-                        held, size = [], 0
+            for rows in blocks_of(part, BLOCK):
+                block = Block([space_words(data) for (data,) in rows])
+                held += [(block.word_keys, block.word_counts), (block.pair_keys, block.pair_counts)]
+                # added to what is there; zip keeps the loop in C
+                for word, n in zip(block.words, block.word_counts.tolist(), strict=True):
+                    words[word] += n
+                words.pop(BEGIN, None)
+                size += len(block.word_keys) + len(block.pair_keys)
+                if size >= GATHER:
+                    yield batch()
+                    held, size = [], 0
+                    words = Counter()
         if held:
             yield batch()
 
     def merge(key: tuple, table: pa.Table) -> pa.Table:
         keys = np.concatenate([np.frombuffer(x, "<u8") for x in table.column("keys").to_pylist()])
-        n = np.concatenate([np.frombuffer(x, "<u8") for x in table.column("counts").to_pylist()])
-        order = np.argsort(keys, kind="stable")
-        keys, n = keys[order], n[order]
-        first = np.flatnonzero(np.append(True, keys[1:] != keys[:-1]))
-        total = np.add.reduceat(n, first).astype(np.int64)
+        n = np.concatenate([np.frombuffer(x, "<u4") for x in table.column("counts").to_pylist()])
+        keys, total = summed(keys, n) if len(keys) else (keys, n)
         level = np.searchsorted(LEVELS, total, side="right").astype(np.uint8)
-        sizes = np.bincount(level, minlength=len(LEVELS) + 1)
-        return pa.table({"part": pa.array([key[0].as_py()], pa.int64()), "keys": pa.array([keys[first].tobytes()], pa.binary()), "levels": pa.array([level.tobytes()], pa.binary()), "sizes": pa.array([sizes.tolist()], pa.list_(pa.int64()))})
-
-    return texts.mapInArrow(run, "part long, keys binary, counts binary").groupBy("part").applyInArrow(merge, "part long, keys binary, levels binary, sizes array<long>")
-
-
-def build_filter(texts: DataFrame, tokens: int, bits: int = FILTER_BITS) -> LogBloom:
-    """The filter over a table of one binary column with about that many tokens."""
-    parts_bits = min(20, max(0, (tokens // PART_TOKENS).bit_length()))
-    chunks = min(256, 1 << parts_bits)
-    chunk_words = bits // 64 // chunks
-    counted = stored(ngram_levels(texts, parts_bits), "ngrams")
-    by_level = counted.select(F.posexplode("sizes").alias("level", "n")).groupBy("level").agg(F.sum("n").alias("n")).collect()  # one row a level
-    sizes = np.zeros(len(LEVELS) + 1, np.int64)
-    for row in by_level:
-        sizes[row.level] = row.n
+        words: dict[bytes, int] = {}
+        for listed, times in zip(table.column("words").to_pylist(), table.column("times").to_pylist(), strict=True):
+            if times:
+                for word, n in zip(listed.split(b"\n"), np.frombuffer(times, "<u4").tolist(), strict=True):
+                    words[word] = words.get(word, 0) + n
+        times = np.fromiter(words.values(), "<i8", len(words))
+        columns = [key[0].as_py(), keys.tobytes(), level.tobytes(), np.bincount(level, minlength=len(LEVELS) + 1).tolist(), b"\n".join(words), times.tobytes(), np.bincount(scale_of(times), minlength=1).tolist(), int(times.sum())]
+        types = [pa.int64(), pa.binary(), pa.binary(), pa.list_(pa.int64()), pa.binary(), pa.binary(), pa.list_(pa.int64()), pa.int64()]
+        names = ["part", "keys", "levels", "sizes", "words", "times", "word_sizes", "tokens"]
+        return pa.table([pa.array([c], t) for c, t in zip(columns, types, strict=True)], names=names)
+
+    return texts.mapInArrow(run, "part long, keys binary, counts binary, words binary, times binary").groupBy("part").applyInArrow(merge, COUNTED)
+
+
+def words_between(counted: DataFrame, least: int, most: int) -> DataFrame:
+    """``word`` and ``n`` of the words whose step of ``scale_of`` is in that range, ``most`` excluded."""
+
+    def run(parts: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for part in parts:
+            for listed, times in zip(*(c.to_pylist() for c in part.columns), strict=True):
+                if times:
+                    n = np.frombuffer(times, "<i8")
+                    scale = scale_of(n)
+                    own = np.flatnonzero((scale >= least) & (scale < most))
+                    words = listed.split(b"\n")
+                    yield pa.record_batch([pa.array([words[k] for k in own.tolist()], pa.binary()), pa.array(n[own], pa.int64())], names=["word", "n"])
+
+    return counted.select("words", "times").mapInArrow(run, "word binary, n long")
+
+
+def histogram(counted: DataFrame, column: str) -> np.ndarray:
+    """The sum of an array column by place; a place is a level, so few rows meet."""
+    rows = counted.select(F.posexplode(column).alias("place", "n")).groupBy("place").agg(F.sum("n").alias("n")).collect()
+    out = np.zeros(max((r.place for r in rows), default=0) + 1, np.int64)
+    for r in rows:
+        out[r.place] = r.n
+    return out
+
+
+def filled(keys: np.ndarray, levels: np.ndarray, chunk_words: int) -> np.ndarray:
+    """The words of a chunk with each key in it once for each of its levels."""
+    words = np.zeros(chunk_words, np.uint64)
+    level = 1
+    while len(keys):
+        events = _events(keys, level)
+        for k in range(HASHES):
+            place = bit_place(events, k, chunk_words * 64)
+            np.bitwise_or.at(words, place >> 6, np.uint64(1) << (place & 63).astype(np.uint64))
+        level += 1
+        keys, levels = keys[levels >= level], levels[levels >= level]
+    return words
+
+
+def build_filter(counted: DataFrame, bits: int = FILTER_BITS) -> LogBloom:
+    """The filter of what :func:`count_ngrams` counted."""
+    chunk_words = bits // 64 // CHUNKS
+    sizes = histogram(counted, "sizes")
     events = np.cumsum((sizes * np.arange(len(sizes)))[::-1])[::-1]  # insertions of what reaches each level
-    least = int(np.argmax(events * BITS_PER_EVENT <= bits)) if (events * BITS_PER_EVENT <= bits).any() else len(sizes)
+    fits = events * BITS_PER_EVENT <= bits
+    least = int(np.argmax(fits)) if fits.any() else len(sizes)
     top = int(np.flatnonzero(sizes).max()) if sizes.any() else 0
-    shift = parts_bits - chunks.bit_length() + 1
 
     def insert(parts: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for part in parts:
-            for number, keys, levels in zip(*(c.to_pylist() for c in part.columns), strict=True):
+            for keys, levels in zip(*(c.to_pylist() for c in part.columns), strict=True):
                 keys, levels = np.frombuffer(keys, "<u8"), np.frombuffer(levels, np.uint8)
-                words = np.zeros(chunk_words, np.uint64)
                 keys, levels = keys[levels >= least], levels[levels >= least]
-                level = 1
-                while len(keys):
-                    made = _events(keys, level)
-                    for k in range(HASHES):
-                        word, bit = bit_places(keys, made, k, chunks, chunk_words)
-                        np.bitwise_or.at(words, word % chunk_words, np.uint64(1) << bit)
-                    level += 1
-                    keys, levels = keys[levels >= level], levels[levels >= level]
-                yield pa.record_batch([pa.array([number >> shift], pa.int64()), pa.array([words.tobytes()], pa.binary())], names=["chunk", "words"])
+                cuts = np.searchsorted(chunk_of(keys), np.arange(CHUNKS + 1, dtype=np.uint64))
+                for chunk in np.flatnonzero(np.diff(cuts)).tolist():
+                    words = filled(keys[cuts[chunk] : cuts[chunk + 1]], levels[cuts[chunk] : cuts[chunk + 1]], chunk_words)
+                    yield pa.record_batch([pa.array([chunk], pa.int64()), pa.array([words.tobytes()], pa.binary())], names=["chunk", "words"])
 
     def unite(parts: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         chunk, words = None, None
@@ -264,11 +309,11 @@ def build_filter(texts: DataFrame, tokens: int, bits: int = FILTER_BITS) -> LogB
             yield batch()
 
     schema = "chunk long, words binary"
-    made = counted.select("part", "keys", "levels").mapInArrow(insert, schema).repartition("chunk").sortWithinPartitions("chunk").mapInArrow(unite, schema)
+    made = counted.select("keys", "levels").mapInArrow(insert, schema).repartition("chunk").sortWithinPartitions("chunk").mapInArrow(unite, schema)
     out = np.zeros(bits // 64, np.uint64)
     for row in made.toLocalIterator():  # FILTER_BITS in all
         out[row.chunk * chunk_words : (row.chunk + 1) * chunk_words] = np.frombuffer(row.words, np.uint64)
-    return LogBloom(out, chunks, top)
+    return LogBloom(out, top)
 
 
 def score_texts(docs: DataFrame, held_out: Column, key: str = "doc_id", text: str = "text", bits: int = FILTER_BITS, frequent: int = FREQUENT) -> DataFrame:
@@ -283,74 +328,67 @@ def score_texts(docs: DataFrame, held_out: Column, key: str = "doc_id", text: st
     spark = docs.sparkSession
     rows = docs.select(F.col(key).alias("id"), held_out.alias("held_out"), text_bytes(text).alias("text"))
     training = rows.filter("NOT held_out").select("text")
-    words = stored(word_counts(training), "words")
-    scale = F.floor(F.log2("n") * 16).cast("int")
-    totals = words.groupBy(scale.alias("scale")).agg(F.count("*").alias("v"), F.sum("n").alias("n")).collect()  # a few hundred rows
-    vocabulary, tokens = sum(r.v for r in totals), sum(r.n for r in totals)
-    least, held = 1 << 30, 0
-    for r in sorted(totals, key=lambda r: -r.scale):
-        if held + r.v > frequent:
-            break
-        held, least = held + r.v, r.scale
-    known = words.filter(scale >= least)
-    table = {bytes(r.word): r.n for r in known.toLocalIterator()}  # at most ``frequent`` words
+    size = training.agg(F.sum(F.octet_length("text"))).first()[0] or 0
+    counted = stored(count_ngrams(training, min(20, (size // PART_BYTES).bit_length())), "ngrams")
+    tokens = counted.agg(F.sum("tokens")).first()[0] or 0
+    by_scale = histogram(counted, "word_sizes")
+    vocabulary = int(by_scale.sum())
+    at_least = np.cumsum(by_scale[::-1])[::-1]  # words that reach each step
+    least = int(np.argmax(at_least <= frequent)) if (at_least <= frequent).any() else len(by_scale)
+    table = {bytes(r.word): r.n for r in words_between(counted, least, 1 << 20).toLocalIterator()}  # at most ``frequent`` words
     denominator = tokens + 0.1 * (vocabulary + 1)
-    bloom = build_filter(training, tokens, bits)
-    shared = spark.sparkContext.broadcast((table, bloom))
+    shared = spark.sparkContext.broadcast((table, build_filter(counted, bits)))
     kind = docs.schema[key].dataType.simpleString()
 
     def run(parts: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         table, bloom = shared.value
-        log_base = {w: float(np.log10((n + 0.1) / denominator)) for w, n in table.items()}
         number = TaskContext.get().partitionId() << 33
 
-        def scores(texts: list[list[bytes]]) -> list[float]:
-            history, word, pair = ngrams(texts)
-            size = np.array([len(t) + 1 for t in texts])
-            both, back = np.unique(np.concatenate([history, word]), return_inverse=True)
-            counts = COUNTS[bloom.levels(both)][back]
-            c_history, c_word = counts[: len(word)], counts[len(word) :]
-            c_pair = np.minimum(COUNTS[bloom.levels(pair)], c_history)
-            p = (c_word + 0.1) / denominator
-            log = np.log10((c_pair + MU * p) / (c_history + MU))
-            return np.add.reduceat(log, np.cumsum([0, *size[:-1]])).tolist()
-
-        def batch(block: list[tuple], id_type: pa.DataType) -> pa.RecordBatch:
+        def batch(rows: list[tuple], id_type: pa.DataType) -> pa.RecordBatch:
             nonlocal number
-            out = []
-            for (row_id, held, words), score in zip(block, scores([b[2] for b in block]), strict=True):
-                seen = Counter(words)
-                seen[END] += 1
-                base, n_known, rare, rare_n = 0.0, 0, [], []
-                for w, n in seen.items():
-                    value = log_base.get(w)
-                    if value is None:
-                        rare.append(w)
-                        rare_n.append(n)
-                    else:
-                        base += n * value
-                        n_known += n
-                out.append((number, row_id, held, len(words) + 1, n_known, base, score, rare, rare_n))
-                number += 1
-            types = [pa.int64(), id_type, pa.bool_(), pa.int64(), pa.int64(), pa.float64(), pa.float64(), pa.list_(pa.binary()), pa.list_(pa.int64())]
-            return pa.record_batch([pa.array(c, t) for c, t in zip(zip(*out, strict=True), types, strict=True)], names=["row", "id", "held_out", "n_tokens", "known", "base", "score", "rare", "rare_n"])
+            block = Block([space_words(data) for *_, data in rows])
+            exact = np.fromiter((table.get(w, -1) for w in block.words), np.int64, len(block.words))
+            log_base = np.where(exact > 0, np.log10(np.maximum(exact, 0) + 0.1) - np.log10(denominator), 0.0)
+            base = np.add.reduceat(log_base[block.word], block.first)
+            n_known = np.add.reduceat((exact > 0)[block.word].astype(np.int64), block.first)
+
+            count = COUNTS[bloom.levels(block.word_keys)]
+            c_history = count[block.history]
+            c_pair = np.minimum(COUNTS[bloom.levels(block.pair_keys)][block.pair], c_history)
+            p = ((count + 0.1) / denominator)[block.word]
+            score = np.add.reduceat(np.log10((c_pair + MU * p) / (c_history + MU)), block.first)
+
+            rare: list[Counter] = [Counter() for _ in rows]
+            at = np.flatnonzero(exact[block.word] < 0)
+            owner = np.searchsorted(block.first, at, side="right") - 1
+            for k, w in zip(owner.tolist(), block.word[at].tolist(), strict=True):
+                rare[k][block.words[w]] += 1
+            out = pa.record_batch(
+                [
+                    pa.array(np.arange(number, number + len(rows))),
+                    pa.array([r[0] for r in rows], id_type),
+                    pa.array([r[1] for r in rows], pa.bool_()),
+                    pa.array(block.sizes, pa.int64()),
+                    pa.array(n_known, pa.int64()),
+                    pa.array(base),
+                    pa.array(score),
+                    pa.array([list(c) for c in rare], pa.list_(pa.binary())),
+                    pa.array([list(c.values()) for c in rare], pa.list_(pa.int64())),
+                ],
+                names=["row", "id", "held_out", "n_tokens", "known", "base", "score", "rare", "rare_n"],
+            )
+            number += len(rows)
+            return out
 
         for part in parts:
-            id_type = part.column(0).type
-            block, size = [], 0
-            for row_id, held, data in zip(*(c.to_pylist() for c in part.columns), strict=True):
-                block.append((row_id, held, space_words(data)))
-                size += len(data)
-                if size >= BLOCK:
-                    yield batch(block, id_type)
-                    block, size = [], 0
-            if block:
-                yield batch(block, id_type)
+            for rows in blocks_of(part, BLOCK):
+                yield batch(rows, part.column(0).type)
 
     scored = stored(rows.mapInArrow(run, f"row long, id {kind}, held_out boolean, n_tokens long, known long, base double, score double, rare array<binary>, rare_n array<long>"), "scored")
+    shared.destroy()  # the scores are written
     rest = scored.select("row", F.explode(F.arrays_zip("rare", "rare_n")).alias("w")).select("row", F.col("w.rare").alias("word"), F.col("w.rare_n").alias("times"))
-    counted = rest.join(words.filter(scale < least), "word", "left").withColumn("n", F.coalesce("n", F.lit(0)))
-    added = counted.groupBy("row").agg(F.sum(F.col("times") * F.log10((F.col("n") + 0.1) / denominator)).alias("more"), F.sum(F.when(F.col("n") > 0, F.col("times")).otherwise(0)).alias("more_known"))
+    met = rest.join(words_between(counted, 0, least), "word", "left").withColumn("n", F.coalesce("n", F.lit(0)))
+    added = met.groupBy("row").agg(F.sum(F.col("times") * F.log10((F.col("n") + 0.1) / denominator)).alias("more"), F.sum(F.when(F.col("n") > 0, F.col("times")).otherwise(0)).alias("more_known"))
     return scored.drop("rare", "rare_n").join(added, "row", "left").select(
         F.col("id").alias(key),
         "held_out",
