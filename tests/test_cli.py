@@ -49,7 +49,7 @@ def test_stream_to_history(spark, tmp_path, capsys, monkeypatch):
     assert "passed=True" in run("check", "--hours", HOUR)
     assert "'5m': 2" in run("rollup", "--hours", HOUR, "--resolutions", "5m")
     assert "MaintenanceReport" in run("maintain", "--hours", HOUR, HOUR)
-    assert "p95_lag_ms" in run("lag")
+    assert "p95_lag_ms" in run("lag", "--hours", HOUR)
     history = run("history", "--symbol", "A", "--resolution", "1m")
     assert "2026-01-01 00:07:00" in history and "2026-01-01 00:00:00" in history
     assert "2026-01-01" in run("expire", "--as-of", "2026-02-01")

@@ -9,15 +9,16 @@ import pytest
 from pyspark.sql import functions as F
 
 from helpers import START, candle, candles, texts, trades
-from tickloom.operators import build_candles, candle_history
-from tickloom.plans.checks import CheckFailed, check_gaps, check_hours, check_invariants, require
-from tickloom.plans.compaction import backfill, compact
+from tickloom.operators import build_candles, candle_gaps, candle_history
+from tickloom.plans.checks import CheckFailed, check_gaps, check_hours, check_invariants, find_missing_hours, require
+from tickloom.plans.compaction import backfill, compact, merge_tables
+from tickloom.plans.history import lake_history
 from tickloom.plans.maintenance import maintain
-from tickloom.plans.retention import expire_trades, expiry_report
+from tickloom.plans.retention import drop_folders, expired_folders, expiry_report
 from tickloom.plans.rollups import finest_first, rollup
 from tickloom.session import STREAM_STATE_CONFS, StoreConfig, shared_dir
 from tickloom.sources import HourRange, Lake
-from tickloom.streaming import candle_writer
+from tickloom.streaming import batch_writer, candle_writer
 
 HOUR = HourRange.of("2026-01-01-00:00")
 
@@ -51,10 +52,10 @@ def test_an_hour_of_streamed_files_becomes_one_per_symbol(spark, lake):
     lake.streamed.replace_partitions(owned, sort_by=("window_start",))
     metrics = compact(spark, lake, HOUR).first().asDict()
     assert metrics == {
-        "files_before": 180, "files_after": 3, "rows_before": 180, "rows_after": 180,
+        "files_before": 60, "files_after": 3, "rows_before": 180, "rows_after": 180,
         "hours": "2026-01-01-00:00..2026-01-01-00:00",
     }
-    assert len(files(lake.streamed.path)) == 180 and len(files(lake.compacted.path)) == 3
+    assert len(files(lake.streamed.path)) == 60 and len(files(lake.compacted.path)) == 3
     one = spark.read.parquet(str(files(lake.compacted.path)[0]))
     assert "dt" not in one.columns and "symbol" not in one.columns
     starts = [r.window_start for r in one.collect()]
@@ -97,7 +98,7 @@ def test_backfill_completes_the_stream_in_either_order(spark, lake):
     landed = pages(spark, A=[kline(0), kline(1), kline(2), kline(60)], B=[kline(0), kline(0)])
     landed = landed.unionByName(landed)
     seen = backfill(spark, lake, landed, HOUR)
-    assert seen == {"klines": 12, "malformed": 0}
+    assert seen == {"klines": 12, "landed": 10, "outside": 2, "malformed": 0}
     expected = [
         ("A", "2026-01-01 00:00:00", "10.00000000", "9"),
         ("A", "2026-01-01 00:01:00", "11.00000000", "7"),
@@ -164,9 +165,9 @@ def test_reads_list_only_the_folders_they_need(spark, lake):
     assert table.folders(hours) == table.path + "/symbol=*/dt={2026-01-01,2026-01-02}"
     assert table.folders(symbol="A") == table.path + "/symbol=A"
     assert table.folders(hours, "A") == table.path + "/symbol=A/dt={2026-01-01,2026-01-02}"
-    assert table.folders(symbol="A/*") == table.path
+    assert table.folders(symbol="A/*") == table.path + "/symbol=A%2F%2A"
     assert lake.gold("1h").folders(HOUR) == lake.gold("1h").path + "/dt={2026-01-01}"
-    assert table.folders(HourRange.of("2020-01-01-00:00", "2026-01-01-00:00")) == table.path
+    assert table.folders(HourRange.of("2020-01-01-00:00", "2026-01-01-00:00")).count(",") == 2192
     df = candles(spark, [candle(s, 1440 * d) for s in ("A", "B*") for d in range(3)])
     table.replace_partitions(df, sort_by=("window_start",))
     assert texts(table.read(spark, hours), "symbol", "dt") == [("A", "2026-01-02"), ("B*", "2026-01-02")]
@@ -224,18 +225,109 @@ def test_other_read_errors_surface(spark, tmp_path):
         Lake(str(tmp_path)).compacted.read(spark).count()
 
 
-def test_retention_reports_then_drops_only_expired_days(spark, lake):
-    rows = [("A", 1, "1", "1", f"2026-01-{d:02} 05:00:00") for d in (1, 2, 3)] + [("B", 2, "1", "1", "2026-01-01 06:00:00")]
+def raw_trades(spark, lake, rows):
     typed = trades(spark, rows).withColumns({f.name: F.lit(None).cast(f.dataType) for f in lake.trades.schema if f.name in ("trade_time_ms", "is_buyer_maker", "source", "ingested_at_ms")})
-    lake.trades.replace_partitions(lake.trades.placed(typed, "trade_time").withColumn("window_start", F.col("trade_time")), sort_by=("trade_time",))
+    batch_writer(lake.trades, "trade_time", query_id="test")(typed, 0)
+
+
+def test_retention_reports_then_drops_only_expired_days(spark, lake):
+    rows = [("A", 1, "1", "1", f"2026-01-{d:02} 05:00:00") for d in (1, 2, 3)] + [("B*", 2, "1", "1", "2026-01-01 06:00:00")]
+    raw_trades(spark, lake, rows)
+    rejects = spark.sql("SELECT 'bad' AS reason, 'x' AS value, timestamp'2026-01-01 03:00:00' AS rejected_at")
+    for of in ("trades", "events", "klines"):
+        batch_writer(lake.rejects(of), "rejected_at", query_id="test")(rejects, 0)
     as_of = datetime.date(2026, 1, 9)
-    expected = [("A", "2026-01-01", "1"), ("B", "2026-01-01", "1")]
-    assert texts(expiry_report(spark, lake, as_of), "symbol", "dt", "rows") == expected
+    folders = expired_folders(spark, lake, as_of)
+    expected = [(f"rejects_{of}", "None", "2026-01-01", "1") for of in ("events", "klines", "trades")] + [("trades", s, "2026-01-01", "1") for s in ("A", "B*")]
+    assert sorted(tuple(map(str, r)) for r in expiry_report(spark, folders).collect()) == expected
     assert lake.trades.read(spark).count() == 4
-    dropped = expire_trades(spark, lake, as_of)
-    assert sorted("/".join(p.split("/")[-2:]) for p in dropped) == ["symbol=A/dt=2026-01-01", "symbol=B/dt=2026-01-01"]
+    assert len(drop_folders(spark, folders)) == len(folders) == 5
     assert texts(lake.trades.read(spark), "symbol", "dt") == [("A", "2026-01-02"), ("A", "2026-01-03")]
-    assert expire_trades(spark, lake, as_of) == []
+    assert lake.rejects("klines").read(spark).count() == 0
+    assert expired_folders(spark, lake, as_of) == []
+
+
+@pytest.mark.parametrize("days", [1, 62, 63, 400])
+def test_archive_reads_agree_whatever_the_range(spark, lake, days):
+    raw_trades(spark, lake, [(s, n, "1", "1", f"2026-01-{1 + n % 28:02} 05:00:00") for n in range(60) for s in ("A", "B*")])
+    hours = HourRange.of("2026-01-01-00:00", "2026-01-31-23:00")
+    wide = HourRange(hours.start - datetime.timedelta(days=days), hours.end)
+    everything = texts(lake.trades.read(spark), "symbol", "trade_id")
+    assert len(everything) == 120
+    assert texts(lake.trades.read(spark, wide), "symbol", "trade_id") == everything
+    assert sorted(texts(lake.trades.read(spark, wide, "A"), "symbol", "trade_id") + texts(lake.trades.read(spark, symbol="B*"), "symbol", "trade_id")) == everything
+
+
+@pytest.mark.parametrize("grain", ["hour", "day"])
+def test_backfills_add_up(spark, tmp_path, grain):
+    """Two runs that share a folder, and a partial page over a full hour, lose nothing."""
+    lake = Lake(str(tmp_path / "lake"), grain)
+    span = HourRange.of("2026-01-01-00:00", "2026-01-01-06:00")
+    five, six = ([kline(60 * h + m) for m in range(60)] for h in (5, 6))
+    backfill(spark, lake, pages(spark, A=five), span)
+    backfill(spark, lake, pages(spark, A=six), span)
+    report = backfill(spark, lake, pages(spark, A=five[:10]), span)
+    assert report == {"klines": 10, "landed": 10, "outside": 0, "malformed": 0}
+    assert lake.compacted.read(spark).count() == 120
+    before = lake.backfilled.read(spark).count()
+    backfill(spark, lake, pages(spark, A=six), span, run_id="again")
+    backfill(spark, lake, pages(spark, A=six), span, run_id="again")
+    assert lake.backfilled.read(spark).count() == before + 60
+    compact(spark, lake)
+    assert lake.compacted.read(spark).count() == 120
+
+
+def test_every_kline_is_counted(spark, lake):
+    landed = spark.createDataFrame([("A", json.dumps([kline(1), kline(9999), [2**63 - 1, *kline(2)[1:]], ["x"]])), ("A", "broken"), ("A", "[]"), (None, json.dumps([kline(3)]))], "symbol string, page string")
+    assert backfill(spark, lake, landed, HOUR) == {"klines": 6, "landed": 1, "outside": 1, "malformed": 4}
+    assert sorted(r.reason for r in lake.rejects("klines").read(spark).collect()) == ["bad_symbol", "bad_window_start", "malformed_kline", "malformed_kline"]
+    assert lake.compacted.read(spark).count() == 1
+
+
+def test_compaction_shuffles_its_rows_once(spark, lake, monkeypatch):
+    stream_in(lake, candles(spark, [candle(s, m) for s in "AB" for m in (0, 1)]), 0)
+    plans = []
+    monkeypatch.setattr(type(lake.compacted), "write_gathered", lambda self, rows, sort_by: plans.append(rows._jdf.queryExecution().sparkPlan().toString() + rows._jdf.queryExecution().executedPlan().toString()))
+    merge_tables(spark, {"stream": lake.streamed}, lake.compacted)
+    assert plans[0].split("AdaptiveSparkPlan")[1].count("Exchange hashpartitioning") == 1
+
+
+def test_gap_scan_is_read_once(spark):
+    plan = candle_gaps(candles(spark, [candle()]))._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("Scan") == 1 and plan.count("Exchange") == 2
+
+
+def test_an_outage_of_days_counts(spark, lake):
+    df = candles(spark, [candle("A", 10), candle("A", 3 * 1440 + 65), candle("B", 3 * 1440 + 66)])
+    lake.compacted.replace_partitions(df, sort_by=("window_start",))
+    _, gaps = check_hours(spark, lake, HourRange.of("2026-01-04-01:00"))
+    assert not gaps.passed and gaps.metrics == {"gaps": 1, "missing": 3 * 1440 + 54}
+
+
+def test_missing_hours_of_the_lake(spark, tmp_path):
+    hours = HourRange.of("2026-01-01-00:00", "2026-01-01-03:00")
+    df = candles(spark, [candle("A", 0), candle("A", 180), candle("B", 60)])
+    wanted = [("A", f"2026-01-01 0{h}:00:00") for h in (1, 2)] + [("B", f"2026-01-01 0{h}:00:00") for h in (0, 2, 3)]
+    for grain in ("hour", "day"):
+        lake = Lake(str(tmp_path / grain), grain)
+        lake.compacted.replace_partitions(df, sort_by=("window_start",))
+        assert texts(find_missing_hours(spark, lake, hours), "symbol", "hour_start") == wanted
+        named = spark.createDataFrame([("C",)], "symbol string")
+        assert find_missing_hours(spark, lake, hours, named).count() == 4
+
+
+@pytest.mark.parametrize("label", ["1m", "1h"])
+def test_history_of_the_lake_reads_the_last_days_only(spark, lake, capsys, label):
+    rows = [candle("A", 1440 * d + m) for d in range(9) for m in (0, 1)] + [candle("B", 1440 * 20 + m) for m in range(3)]
+    table = lake.candles(label)
+    table.replace_partitions(candles(spark, rows), sort_by=("window_start",))
+    history = lake_history(spark, lake, "A", label)
+    assert texts(history, "window_start") == [("2026-01-09 00:00:00",), ("2026-01-09 00:01:00",)]
+    history.explain("formatted")
+    scans = [part.split("PartitionFilters:")[1].split("\n")[0] for part in capsys.readouterr().out.split("Scan parquet")[1:] if "PartitionFilters:" in part]
+    assert scans and all("dt#" in scan and ">=" in scan for scan in scans)
+    assert all("dt=2026-01-08" in f or "dt=2026-01-09" in f for f in history.inputFiles())
+    assert lake_history(spark, lake, "nothing", label).count() == 0
 
 
 def test_history_prunes_symbol_and_days(spark, lake, capsys):

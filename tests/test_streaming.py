@@ -72,7 +72,7 @@ def test_bronze_and_rejects_split_the_topic(spark, topic, lake, tmp_path):
         ("A", "2026-01-01", "0", "10.00000000"),
         ("B", "2026-01-01", "1", "10.00000000"),
     ]
-    rejected = spark.read.parquet(lake.rejects)
+    rejected = lake.rejects().read(spark)
     assert texts(rejected, "reason") == [("bad_price",), ("malformed_message",)]
     assert "junk" in {r.value for r in rejected.collect()}
     # nothing new arrived: a restart from the checkpoint adds nothing

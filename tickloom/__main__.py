@@ -1,8 +1,8 @@
 """Command line: ``python -m tickloom <job>`` or ``spark-submit tickloom/__main__.py <job>``.
 
 Streams    ingest, bronze, rejects, silver, live
-Batch      compact, backfill, rollup, check, maintain, expire
-Read       history, latest, lag
+Batch      compact, backfill, rollup, check, missing, maintain, expire
+Read       history, latest, lag, skew
 """
 
 from __future__ import annotations
@@ -11,20 +11,22 @@ import argparse
 import datetime
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from tickloom.operators import (
-    candle_history,
     history_summary,
     keep_symbols,
     lag_stats,
     latest_messages,
     parse_symbols,
+    partition_skew,
 )
 from tickloom.operators.retention import DEFAULT_KEEP_DAYS
-from tickloom.plans.checks import check_hours, require
+from tickloom.plans.checks import check_hours, find_missing_hours, require
 from tickloom.plans.compaction import backfill, compact, rows_per_symbol
+from tickloom.plans.history import lake_history
 from tickloom.plans.maintenance import maintain
-from tickloom.plans.retention import expire_trades, expiry_report
+from tickloom.plans.retention import drop_folders, expired_folders, expiry_report
 from tickloom.plans.rollups import RESOLUTIONS, rollup
 from tickloom.session import StoreConfig, build_session
 from tickloom.sources import HourRange, Lake, file_messages, kafka_messages
@@ -33,6 +35,7 @@ from tickloom.streaming import (
     FileTopic,
     KafkaTopic,
     start_bronze,
+    start_event_rejects,
     start_ingest,
     start_live,
     start_rejects,
@@ -40,7 +43,7 @@ from tickloom.streaming import (
 )
 from tickloom.streaming.jobs import WATERMARK, WINDOW
 
-STREAMS = {"ingest": "2 seconds", "bronze": "30 seconds", "rejects": "30 seconds", "silver": "30 seconds", "live": "2 seconds"}
+STREAMS = {"ingest": "2 seconds", "event-rejects": "30 seconds", "bronze": "30 seconds", "rejects": "30 seconds", "silver": "30 seconds", "live": "2 seconds"}
 
 
 def arguments() -> argparse.ArgumentParser:
@@ -51,8 +54,9 @@ def arguments() -> argparse.ArgumentParser:
 
     for name, trigger in STREAMS.items():
         stream = jobs.add_parser(name)
-        if name == "ingest":
+        if name in ("ingest", "event-rejects"):
             stream.add_argument("--events", required=True, help="folder of text files, one exchange event per line")
+        if name == "ingest":
             stream.add_argument("--symbols", required=True, type=parse_symbols, help="comma-separated")
             stream.add_argument("--partitions", type=int, default=3)
         add_topic(stream, "trades.raw")
@@ -66,11 +70,15 @@ def arguments() -> argparse.ArgumentParser:
             stream.add_argument("--out-topic", default="ohlc.1m")
             stream.add_argument("--out-files", help="folder in place of the output topic")
 
-    for name in ("compact", "backfill", "rollup", "check", "maintain"):
+    for name in ("compact", "backfill", "rollup", "check", "missing", "maintain"):
         batch = jobs.add_parser(name)
         batch.add_argument("--hours", required=True, nargs="+", metavar="KEY", help="hour key, or first and last")
         if name in ("backfill", "maintain"):
             batch.add_argument("--pages", required=name == "backfill", help="JSON lines of symbol and page")
+        if name == "backfill":
+            batch.add_argument("--run-id", help="repeats a run instead of adding one")
+        if name == "missing":
+            batch.add_argument("--symbols", type=parse_symbols, help="comma-separated; default: those in the lake")
         if name in ("rollup", "maintain"):
             batch.add_argument("--resolutions", nargs="+", default=RESOLUTIONS)
 
@@ -85,12 +93,16 @@ def arguments() -> argparse.ArgumentParser:
     history.add_argument("--limit", type=int, default=120)
 
     lag = jobs.add_parser("lag")
+    lag.add_argument("--hours", required=True, nargs="+", metavar="KEY", help="hour key, or first and last")
     lag.add_argument("--window", default="1 hour")
-    lag.add_argument("--limit", type=int, default=120)
 
     latest = jobs.add_parser("latest")
     add_topic(latest, "ohlc.1m")
     latest.add_argument("--symbols", nargs="+")
+    latest.add_argument("--since", type=datetime.datetime.fromisoformat, help="read a topic from this UTC time on only")
+
+    skew = jobs.add_parser("skew")
+    add_topic(skew, "trades.raw")
     return parser
 
 
@@ -110,6 +122,10 @@ def messages(args: argparse.Namespace) -> MessageSource:
 
 def run_stream(spark: SparkSession, lake: Lake, args: argparse.Namespace) -> None:
     trigger = {"availableNow": True} if args.trigger == "once" else {"processingTime": args.trigger}
+    if args.job == "event-rejects":
+        query = start_event_rejects(spark.readStream.text(args.events), lake, args.checkpoint, trigger)
+        query.awaitTermination()
+        return
     stream = None if args.job == "ingest" else messages(args).stream(spark)
     if args.job == "ingest":
         events = spark.readStream.text(args.events)
@@ -129,15 +145,25 @@ def run_stream(spark: SparkSession, lake: Lake, args: argparse.Namespace) -> Non
     query.awaitTermination()
 
 
+def show(rows: DataFrame) -> None:
+    """Print every row, as tab-separated text, without holding them all."""
+    print(*rows.columns, sep="\t")
+    for row in rows.toLocalIterator():
+        print(*row, sep="\t")
+
+
 def run_batch(spark: SparkSession, lake: Lake, args: argparse.Namespace) -> None:
     hours = HourRange.of(*args.hours)
     landed = getattr(args, "pages", None)
     pages = spark.read.schema("symbol string, page string").json(landed) if landed else None
     if args.job == "compact":
-        compact(spark, lake, hours).show(truncate=False)
+        show(compact(spark, lake, hours))
     elif args.job == "backfill":
-        print(backfill(spark, lake, pages, hours))
-        rows_per_symbol(spark, lake.backfilled, lake.span(hours)).orderBy("symbol").show(truncate=False)
+        print(backfill(spark, lake, pages, hours, args.run_id))
+        show(rows_per_symbol(spark, lake.compacted, lake.span(hours)).orderBy("symbol"))
+    elif args.job == "missing":
+        symbols = spark.createDataFrame([(s.upper(),) for s in args.symbols], "symbol string") if args.symbols else None
+        show(find_missing_hours(spark, lake, hours, symbols).orderBy("symbol", "hour_start"))
     elif args.job == "rollup":
         print(rollup(spark, lake, hours, tuple(args.resolutions)))
     elif args.job == "check":
@@ -151,17 +177,18 @@ def run_batch(spark: SparkSession, lake: Lake, args: argparse.Namespace) -> None
 
 def run_read(spark: SparkSession, lake: Lake, args: argparse.Namespace) -> None:
     if args.job == "history":
-        table = lake.candles(args.resolution)
-        listed = args.symbol if "symbol" in table.partition_by else None
-        history: DataFrame = candle_history(table.read(spark, symbol=listed), args.symbol, limit=args.limit)
-        history.show(args.limit, truncate=False)
-        history_summary(history).show()
+        history = lake_history(spark, lake, args.symbol, args.resolution, limit=args.limit)
+        show(history)
+        show(history_summary(history))
     elif args.job == "lag":
-        stats = lag_stats(lake.trades.read(spark), args.window, by=("symbol",))
-        stats.orderBy("window_start", "symbol").show(args.limit, truncate=False)
+        stats = lag_stats(lake.trades.read(spark, HourRange.of(*args.hours)), args.window, by=("symbol",))
+        show(stats.orderBy(F.desc("window_start"), "symbol"))
+    elif args.job == "skew":
+        show(partition_skew(messages(args).batch(spark)).orderBy("partition"))
     else:
-        newest = latest_messages(messages(args).batch(spark))
-        (keep_symbols(newest, args.symbols) if args.symbols else newest).show(truncate=False)
+        since = args.since and int(args.since.replace(tzinfo=datetime.timezone.utc).timestamp() * 1000)
+        newest = latest_messages(messages(args).batch(spark, since))
+        show((keep_symbols(newest, args.symbols) if args.symbols else newest).orderBy("symbol"))
 
 
 def main(argv: list[str] | None = None) -> None:
@@ -177,10 +204,11 @@ def main(argv: list[str] | None = None) -> None:
         run_stream(spark, lake, args)
     elif args.job == "expire":
         as_of = args.as_of or datetime.datetime.now(datetime.timezone.utc).date()
-        expiry_report(spark, lake, as_of, args.keep_days).orderBy("dt", "symbol").show(truncate=False)
+        folders = expired_folders(spark, lake, as_of, args.keep_days)
+        show(expiry_report(spark, folders).orderBy("table", "dt", "symbol"))
         if args.drop:
-            print(f"dropped {len(expire_trades(spark, lake, as_of, args.keep_days))} folders")
-    elif args.job in ("history", "lag", "latest"):
+            print(f"dropped {len(drop_folders(spark, folders))} folders")
+    elif args.job in ("history", "lag", "latest", "skew"):
         run_read(spark, lake, args)
     else:
         run_batch(spark, lake, args)

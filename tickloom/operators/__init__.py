@@ -1,7 +1,7 @@
-from tickloom.operators.backfill import decode_klines
+from tickloom.operators.backfill import decode_klines, split_klines
 from tickloom.operators.candles import build_candles, rollup_candles
-from tickloom.operators.decode import decode_trades, normalize_events, reject_reason, split_trades
-from tickloom.operators.dedupe import dedupe_candles, merge_sources
+from tickloom.operators.decode import decode_trades, normalize_events, reject_reason, split_events, split_trades
+from tickloom.operators.dedupe import dedupe_candles, merge_sources, tag_sources
 from tickloom.operators.messages import candle_messages, trade_messages
 from tickloom.operators.quality import (
     candle_gaps,
@@ -40,7 +40,10 @@ __all__ = [
     "reject_reason",
     "rollup_candles",
     "route_symbols",
+    "split_events",
+    "split_klines",
     "split_trades",
     "summarize_gaps",
+    "tag_sources",
     "trade_messages",
 ]

@@ -21,7 +21,7 @@ EVENT_SOURCE = "binance"
 
 # timestamp_millis fails on values past the calendar; 9999-12-31 is the last
 # date every reader agrees on.
-_MAX_MS = 253_402_300_799_999
+MAX_MS = 253_402_300_799_999
 
 REQUIRED = ("symbol", "trade_id", "price", "quantity", "trade_time_ms")
 
@@ -41,6 +41,24 @@ def normalize_events(raw: DataFrame, value: str = "value", keep: tuple[str, ...]
     )
 
 
+def split_events(raw: DataFrame, value: str = "value") -> tuple[DataFrame, DataFrame]:
+    """Exchange events that make a trade message, and rejects (``value``, ``reason``); every event is in one of them.
+
+    An event is usable when every field a candle needs is there; its values are
+    judged later, where messages are decoded.
+    """
+    text = raw.withColumn("text", F.col(value).cast("string"))
+    decoded = normalize_events(text, "text", keep=("text",))
+    fields = list(EVENT_KEYS.values())
+    nothing = F.coalesce(*[F.col(c).cast("string") for c in fields]).isNull()
+    reason = F.when(nothing, "malformed_event")
+    for name in REQUIRED:
+        reason = reason.when(F.col(name).isNull(), f"bad_{name}")
+    tagged = decoded.withColumn("reason", reason)
+    usable = tagged.filter("reason IS NULL").drop("reason", "text")
+    return usable, tagged.filter("reason IS NOT NULL").select(F.col("text").alias("value"), "reason")
+
+
 def decode_trades(raw: DataFrame, value: str = "value", keep: tuple[str, ...] = ()) -> DataFrame:
     """JSON trade messages (bytes or text) to typed trades.
 
@@ -61,7 +79,7 @@ def decode_trades(raw: DataFrame, value: str = "value", keep: tuple[str, ...] =
             {
                 "price": F.col("price").try_cast(PRICE_TYPE),
                 "quantity": F.col("quantity").try_cast(PRICE_TYPE),
-                "trade_time": F.when(ms.between(-_MAX_MS, _MAX_MS), F.timestamp_millis(ms)),
+                "trade_time": F.when(ms.between(-MAX_MS, MAX_MS), F.timestamp_millis(ms)),
             }
         )
         .drop("event_time_ms")

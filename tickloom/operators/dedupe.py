@@ -10,31 +10,37 @@ from pyspark.sql import functions as F
 from tickloom.schemas import CANDLE_VALUES
 
 
-def dedupe_candles(candles: DataFrame, prefer: str | None = None) -> DataFrame:
+def dedupe_candles(candles: DataFrame, prefer: str | None = None, within: tuple[str, ...] = ()) -> DataFrame:
     """Keep the copy with the most trades for each (symbol, window_start).
 
     Equal counts are decided by ``prefer`` (ascending, if given) and then by
     every value column, so a rerun keeps the same row. Spark turns the
     ``rn = 1`` filter into a group limit before the shuffle: each map task
     sends at most one row per group, however many copies a group has.
+    ``within`` names columns that follow from the window start and that the rows
+    are dealt out by already; they spare a second shuffle.
     """
     order = [F.desc("trade_count")]
     if prefer is not None:
         order.append(F.asc(prefer))
     order += [F.desc(c) for c in ("window_end", *CANDLE_VALUES) if c != "trade_count"]
-    copies = Window.partitionBy("symbol", "window_start").orderBy(*order)
+    copies = Window.partitionBy(*within, *(c for c in ("symbol", "window_start") if c not in within)).orderBy(*order)
     return candles.withColumn("rn", F.row_number().over(copies)).filter("rn = 1").drop("rn")
 
 
+def tag_sources(sources: dict[str, DataFrame]) -> DataFrame:
+    """Candles of several origins with ``source`` and ``source_rank``."""
+    tagged = [
+        df.withColumns({"source": F.lit(name), "source_rank": F.lit(rank)})
+        for rank, (name, df) in enumerate(sources.items())
+    ]
+    return reduce(lambda left, right: left.unionByName(right), tagged)
+
+
 def merge_sources(sources: dict[str, DataFrame]) -> DataFrame:
     """Union candles of several origins and keep one per window.
 
     The first named source wins among copies with equal trade counts; the
     result tells each row's origin in ``source``.
     """
-    tagged = [
-        df.withColumns({"source": F.lit(name), "source_rank": F.lit(rank)})
-        for rank, (name, df) in enumerate(sources.items())
-    ]
-    union = reduce(lambda left, right: left.unionByName(right), tagged)
-    return dedupe_candles(union, prefer="source_rank").drop("source_rank")
+    return dedupe_candles(tag_sources(sources), prefer="source_rank").drop("source_rank")

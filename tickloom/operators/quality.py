@@ -51,35 +51,27 @@ def invariant_report(candles: DataFrame) -> DataFrame:
     )
 
 
-def candle_gaps(candles: DataFrame, unit: str = "1 minute", unique: bool = False) -> DataFrame:
+def candle_gaps(candles: DataFrame, unit: str = "1 minute") -> DataFrame:
     """Consecutive candles of a symbol more than one ``unit`` boundary apart.
 
     Equivalent to ``lag`` over each whole symbol, without putting a symbol
-    into one task. Time is cut into buckets; within a bucket ``lag`` runs over
-    a bounded group, and between buckets only first and last starts are
-    compared, one row per (symbol, bucket). ``unique`` skips the removal of
-    repeated starts (which cannot open a gap) when the input has none.
+    into one task. Time is cut into buckets of 1440 units; a bucket's different
+    starts are one array, and only one row per (symbol, bucket) meets in the
+    window that looks back across buckets. The input is read once.
     """
     seconds = width_seconds(unit)
-    starts = candles.select("symbol", "window_start").filter("window_start IS NOT NULL")
-    if not unique:
-        starts = starts.distinct()
-    starts = starts.withColumn("bucket", unit_index(F.col("window_start"), seconds * _BUCKET_UNITS))
-
-    in_order = Window.partitionBy("symbol", "bucket").orderBy("window_start")
-    inside = starts.withColumn("previous_start", F.lag("window_start").over(in_order)).drop("bucket")
-
-    edges = starts.groupBy("symbol", "bucket").agg(
-        F.min("window_start").alias("window_start"), F.max("window_start").alias("last_start")
+    buckets = (
+        candles.filter("window_start IS NOT NULL")
+        .groupBy("symbol", unit_index(F.col("window_start"), seconds * _BUCKET_UNITS).alias("bucket"))
+        .agg(F.sort_array(F.collect_set("window_start")).alias("starts"))
     )
-    by_bucket = Window.partitionBy("symbol").orderBy("bucket")
-    between = edges.withColumn("previous_start", F.lag("last_start").over(by_bucket))
-
+    in_order = Window.partitionBy("symbol").orderBy("bucket")
+    before = F.lag(F.element_at("starts", -1)).over(in_order)
+    pairs = F.arrays_zip(F.concat(F.array("before"), F.slice("starts", 1, F.size("starts") - 1)).alias("previous_start"), F.col("starts").alias("window_start"))
     crossed = boundaries_between(F.col("previous_start"), F.col("window_start"), seconds)
-    columns = ["symbol", "previous_start", "window_start"]
     return (
-        inside.select(columns)
-        .unionByName(between.select(columns))
+        buckets.withColumn("before", before)
+        .select("symbol", F.inline(pairs))
         .withColumn("missing", crossed - 1)
         .filter("previous_start IS NOT NULL AND missing > 0")
     )
@@ -90,9 +82,9 @@ def summarize_gaps(gaps: DataFrame) -> DataFrame:
     return gaps.agg(F.count("*").alias("gaps"), F.coalesce(F.sum("missing"), F.lit(0)).alias("missing"))
 
 
-def gap_count(candles: DataFrame, unit: str = "1 minute", unique: bool = False) -> DataFrame:
+def gap_count(candles: DataFrame, unit: str = "1 minute") -> DataFrame:
     """:func:`candle_gaps`, summarized."""
-    return summarize_gaps(candle_gaps(candles, unit, unique))
+    return summarize_gaps(candle_gaps(candles, unit))
 
 
 def missing_hours(

@@ -14,8 +14,8 @@ def parse_symbols(text: str) -> list[str]:
 
 
 def keep_symbols(trades: DataFrame, symbols: list[str]) -> DataFrame:
-    """Restrict to listed symbols; an ``IN`` list reaches the scan as a filter."""
-    return trades.filter(F.col("symbol").isin([s.upper() for s in symbols]))
+    """Restrict to listed symbols, however they are spelled."""
+    return trades.filter(F.upper("symbol").isin([s.upper() for s in symbols]))
 
 
 def route_symbols(rows: DataFrame, symbols: list[str], partitions: int) -> DataFrame:

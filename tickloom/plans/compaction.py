@@ -2,11 +2,15 @@
 
 from __future__ import annotations
 
+import uuid
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tickloom.operators import decode_klines, dedupe_candles, merge_sources
-from tickloom.schemas import conform
+from tickloom.functions import dt_hour
+from tickloom.operators import decode_klines, dedupe_candles, split_klines, tag_sources
+from tickloom.schemas import CANDLE_SCHEMA, conform
+from tickloom.session import shared_dir
 from tickloom.sources.lake import HourRange, Lake, Table, rows_per_file
 
 
@@ -15,12 +19,14 @@ def merge_tables(spark: SparkSession, sources: dict[str, Table], target: Table,
 
     The target is a function of the sources and nothing in it is read, so a
     rerun over the same hours gives the same files' worth of rows, and running
-    compaction and backfill in either order ends in the same state.
+    compaction and backfill in either order ends in the same state. Rows are
+    shuffled once, by the target's folders; copies of a candle meet there.
     """
-    frames = {
-        name: conform(table.read(spark, hours)) for name, table in sources.items()
-    }
-    target.replace_partitions(merge_sources(frames), sort_by=("window_start",))
+    frames = {name: conform(table.read(spark, hours)) for name, table in sources.items()}
+    tagged = dt_hour(tag_sources(frames), "window_start")
+    dealt = target.gathered(tagged)
+    merged = dedupe_candles(dealt, prefer="source_rank", within=target.partition_by)
+    target.write_gathered(conform(merged, CANDLE_SCHEMA, target.time_folders), sort_by=("window_start",))
 
 
 def compaction_metrics(spark: SparkSession, sources: dict[str, Table], target: Table, hours: HourRange | None = None) -> DataFrame:
@@ -51,25 +57,33 @@ def compact(spark: SparkSession, lake: Lake, hours: HourRange | None = None) ->
     return compaction_metrics(spark, sources, lake.compacted, hours)
 
 
-def backfill(spark: SparkSession, lake: Lake, pages: DataFrame, hours: HourRange) -> dict[str, int]:
+def backfill(spark: SparkSession, lake: Lake, pages: DataFrame, hours: HourRange, run_id: str | None = None) -> dict[str, int]:
     """Land kline pages as backfilled candles and merge them with streamed ones.
 
-    ``pages`` holds (symbol, page). Klines outside ``hours`` are left out;
-    klines without a readable start time are counted as malformed.
+    ``pages`` holds (symbol, page). A run lands in folders of its own, so no run
+    takes candles of another away; give ``run_id`` to repeat a run. Every kline
+    is counted once: ``landed``, ``outside`` the hours, or ``malformed``, and
+    those are kept with a reason among the rejects.
     """
     hours = lake.span(hours)
-    decoded = decode_klines(pages)
-    usable = decoded.filter(hours.covers("window_start"))
-    # a page landed twice must not pile up copies in one folder
-    lake.backfilled.replace_partitions(dedupe_candles(usable), sort_by=("window_start",))
+    run_id = run_id or uuid.uuid4().hex
+    staged = shared_dir(spark, "klines")
+    decode_klines(pages, keep=("kline",)).write.parquet(staged)
+    usable, rejects = split_klines(spark.read.parquet(staged))
+    inside = usable.filter(hours.covers("window_start")).drop("kline")
+    # a page that holds a candle twice must not pile up copies in one folder
+    lake.backfilled.replace_partitions(dedupe_candles(inside).withColumn("run_id", F.lit(run_id)), sort_by=("window_start",))
+    table = lake.rejects("klines")
+    stamped = rejects.select("reason", F.col("kline").alias("value"), F.current_timestamp().alias("rejected_at"))
+    owned = stamped.withColumns({"query_id": F.lit(run_id), "batch_id": F.lit(0).cast("long")})
+    table.write_gathered(table.gathered(table.placed(owned, "rejected_at")), sort_by=("reason",))
     merge_tables(spark, {"stream": lake.streamed, "backfill": lake.backfilled}, lake.compacted, hours)
-    seen = decoded.agg(
-        F.count("*").alias("klines"), F.count_if(F.col("window_start").isNull()).alias("malformed")
-    )
-    return seen.first().asDict()
-
+    covered = hours.covers("window_start")
+    sides = usable.agg(F.count_if(covered).alias("landed"), F.count_if(~covered).alias("outside")).first()
+    malformed = rejects.count()
+    return {"klines": sides.landed + sides.outside + malformed, "landed": sides.landed, "outside": sides.outside, "malformed": malformed}
 
 
 def rows_per_symbol(spark: SparkSession, table: Table, hours: HourRange) -> DataFrame:
-    """Candles each symbol has in the hours' folders; reads footers only."""
+    """Candles each symbol has in the hours' folders."""
     return table.read(spark, hours).groupBy("symbol").agg(F.count("*").alias("rows"))

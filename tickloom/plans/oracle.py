@@ -255,8 +255,8 @@ SQL: dict[str, str] = {
         FROM events WHERE CAST(ts AS DATE) < DATE '{EXPIRY_DATE}' - 7
         GROUP BY 1, 2""",
     "compaction_report": f"""{HOURLY}, {PARTIAL}
-        SELECT (SELECT count(DISTINCT (symbol, CAST(window_start AS DATE))) FROM partial)
-               + (SELECT count(DISTINCT (symbol, CAST(window_start AS DATE))) FROM candles) AS files_before,
+        SELECT (SELECT count(DISTINCT CAST(window_start AS DATE)) FROM partial)
+               + (SELECT count(DISTINCT CAST(window_start AS DATE)) FROM candles) AS files_before,
                (SELECT count(DISTINCT (symbol, CAST(window_start AS DATE))) FROM candles) AS files_after,
                (SELECT count(*) FROM partial) + (SELECT count(*) FROM candles) AS rows_before,
                (SELECT count(*) FROM candles) AS rows_after,
@@ -292,6 +292,58 @@ SQL: dict[str, str] = {
                CAST(sum(CASE WHEN event_type = 'view' THEN 0 ELSE event_id END) AS BIGINT) AS trade_ids
         FROM events WHERE event_type IN ('view', 'error', 'signup')
         GROUP BY 1""",
+    "retention_drop": f"""
+        WITH {TRADES}, days AS (
+            SELECT symbol, CAST(trade_time AS DATE) AS day, count(*) AS rows FROM trades
+            WHERE symbol NOT IN ('view', 'error', 'signup') GROUP BY 1, 2
+        ), sides AS (
+            SELECT 'reported' AS what, symbol, day, rows FROM days WHERE day < DATE '{EXPIRY_DATE}' - 7
+            UNION ALL SELECT 'dropped', symbol, day, NULL FROM days WHERE day < DATE '{EXPIRY_DATE}' - 7
+            UNION ALL SELECT 'left', symbol, day, rows FROM days WHERE day >= DATE '{EXPIRY_DATE}' - 7
+        )
+        SELECT what, 'trades' AS "table", symbol, strftime(day, '%Y-%m-%d') AS dt, rows FROM sides
+        UNION ALL
+        SELECT 'left', 'rejects_trades', CASE event_type WHEN 'view' THEN 'malformed_message' WHEN 'error' THEN 'bad_price'
+                                                         ELSE 'bad_trade_time_ms' END, NULL, count(*)
+        FROM events WHERE event_type IN ('view', 'error', 'signup') GROUP BY 3""",
+    "event_rejects": """
+        SELECT CASE event_type WHEN 'view' THEN 'malformed_event' WHEN 'error' THEN 'bad_price'
+                               WHEN 'signup' THEN 'bad_trade_id' ELSE 'valid' END AS reason,
+               count(*) AS events
+        FROM events GROUP BY 1""",
+    "kline_rejects": f"""{HOURLY}
+        SELECT CASE symbol WHEN 'error' THEN 'bad_window_start' WHEN 'signup' THEN 'bad_trade_count' ELSE 'valid' END AS reason,
+               count(*) AS klines
+        FROM candles WHERE symbol <> 'view' GROUP BY 1
+        UNION ALL
+        SELECT 'malformed_kline', count(DISTINCT CAST(window_start AS DATE)) FROM candles WHERE symbol = 'view'
+        HAVING count(*) > 0""",
+    "history_lake": f"""{HISTORY}
+        SELECT window_start, symbol, CAST(open AS DOUBLE) AS open, CAST(high AS DOUBLE) AS high,
+               CAST(low AS DOUBLE) AS low, CAST(close AS DOUBLE) AS close, CAST(volume AS DOUBLE) AS volume,
+               trade_count
+        FROM history""",
+    "missing_hours_lake": f"""{HOURLY}, bounds AS (
+            SELECT date_trunc('hour', min(ts)) AS lo, date_trunc('hour', max(ts)) AS hi FROM events
+        ), kept AS (SELECT * FROM candles WHERE hour(window_start) % 5 <> 0),
+        grid AS (
+            SELECT symbol, unnest(generate_series(lo, hi, INTERVAL 1 HOUR)) AS hour_start
+            FROM (SELECT DISTINCT symbol FROM kept), bounds
+        )
+        SELECT symbol, CAST(hour_start AS TIMESTAMP) AS hour_start FROM grid
+        ANTI JOIN kept ON grid.symbol = kept.symbol AND grid.hour_start = kept.window_start""",
+    "ingest_lag_approx": f"""
+        WITH {TRADES}
+        SELECT symbol, CAST(date_trunc('day', trade_time) AS TIMESTAMP) AS window_start, count(*) AS trades,
+               TRUE AS p50_lag_ms_close, TRUE AS p95_lag_ms_close
+        FROM trades GROUP BY 1, 2""",
+    "repeated_batch": f"{HOURLY} SELECT {CANDLE} FROM candles",
+    "stream_late_rows": f"""
+        WITH {TRADES}, cut AS (
+            SELECT * REPLACE (date_trunc('milliseconds', trade_time) AS trade_time) FROM trades
+        ), {candle_cte('candles', '1 hour', 'cut')}
+        SELECT {CANDLE} FROM candles
+        WHERE window_end <= (SELECT max(trade_time) - INTERVAL 10 SECOND FROM cut)""",
     "stream_bronze_archive": f"""
         WITH {TRADES}
         SELECT symbol, strftime(trade_time, '%Y-%m-%d') AS dt, trade_id, CAST(price AS DOUBLE) AS price, CAST(quantity AS DOUBLE) AS quantity,

@@ -8,14 +8,19 @@ client renders decimals and dates; all arithmetic before that is decimal.
 from __future__ import annotations
 
 from collections.abc import Callable
+from datetime import date, timedelta
+from functools import reduce
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from tickloom import operators as op
 from tickloom.functions import display_number, display_window, dt_hour
+from tickloom.plans.checks import find_missing_hours
 from tickloom.plans.compaction import backfill, compact
+from tickloom.plans.history import lake_history
+from tickloom.plans.retention import drop_folders, expired_folders, expiry_report
 from tickloom.plans.rollups import rollup
 from tickloom.schemas import CANDLE_SCHEMA, MESSAGE_SCHEMA
 from tickloom.session import shared_dir
@@ -177,8 +182,12 @@ def ingest_lag_stats(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def kline_pages(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return pages_of(candles(spark, sf_dir))
+
+
+def pages_of(hourly: DataFrame) -> DataFrame:
     """Hourly candles as history pages, one page of at most 24 klines per symbol and day."""
-    full = stored(candles(spark, sf_dir))
+    full = stored(hourly)
     kline = F.array(
         F.unix_millis("window_start").cast("string"),
         *[F.col(c).cast("string") for c in ("open", "high", "low", "close", "volume")],
@@ -315,10 +324,10 @@ def expired_partitions(spark: SparkSession, sf_dir: str) -> DataFrame:
 # ---- lake jobs and streams ----------------------------------------------------------
 
 
-def candle_hours(df: DataFrame) -> HourRange:
-    """The hours from the first to the last candle."""
-    bounds = df.agg(F.min("window_start").alias("first"), F.max("window_start").alias("last"))
-    return HourRange.of(*bounds.select(*[F.date_format(c, "yyyy-MM-dd-HH:mm") for c in ("first", "last")]).first())
+def folder_hours(spark: SparkSession, sf_dir: str) -> HourRange:
+    """The hours from the first to the last trade, without building candles."""
+    bounds = read_table(spark, sf_dir, "events").agg(F.min("ts").alias("first"), F.max("ts").alias("last"))
+    return HourRange.of(*bounds.select(*[F.date_format(c, "yyyy-MM-dd-HH:00") for c in ("first", "last")]).first())
 
 
 def compaction_report(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -331,10 +340,17 @@ def compaction_report(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def lake_backfill(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """A partial stream in the lake, completed by the backfill job."""
+    """A partial stream in the lake, completed by backfill runs that share days.
+
+    The first run lands the even hours of every day, the second the odd ones,
+    and the third repeats a part of both.
+    """
     lake = Lake(shared_dir(spark, "lake"), grain="day")
     candle_writer(lake.streamed, query_id="replay")(partial_candles(spark, sf_dir), 0)
-    backfill(spark, lake, kline_pages(spark, sf_dir), candle_hours(candles(spark, sf_dir)))
+    full = candles(spark, sf_dir).withColumn("turn", F.hour("window_start") % 6)
+    hours = folder_hours(spark, sf_dir)
+    for turns in ((0, 2, 4), (1, 3, 5), (0, 1)):
+        backfill(spark, lake, pages_of(full.filter(F.col("turn").isin(*turns))), hours)
     return report(lake.compacted.read(spark).select(CANDLE_SCHEMA.fieldNames()))
 
 
@@ -342,7 +358,7 @@ def gold_candles(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Compacted candles rolled up through the lake's tables, read back from gold."""
     lake = Lake(shared_dir(spark, "lake"), grain="day")
     lake.compacted.replace_partitions(candles(spark, sf_dir), sort_by=("window_start",))
-    rollup(spark, lake, candle_hours(lake.compacted.read(spark)), ("4h", "1d"))
+    rollup(spark, lake, folder_hours(spark, sf_dir), ("4h", "1d"))
     widths = [lake.gold(label).read(spark).withColumn("resolution", F.lit(label)) for label in ("4h", "1d")]
     return report(widths[0].unionByName(widths[1]))
 
@@ -411,7 +427,7 @@ def stream_rejects(spark: SparkSession, sf_dir: str) -> DataFrame:
     ).awaitTermination()
     # the stored text still holds the trade ids, except where it was cut before them
     trade_id = F.regexp_extract("value", r'"trade_id":(\d+)', 1).try_cast("long")
-    kept = spark.read.parquet(lake.rejects).withColumn("trade_id", F.coalesce(trade_id, F.lit(0)))
+    kept = lake.rejects().read(spark).withColumn("trade_id", F.coalesce(trade_id, F.lit(0)))
     return kept.groupBy("reason").agg(F.count("*").alias("messages"), F.sum("trade_id").alias("trade_ids"))
 
 
@@ -420,8 +436,139 @@ def stream_bronze_archive(spark: SparkSession, sf_dir: str) -> DataFrame:
     start_bronze(
         message_stream(spark, sf_dir), lake, shared_dir(spark, "checkpoint"), trigger={"availableNow": True}
     ).awaitTermination()
-    archived = lake.trades.read(spark)
-    return report(archived.select("symbol", "dt", "trade_id", "price", "quantity", "trade_time"))
+    # through the root, through a range of days, and symbol by symbol: the same rows
+    hours = folder_hours(spark, sf_dir)
+    wide = HourRange(hours.start - timedelta(days=100), hours.end)
+    columns = ("symbol", "dt", "trade_id", "price", "quantity", "trade_time")
+    archived = lake.trades.read(spark).select(*columns)
+    ranged = lake.trades.read(spark, wide).select(*columns)
+    single = lake.trades.read(spark, wide, "click").select(*columns).unionByName(ranged.filter("symbol <> 'click'"))
+    return report(archived.intersectAll(ranged).intersectAll(single))
+
+
+def retention_drop(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Bronze filled by its streams; what expiry reports, what it drops, and what is left.
+
+    Rejects are stamped with the current day, so they stay.
+    """
+    lake = Lake(shared_dir(spark, "bronze"), grain="day")
+    now = {"availableNow": True}
+    start_bronze(damaged_messages(event_stream(spark, sf_dir)), lake, shared_dir(spark, "checkpoint"), now).awaitTermination()
+    start_rejects(damaged_messages(event_stream(spark, sf_dir)), lake, shared_dir(spark, "checkpoint"), now).awaitTermination()
+    folders = expired_folders(spark, lake, date.fromisoformat(EXPIRY_DATE))
+    reported = expiry_report(spark, folders).select("table", "symbol", "dt", "rows").collect()  # one row a folder
+    dropped = set(drop_folders(spark, folders))
+    gone = [(f.name, f.symbol, f.day, None) for f in folders if f.path in dropped]
+    schema = "table string, symbol string, dt date, rows long"
+    left = lake.trades.read(spark).groupBy("symbol", "dt").agg(F.count("*").alias("rows")).selectExpr("'trades' AS table", "*")
+    rejected = lake.rejects().read(spark).groupBy("reason").agg(F.count("*").alias("rows"))
+    sides = [
+        spark.createDataFrame(reported, schema).withColumn("what", F.lit("reported")),
+        spark.createDataFrame(gone, schema).withColumn("what", F.lit("dropped")),
+        left.withColumn("what", F.lit("left")),
+        rejected.selectExpr("'rejects_trades' AS table", "reason AS symbol", "cast(null AS date) AS dt", "rows", "'left' AS what"),
+    ]
+    return report(reduce(lambda a, b: a.unionByName(b), sides))
+
+
+# ---- rejects ------------------------------------------------------------------------
+
+
+def event_rejects(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Damaged exchange events: each is either usable or rejected with a reason."""
+    fields = message_fields(read_table(spark, sf_dir, "events")).withColumns(
+        {
+            "price": F.when(F.col("symbol") != "error", F.col("price")),
+            "trade_id": F.when(F.col("symbol") != "signup", F.col("trade_id")),
+        }
+    )
+    cut = F.when(F.get_json_object("value", "$.data.s") == "view", F.substring("value", 1, 12)).otherwise(F.col("value"))
+    usable, rejects = op.split_events(envelopes(fields).withColumn("value", cut))
+    sides = usable.selectExpr("'valid' AS reason").unionByName(rejects.select("reason"))
+    return sides.groupBy("reason").agg(F.count("*").alias("events"))
+
+
+def kline_rejects(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Damaged history pages: each kline, or unreadable page, is either whole or rejected with a reason."""
+    hurt = kline_pages(spark, sf_dir).withColumn(
+        "page",
+        F.when(F.col("symbol") == "view", F.substring("page", 1, 9))
+        .when(F.col("symbol") == "error", F.regexp_replace("page", r'\["\d+"', '["9223372036854775807"'))
+        .when(F.col("symbol") == "signup", F.regexp_replace("page", r'"\d+"\]', '"many"]'))
+        .otherwise(F.col("page")),
+    )
+    whole, rejects = op.split_klines(op.decode_klines(hurt))
+    sides = whole.selectExpr("'valid' AS reason").unionByName(rejects.select("reason"))
+    return sides.groupBy("reason").agg(F.count("*").alias("klines"))
+
+
+# ---- reads of a lake ------------------------------------------------------------------
+
+
+def history_lake(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The newest hours of a symbol, from 1-minute candles in the lake."""
+    lake = Lake(shared_dir(spark, "lake"), grain="day")
+    lake.compacted.replace_partitions(candles(spark, sf_dir, "1 minute"), sort_by=("window_start",))
+    return report(lake_history(spark, lake, HISTORY_SYMBOL))
+
+
+def missing_hours_lake(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Hours without candles in a lake with planted holes: every fifth hour of the day is left out."""
+    lake = Lake(shared_dir(spark, "lake"))
+    holed = candles(spark, sf_dir).filter(F.hour("window_start") % 5 != 0)
+    lake.compacted.replace_partitions(holed, sort_by=("window_start",))
+    return report(find_missing_hours(spark, lake, folder_hours(spark, sf_dir)))
+
+
+def ingest_lag_approx(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Approximate lag quantiles next to the exact ones: is each within a thousandth of the ranks?"""
+    timed = message_fields(read_table(spark, sf_dir, "events")).withColumn("trade_time", F.timestamp_millis("trade_time_ms"))
+    close = op.lag_stats(timed, "1 day", by=("symbol",))
+    lags = timed.select("symbol", F.date_trunc("day", "trade_time").alias("window_start"), (F.col("ingested_at_ms") - F.col("trade_time_ms")).alias("lag_ms"))
+    joined = lags.join(close.select("symbol", "window_start", "trades", "p50_lag_ms", "p95_lag_ms"), ["symbol", "window_start"])
+    below = [F.count_if(F.col("lag_ms") < F.col(c)).alias(f"{c}_below") for c in ("p50_lag_ms", "p95_lag_ms")]
+    upto = [F.count_if(F.col("lag_ms") <= F.col(c)).alias(f"{c}_upto") for c in ("p50_lag_ms", "p95_lag_ms")]
+    ranks = joined.groupBy("symbol", "window_start", "trades").agg(*below, *upto)
+    # the sketch's stated accuracy is 1 / 10,000 of the rows; a rank is off by one at least
+    slack = 1 + F.col("trades") / 1000
+
+    def fits(name: str, q: float) -> Column:
+        want = F.col("trades") * q
+        return ((F.col(f"{name}_below") <= want + slack) & (F.col(f"{name}_upto") >= want - slack)).alias(f"{name}_close")
+
+    return report(ranks.select("symbol", "window_start", "trades", fits("p50_lag_ms", 0.5), fits("p95_lag_ms", 0.95)))
+
+
+def repeated_batch(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A micro-batch that is run twice, and one whose hour has no rows, leave each candle once."""
+    lake = Lake(shared_dir(spark, "silver"), grain="day")
+    write = candle_writer(lake.streamed, query_id="replay")
+    full = candles(spark, sf_dir)
+    write(full.filter(F.hour("window_start") < 12), 0)
+    write(full.filter(F.hour("window_start") < 12), 0)
+    write(full.filter("1 = 0"), 1)
+    write(full.filter(F.hour("window_start") >= 12), 2)
+    return report(lake.streamed.read(spark).select(CANDLE_SCHEMA.fieldNames()))
+
+
+def stream_late_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Events that come in after the watermark has passed their window do not count.
+
+    The table is sent in three files: the first half by time, then the rest,
+    then a copy of the first hour's events, which is far too late.
+    """
+    lake = Lake(shared_dir(spark, "silver"), grain="day")
+    landed = shared_dir(spark, "events")
+    events = read_table(spark, sf_dir, "events")
+    bounds = events.agg(F.min("ts").alias("first"), F.max("ts").alias("last")).first()
+    middle = bounds.first + (bounds.last - bounds.first) / 2
+    parts = [events.filter(F.col("ts") < F.lit(middle)), events.filter(F.col("ts") >= F.lit(middle)), events.filter(F.col("ts") < F.lit(bounds.first + timedelta(hours=1)))]
+    checkpoint = shared_dir(spark, "checkpoint")
+    for number, part in enumerate(parts):
+        part.coalesce(1).write.parquet(f"{landed}/part={number}")
+        stream = spark.readStream.schema(events.schema).parquet(f"{landed}/*")
+        start_silver(op.trade_messages(message_fields(stream)), lake, checkpoint, width=CANDLE_WIDTH, trigger={"availableNow": True}).awaitTermination()
+    return report(lake.streamed.read(spark).select(CANDLE_SCHEMA.fieldNames()))
 
 
 QUERIES: dict[str, Query] = {
@@ -466,14 +613,28 @@ QUERIES: dict[str, Query] = {
     "stream_ingest": stream_ingest,
     "stream_rejects": stream_rejects,
     "stream_bronze_archive": stream_bronze_archive,
+    "retention_drop": retention_drop,
+    "event_rejects": event_rejects,
+    "kline_rejects": kline_rejects,
+    "history_lake": history_lake,
+    "missing_hours_lake": missing_hours_lake,
+    "ingest_lag_approx": ingest_lag_approx,
+    "repeated_batch": repeated_batch,
+    "stream_late_rows": stream_late_rows,
 }
 
 
 def in_utc(query: Query) -> Query:
-    """Run with the UTC session the lake's dates and hours are defined in."""
+    """Plan with the UTC session the lake's dates and hours are defined in; the caller's zone comes back."""
 
     def run(spark: SparkSession, sf_dir: str) -> DataFrame:
+        zone = spark.conf.get("spark.sql.session.timeZone")
         spark.conf.set("spark.sql.session.timeZone", "UTC")
-        return query(spark, sf_dir)
+        try:
+            result = query(spark, sf_dir)
+            result.schema  # analysed, so that its expressions have their zone
+            return result
+        finally:
+            spark.conf.set("spark.sql.session.timeZone", zone)
 
     return run

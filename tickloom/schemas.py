@@ -64,6 +64,14 @@ CANDLE_SCHEMA = T.StructType(
     ]
 )
 
+REJECT_SCHEMA = T.StructType(
+    [
+        T.StructField("reason", T.StringType()),
+        T.StructField("value", T.StringType()),
+        T.StructField("rejected_at", T.TimestampType()),
+    ]
+)
+
 CANDLE_VALUES = ("open", "high", "low", "close", "volume", "quote_volume", "trade_count")
 
 PARTITION_FIELDS = {
@@ -71,6 +79,7 @@ PARTITION_FIELDS = {
     "hour": T.StructField("hour", T.IntegerType()),
     "query_id": T.StructField("query_id", T.StringType()),
     "batch_id": T.StructField("batch_id", T.LongType()),
+    "run_id": T.StructField("run_id", T.StringType()),
 }
 
 

@@ -3,7 +3,6 @@
 from __future__ import annotations
 
 import os
-import tempfile
 import uuid
 from dataclasses import dataclass
 
@@ -34,6 +33,7 @@ class StoreConfig:
 
     def spark_confs(self) -> dict[str, str]:
         s3a = "spark.hadoop.fs.s3a."
+        # Setting names and classes of the store connector.
         confs = {
             s3a + "impl": "org.apache.hadoop.fs.s3a.S3AFileSystem",
             s3a + "fast.upload": "true",
@@ -105,10 +105,8 @@ def build_session(
 def shared_dir(spark: SparkSession, purpose: str) -> str:
     """A fresh folder every executor can reach.
 
-    The cluster names its shared folder in ``spark.checkpoint.dir``; only a
-    session without that setting (tests, laptops) gets a local folder.
+    The cluster names its shared folder in ``spark.checkpoint.dir``; without
+    that setting the warehouse is the storage that driver and executors share.
     """
-    base = spark.conf.get("spark.checkpoint.dir", None)
-    if not base:
-        base = tempfile.mkdtemp(prefix="tickloom-")
+    base = spark.conf.get("spark.checkpoint.dir", None) or spark.conf.get("spark.sql.warehouse.dir")
     return f"{base.rstrip('/')}/{purpose}-{uuid.uuid4().hex}"

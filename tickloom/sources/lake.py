@@ -2,9 +2,8 @@
 
 from __future__ import annotations
 
-import re
 from dataclasses import dataclass
-from datetime import datetime, timedelta, timezone
+from datetime import date, datetime, timedelta, timezone
 
 from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -12,10 +11,10 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from tickloom.functions.timeparts import dt_hour, hour_floor, hour_key, parse_hour_key
-from tickloom.schemas import CANDLE_SCHEMA, TRADE_SCHEMA, conform, with_partitions
+from tickloom.schemas import CANDLE_SCHEMA, REJECT_SCHEMA, TRADE_SCHEMA, conform, with_partitions
 
-# a longer range lists the whole table: naming each day would cost as much
-_MAX_LISTED_DAYS = 62
+# Characters that Spark writes as %XX in the name of a partition folder.
+_ESCAPED = set("\"#%'*/:=?\\{[]^\x7f") | set(map(chr, range(1, 32)))
 
 TIME_PARTITIONS = {"hour": ("dt", "hour"), "day": ("dt",)}
 
@@ -69,19 +68,22 @@ class HourRange:
         return f"{hour_key(self.start)}..{hour_key(self.end - timedelta(hours=1))}"
 
 
+def folder_name(column: str, value: str) -> str:
+    """The folder of a partition value; what Spark escapes covers all that a path pattern could take for a wildcard."""
+    return f"{column}=" + "".join(f"%{ord(c):02X}" if c in _ESCAPED else c for c in value)
+
+
 @dataclass(frozen=True)
 class Table:
     """A hive-partitioned Parquet folder with a fixed schema.
 
-    ``expiring`` marks a table whose files may be removed by retention while
-    its stream's file log still names them; readers then skip missing files.
-    Elsewhere a missing file is an error.
+    A reader sees the files that are there, whatever part of the table it
+    names: no log of a file sink stands between writers and readers.
     """
 
     path: str
     schema: T.StructType
     partition_by: tuple[str, ...]
-    expiring: bool = False
 
     def folders(self, hours: HourRange | None = None, symbol: str | None = None) -> str:
         """Path pattern of the folders a read has to list.
@@ -92,9 +94,9 @@ class Table:
         """
         levels = []
         for name in self.partition_by:
-            if name == "symbol" and symbol is not None and re.fullmatch(r"[\w-]+", symbol):
-                levels.append(f"symbol={symbol}")
-            elif name == "dt" and hours is not None and hours.days() <= _MAX_LISTED_DAYS:
+            if name == "symbol" and symbol is not None:
+                levels.append(folder_name("symbol", symbol))
+            elif name == "dt" and hours is not None:
                 days = [hours.start.date() + timedelta(days=n) for n in range(hours.days())]
                 levels.append(f"dt={{{','.join(map(str, days))}}}")
             else:
@@ -112,7 +114,7 @@ class Table:
         day-grained table gives every day the hours touch.
         """
         schema = with_partitions(self.schema, self.partition_by)
-        reader = spark.read.schema(schema).option("ignoreMissingFiles", self.expiring)
+        reader = spark.read.schema(schema)
         try:
             rows = reader.option("basePath", self.path).parquet(self.folders(hours, symbol))
         except AnalysisException as error:
@@ -132,10 +134,25 @@ class Table:
             rows = spark.createDataFrame([], with_partitions(self.schema, self.partition_by))
         return rows
 
+    def day_folders(self, spark: SparkSession, symbol: str | None = None) -> list[tuple[date, str]]:
+        """Days and paths of the folders that hold a day, oldest first: names only, no file is opened."""
+        depth = self.partition_by.index("dt") + 1
+        names = [folder_name("symbol", symbol) if c == "symbol" and symbol is not None else f"{c}=*" for c in self.partition_by[:depth]]
+        pattern = spark.sparkContext._jvm.org.apache.hadoop.fs.Path("/".join([self.path, *names]))
+        store = pattern.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+        found = [entry.getPath() for entry in store.globStatus(pattern) or []]
+        days = [(path.getName().partition("=")[2], path.toString()) for path in found]
+        # the null partition has no date
+        return sorted((date.fromisoformat(day), path) for day, path in days if day[:1].isdigit())
+
+    @property
+    def time_folders(self) -> tuple[str, ...]:
+        """Partition columns that the schema does not hold."""
+        return tuple(c for c in self.partition_by if c not in self.schema.fieldNames())
+
     def placed(self, df: DataFrame, time_column: str = "window_start") -> DataFrame:
         """``df`` in the table's types, with its time folders derived."""
-        extra = tuple(c for c in self.partition_by if c not in self.schema.fieldNames())
-        return conform(dt_hour(df, time_column), self.schema, extra)
+        return conform(dt_hour(df, time_column), self.schema, self.time_folders)
 
     def replace_partitions(self, df: DataFrame, sort_by: tuple[str, ...]) -> None:
         """Write candles, replacing exactly the folders there are rows for.
@@ -143,9 +160,12 @@ class Table:
         A folder's rows meet in one task and become one sorted file. ``df``
         must be unique per symbol and window.
         """
+        self.write_gathered(self.gathered(self.placed(df)), sort_by)
+
+    def write_gathered(self, rows: DataFrame, sort_by: tuple[str, ...]) -> None:
+        """Write rows that :meth:`gathered` has dealt out already."""
         (
-            self._gathered(self.placed(df))
-            .sortWithinPartitions(*self.partition_by, *sort_by)
+            rows.sortWithinPartitions(*self.partition_by, *sort_by)
             .write.mode("overwrite")
             .option("partitionOverwriteMode", "dynamic")
             .option("compression", "zstd")
@@ -153,7 +173,8 @@ class Table:
             .parquet(self.path)
         )
 
-    def _gathered(self, rows: DataFrame) -> DataFrame:
+    def gathered(self, rows: DataFrame) -> DataFrame:
+        """Placed rows with the rows of each folder in one task."""
         keys = [F.col(c) for c in self.partition_by]
         if "symbol" in self.partition_by:
             # Folders of one symbol's hour or day are many and hold at most
@@ -201,21 +222,32 @@ class Lake:
 
     @property
     def trades(self) -> Table:
-        by = ("symbol", *TIME_PARTITIONS[self.grain])
-        return Table(self.path("bronze", "trades"), TRADE_SCHEMA, by, expiring=True)
+        """Raw trades, in folders of their own per micro-batch."""
+        by = ("symbol", *TIME_PARTITIONS[self.grain], "query_id", "batch_id")
+        return Table(self.path("bronze", "trades"), TRADE_SCHEMA, by)
+
+    def rejects(self, of: str = "trades") -> Table:
+        """Messages, exchange events or klines that could not be used, by the day they came in."""
+        return Table(self.path("bronze", f"rejects_{of}"), REJECT_SCHEMA, ("dt", "query_id", "batch_id"))
 
     @property
-    def rejects(self) -> str:
-        return self.path("bronze", "rejects")
+    def raw(self) -> dict[str, Table]:
+        """Everything in bronze, which is kept for a limited time."""
+        return {"trades": self.trades, **{f"rejects_{of}": self.rejects(of) for of in ("trades", "events", "klines")}}
 
     @property
     def streamed(self) -> Table:
-        """Candles as the stream wrote them, in folders of their own per micro-batch."""
-        return self._candles("silver", "ohlc_1m", "query_id", "batch_id")
+        """Candles as the stream wrote them, in folders of their own per micro-batch.
+
+        Compaction reads them by time only, so symbols share a folder and a
+        batch adds one file per hour or day it touches.
+        """
+        return self._candles("silver", "ohlc_1m", "query_id", "batch_id", by_symbol=False)
 
     @property
     def backfilled(self) -> Table:
-        return self._candles("silver", "ohlc_1m_backfill")
+        """Candles of history pages, in folders of their own per run."""
+        return self._candles("silver", "ohlc_1m_backfill", "run_id", by_symbol=False)
 
     @property
     def compacted(self) -> Table:

@@ -2,20 +2,23 @@ from tickloom.streaming.jobs import (
     LIVE_TRIGGER,
     STORE_TRIGGER,
     start_bronze,
+    start_event_rejects,
     start_ingest,
     start_live,
     start_rejects,
     start_silver,
 )
-from tickloom.streaming.sinks import FileTopic, KafkaTopic, candle_writer
+from tickloom.streaming.sinks import FileTopic, KafkaTopic, batch_writer, candle_writer
 
 __all__ = [
     "FileTopic",
     "KafkaTopic",
     "LIVE_TRIGGER",
     "STORE_TRIGGER",
+    "batch_writer",
     "candle_writer",
     "start_bronze",
+    "start_event_rejects",
     "start_ingest",
     "start_live",
     "start_rejects",

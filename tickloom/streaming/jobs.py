@@ -16,13 +16,12 @@ from tickloom.operators import (
     candle_messages,
     decode_trades,
     keep_symbols,
-    normalize_events,
+    split_events,
     split_trades,
     trade_messages,
 )
-from tickloom.operators.retention import DEFAULT_KEEP_DAYS
-from tickloom.sources.lake import Lake
-from tickloom.streaming.sinks import FileTopic, KafkaTopic, candle_writer
+from tickloom.sources.lake import Lake, Table
+from tickloom.streaming.sinks import FileTopic, KafkaTopic, batch_writer
 
 # Default window, watermark and triggers.
 WINDOW = "1 minute"
@@ -42,9 +41,11 @@ def start_ingest(
     """Turn exchange events (``value``) into trade messages of the listed symbols.
 
     Each message is stamped with its ingest time and routed by the position of
-    its symbol in the list.
+    its symbol in the list. Events without a field that a candle needs are what
+    :func:`start_event_rejects` archives.
     """
-    trades = keep_symbols(normalize_events(events), symbols)
+    usable, _ = split_events(events)
+    trades = keep_symbols(usable, symbols)
     stamped = trades.withColumn("ingested_at_ms", F.unix_millis(F.current_timestamp()))
     return (
         topic.attach(trade_messages(stamped, symbols, partitions))
@@ -55,45 +56,35 @@ def start_ingest(
     )
 
 
-def start_bronze(
-    messages: DataFrame,
-    lake: Lake,
-    checkpoint: str,
-    trigger: dict = STORE_TRIGGER,
-    keep_days: int | None = DEFAULT_KEEP_DAYS,
-) -> StreamingQuery:
-    """Archive every usable trade, partitioned by symbol, day and hour.
-
-    The file sink logs every file it ever wrote. ``keep_days`` lets it forget
-    files of that age, in step with their expiry; without it the log of an
-    endless archive grows until compacting it outlasts the trigger.
-    """
-    retention = {} if keep_days is None else {"retention": f"{keep_days}d"}
+def start_bronze(messages: DataFrame, lake: Lake, checkpoint: str, trigger: dict = STORE_TRIGGER) -> StreamingQuery:
+    """Archive every usable trade, partitioned by symbol and time."""
     valid, _ = split_trades(decode_trades(messages))
-    table = lake.trades
-    return (
-        table.placed(valid, "trade_time")
-        .writeStream.outputMode("append")
-        .format("parquet")
-        .option("path", table.path)
-        .options(**retention)
-        .option("checkpointLocation", checkpoint)
-        .partitionBy(*table.partition_by)
-        .trigger(**trigger)
-        .start()
-    )
+    return _landed(valid, lake.trades, "trade_time", checkpoint, trigger)
 
 
 def start_rejects(messages: DataFrame, lake: Lake, checkpoint: str, trigger: dict = STORE_TRIGGER) -> StreamingQuery:
     """Archive the messages bronze leaves out, as received, with the reason."""
     _, rejects = split_trades(decode_trades(messages, keep=("value",)))
+    return _landed(_stamped(rejects), lake.rejects("trades"), "rejected_at", checkpoint, trigger)
+
+
+def start_event_rejects(events: DataFrame, lake: Lake, checkpoint: str, trigger: dict = STORE_TRIGGER) -> StreamingQuery:
+    """Archive the exchange events ingest cannot turn into a trade message."""
+    _, rejects = split_events(events)
+    return _landed(_stamped(rejects), lake.rejects("events"), "rejected_at", checkpoint, trigger)
+
+
+def _stamped(rejects: DataFrame) -> DataFrame:
+    """In a stream the current time is the batch's, the same when the batch is run again."""
+    return rejects.selectExpr("reason", "cast(value as string) AS value", "current_timestamp() AS rejected_at")
+
+
+def _landed(rows: DataFrame, table: Table, time_column: str, checkpoint: str, trigger: dict) -> StreamingQuery:
+    """Append each batch to the table in folders of its own."""
     return (
-        rejects.selectExpr("reason", "cast(value as string) AS value", "current_timestamp() AS rejected_at")
-        .writeStream.outputMode("append")
-        .format("parquet")
-        .option("path", lake.rejects)
+        rows.writeStream.outputMode("append")
+        .foreachBatch(batch_writer(table, time_column))
         .option("checkpointLocation", checkpoint)
-        .partitionBy("reason")
         .trigger(**trigger)
         .start()
     )
@@ -110,14 +101,8 @@ def start_silver(
 ) -> StreamingQuery:
     """Store each candle once, after the watermark has passed its end."""
     valid, _ = split_trades(decode_trades(messages))
-    return (
-        build_candles(valid, width, watermark, trade_ids_below=trade_ids_below)
-        .writeStream.outputMode("append")
-        .foreachBatch(candle_writer(lake.streamed))
-        .option("checkpointLocation", checkpoint)
-        .trigger(**trigger)
-        .start()
-    )
+    candles = build_candles(valid, width, watermark, trade_ids_below=trade_ids_below)
+    return _landed(candles, lake.streamed, "window_start", checkpoint, trigger)
 
 
 def start_live(

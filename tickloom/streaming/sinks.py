@@ -18,7 +18,9 @@ def running_query_id(batch: DataFrame) -> str:
     return batch.sparkSession.sparkContext.getLocalProperty("sql.streaming.queryId")
 
 
-def candle_writer(table: Table, query_id: str | None = None) -> Callable[[DataFrame, int], None]:
+def batch_writer(
+    table: Table, time_column: str = "window_start", query_id: str | None = None
+) -> Callable[[DataFrame, int], None]:
     """A ``foreachBatch`` function writing each batch to folders of its own.
 
     The folders carry the query's id and the batch id, and only they are
@@ -33,11 +35,16 @@ def candle_writer(table: Table, query_id: str | None = None) -> Callable[[DataFr
         owned = batch.withColumns(
             {"query_id": F.lit(query_id or running_query_id(batch)), "batch_id": F.lit(batch_id)}
         )
-        table.replace_partitions(owned, sort_by=("window_start",))
+        table.write_gathered(table.gathered(table.placed(owned, time_column)), sort_by=(time_column,))
 
     return write
 
 
+def candle_writer(table: Table, query_id: str | None = None) -> Callable[[DataFrame, int], None]:
+    """:func:`batch_writer` for candles."""
+    return batch_writer(table, "window_start", query_id)
+
+
 @dataclass(frozen=True)
 class KafkaTopic:
     """Messages to a topic."""
