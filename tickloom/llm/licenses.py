@@ -182,14 +182,16 @@ def scan_licenses(docs: DataFrame, key: str = "doc_id", text: str = "text", noti
         for w in phrase.split():
             both = both & has(w)
         phrase_possible = phrase_possible | both
-    places = F.when(F.col("phrase"), phrase_places(words_of(ascii_lower(F.col("text"))))).otherwise(F.array().cast("array<struct<place:int,label:string>>"))
+    # a column of its own: inside a function over the words it would be split anew for each word
+    rows = rows.withColumn("phrase", phrase_possible).withColumn("ascii", F.when(F.col("phrase"), words_of(ascii_lower(F.col("text")))))
+    places = F.when(F.col("phrase"), phrase_places(F.col("ascii"))).otherwise(F.array().cast("array<struct<place:int,label:string>>"))
     known = lambda words: F.array_intersect(strings(order), words)  # noqa: E731  in the global order
     block = lambda scope: lambda words: F.struct(F.lit(scope).alias("scope"), known(words).alias("known"))
     lines = F.transform(F.split("lower", "\n"), lambda line: block(LINE)(words_of(line)))
     begins = F.sequence(F.lit(0), F.greatest(F.size("words") - 1, F.lit(0)), F.lit(WINDOW // 2))
     windows = F.transform(begins, lambda i: block(PASSAGE)(F.slice("words", i + 1, WINDOW)))
     possible = F.arrays_overlap("words", strings(prefix_words))
-    scanned = rows.withColumn("phrase", phrase_possible).select(
+    scanned = rows.select(
         F.monotonically_increasing_id().alias("row"),
         "id",
         F.size("words").cast("long").alias("n_words"),
