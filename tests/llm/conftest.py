@@ -1,13 +1,13 @@
 import pytest
 
-from tickloom.llm.common import package_on_workers
+from tickloom.llm.common import prepare
 
 DOCS = "doc_id long, text string, lang string, source string, n_chars long"
 
 
 @pytest.fixture(scope="session", autouse=True)
 def workers(spark):
-    package_on_workers(spark)
+    prepare(spark)
 
 
 @pytest.fixture(scope="session")
