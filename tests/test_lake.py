@@ -109,7 +109,7 @@ def test_backfill_completes_the_stream_in_either_order(spark, lake):
     assert texts(lake.compacted.read(spark), *columns) == expected
     compact(spark, lake, HOUR)
     assert texts(lake.compacted.read(spark), *columns) == expected
-    assert len(files(lake.backfilled.path)) == 2
+    assert len(files(lake.backfilled.path)) == 1
 
 
 def test_rollup_cascades_and_matches_direct_candles(spark, lake):
