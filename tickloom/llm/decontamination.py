@@ -17,7 +17,7 @@ from __future__ import annotations
 
 import re
 from collections.abc import Iterator
-from itertools import combinations
+from itertools import chain, combinations
 
 import numpy as np
 import pyarrow as pa
@@ -25,7 +25,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tickloom.llm.common import stored, text_bytes
+from tickloom.llm.common import Numbers, blocks_of, stored, text_bytes
 
 WINDOW = 13
 SHORTEST = 8
@@ -33,26 +33,20 @@ SUBSTITUTIONS = 2
 BLOCKS = ((0, 4), (4, 7), (7, 10), (10, 13))
 #: Bits of the bitmap, a fixed size; two are set for each hash.
 BITMAP_BITS = 1 << 26
-KNOWN_WORDS = 1 << 19
+#: Bytes of text taken at once.
+BLOCK = 2 << 20
 WORD = re.compile(r"[^\W_]+")
 # Odd multipliers of the hash functions, from a seeded generator.
 MULTIPLIERS = np.random.default_rng(23).integers(1 << 62, 1 << 63, 32, dtype=np.uint64) * 2 + 1
 
 
-class WordHashes(dict):
-    def __missing__(self, word: str) -> int:
-        if len(self) >= KNOWN_WORDS:
-            self.clear()
-        value = self[word] = xxhash.xxh64_intdigest(word.encode("utf-8", "replace"))
-        return value
-
-
-HASHES = WordHashes()
-
-
-def words_of(data: bytes) -> np.ndarray:
-    found = WORD.findall(data.decode("utf-8", "replace").lower())
-    return np.fromiter(map(HASHES.__getitem__, found), np.uint64, len(found))
+def words_of(texts: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
+    """The hashes of all words, text after text, and where each text's end."""
+    found = [WORD.findall(data.decode("utf-8", "replace").lower()) for data in texts]
+    number = Numbers()
+    ids = np.fromiter(map(number.__getitem__, chain.from_iterable(found)), np.int64)
+    hashes = np.fromiter((xxhash.xxh64_intdigest(w.encode()) for w in number), np.uint64, len(number))[ids]
+    return hashes, np.cumsum([len(f) for f in found])
 
 
 def _mix(x: np.ndarray) -> np.ndarray:
@@ -62,9 +56,9 @@ def _mix(x: np.ndarray) -> np.ndarray:
 
 
 def _span(words: np.ndarray, begin: int, end: int, count: int) -> np.ndarray:
-    out = np.zeros(count, np.uint64)
-    for k in range(begin, end):
-        out = _mix(out + words[k : k + count] * MULTIPLIERS[k])
+    out = words[begin : begin + count] * MULTIPLIERS[begin]
+    for k in range(begin + 1, end):
+        out += words[k : k + count] * MULTIPLIERS[k]
     return out
 
 
@@ -74,17 +68,27 @@ def seed_keys(words: np.ndarray, length: int = WINDOW) -> np.ndarray:
     if count <= 0:
         return np.zeros((0, 0), np.uint64)
     if length < WINDOW:
-        return _mix(_span(words, 0, length, count) + np.uint64(length))[None]
+        return _mix(_span(words, 0, length, count) + MULTIPLIERS[13 + length])[None]
     blocks = [_span(words, a, b, count) for a, b in BLOCKS]
-    return np.stack([_mix(blocks[a] * MULTIPLIERS[28] + blocks[b] + np.uint64(100 + s)) for s, (a, b) in enumerate(combinations(range(len(BLOCKS)), 2))])
+    return np.stack([_mix((blocks[a] ^ MULTIPLIERS[26 + s % 4]) * MULTIPLIERS[22 + s] + blocks[b]) for s, (a, b) in enumerate(combinations(range(len(BLOCKS)), 2))])
 
 
-def window_hash(words: np.ndarray, length: int) -> np.ndarray:
-    return _mix(_span(words, 0, length, len(words) - length + 1) * MULTIPLIERS[29] + np.uint64(length))
+def window_hash(windows: np.ndarray) -> np.ndarray:
+    """A name for each row of word hashes; not a sum that another window's hash is made of."""
+    out = np.full(len(windows), MULTIPLIERS[windows.shape[1]])
+    for k in range(windows.shape[1]):
+        out = _mix(out ^ windows[:, k])
+    return out
 
 
-def _bits(keys: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    return (keys % np.uint64(BITMAP_BITS)).astype(np.int64), (keys // np.uint64(BITMAP_BITS) % np.uint64(BITMAP_BITS)).astype(np.int64)
+def in_bitmap(bitmap: np.ndarray, keys: np.ndarray) -> np.ndarray:
+    """Are both bits of a key set? The second is looked at only where the first is."""
+    one = (keys & np.uint64(BITMAP_BITS - 1)).astype(np.int64)
+    hit = (bitmap[one >> 6] >> (one & 63).astype(np.uint64) & np.uint64(1)).astype(bool)
+    place = np.nonzero(hit)
+    two = (keys[place] // np.uint64(BITMAP_BITS) % np.uint64(BITMAP_BITS)).astype(np.int64)
+    hit[place] = (bitmap[two >> 6] >> (two & 63).astype(np.uint64) & np.uint64(1)).astype(bool)
+    return hit
 
 
 def _signed(x: np.ndarray) -> np.ndarray:
@@ -98,7 +102,7 @@ def benchmark_windows(benchmark: DataFrame, key: str = "item_id", text: str = "t
     def run(parts: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for part in parts:
             for item, data in zip(*(c.to_pylist() for c in part.columns), strict=True):
-                words = words_of(data)
+                words, _ = words_of([data])
                 length = min(WINDOW, len(words))
                 if length < SHORTEST:
                     continue
@@ -123,7 +127,6 @@ def contaminated(docs: DataFrame, benchmark: DataFrame, key: str = "doc_id", tex
     """
     spark = docs.sparkSession
     tests = stored(benchmark_windows(benchmark, item).groupBy("seed", "length", "words").agg(F.min("item").alias("item")), "benchmark")
-    mask = np.uint64(63)
     bits = np.zeros(BITMAP_BITS // 64, np.uint64)
     # word number and bits: as many rows as the bitmap has words at most
     size = F.lit(BITMAP_BITS)
@@ -138,24 +141,31 @@ def contaminated(docs: DataFrame, benchmark: DataFrame, key: str = "doc_id", tex
     def run(parts: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         bitmap = held.value
         for part in parts:
-            rows: list[tuple] = []
-            for doc, row_key, data in zip(*(c.to_pylist() for c in part.columns), strict=True):
-                words = words_of(data)
+            for block in blocks_of(part, BLOCK):
+                words, ends = words_of([data for *_, data in block])
                 for length in lengths:
                     keys = seed_keys(words, length)
                     if not keys.size:
                         continue
-                    one, two = _bits(keys)
-                    hit = bitmap[one >> 6] >> (one.astype(np.uint64) & mask) & bitmap[two >> 6] >> (two.astype(np.uint64) & mask) & np.uint64(1)
+                    hit = in_bitmap(bitmap, keys)
                     at = np.flatnonzero(hit.any(0))
-                    if len(at):
-                        names = _signed(window_hash(words, length)[at]).tolist()
-                        for name, i in zip(names, at.tolist(), strict=True):
-                            rows.append((doc, row_key, i, length, name, _signed(words[i : i + length]).tolist(), _signed(keys[hit[:, i] > 0, i]).tolist()))
-            if rows:
-                types = [pa.int64(), part.column(1).type, pa.int32(), pa.int32(), pa.int64(), pa.list_(pa.int64()), pa.list_(pa.int64())]
-                names = ["doc", "id", "place", "length", "window", "words", "seeds"]
-                yield pa.record_batch([pa.array(c, t) for c, t in zip(zip(*rows, strict=True), types, strict=True)], names=names)
+                    owner = np.searchsorted(ends, at, side="right")
+                    inside = at + length <= ends[owner]  # not across two texts
+                    at, owner = at[inside], owner[inside]
+                    if not len(at):
+                        continue
+                    windows = words[at[:, None] + np.arange(length)]
+                    begin = np.append(0, ends[:-1])[owner]
+                    columns = [
+                        pa.array([block[k][0] for k in owner.tolist()], pa.int64()),
+                        pa.array([block[k][1] for k in owner.tolist()], part.column(1).type),
+                        pa.array(at - begin, pa.int32()),
+                        pa.array(np.full(len(at), length), pa.int32()),
+                        pa.array(_signed(window_hash(windows))),
+                        pa.array(_signed(windows).tolist(), pa.list_(pa.int64())),
+                        pa.array([_signed(keys[hit[:, i], i]).tolist() for i in at.tolist()], pa.list_(pa.int64())),
+                    ]
+                    yield pa.record_batch(columns, names=["doc", "id", "place", "length", "window", "words", "seeds"])
 
     marked = docs.select(F.xxhash64(F.col(key), F.coalesce(F.col(text).cast("string"), F.lit(""))).alias("doc"), F.col(key), text_bytes(text).alias("text"))
     hits = stored(marked.mapInArrow(run, f"doc long, id {kind}, place int, length int, window long, words array<long>, seeds array<long>"), "hits")
