@@ -4,7 +4,7 @@ import json
 
 import pytest
 
-from helpers import START
+from helpers import START, message
 from tickloom.__main__ import arguments, main
 from tickloom.schemas import MESSAGE_SCHEMA
 from tickloom.sources import Lake
@@ -58,6 +58,51 @@ def test_stream_to_history(spark, tmp_path, capsys, monkeypatch):
     assert Lake(lake).trades.read(spark).count() == 0
 
 
+def test_every_row_is_printed(spark, tmp_path, capsys, monkeypatch):
+    """25 symbols in the newest candles, the lag, the expiry report, the missing hours and the backfill."""
+    monkeypatch.setattr("tickloom.__main__.build_session", lambda *args, **kwargs: spark)
+    lake, topic = str(tmp_path / "lake"), str(tmp_path / "topic")
+    symbols = [f"S{n:02}" for n in range(25)]
+    begin = int(START.timestamp() * 1000) + 30_000
+    trades = [(s, message(s, n, time="2026-01-01 00:00:30"), n % 3, n) for n, s in enumerate(symbols)]
+    spark.createDataFrame(trades, MESSAGE_SCHEMA).write.parquet(topic)
+
+    def run(*words):
+        main(["--lake", lake, *words])
+        return capsys.readouterr().out
+
+    def shown(out):
+        return sorted({s for s in symbols if s in out})
+
+    run("bronze", "--files", topic, "--checkpoint", str(tmp_path / "b"), "--trigger", "once")
+    live = str(tmp_path / "live")
+    run("live", "--files", topic, "--checkpoint", str(tmp_path / "l"), "--trigger", "once", "--out-files", live)
+    assert shown(run("latest", "--files", live)) == symbols
+    assert shown(run("latest", "--files", live, "--since", "2026-01-01")) == symbols
+    assert shown(run("lag", "--hours", HOUR)) == symbols
+    assert shown(run("expire", "--as-of", "2026-02-01")) == symbols
+    skew = run("skew", "--files", topic).splitlines()
+    assert [line.split("\t")[:2] for line in skew[1:]] == [["0", "9"], ["1", "8"], ["2", "8"]]
+    pages = tmp_path / "pages.json"
+    kline = [begin - 30_000, "1", "1", "1", "1", "1", begin + 29_999, "1", 1]
+    pages.write_text("\n".join(json.dumps({"symbol": s, "page": json.dumps([kline])}) for s in symbols))
+    assert shown(run("backfill", "--hours", HOUR, "--pages", str(pages))) == symbols
+    missing = run("missing", "--hours", HOUR, "2026-01-01-02:00")
+    assert shown(missing) == symbols and len(missing.splitlines()) == 1 + 50
+    assert len(run("missing", "--hours", HOUR, "--symbols", "s01,other").splitlines()) == 1 + 1
+
+
+def test_event_rejects_command(spark, tmp_path, monkeypatch):
+    monkeypatch.setattr("tickloom.__main__.build_session", lambda *args, **kwargs: spark)
+    events = tmp_path / "events"
+    events.mkdir()
+    good = {"s": "A", "t": 1, "p": "1", "q": "1", "T": 1, "E": 0, "m": True}
+    (events / "0.txt").write_text("\n".join(["junk", json.dumps({"data": good}), json.dumps({"data": good | {"p": None}})]))
+    main(["--lake", str(tmp_path), "event-rejects", "--events", str(events), "--checkpoint", str(tmp_path / "c"), "--trigger", "once"])
+    kept = Lake(str(tmp_path)).rejects("events").read(spark)
+    assert sorted((r.reason, r.value[:4]) for r in kept.collect()) == [("bad_price", '{"da'), ("malformed_event", "junk")]
+
+
 def test_unknown_job_is_refused():
     with pytest.raises(SystemExit):
         arguments().parse_args(["--lake", "x", "nonsense"])

@@ -160,6 +160,7 @@ def test_topic_defaults():
     assert source.options["startingOffsets"] == "latest"
     assert source.options["failOnDataLoss"] == "false"
     assert source.batch_options["startingOffsets"] == "earliest"
+    assert source.start_option == "startingTimestamp"
     assert STORE_TRIGGER == {"processingTime": "30 seconds"}
     assert LIVE_TRIGGER == {"processingTime": "2 seconds"}
     assert KafkaTopic("host:9092", "ohlc.1m").topic == "ohlc.1m"
