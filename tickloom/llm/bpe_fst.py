@@ -30,15 +30,17 @@ import unicodedata
 
 import numpy as np
 
+from tickloom.llm.common import hold
+
 LETTER, NUMBER, SPACE, OTHER, SPECIAL = 1, 2, 3, 0, 4
 START, DEAD = 0, 1
-CHUNK = 512
-#: Rows of 1 kB of the transition table.
+CHUNK = 256
+#: Rows of the transition table; a row has a number for each byte met so far.
 MAX_STATES = 1 << 17
 #: Trie nodes with at most so many tokens below tell apart only what their tokens do.
-WIDE = 64
+WIDE = 16
 #: Bytes run at once.
-BLOCK = 2 << 20
+BLOCK = 1 << 20
 
 # The contractions that the pre-tokenizer splits off, without their apostrophe.
 CONTRACTIONS = ("s", "t", "re", "ve", "m", "ll", "d")
@@ -46,10 +48,18 @@ CONTRACTIONS = ("s", "t", "re", "ve", "m", "ll", "d")
 WHITE_SPACE = [*range(9, 14), 32, 0x85, 0xA0, 0x1680, *range(0x2000, 0x200B), 0x2028, 0x2029, 0x202F, 0x205F, 0x3000]
 
 
+# An open token start in one number, which takes a fifth of the memory of a tuple.
+BEFORE_BITS, ZERO = 24, 1 << 15
+
+
 class TableFull(Exception):
     pass
 
 
+def _open(node: int, before: int, rel: int) -> int:
+    return (node << BEFORE_BITS | before + 1) << 16 | rel + ZERO
+
+
 @functools.cache
 def char_classes() -> np.ndarray:
     kinds = {"L": LETTER, "N": NUMBER}
@@ -66,7 +76,7 @@ def byte_symbols() -> dict[str, int]:
 
 
 class Transducer:
-    """The tokenizer of one vocabulary file; ``of`` keeps one per worker process."""
+    """The tokenizer of one vocabulary file; ``of`` keeps the last one in a worker process."""
 
     def __init__(self, vocabulary: str):
         with open(vocabulary, encoding="utf-8") as file:
@@ -114,9 +124,8 @@ class Transducer:
         self.clear()
 
     @staticmethod
-    @functools.lru_cache(maxsize=2)
     def of(vocabulary: str) -> Transducer:
-        return Transducer(vocabulary)
+        return hold(f"transducer of {vocabulary}", lambda: Transducer(vocabulary))
 
     def _index_subtrees(self) -> None:
         """Tokens in the order of their bytes, and for each trie node the range of those strictly below it."""
@@ -138,13 +147,16 @@ class Transducer:
             stack.extend((x & 0xFFFFFFFF, False) for x in sorted(below.get(node, ()), reverse=True))
 
     def clear(self) -> None:
-        self.table = np.full((1024, 256), -1, np.int32)  # next state << 8 | change of the count + 128
-        self.last = np.full(1024, -1, np.int32)
-        self.states: list[tuple] = [((0, -1, 0),), ()]
+        self.column = np.full(256, -1, np.int32)  # of each byte that has been met
+        self.met: list[int] = []
+        # next state << 8 | change of the count + 128; 0: not made yet. Rows take memory when they are first written
+        self.table = np.zeros((MAX_STATES, 128), np.int32)
+        self.last = np.zeros(MAX_STATES, np.int32)
+        self.states: list[tuple] = [(_open(0, -1, 0),), ()]
         self.ids = {self.states[0]: START}
         self.table[DEAD] = DEAD << 8 | 128
         self.alike: dict[tuple, int] = {}
-        self.alias: dict[tuple[int, int], int] = {}
+        self.alias: dict[int, int] = {}
 
     def keeps_apart(self, left: int, right: int) -> bool:
         """Does BPE leave the two tokens apart when one follows the other?"""
@@ -164,7 +176,7 @@ class Transducer:
 
     def _stand_in(self, node: int, before: int) -> int:
         """A token that allows the same tokens below the node as ``before`` does, or -2 if none is allowed."""
-        known = self.alias.get((node, before))
+        known = self.alias.get(node << BEFORE_BITS | before)
         if known is None:
             tokens = self.ordered[self.first[node] : self.end[node]]
             if len(tokens) > WIDE:
@@ -172,13 +184,14 @@ class Transducer:
             else:
                 allowed = tuple(t for t in tokens if self.keeps_apart(before, t))
                 known = self.alike.setdefault((node, allowed), before) if allowed else -2
-            self.alias[node, before] = known
+            self.alias[node << BEFORE_BITS | before] = known
         return known
 
     def _step(self, state: int, byte: int) -> None:
-        """Make one transition. A state is the list of open token starts: (trie node, last token before, its count)."""
+        """Make one transition. A state is the list of open token starts: trie node, last token before, its count."""
         open_starts, token, count = [], -1, 0
-        for node, before, rel in self.states[state]:
+        for start in self.states[state]:
+            node, before, rel = start >> BEFORE_BITS + 16, (start >> 16 & (1 << BEFORE_BITS) - 1) - 1, (start & 0xFFFF) - ZERO
             to = self.child.get(node << 8 | byte)
             if to is None:
                 continue
@@ -189,26 +202,34 @@ class Transducer:
                     before = self._stand_in(to, before)
                 if before >= -1:
                     open_starts.append((to, before, rel))
-        key = (*((node, before, rel - count) for node, before, rel in open_starts), (0, token, 0))
+        key = (*(_open(node, before, rel - count) for node, before, rel in open_starts), _open(0, token, 0))
         new = self.ids.get(key)
         if new is None:
             new = len(self.states)
             if new >= MAX_STATES:
                 raise TableFull
-            if new >= len(self.table):
-                self.table = np.concatenate([self.table, np.full_like(self.table, -1)])
-                self.last = np.concatenate([self.last, np.full_like(self.last, -1)])
             self.ids[key] = new
             self.states.append(key)
             self.last[new] = token
-        self.table[state, byte] = new << 8 | count + 128
+        self.table[state, self.column[byte]] = new << 8 | count + 128
+
+    def _columns(self, data: np.ndarray) -> np.ndarray:
+        """The column of every byte; bytes met for the first time get one."""
+        for byte in np.flatnonzero(np.bincount(data, minlength=256) * (self.column < 0)).tolist():
+            if len(self.met) == self.table.shape[1]:
+                self.table = np.concatenate([self.table, np.zeros_like(self.table)], axis=1)
+                self.table[DEAD] = DEAD << 8 | 128
+            self.column[byte] = len(self.met)
+            self.met.append(byte)
+        return self.column[data]
 
-    def _advance(self, state: np.ndarray, byte: np.ndarray) -> np.ndarray:
-        at = (state << 8) + byte
+    def _advance(self, state: np.ndarray, column: np.ndarray) -> np.ndarray:
+        width = self.table.shape[1]
+        at = state * width + column
         out = self.table.reshape(-1)[at]
-        if len(out) and out.min() < 0:
-            for pair in np.unique(at[out < 0]).tolist():
-                self._step(pair >> 8, pair & 255)
+        if len(out) and not out.min():
+            for pair in np.unique(at[out == 0]).tolist():
+                self._step(pair // width, self.met[pair % width])
             out = self.table.reshape(-1)[at]
         return out
 
@@ -217,7 +238,7 @@ class Transducer:
         n = len(data)
         lanes = max(1, -(-n // CHUNK))
         padded = np.zeros(lanes * CHUNK, np.uint8)
-        padded[:n] = data
+        padded[:n] = self._columns(data)
         marks = np.full(lanes * CHUNK, 0, np.uint8)
         marks[:n] = mark
         marks[n:] = 2
@@ -342,18 +363,20 @@ class Transducer:
         """One very long pre-token with more states than the table holds: the table starts anew on the way."""
         counts, last = np.empty(len(data), np.int16), np.empty(len(data), np.int32)
         state = START
+        self._columns(data)
         for i, byte in enumerate(data.tolist()):
-            if self.table[state, byte] < 0:
+            if not self.table[state, self.column[byte]]:
                 try:
                     self._step(state, byte)
                 except TableFull:
                     here = self.states[state]
                     self.clear()
+                    self._columns(data)
                     state = self.ids.setdefault(here, 2)
                     if state == 2:
                         self.states.append(here)
                     self._step(state, byte)
-            packed = int(self.table[state, byte])
+            packed = int(self.table[state, self.column[byte]])
             state = packed >> 8
             counts[i] = (packed & 255) - 128
             last[i] = self.last[state]
@@ -381,7 +404,7 @@ class Transducer:
             for begin, end, token in specials:
                 counts[begin], last[end - 1] = 1, token
             begin = np.flatnonzero(mark)
-            end = np.append(begin[1:], len(data))
+            end = np.append(begin[1:], len(data))[: len(begin)]
             total = np.concatenate([[0], np.cumsum(counts, dtype=np.int64)])
             ids = np.empty(int(total[-1]), np.int32)
             at, slot = end - 1, total[end] - 1  # walk back from the end of each pre-token

@@ -4,8 +4,9 @@ from __future__ import annotations
 
 import os
 import uuid
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 from pathlib import Path
+from typing import TypeVar
 
 import numpy as np
 import pyarrow as pa
@@ -13,6 +14,8 @@ import xxhash
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+T = TypeVar("T")
+
 # ASCII letters.
 UPPER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ"
 ASCII_LOWER = bytes.maketrans(UPPER.encode(), UPPER.lower().encode())
@@ -52,8 +55,34 @@ def blocks_of(part: pa.RecordBatch, size: int, text: int = -1) -> Iterator[list[
         yield block
 
 
-def package_on_workers(spark: SparkSession) -> None:
-    """Let Python workers on this machine find the package where the driver found it; a cluster is given it with --py-files."""
+_HELD: dict = {}
+
+
+def hold(name: str, make: Callable[[], T]) -> T:
+    """One large object a worker process, kept from task to task until another or :func:`release` takes its place."""
+    if name not in _HELD:
+        _HELD.clear()
+        _HELD[name] = make()
+    return _HELD[name]
+
+
+def release() -> None:
+    """Called by tasks that hold nothing: what an earlier operator left in this worker goes."""
+    _HELD.clear()
+
+
+#: Bytes of an Arrow batch on its way to a Python worker and back; each running task holds a few.
+BATCH_BYTES = 8 << 20
+
+
+def prepare(spark: SparkSession) -> None:
+    """What the operators' Python workers need of the session: small batches, and the package.
+
+    Workers on this machine look for the package where the driver found it; a
+    cluster is given it with --py-files. Batch size is bounded by bytes, since a
+    row may hold a text of any length.
+    """
+    spark.conf.set("spark.sql.execution.arrow.maxBytesPerBatch", str(BATCH_BYTES))
     root = str(Path(__file__).resolve().parents[2])
     environment = spark.sparkContext.environment
     paths = [p for p in environment.get("PYTHONPATH", "").split(os.pathsep) if p]

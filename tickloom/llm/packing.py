@@ -18,6 +18,7 @@ position. A neighbour is looked for within the shard.
 
 from __future__ import annotations
 
+import json
 from collections.abc import Iterator
 
 import numpy as np
@@ -26,8 +27,8 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tickloom.llm.bpe_fst import Transducer
-from tickloom.llm.common import stored, text_bytes, valid_utf8
+from tickloom.llm.bpe_fst import BLOCK, Transducer
+from tickloom.llm.common import blocks_of, release, stored, text_bytes, valid_utf8
 
 WINDOW = 2048
 END_ID = 1
@@ -36,39 +37,59 @@ SHARD_TOKENS = 1 << 20
 K1, B = 1.2, 0.75
 
 
+def id_type(vocabulary: str, end_id: int) -> str:
+    """How ids are kept between the steps: unsigned, in two bytes where all fit."""
+    with open(vocabulary, encoding="utf-8") as file:
+        spec = json.load(file)
+    largest = max([end_id, *spec["model"]["vocab"].values(), *(t["id"] for t in spec["added_tokens"])])
+    return "<u2" if largest < 1 << 16 else "<u4"
+
+
 def tokenize(docs: DataFrame, vocabulary: str, key: str = "doc_id", text: str = "text", end_id: int = END_ID) -> DataFrame:
-    """``key`` and ``ids``: the token ids and the end id as little-endian unsigned 32-bit integers."""
+    """``key`` and ``ids`` (see ``id_type``), the end id last; and for each partition one row of ``statistics`` without them.
+
+    Statistics are pairs of longs: a term and the number of documents that have
+    it; term -1 counts documents, term -2 tokens.
+    """
+    width = id_type(vocabulary, end_id)
 
     def run(parts: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         machine = Transducer.of(vocabulary)
+        names = [key, "ids", "statistics"]
+        df = np.zeros(max(len(machine.length), end_id + 1), np.int64)
+        documents, total, key_type = 0, 0, None
         for part in parts:
-            ids, counts = machine.encode(valid_utf8(part.column(1).to_pylist()))
-            begin = np.cumsum([0, *counts.tolist()])
-            with_end = np.insert(ids, begin[1:], end_id).astype("<u4")
-            cut = (begin + np.arange(len(begin))).tolist()
-            data = [with_end[a:b].tobytes() for a, b in zip(cut, cut[1:], strict=False)]
-            yield pa.record_batch([part.column(0), pa.array(data, pa.binary())], names=[key, "ids"])
+            key_type = part.column(0).type
+            for rows in blocks_of(part, BLOCK):
+                ids, counts = machine.encode(valid_utf8([data for _, data in rows]))
+                begin = np.cumsum([0, *counts.tolist()])
+                with_end = np.insert(ids, begin[1:], end_id)
+                cut = (begin + np.arange(len(begin))).tolist()
+                own = [with_end[a:b] for a, b in zip(cut, cut[1:], strict=False)]
+                for x in own:
+                    df += np.bincount(x, minlength=len(df)) > 0
+                documents, total = documents + len(own), total + len(with_end)
+                yield pa.record_batch([pa.array([k for k, _ in rows], key_type), pa.array([x.astype(width).tobytes() for x in own], pa.binary()), pa.nulls(len(own), pa.binary())], names=names)
+        if key_type is not None:
+            terms = np.flatnonzero(df)
+            pairs = np.stack([np.append(terms, [-1, -2]), np.append(df[terms], [documents, total])], 1).astype("<i8")
+            yield pa.record_batch([pa.nulls(1, key_type), pa.nulls(1, pa.binary()), pa.array([pairs.tobytes()], pa.binary())], names=names)
 
-    return docs.select(F.col(key), text_bytes(text).alias("text")).mapInArrow(run, f"`{key}` {docs.schema[key].dataType.simpleString()}, ids binary")
+    schema = f"`{key}` {docs.schema[key].dataType.simpleString()}, ids binary, statistics binary"
+    return docs.select(F.col(key), text_bytes(text).alias("text")).mapInArrow(run, schema)
 
 
 def term_statistics(tokens: DataFrame) -> DataFrame:
-    """``term`` and ``df``, the number of documents with that token id; term -1: documents, term -2: tokens."""
+    """``term`` and ``df`` over all partitions."""
 
     def run(parts: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        df, docs, total = np.zeros(0, np.int64), 0, 0
         for part in parts:
-            ids = [np.frombuffer(x, "<u4") for x in part.column(0).to_pylist()]
-            for x in ids:
-                found = np.bincount(x) > 0
-                if len(found) > len(df):
-                    df = np.pad(df, (0, len(found) - len(df)))
-                df[: len(found)] += found
-                docs, total = docs + 1, total + len(x)
-        terms = np.flatnonzero(df)
-        yield pa.record_batch([pa.array(np.append(terms, [-1, -2]), pa.int64()), pa.array(np.append(df[terms], [docs, total]), pa.int64())], names=["term", "df"])
+            for data in part.column(0).to_pylist():
+                pairs = np.frombuffer(data, "<i8").reshape(-1, 2)
+                yield pa.record_batch([pa.array(pairs[:, 0].copy()), pa.array(pairs[:, 1].copy())], names=["term", "df"])
 
-    return tokens.select("ids").mapInArrow(run, "term long, df long").groupBy("term").agg(F.sum("df").alias("df"))
+    found = tokens.filter("statistics IS NOT NULL").select("statistics")
+    return found.mapInArrow(run, "term long, df long").groupBy("term").agg(F.sum("df").alias("df"))
 
 
 class Shard:
@@ -160,8 +181,10 @@ def pack(docs: DataFrame, vocabulary: str, window: int = WINDOW, end_id: int = E
     df[list(counts)] = list(counts.values())
     statistics = spark.sparkContext.broadcast((np.log1p((documents - df + 0.5) / (df + 0.5)), min(window, total / max(documents, 1))))
     kind = docs.schema[key].dataType.simpleString()
+    width = id_type(vocabulary, end_id)
 
     def run(parts: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        release()
         idf, mean = statistics.value
         sequence = TaskContext.get().partitionId() << 32
         keys: list = []
@@ -177,7 +200,7 @@ def pack(docs: DataFrame, vocabulary: str, window: int = WINDOW, end_id: int = E
                     pa.array([keys[d] for d in doc], key_type),
                     pa.array(start, pa.int64()),
                     pa.array(list(map(len, ids)), pa.int64()),
-                    pa.array([x.tobytes() for x in ids], pa.binary()),
+                    pa.array([x.astype("<u4").tobytes() for x in ids], pa.binary()),
                     pa.array([sizes[d] for d in doc], pa.int64()),
                     pa.array(seq, pa.int64()),
                     pa.array(offset, pa.int64()),
@@ -212,8 +235,8 @@ def pack(docs: DataFrame, vocabulary: str, window: int = WINDOW, end_id: int = E
         key_type = None
         for part in parts:
             key_type = part.column(0).type
-            for doc_key, data in zip(part.column(0).to_pylist(), part.column(1).to_pylist(), strict=True):
-                ids = np.frombuffer(data, "<u4")
+            for doc_key, data in (row for rows in blocks_of(part, BLOCK) for row in rows):
+                ids = np.frombuffer(data, width)
                 doc = len(keys)
                 keys.append(doc_key)
                 sizes.append(len(ids))
@@ -230,4 +253,4 @@ def pack(docs: DataFrame, vocabulary: str, window: int = WINDOW, end_id: int = E
             yield from filled(True)
 
     schema = f"`{key}` {kind}, start long, length long, ids binary, doc_tokens long, sequence_id long, offset long"
-    return tokens.mapInArrow(run, schema)
+    return tokens.filter("ids IS NOT NULL").select(key, "ids").mapInArrow(run, schema)

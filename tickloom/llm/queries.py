@@ -2,10 +2,13 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from tickloom.llm.common import prepare
 from tickloom.llm.decontamination import contaminated
 from tickloom.llm.embeddings import near_vectors
 from tickloom.llm.language_id import predict_languages, train_language_model
@@ -18,6 +21,8 @@ from tickloom.llm.token_counts import count_tokens
 from tickloom.llm.warc import archive_pages
 from tickloom.sources import read_table
 
+Query = Callable[[SparkSession, str], DataFrame]
+
 BYTE_BPE = public_tokenizers.path("byte_bpe_50k.json")
 
 
@@ -71,7 +76,15 @@ def op10_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     return scan_licenses(read_table(spark, sf_dir, "documents"))
 
 
-QUERIES = {
+def prepared(query: Query) -> Query:
+    def run(spark: SparkSession, sf_dir: str) -> DataFrame:
+        prepare(spark)
+        return query(spark, sf_dir)
+
+    return run
+
+
+ALL = {
     "op1_token_counts": op1_token_counts,
     "op2_packing": op2_packing,
     "op3_embedding_near_dedup": op3_embedding_near_dedup,
@@ -83,6 +96,7 @@ QUERIES = {
     "op9_substring_dedup": op9_substring_dedup,
     "op10_license_scan": op10_license_scan,
 }
+QUERIES = {name: prepared(query) for name, query in ALL.items()}
 SQL = {
     "op6_warc": """
         WITH p AS (
@@ -95,5 +109,24 @@ SQL = {
                CASE WHEN f.first <> p.page_id THEN f.first END AS refers_to
         FROM p LEFT JOIN f USING (digest)
     """,
+    # all pairs, and all that each vector reaches: for tables of some thousand vectors
+    "op3_embedding_near_dedup": """
+        WITH RECURSIVE v AS (SELECT vec_id, CAST(embedding AS DOUBLE[]) AS e FROM embeddings),
+        good AS (
+            SELECT vec_id, e, sqrt(list_dot_product(e, e)) AS norm FROM v
+            WHERE len(e) > 0 AND len(list_filter(e, lambda x: x IS NULL OR isnan(x) OR isinf(x))) = 0
+              AND len(list_filter(e, lambda x: x <> 0)) > 0
+        ),
+        links AS (
+            SELECT a.vec_id AS a, b.vec_id AS b FROM good a JOIN good b ON a.vec_id <> b.vec_id AND len(a.e) = len(b.e)
+            WHERE list_dot_product(a.e, b.e) / (a.norm * b.norm) >= 0.9
+        ),
+        reached AS (SELECT a, b FROM links UNION SELECT r.a, l.b FROM reached r JOIN links l ON r.b = l.a),
+        counts AS (SELECT a, count(*) AS n FROM links GROUP BY a),
+        firsts AS (SELECT a, min(b) AS first FROM reached GROUP BY a)
+        SELECT v.vec_id, coalesce(n, 0) AS n_links, least(v.vec_id, coalesce(first, v.vec_id)) AS component_id,
+               v.vec_id = least(v.vec_id, coalesce(first, v.vec_id)) AS kept
+        FROM v LEFT JOIN counts ON counts.a = v.vec_id LEFT JOIN firsts ON firsts.a = v.vec_id
+    """,
     "op10_license_scan": scan_sql(),
 }

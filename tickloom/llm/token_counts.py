@@ -8,8 +8,8 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tickloom.llm.bpe_fst import Transducer
-from tickloom.llm.common import text_bytes, valid_utf8
+from tickloom.llm.bpe_fst import BLOCK, Transducer
+from tickloom.llm.common import blocks_of, text_bytes, valid_utf8
 
 
 def count_tokens(docs: DataFrame, vocabulary: str, limit: int = 512, key: str = "doc_id", text: str = "text") -> DataFrame:
@@ -27,9 +27,10 @@ def count_tokens(docs: DataFrame, vocabulary: str, limit: int = 512, key: str =
     def run(parts: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         machine = Transducer.of(vocabulary)
         for part in parts:
-            texts = part.column(1).to_pylist()
-            counts = machine.count(valid_utf8(texts))
-            yield pa.record_batch([part.column(0), pa.array(list(map(len, texts)), pa.int64()), pa.array(counts, pa.int64())], names=[key, "n_bytes", "n_tokens"])
+            for rows in blocks_of(part, BLOCK):
+                texts = [data for _, data in rows]
+                counts = machine.count(valid_utf8(texts))
+                yield pa.record_batch([pa.array([k for k, _ in rows], part.column(0).type), pa.array(list(map(len, texts)), pa.int64()), pa.array(counts, pa.int64())], names=[key, "n_bytes", "n_tokens"])
 
     counted = docs.select(F.col(key), text_bytes(text).alias("text")).mapInArrow(run, schema)
     return counted.withColumn("over_limit", F.col("n_tokens") > limit)
