@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from tickloom.llm.common import stored
+from tickloom.llm.common import prepare, stored
 from tickloom.llm.decontamination import decontaminate
 from tickloom.llm.language_id import recognised, train_language_model
 from tickloom.llm.lm_scoring import held_out_column
@@ -14,32 +14,37 @@ from tickloom.llm.simhash import keep_one_of_each
 from tickloom.llm.substrings import remove_repeats
 
 #: A text whose best language is less likely than this is rejected.
-LEAST_SCORE = 0.5
+LEAST_SCORE = 0.4
 
 
 def known_language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents whose language is recognised; texts without a letter go."""
+    prepare(spark)
     model = train_language_model(docs, ~held_out_column("doc_id", 4, 2))
     return recognised(docs, model, LEAST_SCORE)
 
 
 def one_of_each(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """One document of each group of near-duplicates."""
+    prepare(spark)
     return keep_one_of_each(docs)
 
 
 def passages_once(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Repeated passages in their first document only."""
+    prepare(spark)
     return remove_repeats(docs)
 
 
 def without_benchmark(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that share no passage with the benchmark."""
+    prepare(spark)
     return decontaminate(docs, spark.read.parquet(f"{sf_dir}/benchmark.parquet"))
 
 
 def packed(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Pieces of training sequences."""
+    prepare(spark)
     return piece_digests(pack(docs, BYTE_BPE))
 
 

@@ -25,7 +25,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tickloom.llm.common import Numbers, blocks_of, stored, text_bytes
+from tickloom.llm.common import Numbers, blocks_of, release, stored, text_bytes
 
 WINDOW = 13
 SHORTEST = 8
@@ -139,6 +139,7 @@ def contaminated(docs: DataFrame, benchmark: DataFrame, key: str = "doc_id", tex
     kind = docs.schema[key].dataType.simpleString()
 
     def run(parts: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        release()
         bitmap = held.value
         for part in parts:
             for block in blocks_of(part, BLOCK):

@@ -22,7 +22,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tickloom.llm.bpe_fst import LETTER, char_classes
-from tickloom.llm.common import text_bytes
+from tickloom.llm.common import blocks_of, release, text_bytes
 
 FEATURES = 1 << 16
 NGRAMS = 4
@@ -33,6 +33,8 @@ ALPHA, BETA, L1, L2 = 0.5, 1.0, 0.02, 0.001
 UNKNOWN = "und"
 #: Characters taken at once of a long text.
 PART = 1 << 20
+#: Bytes of text taken at once.
+BLOCK = 2 << 20
 
 
 def features(text: bytes) -> tuple[np.ndarray, np.ndarray]:
@@ -145,9 +147,10 @@ def train_language_model(docs: DataFrame, training: Column, label: str = "lang",
         return LanguageModel([], np.zeros(FEATURES), np.zeros((FEATURES, 0), np.float32), np.zeros(0))
 
     def frequencies(parts: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        release()
         df, docs = np.zeros(FEATURES, np.int64), 0
         for part in parts:
-            for data in part.column(0).to_pylist():
+            for (data,) in (row for block in blocks_of(part, BLOCK) for row in block):
                 df[features(data)[0]] += 1
                 docs += 1
         used = np.flatnonzero(df)
@@ -188,6 +191,7 @@ def language_column(docs: DataFrame, model: LanguageModel, text: str = "text") -
 
     @F.pandas_udf("lang_pred string, score double")
     def predict(texts: pd.Series) -> pd.DataFrame:
+        release()
         return pd.DataFrame([held.value.predict(t) for t in texts], columns=["lang_pred", "score"])
 
     return predict(text_bytes(text))

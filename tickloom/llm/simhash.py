@@ -19,7 +19,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tickloom.llm.buckets import forest, links_in_buckets
-from tickloom.llm.common import space_words, stored, text_bytes
+from tickloom.llm.common import release, space_words, stored, text_bytes
 from tickloom.llm.components import connected_components
 
 BITS = 64
@@ -53,6 +53,7 @@ def fingerprint(text: bytes, shingle: int = SHINGLE) -> int:
 def fingerprint_column(text: str = "text", shingle: int = SHINGLE) -> Column:
     @F.pandas_udf("long")
     def simhash(texts: pd.Series) -> pd.Series:
+        release()
         return pd.Series([fingerprint(t, shingle) for t in texts], dtype="int64")
 
     return simhash(text_bytes(text))

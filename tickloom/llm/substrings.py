@@ -26,7 +26,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tickloom.llm.buckets import links_in_buckets
-from tickloom.llm.common import ASCII_LOWER, space_words, stored, text_bytes
+from tickloom.llm.common import ASCII_LOWER, blocks_of, hashes_of, release, space_words, stored, text_bytes
 from tickloom.llm.components import connected_components
 
 SHINGLE = 5
@@ -37,31 +37,16 @@ MIN_WORDS = 24
 LONG_LINE = 50
 PIECE = 6
 #: Bytes of text taken at once.
-BLOCK = 4 << 20
-#: Words whose hashes a worker remembers.
-KNOWN_WORDS = 1 << 19
+BLOCK = 1 << 20
 LINE, CUT = 0, 1
 
 OCCURRENCES = "doc long, id {id}, kind int, `begin` int, `end` int, words int, node long, body binary, bands array<long>"
 
 
-class WordHashes(dict):
-    def __missing__(self, word: bytes) -> int:
-        if len(self) >= KNOWN_WORDS:
-            self.clear()
-        value = self[word] = xxhash.xxh64_intdigest(word)
-        return value
-
-
-HASHES = WordHashes()
 # Odd multipliers of the hash functions, from a seeded generator.
 MULTIPLIERS = np.random.default_rng(17).integers(1 << 62, 1 << 63, BANDS * BAND_ROWS + SHINGLE, dtype=np.uint64) * 2 + 1
 
 
-def word_hashes(words: list[bytes]) -> np.ndarray:
-    return np.fromiter(map(HASHES.__getitem__, words), np.uint64, len(words))
-
-
 def shingle_hashes(words: np.ndarray, size: int = SHINGLE) -> np.ndarray:
     """One hash for each window of ``size`` words."""
     count = len(words) - size + 1
@@ -121,39 +106,43 @@ def occurrences(docs: DataFrame, key: str, text: str, min_words: int) -> DataFra
     def rows(block: list[tuple]) -> pa.RecordBatch:
         doc, ids, kinds, begins, ends, sizes, nodes, bodies = ([] for _ in range(8))
         shingles, first, total, lines = [], [], 0, []
+        paragraphs, flat = [], []
         for number, row_id, data in block:
             at = 0
             for line in data.split(b"\n"):
                 words = space_words(line)
                 if len(words) >= min_words:
-                    h = word_hashes(words)
-                    body = b" ".join(words)
-                    lines.append(len(doc))
+                    paragraphs.append((number, row_id, at, line, words, len(flat)))
+                    flat += words
+                at += len(line) + 1
+        hashes = hashes_of(flat)
+        for number, row_id, at, line, words, k in paragraphs:
+            h = hashes[k : k + len(words)]
+            body = b" ".join(words)
+            lines.append(len(doc))
+            doc.append(number)
+            ids.append(row_id)
+            kinds.append(LINE)
+            begins.append(at)
+            ends.append(at + len(line))
+            sizes.append(len(words))
+            nodes.append(xxhash.xxh64_intdigest(body))
+            bodies.append(body)
+            s = shingle_hashes(h)
+            shingles.append(s)
+            first.append(total)
+            total += len(s)
+            if len(words) > LONG_LINE:
+                place = word_places(line.translate(ASCII_LOWER), words)
+                for a, b in pieces(words, h):
                     doc.append(number)
                     ids.append(row_id)
-                    kinds.append(LINE)
-                    begins.append(at)
-                    ends.append(at + len(line))
-                    sizes.append(len(words))
-                    nodes.append(xxhash.xxh64_intdigest(body))
-                    bodies.append(body)
-                    s = shingle_hashes(h)
-                    shingles.append(s)
-                    first.append(total)
-                    total += len(s)
-                    if len(words) > LONG_LINE:
-                        lower = line.translate(ASCII_LOWER)
-                        place = word_places(lower, words)
-                        for a, b in pieces(words, h):
-                            doc.append(number)
-                            ids.append(row_id)
-                            kinds.append(CUT)
-                            begins.append(at + place[a])
-                            ends.append(at + place[b - 1] + len(words[b - 1]))
-                            sizes.append(b - a)
-                            nodes.append(xxhash.xxh64_intdigest(b" ".join(words[a:b]), 1))
-                            bodies.append(None)
-                at += len(line) + 1
+                    kinds.append(CUT)
+                    begins.append(at + place[a])
+                    ends.append(at + place[b - 1] + len(words[b - 1]))
+                    sizes.append(b - a)
+                    nodes.append(xxhash.xxh64_intdigest(b" ".join(words[a:b]), 1))
+                    bodies.append(None)
         bands: list = [None] * len(doc)
         if lines:
             for k, band in zip(lines, band_keys(np.concatenate(shingles), np.array(first)).tolist(), strict=True):
@@ -165,16 +154,10 @@ def occurrences(docs: DataFrame, key: str, text: str, min_words: int) -> DataFra
 
     def run(parts: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         nonlocal id_type
+        release()
         for part in parts:
             id_type = part.column(1).type
-            block, size = [], 0
-            for row in zip(*(c.to_pylist() for c in part.columns), strict=True):
-                block.append(row)
-                size += len(row[2])
-                if size >= BLOCK:
-                    yield rows(block)
-                    block, size = [], 0
-            if block:
+            for block in blocks_of(part, BLOCK):
                 yield rows(block)
 
     return docs.select(doc_hash(key, text).alias("doc"), F.col(key).alias("id"), text_bytes(text).alias("text")).mapInArrow(run, schema)
