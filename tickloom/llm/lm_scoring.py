@@ -23,6 +23,7 @@ from __future__ import annotations
 
 from collections import Counter
 from collections.abc import Iterator
+from itertools import repeat
 
 import numpy as np
 import pyarrow as pa
@@ -31,7 +32,7 @@ from pyspark import TaskContext
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tickloom.llm.common import Numbers, blocks_of, space_words, stored, text_bytes
+from tickloom.llm.common import Numbers, blocks_of, release, space_words, stored, text_bytes
 
 FILTER_BITS = 1 << 29
 #: The filter travels in so many chunks, by the top bits of the n-gram's hash.
@@ -40,13 +41,13 @@ BITS_PER_EVENT = 6
 HASHES = 4
 MU = 16.0
 #: Words whose counts every worker holds.
-FREQUENT = 1 << 18
+FREQUENT = 1 << 17
 #: N-grams a task gathers before it passes them on.
-GATHER = 1 << 22
+GATHER = 1 << 20
 #: About so many bytes of text for each part of the n-gram counts.
 PART_BYTES = 6 << 20
 #: Bytes of text scored at once.
-BLOCK = 2 << 20
+BLOCK = 1 << 20
 #: The end of a text as a word; no word has a space.
 END, BEGIN = b" ", b"  "
 
@@ -172,6 +173,7 @@ def count_ngrams(texts: DataFrame, parts_bits: int) -> DataFrame:
         return (keys >> shift).astype(np.int64) if parts_bits else np.zeros(len(keys), np.int64)
 
     def run(parts: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        release()
         held: list[tuple[np.ndarray, np.ndarray]] = []
         words: Counter = Counter()
         size = 0
@@ -347,7 +349,7 @@ def score_texts(docs: DataFrame, held_out: Column, key: str = "doc_id", text: st
         def batch(rows: list[tuple], id_type: pa.DataType) -> pa.RecordBatch:
             nonlocal number
             block = Block([space_words(data) for *_, data in rows])
-            exact = np.fromiter((table.get(w, -1) for w in block.words), np.int64, len(block.words))
+            exact = np.fromiter(map(table.get, block.words, repeat(-1)), np.int64, len(block.words))
             log_base = np.where(exact > 0, np.log10(np.maximum(exact, 0) + 0.1) - np.log10(denominator), 0.0)
             base = np.add.reduceat(log_base[block.word], block.first)
             n_known = np.add.reduceat((exact > 0)[block.word].astype(np.int64), block.first)
