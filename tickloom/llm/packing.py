@@ -66,8 +66,9 @@ def tokenize(docs: DataFrame, vocabulary: str, key: str = "doc_id", text: str =
                 with_end = np.insert(ids, begin[1:], end_id)
                 cut = (begin + np.arange(len(begin))).tolist()
                 own = [with_end[a:b] for a, b in zip(cut, cut[1:], strict=False)]
-                for x in own:
-                    df += np.bincount(x, minlength=len(df)) > 0
+                pairs = np.sort(np.repeat(np.arange(len(own)), np.diff(cut)) * len(df) + with_end)  # (document, term)
+                first = np.append(True, pairs[1:] != pairs[:-1])
+                df += np.bincount(pairs[first] % len(df), minlength=len(df))
                 documents, total = documents + len(own), total + len(with_end)
                 yield pa.record_batch([pa.array([k for k, _ in rows], key_type), pa.array([x.astype(width).tobytes() for x in own], pa.binary()), pa.nulls(len(own), pa.binary())], names=names)
         if key_type is not None:
