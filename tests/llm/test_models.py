@@ -89,6 +89,13 @@ def test_levels_that_do_not_fit_are_left_out(table):
     assert len(result) == 40 and all(math.isfinite(r.score) and r.score < 0 for r in result)
 
 
+def test_no_level_is_left_out(table):
+    """A filter that is asked to be small grows with what is put in: known pairs and words of count one keep their scores."""
+    docs = table([(k, "often often often " * 20 + prose(200, k)) for k in range(40)])
+    roomy, small = ({r.doc_id: r.score for r in score_texts(docs, F.lit(False), bits=b).collect()} for b in (SMALL, 1 << 14))
+    assert all(abs(small[k] - roomy[k]) < 0.02 * abs(roomy[k]) for k in roomy)
+
+
 GERMAN = "der die das und nicht mit für über straße größe wir haben schön"
 FRENCH = "le la les des une être où déjà garçon avec nous très mais"
 SPANISH = "el los las una niño está qué mañana con por para según"

@@ -1,29 +1,28 @@
 """A bigram language model in a log-frequency Bloom filter.
 
-Counts are quantised on a scale that grows by half, and an n-gram of level q is
-in the filter once for each level up to q. A reader probes level 1, 2, ... until
-one is missing; the level reached stands for the middle of its counts. The
-filter has a fixed number of bits whatever the corpus, so it can be sent to
-every worker. It takes every n-gram as long as there are ``BITS_PER_EVENT`` bits
-for each insertion; a corpus with more leaves out the levels at the bottom that
-do not fit, which back off to the word's own probability.
+Counts are quantised on a scale that grows by half, and a pair of words of level
+q is in the filter once for each level up to q. A reader probes level 1, 2, ...
+until one is missing; the level reached stands for the middle of its counts. The
+filter is in parts by the pair's hash, and a part has ``BITS_PER_EVENT`` bits or
+more for each of its insertions, so every pair is in it whatever the corpus. No
+task holds more than one part: the number of parts follows the text, and the
+different pairs of a block of texts travel to their parts and their levels back.
 
-The n-grams are counted in sorted blocks of hashes, dealt by hash; the number of
-parts follows the number of tokens. A document's probability is the product of
+A document's probability is the product of
 
     (count(history, word) + MU * p(word)) / (count(history) + MU)
 
-with all counts from the filter and p as below. Apart from that, each document
-gets its exact unigram score: words are counted in full; the counts of the
-``FREQUENT`` most frequent ones are sent to the workers, the occurrences of all
-others meet their counts in a join. So frequent words are never shuffled.
+with the pair's count from the filter and those of words exact, as in p below.
+Apart from that, each document gets its exact unigram score. The counts of the
+``FREQUENT`` most frequent words are sent to the workers; those of all others
+are asked for with the pairs. So frequent words are never shuffled.
 """
 
 from __future__ import annotations
 
 from collections import Counter
 from collections.abc import Iterator
-from itertools import repeat
+from itertools import chain, repeat
 
 import numpy as np
 import pyarrow as pa
@@ -34,9 +33,12 @@ from pyspark.sql import functions as F
 
 from tickloom.llm.common import Numbers, blocks_of, release, space_words, stored, text_bytes
 
-FILTER_BITS = 1 << 29
-#: The filter travels in so many chunks, by the top bits of the n-gram's hash.
+#: The least bits of a part's filter.
+FILTER_BITS = 1 << 12
+#: A part's filter is in so many chunks, by the top bits of the n-gram's hash in the part.
 CHUNKS = 64
+#: Bytes of an n-gram's hash that a part sees, after the bits that name the part.
+KEY_BYTES = 5
 BITS_PER_EVENT = 6
 HASHES = 4
 MU = 16.0
@@ -47,7 +49,7 @@ GATHER = 1 << 20
 #: About so many bytes of text for each part of the n-gram counts.
 PART_BYTES = 6 << 20
 #: Bytes of text scored at once.
-BLOCK = 1 << 20
+BLOCK = 4 << 20
 #: The end of a text as a word; no word has a space.
 END, BEGIN = b" ", b"  "
 
@@ -76,22 +78,53 @@ def _mix(x: np.ndarray) -> np.ndarray:
 class Block:
     """Some texts as numbers: their different words, and the pairs of a history (the word before, or the begin) and a word."""
 
-    def __init__(self, texts: list[list[bytes]]):
-        flat = [w for words in texts for w in (BEGIN, *words, END)]
-        number = Numbers()
-        ids = np.fromiter(map(number.__getitem__, flat), np.int64, len(flat))
-        self.words = list(number)
-        hashes = np.fromiter(map(xxhash.xxh64_intdigest, self.words), np.uint64, len(self.words))
-        self.word_keys = _mix(hashes)  # as word_keys has them
-        self.sizes = np.array([len(words) + 1 for words in texts])
-        self.first = np.cumsum([0, *self.sizes[:-1].tolist()])
+    def __init__(self, words: bytes, numbers: bytes, sizes: list[int]):
+        """``words``: the different words, one a line; ``numbers``: theirs in all texts, each after BEGIN; ``sizes``: words of each text and its end."""
+        self.words = words.split(b"\n")
+        flat = np.frombuffer(numbers, "<u4").astype(np.int64)
+        self.sizes = np.array(sizes)
+        self.first = np.cumsum([0, *sizes[:-1]])
         is_word = np.ones(len(flat), bool)
-        is_word[self.first + np.arange(len(texts))] = False
-        self.word = ids[is_word]
-        self.history = np.append(ids[:1], ids[:-1])[is_word]
-        pairs, self.pair, self.pair_counts = np.unique(self.history * len(self.words) + self.word, return_inverse=True, return_counts=True)
-        self.pair_keys = _mix(hashes[pairs // len(self.words)] * MULTIPLIERS[2] + hashes[pairs % len(self.words)] * MULTIPLIERS[3])
-        self.word_counts = np.bincount(ids, minlength=len(self.words))
+        is_word[self.first + np.arange(len(sizes))] = False
+        self.word = flat[is_word]
+        self.history = np.append(flat[:1], flat[:-1])[is_word]
+
+    def pairs(self, at: np.ndarray | slice = slice(None)) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """Keys of the different pairs at some places, which of them each place has, and the places of each."""
+        hashes = np.fromiter(map(xxhash.xxh64_intdigest, self.words), np.uint64, len(self.words))
+        pairs, own, times = np.unique(self.history[at] * len(self.words) + self.word[at], return_inverse=True, return_counts=True)
+        return _mix(hashes[pairs // len(self.words)] * MULTIPLIERS[2] + hashes[pairs % len(self.words)] * MULTIPLIERS[3]), own, times
+
+
+BLOCKS = "block long, ids array<{id}>, held_out array<boolean>, sizes array<long>, words binary, numbers binary"
+
+
+def blocks_table(rows: DataFrame, kind: str) -> DataFrame:
+    """``id``, ``held_out`` and ``text`` in blocks, as :class:`Block` takes them."""
+
+    def run(parts: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        release()
+        block = TaskContext.get().partitionId() << 33
+        for part in parts:
+            for rows in blocks_of(part, BLOCK):
+                texts = [space_words(data) for *_, data in rows]
+                number = Numbers()
+                size = sum(map(len, texts)) + 2 * len(texts)
+                flat = np.fromiter(map(number.__getitem__, chain.from_iterable((BEGIN, *words, END) for words in texts)), "<u4", size)
+                yield pa.record_batch(
+                    [
+                        pa.array([block], pa.int64()),
+                        pa.array([[r[0] for r in rows]], pa.list_(part.column(0).type)),
+                        pa.array([[r[1] for r in rows]], pa.list_(pa.bool_())),
+                        pa.array([[len(words) + 1 for words in texts]], pa.list_(pa.int64())),
+                        pa.array([b"\n".join(number)], pa.binary()),
+                        pa.array([flat.tobytes()], pa.binary()),
+                    ],
+                    names=["block", "ids", "held_out", "sizes", "words", "numbers"],
+                )
+                block += 1
+
+    return rows.mapInArrow(run, BLOCKS.format(id=kind))
 
 
 def _events(keys: np.ndarray, level: int) -> np.ndarray:
@@ -150,7 +183,7 @@ def summed(keys: np.ndarray, n: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     return keys[first], np.add.reduceat(n[order].astype(np.int64), first)
 
 
-COUNTED = "part long, keys binary, levels binary, sizes array<long>, words binary, times binary, word_sizes array<long>, tokens long"
+COUNTED = "part long, filter binary, top int, words binary, times binary, word_sizes array<long>, tokens long"
 
 
 def scale_of(n: np.ndarray) -> np.ndarray:
@@ -158,20 +191,36 @@ def scale_of(n: np.ndarray) -> np.ndarray:
     return np.floor(np.log2(n) * 16).astype(np.int64)
 
 
-def count_ngrams(texts: DataFrame, parts_bits: int) -> DataFrame:
-    """One row for each part of the hash space that has any n-gram.
+def owners(keys: np.ndarray, parts_bits: int) -> np.ndarray:
+    """The part of each key, by its top bits."""
+    return (keys >> np.uint64(64 - parts_bits)).astype(np.int64) if parts_bits else np.zeros(len(keys), np.int64)
+
+
+def in_part(keys: np.ndarray, parts_bits: int) -> np.ndarray:
+    """Keys as their part sees them: without the bits that name the part, KEY_BYTES from the top."""
+    return keys << np.uint64(parts_bits) & ~np.uint64((1 << 64 - 8 * KEY_BYTES) - 1)
+
+
+def packed_keys(keys: np.ndarray) -> bytes:
+    return keys.astype(">u8").view(np.uint8).reshape(-1, 8)[:, :KEY_BYTES].tobytes()
+
 
-    ``keys`` are the sorted hashes of its words and pairs, ``levels`` their
-    quantised counts and ``sizes`` how many there are of each level; ``words``
-    its words, one a line, ``times`` their exact counts, ``word_sizes`` how many
-    there are of each step of ``scale_of``, and ``tokens`` the sum.
+def unpacked_keys(data: bytes) -> np.ndarray:
+    out = np.zeros((len(data) // KEY_BYTES, 8), np.uint8)
+    out[:, :KEY_BYTES] = np.frombuffer(data, np.uint8).reshape(-1, KEY_BYTES)
+    return out.view(">u8").reshape(-1).astype(np.uint64)
+
+
+def count_ngrams(blocks: DataFrame, parts_bits: int, bits: int = FILTER_BITS) -> DataFrame:
+    """One row for each part of the hash space that has anything of the texts that are not held out.
+
+    ``filter`` are the bits of its pairs (see :class:`LogBloom`), ``bits`` or as
+    many more as they need, and ``top`` the highest level; ``words`` its words,
+    one a line, ``times`` their exact counts, ``word_sizes`` how many there are
+    of each step of ``scale_of``, and ``tokens`` the sum.
     """
-    shift = np.uint64(64 - parts_bits)
     count = 1 << parts_bits
 
-    def owners(keys: np.ndarray) -> np.ndarray:
-        return (keys >> shift).astype(np.int64) if parts_bits else np.zeros(len(keys), np.int64)
-
     def run(parts: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         release()
         held: list[tuple[np.ndarray, np.ndarray]] = []
@@ -180,9 +229,9 @@ def count_ngrams(texts: DataFrame, parts_bits: int) -> DataFrame:
 
         def batch() -> pa.RecordBatch:
             keys, n = summed(np.concatenate([k for k, _ in held]), np.concatenate([n for _, n in held]))
-            cuts = np.searchsorted(owners(keys), np.arange(count + 1))
+            cuts = np.searchsorted(owners(keys, parts_bits), np.arange(count + 1))
             listed = list(words)
-            owner = owners(word_keys(listed))
+            owner = owners(word_keys(listed), parts_bits)
             order = np.argsort(owner, kind="stable")
             times = np.fromiter(words.values(), np.int64, len(words))[order].astype("<u4")
             word_cuts = np.searchsorted(owner[order], np.arange(count + 1))
@@ -200,14 +249,18 @@ def count_ngrams(texts: DataFrame, parts_bits: int) -> DataFrame:
             )
 
         for part in parts:
-            for rows in blocks_of(part, BLOCK):
-                block = Block([space_words(data) for (data,) in rows])
-                held += [(block.word_keys, block.word_counts), (block.pair_keys, block.pair_counts)]
+            for held_out, sizes, listed, numbers in zip(*(c.to_pylist() for c in part.columns), strict=True):
+                block = Block(listed, numbers, sizes)
+                own = np.flatnonzero(np.repeat(~np.array(held_out, bool), block.sizes))
+                if not len(own):
+                    continue
+                keys, _, times = block.pairs(own)
+                held.append((keys, times))
                 # added to what is there; zip keeps the loop in C
-                for word, n in zip(block.words, block.word_counts.tolist(), strict=True):
-                    words[word] += n
-                words.pop(BEGIN, None)
-                size += len(block.word_keys) + len(block.pair_keys)
+                for word, n in zip(block.words, np.bincount(block.word[own], minlength=len(block.words)).tolist(), strict=True):
+                    if n:
+                        words[word] += n
+                size += len(keys)
                 if size >= GATHER:
                     yield batch()
                     held, size = [], 0
@@ -220,18 +273,23 @@ def count_ngrams(texts: DataFrame, parts_bits: int) -> DataFrame:
         n = np.concatenate([np.frombuffer(x, "<u4") for x in table.column("counts").to_pylist()])
         keys, total = summed(keys, n) if len(keys) else (keys, n)
         level = np.searchsorted(LEVELS, total, side="right").astype(np.uint8)
+        filter_bits = max(bits, 1 << (BITS_PER_EVENT * int(level.sum(dtype=np.int64))).bit_length())
+        keys = in_part(keys, parts_bits)
+        cuts = np.searchsorted(chunk_of(keys), np.arange(CHUNKS + 1, dtype=np.uint64))
+        chunks = [filled(keys[a:b], level[a:b], filter_bits // 64 // CHUNKS) for a, b in zip(cuts, cuts[1:], strict=False)]
         words: dict[bytes, int] = {}
         for listed, times in zip(table.column("words").to_pylist(), table.column("times").to_pylist(), strict=True):
             if times:
                 for word, n in zip(listed.split(b"\n"), np.frombuffer(times, "<u4").tolist(), strict=True):
                     words[word] = words.get(word, 0) + n
         times = np.fromiter(words.values(), "<i8", len(words))
-        columns = [key[0].as_py(), keys.tobytes(), level.tobytes(), np.bincount(level, minlength=len(LEVELS) + 1).tolist(), b"\n".join(words), times.tobytes(), np.bincount(scale_of(times), minlength=1).tolist(), int(times.sum())]
-        types = [pa.int64(), pa.binary(), pa.binary(), pa.list_(pa.int64()), pa.binary(), pa.binary(), pa.list_(pa.int64()), pa.int64()]
-        names = ["part", "keys", "levels", "sizes", "words", "times", "word_sizes", "tokens"]
+        columns = [key[0].as_py(), np.concatenate(chunks).tobytes(), int(level.max(initial=0)), b"\n".join(words), times.tobytes(), np.bincount(scale_of(times), minlength=1).tolist(), int(times.sum())]
+        types = [pa.int64(), pa.binary(), pa.int32(), pa.binary(), pa.binary(), pa.list_(pa.int64()), pa.int64()]
+        names = ["part", "filter", "top", "words", "times", "word_sizes", "tokens"]
         return pa.table([pa.array([c], t) for c, t in zip(columns, types, strict=True)], names=names)
 
-    return texts.mapInArrow(run, "part long, keys binary, counts binary, words binary, times binary").groupBy("part").applyInArrow(merge, COUNTED)
+    training = blocks.select("held_out", "sizes", "words", "numbers")
+    return training.mapInArrow(run, "part long, keys binary, counts binary, words binary, times binary").groupBy("part").applyInArrow(merge, COUNTED)
 
 
 def words_between(counted: DataFrame, least: int, most: int) -> DataFrame:
@@ -273,49 +331,37 @@ def filled(keys: np.ndarray, levels: np.ndarray, chunk_words: int) -> np.ndarray
     return words
 
 
-def build_filter(counted: DataFrame, bits: int = FILTER_BITS) -> LogBloom:
-    """The filter of what :func:`count_ngrams` counted."""
-    chunk_words = bits // 64 // CHUNKS
-    sizes = histogram(counted, "sizes")
-    events = np.cumsum((sizes * np.arange(len(sizes)))[::-1])[::-1]  # insertions of what reaches each level
-    fits = events * BITS_PER_EVENT <= bits
-    least = int(np.argmax(fits)) if fits.any() else len(sizes)
-    top = int(np.flatnonzero(sizes).max()) if sizes.any() else 0
+def order_of(keys: np.ndarray, parts_bits: int) -> tuple[np.ndarray, np.ndarray]:
+    """Places in the order in which keys are asked for, and where each part begins."""
+    owner = owners(keys, parts_bits)
+    order = np.argsort(owner, kind="stable")
+    return order, np.searchsorted(owner[order], np.arange((1 << parts_bits) + 1))
 
-    def insert(parts: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for part in parts:
-            for keys, levels in zip(*(c.to_pylist() for c in part.columns), strict=True):
-                keys, levels = np.frombuffer(keys, "<u8"), np.frombuffer(levels, np.uint8)
-                keys, levels = keys[levels >= least], levels[levels >= least]
-                cuts = np.searchsorted(chunk_of(keys), np.arange(CHUNKS + 1, dtype=np.uint64))
-                for chunk in np.flatnonzero(np.diff(cuts)).tolist():
-                    words = filled(keys[cuts[chunk] : cuts[chunk + 1]], levels[cuts[chunk] : cuts[chunk + 1]], chunk_words)
-                    yield pa.record_batch([pa.array([chunk], pa.int64()), pa.array([words.tobytes()], pa.binary())], names=["chunk", "words"])
 
-    def unite(parts: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        chunk, words = None, None
+def rare_words(block: Block, exact: np.ndarray) -> tuple[np.ndarray, list[bytes]]:
+    """Numbers of the words whose counts the workers do not hold, and the words."""
+    at = np.flatnonzero(exact < 0)
+    return at, [block.words[k] for k in at.tolist()]
 
-        def batch() -> pa.RecordBatch:
-            return pa.record_batch([pa.array([chunk], pa.int64()), pa.array([words.tobytes()], pa.binary())], names=["chunk", "words"])
 
-        for part in parts:
-            for number, data in zip(*(c.to_pylist() for c in part.columns), strict=True):
-                more = np.frombuffer(data, np.uint64)
-                if number == chunk:
-                    words = words | more
-                else:
-                    if chunk is not None:
-                        yield batch()
-                    chunk, words = number, more
-        if chunk is not None:
-            yield batch()
+def answers(asked: DataFrame, counted: DataFrame) -> DataFrame:
+    """``levels`` of the pairs and ``counts`` of the words that a block asks of a part."""
+    schema = "block long, part long, levels binary, counts binary"
 
-    schema = "chunk long, words binary"
-    made = counted.select("keys", "levels").mapInArrow(insert, schema).repartition("chunk").sortWithinPartitions("chunk").mapInArrow(unite, schema)
-    out = np.zeros(bits // 64, np.uint64)
-    for row in made.toLocalIterator():  # FILTER_BITS in all
-        out[row.chunk * chunk_words : (row.chunk + 1) * chunk_words] = np.frombuffer(row.words, np.uint64)
-    return LogBloom(out, top)
+    def answer(key: tuple, left: pa.Table, right: pa.Table) -> pa.Table:
+        asked_keys, asked_words = left.column("keys").to_pylist(), left.column("rare").to_pylist()
+        keys = unpacked_keys(b"".join(asked_keys))
+        levels, times = np.zeros(len(keys), np.int64), {}
+        for row in right.to_pylist():  # one at most
+            levels = LogBloom(np.frombuffer(row["filter"], np.uint64), row["top"]).levels(keys)
+            if row["times"]:
+                times = dict(zip(row["words"].split(b"\n"), np.frombuffer(row["times"], "<i8").tolist(), strict=True))
+        cuts = np.cumsum([0, *(len(k) // KEY_BYTES for k in asked_keys)]).tolist()
+        counts = [np.array([times.get(w, 0) for w in words.split(b"\n")] if words else [], "<i8").tobytes() for words in asked_words]
+        columns = [left.column("block").combine_chunks(), left.column("part").combine_chunks(), pa.array([levels[a:b].astype(np.uint8).tobytes() for a, b in zip(cuts, cuts[1:], strict=False)], pa.binary()), pa.array(counts, pa.binary())]
+        return pa.table(columns, names=["block", "part", "levels", "counts"])
+
+    return asked.groupBy("part").cogroup(counted.select("part", "filter", "top", "words", "times").groupBy("part")).applyInArrow(answer, schema)
 
 
 def score_texts(docs: DataFrame, held_out: Column, key: str = "doc_id", text: str = "text", bits: int = FILTER_BITS, frequent: int = FREQUENT) -> DataFrame:
@@ -328,10 +374,12 @@ def score_texts(docs: DataFrame, held_out: Column, key: str = "doc_id", text: st
     keys are scored each. Other columns are ignored.
     """
     spark = docs.sparkSession
+    kind = docs.schema[key].dataType.simpleString()
     rows = docs.select(F.col(key).alias("id"), held_out.alias("held_out"), text_bytes(text).alias("text"))
-    training = rows.filter("NOT held_out").select("text")
-    size = training.agg(F.sum(F.octet_length("text"))).first()[0] or 0
-    counted = stored(count_ngrams(training, min(20, (size // PART_BYTES).bit_length())), "ngrams")
+    training = rows.filter("NOT held_out").agg(F.count("*").alias("texts"), F.sum(F.octet_length("text")).alias("size")).first()
+    parts_bits = min(20, ((training["size"] or 0) // PART_BYTES).bit_length())
+    blocks = stored(blocks_table(rows, kind), "blocks")
+    counted = stored(count_ngrams(blocks, parts_bits, bits), "ngrams")
     tokens = counted.agg(F.sum("tokens")).first()[0] or 0
     by_scale = histogram(counted, "word_sizes")
     vocabulary = int(by_scale.sum())
@@ -339,64 +387,60 @@ def score_texts(docs: DataFrame, held_out: Column, key: str = "doc_id", text: st
     least = int(np.argmax(at_least <= frequent)) if (at_least <= frequent).any() else len(by_scale)
     table = {bytes(r.word): r.n for r in words_between(counted, least, 1 << 20).toLocalIterator()}  # at most ``frequent`` words
     denominator = tokens + 0.1 * (vocabulary + 1)
-    shared = spark.sparkContext.broadcast((table, build_filter(counted, bits)))
-    kind = docs.schema[key].dataType.simpleString()
+    shared = spark.sparkContext.broadcast(table | {BEGIN: training["texts"]})
 
-    def run(parts: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        table, bloom = shared.value
-        number = TaskContext.get().partitionId() << 33
-
-        def batch(rows: list[tuple], id_type: pa.DataType) -> pa.RecordBatch:
-            nonlocal number
-            block = Block([space_words(data) for *_, data in rows])
-            exact = np.fromiter(map(table.get, block.words, repeat(-1)), np.int64, len(block.words))
-            log_base = np.where(exact > 0, np.log10(np.maximum(exact, 0) + 0.1) - np.log10(denominator), 0.0)
-            base = np.add.reduceat(log_base[block.word], block.first)
-            n_known = np.add.reduceat((exact > 0)[block.word].astype(np.int64), block.first)
-
-            count = COUNTS[bloom.levels(block.word_keys)]
-            c_history = count[block.history]
-            c_pair = np.minimum(COUNTS[bloom.levels(block.pair_keys)][block.pair], c_history)
-            p = ((count + 0.1) / denominator)[block.word]
-            score = np.add.reduceat(np.log10((c_pair + MU * p) / (c_history + MU)), block.first)
-
-            rare: list[Counter] = [Counter() for _ in rows]
-            at = np.flatnonzero(exact[block.word] < 0)
-            owner = np.searchsorted(block.first, at, side="right") - 1
-            for k, w in zip(owner.tolist(), block.word[at].tolist(), strict=True):
-                rare[k][block.words[w]] += 1
-            out = pa.record_batch(
-                [
-                    pa.array(np.arange(number, number + len(rows))),
-                    pa.array([r[0] for r in rows], id_type),
-                    pa.array([r[1] for r in rows], pa.bool_()),
-                    pa.array(block.sizes, pa.int64()),
-                    pa.array(n_known, pa.int64()),
-                    pa.array(base),
-                    pa.array(score),
-                    pa.array([list(c) for c in rare], pa.list_(pa.binary())),
-                    pa.array([list(c.values()) for c in rare], pa.list_(pa.int64())),
-                ],
-                names=["row", "id", "held_out", "n_tokens", "known", "base", "score", "rare", "rare_n"],
-            )
-            number += len(rows)
-            return out
+    def known(block: Block) -> np.ndarray:
+        return np.fromiter(map(shared.value.get, block.words, repeat(-1)), np.int64, len(block.words))
 
+    def ask(parts: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for part in parts:
-            for rows in blocks_of(part, BLOCK):
-                yield batch(rows, part.column(0).type)
-
-    scored = stored(rows.mapInArrow(run, f"row long, id {kind}, held_out boolean, n_tokens long, known long, base double, score double, rare array<binary>, rare_n array<long>"), "scored")
-    shared.destroy()  # the scores are written
-    rest = scored.select("row", F.explode(F.arrays_zip("rare", "rare_n")).alias("w")).select("row", F.col("w.rare").alias("word"), F.col("w.rare_n").alias("times"))
-    met = rest.join(words_between(counted, 0, least), "word", "left").withColumn("n", F.coalesce("n", F.lit(0)))
-    added = met.groupBy("row").agg(F.sum(F.col("times") * F.log10((F.col("n") + 0.1) / denominator)).alias("more"), F.sum(F.when(F.col("n") > 0, F.col("times")).otherwise(0)).alias("more_known"))
-    return scored.drop("rare", "rare_n").join(added, "row", "left").select(
-        F.col("id").alias(key),
-        "held_out",
-        "n_tokens",
-        (F.col("known") + F.coalesce("more_known", F.lit(0))).alias("n_known"),
-        F.lit(tokens).cast("long").alias("train_tokens"),
-        (F.col("base") + F.coalesce("more", F.lit(0.0))).alias("base_score"),
-        "score",
-    )
+            for number, sizes, listed, numbers in zip(*(c.to_pylist() for c in part.columns), strict=True):
+                block = Block(listed, numbers, sizes)
+                keys, _, _ = block.pairs()
+                order, cuts = order_of(keys, parts_bits)
+                keys = in_part(keys[order], parts_bits)
+                _, rare = rare_words(block, known(block))
+                word_order, word_cuts = order_of(word_keys(rare), parts_bits)
+                rare = [rare[k] for k in word_order.tolist()]
+                own = np.flatnonzero(np.diff(cuts) + np.diff(word_cuts))
+                yield pa.record_batch(
+                    [
+                        pa.array(np.full(len(own), number)),
+                        pa.array(own, pa.int64()),
+                        pa.array([packed_keys(keys[cuts[p] : cuts[p + 1]]) for p in own], pa.binary()),
+                        pa.array([b"\n".join(rare[word_cuts[p] : word_cuts[p + 1]]) for p in own], pa.binary()),
+                    ],
+                    names=["block", "part", "keys", "rare"],
+                )
+
+    def score(key: tuple, left: pa.Table, right: pa.Table) -> pa.Table:
+        (row,) = left.select(["sizes", "words", "numbers"]).to_pylist()
+        block = Block(row["words"], row["numbers"], row["sizes"])
+        right = right.sort_by("part")
+        keys, pair, _ = block.pairs()
+        level = np.empty(len(keys), np.int64)
+        level[order_of(keys, parts_bits)[0]] = np.frombuffer(b"".join(right.column("levels").to_pylist()), np.uint8)
+        exact = known(block)
+        at, rare = rare_words(block, exact)
+        exact[at[order_of(word_keys(rare), parts_bits)[0]]] = np.frombuffer(b"".join(right.column("counts").to_pylist()), "<i8")
+        c_history = exact[block.history]
+        c_pair = np.minimum(COUNTS[level][pair], c_history)
+        log_p = np.log10(exact + 0.1) - np.log10(denominator)
+        p = ((exact + 0.1) / denominator)[block.word]
+        ids, held = (left.column(name).combine_chunks().flatten() for name in ("ids", "held_out"))
+        columns = [
+            ids,
+            held,
+            pa.array(block.sizes, pa.int64()),
+            pa.array(np.add.reduceat((exact > 0)[block.word].astype(np.int64), block.first)),
+            pa.array(np.full(len(block.sizes), tokens)),
+            pa.array(np.add.reduceat(log_p[block.word], block.first)),
+            pa.array(np.add.reduceat(np.log10((c_pair + MU * p) / (c_history + MU)), block.first)),
+        ]
+        return pa.table(columns, names=[name, "held_out", "n_tokens", "n_known", "train_tokens", "base_score", "score"])
+
+    name = key
+    asked = blocks.select("block", "sizes", "words", "numbers").mapInArrow(ask, "block long, part long, keys binary, rare binary")
+    found = answers(asked, counted)
+    schema = f"`{key}` {kind}, held_out boolean, n_tokens long, n_known long, train_tokens long, base_score double, score double"
+    return blocks.groupBy("block").cogroup(found.groupBy("block")).applyInArrow(score, schema)
