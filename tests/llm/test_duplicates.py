@@ -209,6 +209,19 @@ def test_passages(table):
     assert left[:45] == gone[:45] and left[-35:] == gone[-35:] and len(gone) - len(left) >= 50
 
 
+def wrapped(text, size=8):
+    words = text.split()
+    return "\n".join(" ".join(words[k : k + size]) for k in range(0, len(words), size))
+
+
+def test_passages_across_short_lines(table):
+    """Line breaks don't matter, also where no line has 24 words."""
+    verse = prose(60, 30)
+    docs = table([(1, wrapped(f"{prose(11, 31)} {verse} {prose(13, 32)}")), (2, wrapped(f"{prose(6, 33)} {verse} {prose(9, 34)}")), (3, f"{prose(70, 35)} {verse}"), (4, wrapped(prose(60, 36)))])
+    assert sorted((r.id, r.words, r.kept) for r in repeated_passages(docs).collect()) == [(1, 60, True), (2, 60, False), (3, 60, False)]
+    assert {r.doc_id: r.text.split() for r in remove_repeats(docs).collect() if r.doc_id in (2, 3)} == {2: f"{prose(6, 33)} {prose(9, 34)}".split(), 3: prose(70, 35).split()}
+
+
 def test_passages_of_odd_rows(odd, nothing):
     assert repeated_passages(odd).filter("NOT kept").count() == 0
     assert sorted(map(str, remove_repeats(odd).collect())) == sorted(map(str, odd.collect()))

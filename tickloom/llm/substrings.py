@@ -7,16 +7,20 @@ the paragraphs of the document with the smallest key stay, the others are
 removals. Two rows a band and eight bands find a pair of similarity 0.8 with
 probability 0.9997.
 
-A passage inside a longer line is no paragraph. Long lines are therefore also
-cut into pieces at places that depend on the two words before them only, so
-equal passages are cut alike wherever they stand. Equal pieces are repeats; a
-run of them counts if it has ``min_words`` words together.
+A passage need not be a paragraph: every window of ``min_words`` words of a
+text, whatever its lines and spacing, is met with those of all other documents,
+and windows that follow each other are one passage. So an equal passage of
+``min_words`` words or more is found to the word. To keep most windows from being
+shuffled, anchors are met first: a shorter window in each, the one with the
+smallest hash. Equal windows have equal anchors, so only documents that share an
+anchor with another have their windows sent. Those documents are marked in a
+bitmap of fixed size; what it lets through in vain meets nothing.
 """
 
 from __future__ import annotations
 
 from bisect import bisect_right
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 
 import numpy as np
 import pandas as pd
@@ -33,18 +37,25 @@ SHINGLE = 5
 SIMILARITY = 0.8
 BANDS, BAND_ROWS = 8, 2
 MIN_WORDS = 24
-#: Lines with more words are also cut into pieces of PIECE words at least and about 2 * PIECE on average.
-LONG_LINE = 50
-PIECE = 6
+#: About so many bytes of text for each part of the windows.
+PART_BYTES = 4 << 20
+#: Windows a task gathers before it passes them on.
+GATHER = 1 << 20
+#: Bits of the bitmap of documents, a fixed size; two are set for each.
+BITMAP_BITS = 1 << 26
 #: Bytes of text taken at once.
 BLOCK = 1 << 20
-LINE, CUT = 0, 1
+LINE, RUN = 0, 1
 
-OCCURRENCES = "doc long, id {id}, kind int, `begin` int, `end` int, words int, node long, body binary, bands array<long>"
+OCCURRENCES = "doc long, id {id}, `begin` int, `end` int, words int, node long, body binary, bands array<long>"
 
 
 # Odd multipliers of the hash functions, from a seeded generator.
 MULTIPLIERS = np.random.default_rng(17).integers(1 << 62, 1 << 63, BANDS * BAND_ROWS + SHINGLE, dtype=np.uint64) * 2 + 1
+STEP = int(MULTIPLIERS[0])
+BACK = pow(STEP, -1, 1 << 64)
+#: Which bytes part words, as bytes.split() has them.
+BLANK = np.isin(np.arange(256), list(b" \t\n\r\v\f"))
 
 
 def shingle_hashes(words: np.ndarray, size: int = SHINGLE) -> np.ndarray:
@@ -74,38 +85,56 @@ def band_keys(shingles: np.ndarray, first: np.ndarray) -> np.ndarray:
     return keys.view(np.int64)
 
 
-def pieces(words: list[bytes], hashes: np.ndarray) -> list[tuple[int, int]]:
-    """Ranges of words between cuts; the first and the last are cut off by the line and are left out if it is cut at all."""
-    mixed = (hashes[:-1] * MULTIPLIERS[2]) ^ (hashes[1:] * MULTIPLIERS[3])
-    mixed ^= mixed >> np.uint64(33)
-    places = (np.flatnonzero(mixed * MULTIPLIERS[4] >> np.uint64(40) < np.uint64((1 << 24) // PIECE)) + 2).tolist()
-    out, begin = [], 0
-    for place in [*places, len(words)]:
-        if place - begin >= PIECE:
-            out.append((begin, place))
-            begin = place
-    return out
-
-
-def word_places(line: bytes, words: list[bytes]) -> list[int]:
-    """Where each word of the lower-cased line begins."""
-    out, at = [], 0
-    for word in words:
-        at = line.index(word, at)
-        out.append(at)
-        at += len(word)
-    return out
+def window_keys(words: np.ndarray, size: int) -> np.ndarray:
+    """One hash for each window of ``size`` words, whatever the size: a polynomial of the words' hashes from running sums."""
+    count = len(words) - size + 1
+    if count <= 0:
+        return np.zeros(0, np.uint64)
+    total = np.append(np.zeros(1, np.uint64), np.cumsum(words * np.cumprod(np.full(len(words), STEP, np.uint64))))
+    out = (total[size:] - total[:-size]) * np.cumprod(np.full(count, BACK, np.uint64))
+    out = (out ^ out >> np.uint64(32)) * MULTIPLIERS[1]
+    return out ^ out >> np.uint64(29)
+
+
+class Texts:
+    """The words of some texts: hashes, places in bytes of their text, and the text of each."""
+
+    def __init__(self, texts: list[bytes]):
+        joined = b"\n".join(texts)
+        inside = np.zeros(len(joined) + 2, np.int8)
+        inside[1:-1] = ~BLANK[np.frombuffer(joined, np.uint8)]
+        change = np.diff(inside)
+        begin, end = np.flatnonzero(change == 1), np.flatnonzero(change == -1)
+        first = np.cumsum([0, *(len(t) + 1 for t in texts[:-1])])
+        self.hashes = hashes_of(space_words(joined))
+        self.owner = np.searchsorted(first, begin, side="right") - 1
+        self.begin, self.end = begin - first[self.owner], end - first[self.owner]
+        self.number = np.arange(len(begin)) - np.searchsorted(begin, first)[self.owner]
+
+    def windows(self, size: int) -> np.ndarray:
+        """Where a window of ``size`` words of one text begins."""
+        return np.flatnonzero(self.owner[: max(0, len(self.owner) - size + 1)] == self.owner[size - 1 :])
+
+    def anchors(self, size: int) -> tuple[np.ndarray, np.ndarray]:
+        """Places and keys of the anchors of all windows of ``size`` words: of the windows of half as many in it, the first with the smallest key."""
+        at = self.windows(size)
+        if not len(at):
+            return at, np.zeros(0, np.uint64)
+        half = max(1, size // 2)
+        keys = window_keys(self.hashes, half)
+        place = np.unique(np.lib.stride_tricks.sliding_window_view(keys, size - half + 1).argmin(1)[at] + at)
+        return place, keys[place]
 
 
 def occurrences(docs: DataFrame, key: str, text: str, min_words: int) -> DataFrame:
-    """Paragraphs and pieces of all texts; begin and end are byte places. ``doc``: a hash of key and text."""
+    """Paragraphs of all texts; begin and end are byte places. ``doc``: a hash of key and text."""
     kind = docs.schema[key].dataType.simpleString()
     schema = OCCURRENCES.format(id=kind)
     id_type = pa.int64()
 
     def rows(block: list[tuple]) -> pa.RecordBatch:
-        doc, ids, kinds, begins, ends, sizes, nodes, bodies = ([] for _ in range(8))
-        shingles, first, total, lines = [], [], 0, []
+        doc, ids, begins, ends, sizes, nodes, bodies = ([] for _ in range(7))
+        shingles, first, total = [], [], 0
         paragraphs, flat = [], []
         for number, row_id, data in block:
             at = 0
@@ -119,10 +148,8 @@ def occurrences(docs: DataFrame, key: str, text: str, min_words: int) -> DataFra
         for number, row_id, at, line, words, k in paragraphs:
             h = hashes[k : k + len(words)]
             body = b" ".join(words)
-            lines.append(len(doc))
             doc.append(number)
             ids.append(row_id)
-            kinds.append(LINE)
             begins.append(at)
             ends.append(at + len(line))
             sizes.append(len(words))
@@ -132,24 +159,10 @@ def occurrences(docs: DataFrame, key: str, text: str, min_words: int) -> DataFra
             shingles.append(s)
             first.append(total)
             total += len(s)
-            if len(words) > LONG_LINE:
-                place = word_places(line.translate(ASCII_LOWER), words)
-                for a, b in pieces(words, h):
-                    doc.append(number)
-                    ids.append(row_id)
-                    kinds.append(CUT)
-                    begins.append(at + place[a])
-                    ends.append(at + place[b - 1] + len(words[b - 1]))
-                    sizes.append(b - a)
-                    nodes.append(xxhash.xxh64_intdigest(b" ".join(words[a:b]), 1))
-                    bodies.append(None)
-        bands: list = [None] * len(doc)
-        if lines:
-            for k, band in zip(lines, band_keys(np.concatenate(shingles), np.array(first)).tolist(), strict=True):
-                bands[k] = band
+        bands = band_keys(np.concatenate(shingles), np.array(first)).tolist() if first else []
         return pa.record_batch(
-            [pa.array(doc, pa.int64()), pa.array(ids, id_type), pa.array(kinds, pa.int32()), pa.array(begins, pa.int32()), pa.array(ends, pa.int32()), pa.array(sizes, pa.int32()), pa.array(np.array(nodes, np.uint64).view(np.int64)), pa.array(bodies, pa.binary()), pa.array(bands, pa.list_(pa.int64()))],
-            names=["doc", "id", "kind", "begin", "end", "words", "node", "body", "bands"],
+            [pa.array(doc, pa.int64()), pa.array(ids, id_type), pa.array(begins, pa.int32()), pa.array(ends, pa.int32()), pa.array(sizes, pa.int32()), pa.array(np.array(nodes, np.uint64).view(np.int64)), pa.array(bodies, pa.binary()), pa.array(bands, pa.list_(pa.int64()))],
+            names=["doc", "id", "begin", "end", "words", "node", "body", "bands"],
         )
 
     def run(parts: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -220,24 +233,189 @@ def similar_sets(sets: list[set], similarity: float) -> list[tuple[int, int]]:
     return links
 
 
-def _runs(min_words: int):
-    """Paragraphs as they are; runs of pieces with enough words."""
+def _parted(keys: np.ndarray, parts_bits: int) -> tuple[np.ndarray, list[tuple[int, int, int]]]:
+    """The order by part of the hash space, and (part, begin, end) of those that have any."""
+    owner = (keys >> np.uint64(64 - parts_bits)).astype(np.int64) if parts_bits else np.zeros(len(keys), np.int64)
+    order = np.argsort(owner, kind="stable")
+    cuts = np.searchsorted(owner[order], np.arange((1 << parts_bits) + 1))
+    return order, [(p, int(cuts[p]), int(cuts[p + 1])) for p in np.flatnonzero(np.diff(cuts)).tolist()]
+
+
+def _numbers(table: pa.Table, column: str, kind: str) -> np.ndarray:
+    return np.frombuffer(b"".join(table.column(column).to_pylist()), kind)
+
+
+def _bits(docs: np.ndarray) -> np.ndarray:
+    """(2, documents): the places of documents in the bitmap."""
+    docs = docs.view(np.uint64)
+    return np.stack([docs % np.uint64(BITMAP_BITS), docs // np.uint64(BITMAP_BITS) % np.uint64(BITMAP_BITS)]).astype(np.int64)
+
+
+def sharing_documents(rows: DataFrame, min_words: int, parts_bits: int) -> np.ndarray:
+    """A bitmap that has every document that shares an anchor with another."""
+
+    def run(parts: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        release()
+        held: list[tuple[np.ndarray, np.ndarray]] = []
+        size = 0
+
+        def batch() -> pa.RecordBatch:
+            keys, docs = (np.concatenate(x) for x in zip(*held, strict=True))
+            order, cuts = _parted(keys, parts_bits)
+            keys, docs = keys[order], docs[order]
+            columns = [pa.array([p for p, _, _ in cuts], pa.int64()), *(pa.array([x[a:b].tobytes() for _, a, b in cuts], pa.binary()) for x in (keys, docs))]
+            return pa.record_batch(columns, names=["part", "keys", "docs"])
+
+        for part in parts:
+            for block in blocks_of(part, BLOCK):
+                texts = Texts([data for *_, data in block])
+                at, keys = texts.anchors(min_words)
+                held.append((keys, np.array([doc for doc, *_ in block], np.int64)[texts.owner[at]]))
+                size += len(keys)
+                if size >= GATHER:
+                    yield batch()
+                    held, size = [], 0
+        if size:
+            yield batch()
+
+    def meet(key: tuple, table: pa.Table) -> pa.Table:
+        keys, docs = _numbers(table, "keys", "<u8"), _numbers(table, "docs", "<i8")
+        order = np.argsort(keys, kind="stable")
+        keys, docs = keys[order], docs[order]
+        first = np.flatnonzero(np.append(True, keys[1:] != keys[:-1]))
+        shared = np.minimum.reduceat(docs, first) != np.maximum.reduceat(docs, first)
+        place = np.unique(_bits(np.unique(docs[np.repeat(shared, np.diff(first, append=len(keys)))])))
+        word = np.flatnonzero(np.append(True, place[1:] >> 6 != place[:-1] >> 6)) if len(place) else np.zeros(0, int)
+        bits = np.bitwise_or.reduceat(np.uint64(1) << (place & 63).astype(np.uint64), word) if len(place) else np.zeros(0, np.uint64)
+        return pa.table([pa.array(place[word] >> 6, pa.int64()), pa.array(bits.view(np.int64))], names=["word", "bits"])
+
+    met = rows.mapInArrow(run, "part long, keys binary, docs binary").groupBy("part").applyInArrow(meet, "word long, bits long")
+    out = np.zeros(BITMAP_BITS // 64, np.uint64)
+    for row in met.groupBy("word").agg(F.bit_or("bits").alias("bits")).toLocalIterator():  # as many rows as the bitmap has words at most
+        out[row.word] = np.uint64(row.bits & 0xFFFFFFFFFFFFFFFF)
+    return out
+
+
+def repeated_runs(rows: DataFrame, kind: str, min_words: int, parts_bits: int) -> DataFrame:
+    """Runs of windows that occur in more than one document: ``doc``, ``id``, ``begin``, ``end``, ``words``, ``passage``, ``first_id``, ``kept``."""
+    held_bits = rows.sparkSession.sparkContext.broadcast(sharing_documents(rows, min_words, parts_bits))
+    buckets = 1 << max(0, parts_bits - 1)
+    places = ("docs", "own", "number", "begin", "end")
+    types = ("<i8", "<u4", "<u4", "<u4", "<u4")
+    sent = f"part long, ids array<{kind}>, keys binary, " + ", ".join(f"`{c}` binary" for c in places)
+    packed = f"bucket long, ids array<{kind}>, keys binary, kept binary, first binary, " + ", ".join(f"`{c}` binary" for c in places)
+
+    def run(parts: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        release()
+        bitmap = held_bits.value
+        held: list[list[np.ndarray]] = []
+        ids: list = []
+        size, id_type = 0, None
+
+        def batch() -> pa.RecordBatch:
+            keys, *columns = (np.concatenate(x) for x in zip(*held, strict=True))
+            order, cuts = _parted(keys, parts_bits)
+            return parted_batch("part", cuts, ids, id_type, {"keys": keys[order]} | {c: x[order] for c, x in zip(places, columns, strict=True)})
+
+        for part in parts:
+            id_type = part.column(1).type
+            for block in blocks_of(part, BLOCK):
+                docs = np.array([doc for doc, *_ in block], np.int64)
+                one, two = _bits(docs)
+                hit = np.ones(len(docs), bool)
+                for place in (one, two):
+                    hit &= (bitmap[place >> 6] >> (place & 63).astype(np.uint64) & np.uint64(1)).astype(bool)
+                own = np.flatnonzero(hit).tolist()
+                if not own:
+                    continue
+                texts = Texts([block[k][2] for k in own])
+                at = texts.windows(min_words)
+                owner = texts.owner[at]
+                held.append([window_keys(texts.hashes, min_words)[at], docs[own][owner], owner + len(ids), texts.number[at], texts.begin[at], texts.end[at + min_words - 1]])
+                ids += [block[k][1] for k in own]
+                size += len(at)
+                if size >= GATHER:
+                    yield batch()
+                    held, ids, size = [], [], 0
+        if size:
+            yield batch()
+
+    def parted_batch(name: str, cuts: list[tuple[int, int, int]], ids: list, id_type: pa.DataType, columns: dict[str, np.ndarray]) -> pa.RecordBatch:
+        """A row for each range; the numbers of ids in ``own`` and ``first`` become numbers in the row's own ``ids``."""
+        out: dict[str, list] = {c: [] for c in columns}
+        listed = []
+        numbered = [c for c in ("own", "first") if c in columns]
+        for _, a, b in cuts:
+            used, number = np.unique(np.concatenate([columns[c][a:b] for c in numbered]), return_inverse=True)
+            listed.append([ids[k] for k in used.tolist()])
+            row = {c: x[a:b] for c, x in columns.items()} | dict(zip(numbered, np.split(number, len(numbered)), strict=True))
+            for c, x in row.items():
+                out[c].append(x.astype(dict(zip(places, types, strict=True)).get(c, {"first": "<u4", "kept": "?"}.get(c, "<u8"))).tobytes())
+        arrays = [pa.array([p for p, _, _ in cuts], pa.int64()), pa.array(listed, pa.list_(id_type)), *(pa.array(x, pa.binary()) for x in out.values())]
+        return pa.record_batch(arrays, names=[name, "ids", *out])
+
+    def unpacked(table: pa.Table) -> tuple[list, dict[str, np.ndarray]]:
+        listed = table.column("ids").to_pylist()
+        columns = {c: _numbers(table, c, t) for c, t in zip(places, types, strict=True)} | {"keys": _numbers(table, "keys", "<u8")}
+        shift = np.repeat(np.cumsum([0, *map(len, listed[:-1])]), [len(x) // 8 for x in table.column("keys").to_pylist()])
+        for c in ("own", "first"):
+            if c in table.column_names:
+                columns[c] = _numbers(table, c, "<u4") + shift
+        return [x for ids in listed for x in ids], columns
+
+    def meet(key: tuple, table: pa.Table) -> pa.Table:
+        ids, columns = unpacked(table)
+        # ids as numbers in their order, null last
+        order = sorted({x for x in ids if x is not None})
+        rank = {x: k for k, x in enumerate(order)} | {None: len(order)}
+        columns["own"] = np.array([rank[x] for x in ids], np.int64)[columns["own"]]
+        by_key = np.argsort(columns["keys"], kind="stable")
+        columns = {c: x[by_key] for c, x in columns.items()}
+        keys, docs = columns["keys"], columns["docs"]
+        begins = np.flatnonzero(np.append(True, keys[1:] != keys[:-1]))
+        size = np.diff(begins, append=len(keys))
+        columns["first"] = np.repeat(np.minimum.reduceat(columns["own"], begins), size)
+        shared = np.repeat(np.minimum.reduceat(docs, begins) != np.maximum.reduceat(docs, begins), size)
+        columns = {c: x[shared] for c, x in columns.items()}
+        columns["kept"] = columns["own"] == columns["first"]
+        bucket = (columns["docs"].view(np.uint64) % np.uint64(buckets)).astype(np.int64)
+        by_bucket = np.argsort(bucket, kind="stable")
+        cuts = np.searchsorted(bucket[by_bucket], np.arange(buckets + 1))
+        ranges = [(b, int(cuts[b]), int(cuts[b + 1])) for b in np.flatnonzero(np.diff(cuts)).tolist()]
+        columns = {c: columns[c][by_bucket] for c in ("keys", "kept", "first", *places)}
+        return pa.Table.from_batches([parted_batch("bucket", ranges, [*order, None], table.schema.field("ids").type.value_type, columns)])
+
+    def join(key: tuple, table: pa.Table) -> pa.Table:
+        ids, columns = unpacked(table)
+        columns["kept"] = _numbers(table, "kept", "?")
+        order = np.lexsort((columns["number"], columns["kept"], columns["docs"]))
+        columns = {c: x[order] for c, x in columns.items()}
+        docs, kept, number = columns["docs"], columns["kept"], columns["number"].astype(np.int64)
+        # the same text in several rows has each window several times
+        follows = (docs[1:] == docs[:-1]) & (kept[1:] == kept[:-1]) & (number[1:] <= number[:-1] + 1)
+        begins = np.flatnonzero(np.append(True, ~follows))
+        ends = np.append(begins[1:], len(docs)) - 1
+        id_type = table.schema.field("ids").type.value_type
+        arrays = [
+            pa.array(docs[begins]),
+            pa.array([ids[k] for k in columns["own"][begins].tolist()], id_type),
+            pa.array(columns["begin"][begins].astype(np.int32)),
+            pa.array(columns["end"][ends].astype(np.int32)),
+            pa.array((number[ends] - number[begins] + min_words).astype(np.int32)),
+            pa.array(columns["keys"][begins].view(np.int64)),
+            pa.array([ids[k] for k in columns["first"][begins].tolist()], id_type),
+            pa.array(kept[begins]),
+        ]
+        return pa.table(arrays, names=["doc", "id", "begin", "end", "words", "passage", "first_id", "kept"])
+
+    met = rows.mapInArrow(run, sent).groupBy("part").applyInArrow(meet, packed)
+    return met.groupBy("bucket").applyInArrow(join, f"doc long, id {kind}, `begin` int, `end` int, words int, passage long, first_id {kind}, kept boolean")
+
+
+def _spans() -> Callable[[list[dict]], list[tuple]]:
+    """Paragraphs as they are, and runs that are not within one: those say nothing more."""
 
     def merge(spans: list[dict]) -> list[tuple]:
-        out = [(s["begin"], s["end"], s["words"], s["passage"], s["first_id"], s["kept"]) for s in spans if s["kind"] == LINE]
-        for kept in (True, False):
-            run: list | None = None
-            for s in sorted((s for s in spans if s["kind"] == CUT and s["kept"] == kept), key=lambda s: s["begin"]):
-                if run and s["begin"] <= run[1] + 1:
-                    run[1] = s["end"]
-                    run[2] += s["words"]
-                else:
-                    if run and run[2] >= min_words:
-                        out.append(tuple(run))
-                    run = [s["begin"], s["end"], s["words"], s["passage"], s["first_id"], kept]
-            if run and run[2] >= min_words:
-                out.append(tuple(run))
-        # a run within a repeated paragraph says nothing more
         lines = sorted((s["begin"], s["end"]) for s in spans if s["kind"] == LINE)
         begins = [a for a, _ in lines]
 
@@ -245,8 +423,8 @@ def _runs(min_words: int):
             k = bisect_right(begins, a) - 1
             return k >= 0 and b <= lines[k][1]
 
-        count = len(lines)
-        return sorted(out[:count] + [s for s in out[count:] if not within(s[0], s[1])])
+        out = [s for s in spans if s["kind"] == LINE or not within(s["begin"], s["end"])]
+        return sorted(((s["begin"], s["end"], s["words"], s["passage"], s["first_id"], s["kept"]) for s in out), key=lambda s: s[:4])
 
     return merge
 
@@ -262,8 +440,11 @@ def repeated_passages(docs: DataFrame, key: str = "doc_id", text: str = "text",
     for another. Null keys are never first, unless all keys of a passage are
     null: then nothing of it is removed. Other columns are ignored.
     """
-    found = stored(occurrences(docs, key, text, min_words), "passages")
-    lines, cuts = found.filter(f"kind = {LINE}"), found.filter(f"kind = {CUT}")
+    lines = stored(occurrences(docs, key, text, min_words), "passages")
+    kind = docs.schema[key].dataType.simpleString()
+    rows = docs.select(doc_hash(key, text).alias("doc"), F.col(key).alias("id"), text_bytes(text).alias("text"))
+    size = rows.agg(F.sum(F.octet_length("text"))).first()[0] or 0
+    runs = repeated_runs(rows, kind, min_words, min(20, (size // PART_BYTES).bit_length()))
     places = (F.min("id").alias("first_id"), F.min("doc").alias("one"), F.max("doc").alias("other"))
 
     bands = lines.select("node", "bands").dropDuplicates(["node"]).select("node", F.explode("bands").alias("bucket"))
@@ -272,11 +453,9 @@ def repeated_passages(docs: DataFrame, key: str = "doc_id", text: str = "text",
     classes = lines.groupBy("node").agg(*places).join(joined, "node", "left").withColumn("passage", F.coalesce("component", "node"))
     by_passage = classes.groupBy("passage").agg(F.min("first_id").alias("first_id"), F.min("one").alias("one"), F.max("other").alias("other")).filter("one <> other").select("passage", "first_id")
     repeated = classes.select("node", "passage").join(by_passage, "passage")
-    same = cuts.groupBy("node").agg(*places).filter("one <> other").select("node", F.col("node").alias("passage"), "first_id")
-    columns = ("doc", "id", "kind", "begin", "end", "words", "passage", "first_id")
-    spans = lines.join(repeated, "node").select(*columns).unionByName(cuts.join(same, "node").select(*columns)).withColumn("kept", F.col("id").eqNullSafe(F.col("first_id")))
-    kind = docs.schema[key].dataType.simpleString()
-    merge = _runs(min_words)
+    columns = ("doc", "id", "begin", "end", "words", "passage", "first_id", "kept")
+    spans = lines.join(repeated, "node").withColumn("kept", F.col("id").eqNullSafe(F.col("first_id"))).select(F.lit(LINE).alias("kind"), *columns).unionByName(runs.select(F.lit(RUN).alias("kind"), *columns))
+    merge = _spans()
     by_doc = spans.distinct().groupBy("doc", "id").agg(F.collect_list(F.struct("kind", "begin", "end", "words", "passage", "first_id", "kept")).alias("spans"))
 
     def run(parts: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
