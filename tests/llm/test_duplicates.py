@@ -222,6 +222,16 @@ def test_passages_across_short_lines(table):
     assert {r.doc_id: r.text.split() for r in remove_repeats(docs).collect() if r.doc_id in (2, 3)} == {2: f"{prose(6, 33)} {prose(9, 34)}".split(), 3: prose(70, 35).split()}
 
 
+def test_every_passage_inside_lines(table):
+    """Passages of 24 to 70 words, to the word."""
+    sizes = {k: 24 + k % 47 for k in range(188)}
+    docs = table([(1000 * side + k, f"{prose(60, 10_000 * side + k)} {prose(n, 50_000 + k)} {prose(60, 20_000 * side + k)}") for side in (1, 2) for k, n in sizes.items()])
+    found = {r.id: (r.words, r.first_id) for r in repeated_passages(docs).filter("NOT kept").collect()}
+    assert found.keys() == {2000 + k for k in sizes}
+    # a neighbour may be equal by chance
+    assert all(0 <= found[2000 + k][0] - n <= 2 and found[2000 + k][1] == 1000 + k for k, n in sizes.items())
+
+
 def test_passages_of_odd_rows(odd, nothing):
     assert repeated_passages(odd).filter("NOT kept").count() == 0
     assert sorted(map(str, remove_repeats(odd).collect())) == sorted(map(str, odd.collect()))
