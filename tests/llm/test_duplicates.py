@@ -232,6 +232,12 @@ def test_every_passage_inside_lines(table):
     assert all(0 <= found[2000 + k][0] - n <= 2 and found[2000 + k][1] == 1000 + k for k, n in sizes.items())
 
 
+def test_passages_with_wide_spacing(table):
+    passage = prose(90, 40).split()
+    docs = table([(1, f"{prose(40, 41)}  {'  '.join(passage)}  {prose(40, 42)}"), (2, f"{prose(40, 43)} \t{' \t '.join(passage)} {prose(40, 44)}")])
+    assert sorted((r.id, r.words, r.kept) for r in repeated_passages(docs).collect()) == [(1, 90, True), (2, 90, False)]
+
+
 def test_passages_of_odd_rows(odd, nothing):
     assert repeated_passages(odd).filter("NOT kept").count() == 0
     assert sorted(map(str, remove_repeats(odd).collect())) == sorted(map(str, odd.collect()))
