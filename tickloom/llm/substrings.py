@@ -245,6 +245,21 @@ def _numbers(table: pa.Table, column: str, kind: str) -> np.ndarray:
     return np.frombuffer(b"".join(table.column(column).to_pylist()), kind)
 
 
+def _squeezed(x: np.ndarray) -> bytes:
+    """Numbers for a shuffle, compressed: all lowest bytes first, then all second ones, and so on."""
+    planes = np.ascontiguousarray(x.view(np.uint8).reshape(len(x), -1).T).tobytes()
+    return len(planes).to_bytes(8, "little") + pa.Codec("zstd", 1).compress(planes, asbytes=True)
+
+
+def _unsqueezed(table: pa.Table, column: str, kind: str) -> np.ndarray:
+    codec = pa.Codec("zstd")
+    out = []
+    for data in table.column(column).to_pylist():
+        planes = np.frombuffer(codec.decompress(data[8:], int.from_bytes(data[:8], "little"), asbytes=True), np.uint8)
+        out.append(np.ascontiguousarray(planes.reshape(np.dtype(kind).itemsize, -1).T).view(kind).reshape(-1))
+    return np.concatenate(out)
+
+
 def _bits(docs: np.ndarray) -> np.ndarray:
     """(2, documents): the places of documents in the bitmap."""
     docs = docs.view(np.uint64)
@@ -301,7 +316,7 @@ def repeated_runs(rows: DataFrame, kind: str, min_words: int, parts_bits: int) -
     held_bits = rows.sparkSession.sparkContext.broadcast(sharing_documents(rows, min_words, parts_bits))
     buckets = 1 << max(0, parts_bits - 1)
     places = ("docs", "own", "number", "begin", "end")
-    types = ("<i8", "<u4", "<u4", "<u4", "<u4")
+    types = {"docs": "<i8", "own": "<u4", "number": "<u4", "begin": "<u4", "end": "<u4", "first": "<u4", "kept": "?"}
     sent = f"part long, ids array<{kind}>, keys binary, " + ", ".join(f"`{c}` binary" for c in places)
     packed = f"bucket long, ids array<{kind}>, keys binary, kept binary, first binary, " + ", ".join(f"`{c}` binary" for c in places)
 
@@ -331,7 +346,7 @@ def repeated_runs(rows: DataFrame, kind: str, min_words: int, parts_bits: int) -
                 texts = Texts([block[k][2] for k in own])
                 at = texts.windows(min_words)
                 owner = texts.owner[at]
-                held.append([window_keys(texts.hashes, min_words)[at], docs[own][owner], owner + len(ids), texts.number[at], texts.begin[at], texts.end[at + min_words - 1]])
+                held.append([window_keys(texts.hashes, min_words)[at], docs[own][owner], *(x.astype(np.uint32) for x in (owner + len(ids), texts.number[at], texts.begin[at], texts.end[at + min_words - 1]))])
                 ids += [block[k][1] for k in own]
                 size += len(at)
                 if size >= GATHER:
@@ -340,6 +355,9 @@ def repeated_runs(rows: DataFrame, kind: str, min_words: int, parts_bits: int) -
         if size:
             yield batch()
 
+    def apart(end: np.ndarray, begin: np.ndarray) -> np.ndarray:
+        return (end.astype(np.int64) - begin.astype(np.int64)).astype("<u4")
+
     def parted_batch(name: str, cuts: list[tuple[int, int, int]], ids: list, id_type: pa.DataType, columns: dict[str, np.ndarray]) -> pa.RecordBatch:
         """A row for each range; the numbers of ids in ``own`` and ``first`` become numbers in the row's own ``ids``."""
         out: dict[str, list] = {c: [] for c in columns}
@@ -350,17 +368,18 @@ def repeated_runs(rows: DataFrame, kind: str, min_words: int, parts_bits: int) -
             listed.append([ids[k] for k in used.tolist()])
             row = {c: x[a:b] for c, x in columns.items()} | dict(zip(numbered, np.split(number, len(numbered)), strict=True))
             for c, x in row.items():
-                out[c].append(x.astype(dict(zip(places, types, strict=True)).get(c, {"first": "<u4", "kept": "?"}.get(c, "<u8"))).tobytes())
+                out[c].append(x.tobytes() if c == "keys" else _squeezed(apart(x, row["begin"]) if c == "end" else x.astype(types[c])))
         arrays = [pa.array([p for p, _, _ in cuts], pa.int64()), pa.array(listed, pa.list_(id_type)), *(pa.array(x, pa.binary()) for x in out.values())]
         return pa.record_batch(arrays, names=[name, "ids", *out])
 
     def unpacked(table: pa.Table) -> tuple[list, dict[str, np.ndarray]]:
         listed = table.column("ids").to_pylist()
-        columns = {c: _numbers(table, c, t) for c, t in zip(places, types, strict=True)} | {"keys": _numbers(table, "keys", "<u8")}
+        columns = {c: _unsqueezed(table, c, types[c]) for c in places} | {"keys": _numbers(table, "keys", "<u8")}
+        columns["end"] = columns["end"] + columns["begin"]  # sent as the length
         shift = np.repeat(np.cumsum([0, *map(len, listed[:-1])]), [len(x) // 8 for x in table.column("keys").to_pylist()])
         for c in ("own", "first"):
             if c in table.column_names:
-                columns[c] = _numbers(table, c, "<u4") + shift
+                columns[c] = (_unsqueezed(table, c, "<u4") + shift).astype(np.uint32)
         return [x for ids in listed for x in ids], columns
 
     def meet(key: tuple, table: pa.Table) -> pa.Table:
@@ -387,7 +406,7 @@ def repeated_runs(rows: DataFrame, kind: str, min_words: int, parts_bits: int) -
 
     def join(key: tuple, table: pa.Table) -> pa.Table:
         ids, columns = unpacked(table)
-        columns["kept"] = _numbers(table, "kept", "?")
+        columns["kept"] = _unsqueezed(table, "kept", "?")
         order = np.lexsort((columns["number"], columns["kept"], columns["docs"]))
         columns = {c: x[order] for c, x in columns.items()}
         docs, kept, number = columns["docs"], columns["kept"], columns["number"].astype(np.int64)
