@@ -156,6 +156,13 @@ def test_weights_separate_and_stay_sparse():
     assert (weights[60:] == 0).all()
 
 
+def test_rows_without_keys_crowd_out_no_language(table):
+    docs = table([(None, t) for t in sentences(GERMAN, 4200, 1)], "de").unionByName(table(list(enumerate(sentences(SPANISH, 60, 2))), "es"))
+    model = train_language_model(docs, F.lit(True))
+    asked = table(list(enumerate(sentences(SPANISH, 20, 3))))
+    assert sum(r.lang_pred == "es" for r in predict_languages(asked, model).collect()) >= 18
+
+
 def test_pipeline_stages(spark, table, tmp_path, labelled):
     """Each stage against what it must do, on the rows that the one before it kept."""
     line = prose(60, 900)

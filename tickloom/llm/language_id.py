@@ -18,7 +18,7 @@ from dataclasses import dataclass
 import numpy as np
 import pandas as pd
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from tickloom.llm.bpe_fst import LETTER, char_classes
@@ -140,7 +140,7 @@ def fit_temperature(model: LanguageModel, rows: list[tuple[int, np.ndarray, np.n
 
 def train_language_model(docs: DataFrame, training: Column, label: str = "lang", key: str = "doc_id", text: str = "text") -> LanguageModel:
     """Learn from the rows where ``training`` holds and the label is not null; without such rows nothing is ever recognised."""
-    rows = docs.filter(training & F.col(label).isNotNull()).select(F.col(label).alias("label"), F.pmod(F.xxhash64(key), F.lit(1 << 30)).alias("draw"), text_bytes(text).alias("text"))
+    rows = docs.filter(training & F.col(label).isNotNull()).select(F.col(label).alias("label"), F.pmod(F.xxhash64(F.col(key), F.col(text)), F.lit(1 << 30)).alias("draw"), text_bytes(text).alias("text"))
     sizes = {r.label: r.n for r in rows.groupBy("label").agg(F.count("*").alias("n")).collect()}
     labels = sorted(sizes)
     if not labels:
@@ -175,7 +175,9 @@ def train_language_model(docs: DataFrame, training: Column, label: str = "lang",
 
     sampled = rows.filter(F.col("draw") < below[F.col("label")]).mapInArrow(vectors, "label string, draw long, columns binary, counts binary")
     number = {name: k for k, name in enumerate(labels)}
-    # no more than SAMPLE_ROWS rows, whatever the draw
+    # the smallest draws of each label, so that equal draws of one crowd out no other; no more than SAMPLE_ROWS rows
+    place = F.row_number().over(Window.partitionBy("label").orderBy("draw", "columns", "counts"))
+    sampled = sampled.withColumn("place", place).filter(F.col("place") <= share)
     sample = sorted((r.draw, number[r.label], r.columns, r.counts) for r in sampled.orderBy("draw", "label").limit(SAMPLE_ROWS).collect())
     decoded = [(k, np.frombuffer(c, "<u2").astype(np.int64), np.frombuffer(n, "<u2").astype(np.int64)) for _, k, c, n in sample if c]
     model = LanguageModel(labels, idf, np.zeros((FEATURES, len(labels)), np.float32), np.zeros(len(labels)))
