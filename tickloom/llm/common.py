@@ -116,3 +116,10 @@ def stored(df: DataFrame, purpose: str) -> DataFrame:
     path = shared_folder(df.sparkSession, purpose)
     df.write.option("compression", "zstd").parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
+def discard(spark: SparkSession, path: str) -> None:
+    """Remove a table of :func:`shared_folder` that nothing reads any more."""
+    jvm = spark.sparkContext._jvm
+    folder = jvm.org.apache.hadoop.fs.Path(path)
+    folder.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(folder, True)

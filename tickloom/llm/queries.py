@@ -8,6 +8,8 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from tickloom.llm.bestfit import pack_best_fit
+from tickloom.llm.centroids import centroid_clusters, clusters_sql
 from tickloom.llm.common import prepare
 from tickloom.llm.decontamination import contaminated
 from tickloom.llm.embeddings import near_vectors
@@ -15,6 +17,7 @@ from tickloom.llm.language_id import predict_languages, train_language_model
 from tickloom.llm.licenses import scan_licenses, scan_sql
 from tickloom.llm.lm_scoring import held_out_column, score_texts
 from tickloom.llm.packing import pack
+from tickloom.llm.phrases import collocations, collocations_sql
 from tickloom.llm.simhash import simhash_groups
 from tickloom.llm.substrings import repeated_passages
 from tickloom.llm.token_counts import count_tokens
@@ -76,6 +79,19 @@ def op10_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     return scan_licenses(read_table(spark, sf_dir, "documents"))
 
 
+def op11_centroid_clustering(spark: SparkSession, sf_dir: str) -> DataFrame:
+    clusters = centroid_clusters(read_table(spark, sf_dir, "embeddings"))
+    return clusters.withColumn("centroid_sha256", F.sha2(F.array_join("centroid", ","), 256)).drop("centroid")
+
+
+def op12_phrase_collocations(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return collocations(read_table(spark, sf_dir, "documents"))
+
+
+def op13_bestfit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return piece_digests(pack_best_fit(read_table(spark, sf_dir, "documents"), BYTE_BPE))
+
+
 def prepared(query: Query) -> Query:
     def run(spark: SparkSession, sf_dir: str) -> DataFrame:
         prepare(spark)
@@ -95,6 +111,9 @@ ALL = {
     "op8_decontamination": op8_decontamination,
     "op9_substring_dedup": op9_substring_dedup,
     "op10_license_scan": op10_license_scan,
+    "op11_centroid_clustering": op11_centroid_clustering,
+    "op12_phrase_collocations": op12_phrase_collocations,
+    "op13_bestfit_packing": op13_bestfit_packing,
 }
 QUERIES = {name: prepared(query) for name, query in ALL.items()}
 SQL = {
@@ -129,4 +148,6 @@ SQL = {
         FROM v LEFT JOIN counts ON counts.a = v.vec_id LEFT JOIN firsts ON firsts.a = v.vec_id
     """,
     "op10_license_scan": scan_sql(),
+    "op11_centroid_clustering": clusters_sql(),
+    "op12_phrase_collocations": collocations_sql(),
 }
