@@ -113,9 +113,14 @@ def shared_folder(spark: SparkSession, purpose: str) -> str:
 
 def stored(df: DataFrame, purpose: str) -> DataFrame:
     """Write a table to shared storage and read it back: computed once, cut lineage, safe from lost executors."""
+    return stored_at(df, purpose)[0]
+
+
+def stored_at(df: DataFrame, purpose: str) -> tuple[DataFrame, str]:
+    """The same, with the folder, for :func:`discard`."""
     path = shared_folder(df.sparkSession, purpose)
     df.write.option("compression", "zstd").parquet(path)
-    return df.sparkSession.read.schema(df.schema).parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path), path
 
 
 def discard(spark: SparkSession, path: str) -> None:

@@ -27,7 +27,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from tickloom.llm.common import ASCII_LOWER, Numbers, blocks_of, stored, text_bytes, valid_utf8
+from tickloom.llm.common import ASCII_LOWER, Numbers, blocks_of, discard, stored, stored_at, text_bytes, valid_utf8
 
 # What ends a piece of text. Words stand between spaces and tabs.
 PIECE_ENDS = b".,;:!?\x0a\x0b\x0c\x0d"
@@ -120,6 +120,7 @@ def tile_counts(left: np.ndarray, right: np.ndarray, tile: int = TILE) -> tuple[
 
 def ranked(counted: DataFrame, keys: list[str], purpose: str) -> DataFrame:
     """A written table with an ``id`` from 0 by falling ``n``, ties by ``keys``; no task sees more than its range."""
+    counted = stored(counted, purpose)  # sorting by ranges reads its input twice
     placed = stored(counted.orderBy(F.desc("n"), *keys).withColumn("place", F.monotonically_increasing_id()), purpose)
     part = F.shiftright("place", PLACE_BITS)
     sizes = sorted((r.part, r.rows) for r in placed.groupBy(part.alias("part")).agg(F.count("*").alias("rows")).collect())  # a row a partition
@@ -233,17 +234,18 @@ def scored_phrases(
     texts have no phrases; equal rows count each. Other columns are ignored,
     whatever their names. An empty table gives no rows.
     """
-    blocks = stored(word_blocks(docs, lang, text, unknown), "words")
-    keys = ["lang", "word"]
+    blocks, folder = stored_at(word_blocks(docs, lang, text, unknown), "words")
+    spark, keys = docs.sparkSession, ["lang", "word"]
     totals = blocks.filter(F.size("keys") > 0).select(F.col("keys")[0]["lang"].alias("lang"), F.aggregate("counts", F.lit(0).cast("long"), lambda a, x: a + x).alias("n"))
-    totals = totals.groupBy("lang").agg(F.sum("n").alias("n"))
+    totals = stored(totals.groupBy("lang").agg(F.sum("n").alias("n")), "totals")
     known = frequent(blocks, keys, least, "ranks")
     one = F.array("n")
     levels = [stored(known.select("id", "lang", F.array("word").alias("words"), one.alias("prefixes"), one.alias("suffixes"), "n"), "phrases")]
     pairs = []
     for size in range(2, longest + 1):
-        blocks = stored(next_blocks(blocks, known, keys, lookup_rows), "pairs")
-        keys = ["left", "right"]
+        blocks, new = stored_at(next_blocks(blocks, known, keys, lookup_rows), "pairs")
+        discard(spark, folder)
+        folder, keys = new, ["left", "right"]
         known = frequent(blocks, keys, least, "ranks")
         shorter = levels[-1]
         a = shorter.select(F.col("id").alias("left"), "lang", "words", "prefixes")
@@ -256,6 +258,7 @@ def scored_phrases(
             )
         )
         pairs.append(known)
+    discard(spark, folder)
     kept = []
     for number, level in enumerate(levels[1:], 1):
         if number < len(pairs):
