@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, GroupedData
 from pyspark.sql import functions as F
 
 from tickloom.functions import interval, width_seconds
@@ -32,6 +32,13 @@ def build_candles(
     long and nothing is sorted. A row outside the bound fails the job rather
     than giving a wrong candle.
     """
+    grouped, measures = _grouped_trades(trades, width, watermark, tie_breakers, trade_ids_below)
+    start, end = ("w.start", F.col("w.end")) if trades.isStreaming else ("w", F.col("w") + interval(width))
+    return grouped.agg(*measures).select(F.col(start).alias("window_start"), end.alias("window_end"), "symbol", *CANDLE_VALUES)
+
+
+def _grouped_trades(trades: DataFrame, width: str, watermark: str | None, tie_breakers: tuple[str, ...], trade_ids_below: int | None) -> tuple[GroupedData, list[Column]]:
+    """Trades by window ``w`` and symbol, and the measures of a candle."""
     streaming = trades.isStreaming
     if watermark is not None:
         trades = trades.withWatermark("trade_time", watermark)
@@ -53,10 +60,7 @@ def build_candles(
         "trade_count": F.count("*"),
     }
     grouped = trades.withColumn("w", window if streaming else window.start).groupBy("w", "symbol")
-    start, end = ("w.start", F.col("w.end")) if streaming else ("w", F.col("w") + interval(width))
-    return grouped.agg(*[column.alias(name) for name, column in measures.items()]).select(
-        F.col(start).alias("window_start"), end.alias("window_end"), "symbol", *measures
-    )
+    return grouped, [column.alias(name) for name, column in measures.items()]
 
 
 def _packed_tick(width: str, ids_below: int) -> Column:
@@ -82,15 +86,7 @@ def rollup_candles(candles: DataFrame, width: str) -> DataFrame:
     return (
         candles.withColumn("bucket", F.window("window_start", width).start)
         .groupBy("bucket", "symbol")
-        .agg(
-            F.min_by("open", "window_start").alias("open"),
-            F.max("high").alias("high"),
-            F.min("low").alias("low"),
-            F.max_by("close", "window_start").alias("close"),
-            F.sum("volume").cast(AMOUNT_TYPE).alias("volume"),
-            F.sum("quote_volume").cast(AMOUNT_TYPE).alias("quote_volume"),
-            F.sum("trade_count").alias("trade_count"),
-        )
+        .agg(*_rolled("window_start"))
         .select(
             F.col("bucket").alias("window_start"),
             (F.col("bucket") + interval(width)).alias("window_end"),
@@ -98,3 +94,44 @@ def rollup_candles(candles: DataFrame, width: str) -> DataFrame:
             *CANDLE_VALUES,
         )
     )
+
+
+def _rolled(time: str) -> list[Column]:
+    """The measures of a coarser candle; ``time`` tells the narrower ones apart."""
+    return [
+        F.min_by("open", time).alias("open"),
+        F.max("high").alias("high"),
+        F.min("low").alias("low"),
+        F.max_by("close", time).alias("close"),
+        F.sum("volume").cast(AMOUNT_TYPE).alias("volume"),
+        F.sum("quote_volume").cast(AMOUNT_TYPE).alias("quote_volume"),
+        F.sum("trade_count").alias("trade_count"),
+    ]
+
+
+def chained_rollups(
+    trades: DataFrame, widths: tuple[str, ...], watermark: str, trade_ids_below: int | None = None
+) -> DataFrame:
+    """Candles of the last of ``widths`` from a stream of trades, each width rolled up from the one before.
+
+    One append query with an aggregation for every width: the watermark closes
+    a window of the first, whose end time carries it into the next, so the state
+    of a coarse window is one row a symbol, never its trades. Each width must be
+    a multiple of the one before. Batch input gives the same candles, those of
+    windows that a stream would still hold open included.
+    """
+    for fine, coarse in zip(widths, widths[1:], strict=False):
+        if width_seconds(coarse) % width_seconds(fine):
+            raise ValueError(f"{coarse} is not a multiple of {fine}")
+    if not trades.isStreaming:
+        rolled = build_candles(trades, widths[0], trade_ids_below=trade_ids_below)
+        for width in widths[1:]:
+            rolled = rollup_candles(rolled, width)
+        return rolled
+    grouped, measures = _grouped_trades(trades, widths[0], watermark, ("trade_id",), trade_ids_below)
+    rolled = grouped.agg(*measures)
+    for width in widths[1:]:
+        # the end of a window is the event time that the next aggregation's watermark is about
+        timed = rolled.withColumn("at", F.window_time("w")).drop("w")
+        rolled = timed.groupBy(F.window("at", width).alias("w"), "symbol").agg(*_rolled("at"))
+    return rolled.select(F.col("w.start").alias("window_start"), F.col("w.end").alias("window_end"), "symbol", *CANDLE_VALUES)

@@ -44,3 +44,33 @@ def merge_sources(sources: dict[str, DataFrame]) -> DataFrame:
     result tells each row's origin in ``source``.
     """
     return dedupe_candles(tag_sources(sources), prefer="source_rank").drop("source_rank")
+
+
+def compare_sources(left: DataFrame, right: DataFrame, names: tuple[str, str] = ("stream", "backfill")) -> DataFrame:
+    """What a merge of two origins decides without a trace: a row for each candle that they do not agree on.
+
+    ``status``: ``only_<name>`` where one has it, ``differs`` where both do.
+    ``fields``: the value columns that differ, null being a value, in the order
+    of a candle; empty for a candle that one lacks. Both candles come along
+    under the names of their origins, null where there is none. Copies within an
+    origin are met first, as a merge would. One shuffle for each side.
+    """
+    values = ("window_end", *CANDLE_VALUES)
+    sides = [
+        dedupe_candles(df).select(F.col("symbol").alias(f"{name}_symbol"), F.col("window_start").alias(f"{name}_start"), F.struct(*values).alias(name))
+        for df, name in zip((left, right), names, strict=True)
+    ]
+    a, b = names
+    same = F.col(f"{a}_symbol").eqNullSafe(F.col(f"{b}_symbol")) & F.col(f"{a}_start").eqNullSafe(F.col(f"{b}_start"))
+    joined = sides[0].join(sides[1], same, "full")
+    differing = F.array_compact(F.array(*[F.when(~F.col(f"{a}.{c}").eqNullSafe(F.col(f"{b}.{c}")), F.lit(c)) for c in values]))
+    status = F.when(F.col(b).isNull(), f"only_{a}").when(F.col(a).isNull(), f"only_{b}").otherwise("differs")
+    found = joined.select(
+        F.coalesce(f"{a}_symbol", f"{b}_symbol").alias("symbol"),
+        F.coalesce(f"{a}_start", f"{b}_start").alias("window_start"),
+        status.alias("status"),
+        F.when(status == "differs", differing).otherwise(F.array().cast("array<string>")).alias("fields"),
+        a,
+        b,
+    )
+    return found.filter((F.col("status") != "differs") | (F.size("fields") > 0))

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import heapq
+
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -30,6 +32,43 @@ def route_symbols(rows: DataFrame, symbols: list[str], partitions: int) -> DataF
     return rows.withColumn("partition", F.pmod(position, F.lit(partitions)).cast("int"))
 
 
+def assign_by_load(loads: dict[str, int], partitions: int) -> dict[str, int]:
+    """A partition for each symbol: the heaviest first, each to the partition with the least so far.
+
+    Ties go to the smaller symbol and the smaller partition. Where the position
+    in the list modulo the partitions would leave the fullest partition less,
+    that assignment is taken: ``loads`` is in list order.
+    """
+    filled = [(0, p) for p in range(partitions)]
+    greedy = {}
+    for symbol, load in sorted(loads.items(), key=lambda item: (-item[1], item[0])):
+        total, partition = heapq.heappop(filled)
+        greedy[symbol] = partition
+        heapq.heappush(filled, (total + load, partition))
+    listed = {symbol: k % partitions for k, symbol in enumerate(loads)}
+
+    def fullest(routes: dict[str, int]) -> int:
+        return max((sum(loads[s] for s in routes if routes[s] == p) for p in range(partitions)), default=0)
+
+    return listed if fullest(listed) < fullest(greedy) else greedy
+
+
+def measured_loads(rows: DataFrame, symbols: list[str]) -> dict[str, int]:
+    """Rows of each listed symbol (upper case), in list order; as many numbers as there are symbols in the list."""
+    listed = list(dict.fromkeys(s.upper() for s in symbols))
+    counts = keep_symbols(rows, symbols).groupBy(F.upper("symbol").alias("symbol")).agg(F.count("*").alias("n"))
+    found = {r.symbol: r.n for r in counts.collect()}
+    return {s: found.get(s, 0) for s in listed}
+
+
+def route_by_load(rows: DataFrame, routes: dict[str, int]) -> DataFrame:
+    """Add ``partition`` by a table of :func:`assign_by_load`; a symbol outside it gets null, as in :func:`route_symbols`."""
+    if not routes:
+        return rows.withColumn("partition", F.lit(None).cast("int"))
+    table = F.create_map(*[F.lit(x) for item in routes.items() for x in item])
+    return rows.withColumn("partition", F.try_element_at(table, F.upper("symbol")).cast("int"))
+
+
 def partition_skew(routed: DataFrame) -> DataFrame:
     """Messages and share of all messages per topic partition."""
     counts = routed.groupBy("partition").agg(F.count("*").alias("messages"))

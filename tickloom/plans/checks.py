@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 
 from tickloom.operators import candle_gaps, invariant_report, missing_hours, summarize_gaps
 from tickloom.schemas import conform
+from tickloom.session import shared_dir
 from tickloom.sources.lake import HourRange, Lake, Table
 
 
@@ -68,24 +69,32 @@ def last_before(spark: SparkSession, table: Table, start: datetime, symbols: Dat
     The day of the start is searched first, then spans of 1, 2, 4, ... days
     before it, each for the symbols not found yet, down to the table's first day.
     """
-    days = [day for day, _ in table.day_folders(spark)]
+    oldest = min((day for day, _ in table.day_folders(spark)), default=None)
     found = spark.createDataFrame([], "symbol string, window_start timestamp")
-    if not days:
+    if oldest is None:
         return found
-    first = datetime.combine(days[0], time())
+    first = datetime.combine(oldest, time())
     end, step = start, start - datetime.combine(start.date(), time())
     if not step:
         step = timedelta(days=1)
-    missing = symbols
+    folder = shared_dir(spark, "last-before")
+    missing, turn = _kept(symbols, f"{folder}/missing-0"), 0
     while end > first and not missing.isEmpty():
-        span = HourRange(max(first, end - step), end)
+        span, turn = HourRange(max(first, end - step), end), turn + 1
         last = conform(table.read(spark, span)).join(missing, "symbol", "left_semi").groupBy("symbol").agg(F.max("window_start").alias("window_start"))
+        # each turn is written: the next must not compute the earlier ones again
+        last = _kept(last, f"{folder}/found-{turn}")
         found = found.unionByName(last)
-        missing = missing.join(last, "symbol", "left_anti")
+        missing = _kept(missing.join(last, "symbol", "left_anti"), f"{folder}/missing-{turn}")
         end, step = span.start, max(timedelta(days=1), step * 2 if step >= timedelta(days=1) else timedelta(days=1))
     return found
 
 
+def _kept(df: DataFrame, path: str) -> DataFrame:
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
 def find_missing_hours(spark: SparkSession, lake: Lake, hours: HourRange, symbols: DataFrame | None = None) -> DataFrame:
     """(symbol, hour_start) of the hours without a compacted candle: the worklist of a backfill.
 

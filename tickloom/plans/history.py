@@ -18,7 +18,7 @@ def newest_day(spark: SparkSession, table: Table, symbol: str) -> datetime | Non
     Other tables are searched backwards, each step over twice the days of the
     one before, until one has a row.
     """
-    days = [day for day, _ in table.day_folders(spark, symbol)]
+    days = sorted(day for day, _ in table.day_folders(spark, symbol))
     if not days:
         return None
     if "symbol" in table.partition_by:

@@ -4,11 +4,14 @@ from __future__ import annotations
 
 from tickloom.plans.registry import (
     EXPIRY_DATE,
+    HELD_BACK,
     HISTORY_SYMBOL,
     PARTIAL_BELOW,
+    ROUTED_SYMBOLS,
     SLICE_KEYS,
     TOPIC_PARTITIONS,
 )
+from tickloom.schemas import CANDLE_VALUES
 
 TRADES = """
 trades AS (
@@ -75,6 +78,15 @@ def json_amount(column: str) -> str:
     return f"CASE WHEN {column} = 0 THEN '0E-8' ELSE CAST({column} AS VARCHAR) END"
 
 
+CUT = "cut AS (SELECT * REPLACE (date_trunc('milliseconds', trade_time) AS trade_time) FROM trades)"
+CUT_HOURLY = f"WITH {TRADES}, {CUT}, {candle_cte('candles', '1 hour', 'cut')}"
+CLOCKS = f"""
+clocks AS (SELECT symbol, max(trade_time) AS newest FROM cut WHERE trade_id % {HELD_BACK} <> 0 GROUP BY symbol),
+told AS (
+    SELECT cut.*, trade_id % {HELD_BACK} = 0 AND time_bucket(INTERVAL '1 hour', trade_time) + INTERVAL '1 hour' <= newest - INTERVAL 10 SECOND AS late
+    FROM cut JOIN clocks USING (symbol)
+)"""
+
 HISTORY = f"""{MINUTELY}, history AS (
     SELECT * FROM candles
     WHERE symbol = '{HISTORY_SYMBOL}'
@@ -349,4 +361,64 @@ SQL: dict[str, str] = {
         SELECT symbol, strftime(trade_time, '%Y-%m-%d') AS dt, trade_id, CAST(price AS DOUBLE) AS price, CAST(quantity AS DOUBLE) AS quantity,
                date_trunc('milliseconds', trade_time) AS trade_time
         FROM trades""",
+    "stream_distinct_trades": f"""
+        WITH {TRADES}
+        SELECT symbol, strftime(trade_time, '%Y-%m-%d') AS dt, trade_id, CAST(price AS DOUBLE) AS price, CAST(quantity AS DOUBLE) AS quantity,
+               date_trunc('milliseconds', trade_time) AS trade_time
+        FROM trades""",
+    "stream_distinct_candles": f"""{CUT_HOURLY}
+        SELECT {CANDLE} FROM candles
+        WHERE window_end <= (SELECT max(trade_time) - INTERVAL 10 SECOND FROM cut)""",
+    "stream_late_trades": f"""{CUT_HOURLY}, {CLOCKS}
+        SELECT symbol, count(*) AS sent, count(*) FILTER (NOT late) AS counted, count(*) FILTER (late) AS late,
+               CAST(sum(trade_id) FILTER (late) AS BIGINT) AS late_ids, TRUE AS whole
+        FROM told GROUP BY symbol""",
+    "stream_amended_candles": f"""{CUT_HOURLY}, {CLOCKS}, in_time AS (
+            SELECT symbol, time_bucket(INTERVAL '1 hour', trade_time) AS window_start, count(*) FILTER (NOT late) AS in_time FROM told GROUP BY ALL
+        )
+        SELECT {CANDLE}, in_time FROM candles JOIN in_time USING (symbol, window_start)""",
+    "partial_merge": f"{HOURLY} SELECT {CANDLE} FROM candles",
+    "stream_rollup": f"""
+        WITH {TRADES}, {CUT}, {candle_cte('fine', '1 minute', 'cut')}, {rollup_cte('middle_rows', '5 minutes', 'fine')},
+        middle AS (SELECT * RENAME (bucket AS window_start, bucket_end AS window_end) FROM middle_rows),
+        {rollup_cte('rolled', '1 hour', 'middle')}
+        SELECT {ROLLED} FROM rolled WHERE bucket_end <= (SELECT max(trade_time) - INTERVAL 10 SECOND FROM cut)""",
+    "stream_open_candles": f"""{CUT_HOURLY}
+        SELECT {CANDLE}, window_end <= (SELECT max(trade_time) - INTERVAL 10 SECOND FROM cut) AS closed FROM candles""",
+    "lag_sketch_quantiles": f"""
+        WITH {TRADES}
+        SELECT symbol, date_trunc('day', trade_time) AS window_start, count(*) AS trades,
+               min(50 + trade_id * 37 % 900) AS min_lag_ms, max(50 + trade_id * 37 % 900) AS max_lag_ms, TRUE AS p50_lag_ms_close, TRUE AS p95_lag_ms_close
+        FROM trades GROUP BY 1, 2""",
+    "partition_routing_balanced": f"""
+        WITH RECURSIVE {TRADES}, loads AS (
+            SELECT symbol, load, place, row_number() OVER (ORDER BY load DESC, symbol) AS turn
+            FROM (SELECT upper(symbol) AS symbol, count(*) AS load FROM trades GROUP BY 1) JOIN
+                 (SELECT upper(unnest(string_split('{ROUTED_SYMBOLS}', ','))) AS symbol, generate_subscripts(string_split('{ROUTED_SYMBOLS}', ','), 1) - 1 AS place) USING (symbol)
+        ),
+        dealt AS (
+            SELECT CAST(0 AS BIGINT) AS turn, list_transform(range({TOPIC_PARTITIONS}), lambda x: CAST(0 AS BIGINT)) AS filled, CAST(NULL AS VARCHAR) AS symbol, CAST(NULL AS BIGINT) AS partition, CAST(0 AS BIGINT) AS load
+            UNION ALL
+            SELECT l.turn, list_transform(filled, lambda x, i: CASE WHEN i = list_position(filled, list_min(filled)) THEN x + l.load ELSE x END), l.symbol, list_position(filled, list_min(filled)) - 1, l.load
+            FROM dealt JOIN loads l ON l.turn = dealt.turn + 1
+        ),
+        listed AS (SELECT symbol, place % {TOPIC_PARTITIONS} AS partition, load FROM loads),
+        better AS (
+            SELECT (SELECT max(s) FROM (SELECT sum(load) AS s FROM listed GROUP BY partition)) < (SELECT list_max(filled) FROM dealt ORDER BY turn DESC LIMIT 1) AS keep_list
+        )
+        SELECT symbol, CAST(partition AS INTEGER) AS partition, load FROM listed WHERE (SELECT keep_list FROM better)
+        UNION ALL
+        SELECT symbol, CAST(partition AS INTEGER), load FROM dealt WHERE turn > 0 AND NOT (SELECT keep_list FROM better)""",
+    "replayed_hours": f"""
+        WITH {TRADES}, {CUT}, {candle_cte('candles', '1 minute', 'cut')}
+        SELECT {CANDLE} FROM candles""",
+    "source_differences": f"""{HOURLY}, {PARTIAL}, pages AS (SELECT * FROM candles WHERE hour(window_start) % 5 <> 0)
+        SELECT * FROM (
+            SELECT coalesce(p.symbol, s.symbol) AS symbol, coalesce(p.window_start, s.window_start) AS window_start,
+                   CASE WHEN p.symbol IS NULL THEN 'only_stream' WHEN s.symbol IS NULL THEN 'only_backfill' ELSE 'differs' END AS status,
+                   CASE WHEN p.symbol IS NULL OR s.symbol IS NULL THEN '' ELSE concat_ws(',',
+                       {", ".join(f"CASE WHEN s.{c} IS DISTINCT FROM p.{c} THEN '{c}' END" for c in ("window_end", *CANDLE_VALUES))}) END AS fields,
+                   s.trade_count AS stream_trades, p.trade_count AS backfill_trades
+            FROM partial s FULL JOIN pages p ON s.symbol = p.symbol AND s.window_start = p.window_start
+        ) WHERE status <> 'differs' OR fields <> ''""",
 }

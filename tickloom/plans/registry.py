@@ -14,24 +14,32 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
+from pyspark.sql.streaming import StreamingQuery
 
 from tickloom import operators as op
 from tickloom.functions import display_number, display_window, dt_hour
+from tickloom.plans.amend import amended_candles
 from tickloom.plans.checks import find_missing_hours
 from tickloom.plans.compaction import backfill, compact
 from tickloom.plans.history import lake_history
+from tickloom.plans.lag import lag_report
+from tickloom.plans.replay import replay_missing
 from tickloom.plans.retention import drop_folders, expired_folders, expiry_report
 from tickloom.plans.rollups import rollup
-from tickloom.schemas import CANDLE_SCHEMA, MESSAGE_SCHEMA
+from tickloom.schemas import CANDLE_SCHEMA, MESSAGE_SCHEMA, TRADE_SCHEMA, conform
 from tickloom.session import shared_dir
 from tickloom.sources import HourRange, Lake, event_trades, lineitem_trades, read_table
 from tickloom.streaming import (
     FileTopic,
+    batch_writer,
     candle_writer,
+    open_candles,
     start_bronze,
     start_ingest,
     start_live,
+    start_parts,
     start_rejects,
+    start_rollup,
     start_silver,
 )
 
@@ -49,6 +57,10 @@ EXPIRY_DATE = "2024-01-20"
 TRADE_IDS_BELOW = 1 << 37
 # a stream that was cut off part of the time sees only trades below this price
 PARTIAL_BELOW = 20
+# event time for which the keys of trades are kept: all of the table's
+DISTINCT_WITHIN = "400 days"
+# one trade in so many comes in after all others
+HELD_BACK = 7
 
 
 def report(df: DataFrame) -> DataFrame:
@@ -571,6 +583,178 @@ def stream_late_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
     return report(lake.streamed.read(spark).select(CANDLE_SCHEMA.fieldNames()))
 
 
+# ---- streams that lose nothing ---------------------------------------------------------
+
+
+def sent_in_files(spark: SparkSession, parts: list[DataFrame], start: Callable[[DataFrame], StreamingQuery]) -> None:
+    """Send each part of ``events`` as a file of its own, with a restart of the stream after each."""
+    landed = shared_dir(spark, "events")
+    for number, part in enumerate(parts):
+        part.coalesce(1).write.parquet(f"{landed}/part={number}")
+        stream = spark.readStream.schema(part.schema).parquet(f"{landed}/*")
+        start(op.trade_messages(message_fields(stream))).awaitTermination()
+
+
+def resent_events(spark: SparkSession, sf_dir: str) -> list[DataFrame]:
+    """The first half by time, then the second; a third of each is sent twice, and a third of the first half again with the second."""
+    events = read_table(spark, sf_dir, "events")
+    bounds = events.agg(F.min("ts").alias("first"), F.max("ts").alias("last")).first()
+    middle = F.lit(bounds.first + (bounds.last - bounds.first) / 2)
+    again = events.filter(F.col("event_id") % 3 == 0)
+    early = again.filter(F.col("ts") < middle)
+    return [
+        events.filter(F.col("ts") < middle).unionByName(early),
+        events.filter(F.col("ts") >= middle).unionByName(again.filter(F.col("ts") >= middle)).unionByName(early),
+    ]
+
+
+def stream_distinct_trades(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The archive of a topic that delivered many trades twice or three times, across batches and a restart."""
+    lake = Lake(shared_dir(spark, "bronze"), grain="day")
+    checkpoint = shared_dir(spark, "checkpoint")
+    sent_in_files(
+        spark,
+        resent_events(spark, sf_dir),
+        lambda messages: start_bronze(messages, lake, checkpoint, {"availableNow": True}, distinct_within=DISTINCT_WITHIN),
+    )
+    return report(lake.trades.read(spark).select("symbol", "dt", "trade_id", "price", "quantity", "trade_time"))
+
+
+def stream_distinct_candles(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Closed candles of the same topic: each trade counts once."""
+    lake = Lake(shared_dir(spark, "silver"), grain="day")
+    checkpoint = shared_dir(spark, "checkpoint")
+    sent_in_files(
+        spark,
+        resent_events(spark, sf_dir),
+        lambda messages: start_silver(messages, lake, checkpoint, CANDLE_WIDTH, trigger={"availableNow": True}, distinct=True),
+    )
+    return report(lake.streamed.read(spark).select(CANDLE_SCHEMA.fieldNames()))
+
+
+def parts_lake(spark: SparkSession, sf_dir: str) -> Lake:
+    """Parts of candles from a topic where one symbol comes in after all others, and a seventh of the trades last of all."""
+    lake = Lake(shared_dir(spark, "silver"), grain="day")
+    checkpoint = shared_dir(spark, "checkpoint")
+    events = read_table(spark, sf_dir, "events")
+    held = F.col("event_id") % HELD_BACK == 0
+    behind = F.col("event_type") == HISTORY_SYMBOL
+    sent_in_files(
+        spark,
+        [events.filter(~held & ~behind), events.filter(~held & behind), events.filter(held)],
+        lambda messages: start_parts(messages, lake, checkpoint, CANDLE_WIDTH, trigger={"availableNow": True}),
+    )
+    return lake
+
+
+def stream_late_trades(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Trades sent, counted in time and kept as late, by symbol."""
+    lake = parts_lake(spark, sf_dir)
+    sent = read_table(spark, sf_dir, "events").groupBy(F.col("event_type").alias("symbol")).agg(F.count("*").alias("sent"))
+    counted = lake.parts.read(spark).filter("NOT late").groupBy("symbol").agg(F.sum("trade_count").alias("counted"))
+    late = lake.late.read(spark).groupBy("symbol").agg(F.count("*").alias("late"), F.sum("trade_id").alias("late_ids"))
+    return sent.join(counted, "symbol", "left").join(late, "symbol", "left").withColumn("whole", F.col("counted") + F.col("late") == F.col("sent"))
+
+
+def stream_amended_candles(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Candles that late trades have changed, next to what they were: no trade is read again."""
+    lake = parts_lake(spark, sf_dir)
+    before = amended_candles(spark, lake, late=False).select("symbol", "window_start", F.col("trade_count").alias("in_time"))
+    amended = amended_candles(spark, lake).join(before, ["symbol", "window_start"], "left")
+    return report(amended.select(*CANDLE_SCHEMA.fieldNames(), F.coalesce("in_time", F.lit(0)).alias("in_time")))
+
+
+def partial_merge(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Parts of a split of the trades by id, merged pair by pair, as candles."""
+    parts = [op.partial_candles(trades(spark, sf_dir).filter(F.col("trade_id") % 4 == n), CANDLE_WIDTH) for n in range(4)]
+    pairs = [op.merge_partials(a.unionByName(b)) for a, b in ((parts[3], parts[0]), (parts[1], parts[2]))]
+    return report(op.finish_partials(pairs[0].unionByName(pairs[1])))
+
+
+def stream_rollup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """1-minute candles rolled up to 5 minutes and to an hour inside one stream."""
+    lake = Lake(shared_dir(spark, "gold"), grain="day")
+    start_rollup(
+        message_stream(spark, sf_dir),
+        lake,
+        shared_dir(spark, "checkpoint"),
+        "1h",
+        ("1 minute", "5 minutes", "1 hour"),
+        trigger={"availableNow": True},
+    ).awaitTermination()
+    return report(lake.streamed_gold("1h").read(spark).select(CANDLE_SCHEMA.fieldNames()))
+
+
+def stream_open_candles(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All candles of a finite stream: closed ones from the table, open ones from the state of its checkpoint."""
+    lake = Lake(shared_dir(spark, "silver"), grain="day")
+    checkpoint = shared_dir(spark, "checkpoint")
+    now = {"availableNow": True}
+    start_silver(message_stream(spark, sf_dir), lake, checkpoint, width=CANDLE_WIDTH, trigger=now).awaitTermination()
+    closed = lake.streamed.read(spark).select(CANDLE_SCHEMA.fieldNames()).withColumn("closed", F.lit(True))
+    return report(closed.unionByName(open_candles(spark, checkpoint).withColumn("closed", F.lit(False))))
+
+
+# ---- lag, routing, holes and differences ------------------------------------------------
+
+
+def lag_sketch_quantiles(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Lag by day from sketches stored by the minute: is each quantile within the sketch's stated error of its rank?"""
+    lake = Lake(shared_dir(spark, "lake"), grain="day")
+    placed = op.decode_trades(messages(spark, sf_dir))
+    lake.lag.replace_partitions(op.lag_sketches(placed), sort_by=("window_start",))
+    days = lag_report(spark, lake, "1 day")
+    lag = F.col("ingested_at_ms") - F.col("trade_time_ms")
+    lags = placed.select("symbol", F.date_trunc("day", "trade_time").alias("window_start"), lag.alias("lag_ms"))
+    joined = lags.join(days, ["symbol", "window_start"])
+    slack = 1 + 2 * op.rank_error() * F.col("trades")
+    by = ["symbol", "window_start", "trades", "min_lag_ms", "max_lag_ms"]
+
+    def close(name: str, q: float) -> Column:
+        below, upto = (F.count_if(c) for c in (F.col("lag_ms") < F.col(name), F.col("lag_ms") <= F.col(name)))
+        want = F.first("trades") * q
+        return ((below <= want + F.first(slack)) & (upto >= want - F.first(slack))).alias(f"{name}_close")
+
+    return report(joined.groupBy(*by).agg(close("p50_lag_ms", 0.5), close("p95_lag_ms", 0.95)))
+
+
+def partition_routing_balanced(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Symbols dealt to partitions by their measured loads."""
+    rows = trades(spark, sf_dir)
+    routes = op.assign_by_load(op.measured_loads(rows, op.parse_symbols(ROUTED_SYMBOLS)), TOPIC_PARTITIONS)
+    routed = op.route_by_load(rows, routes).filter("partition IS NOT NULL")
+    return routed.groupBy(F.upper("symbol").alias("symbol"), "partition").agg(F.count("*").alias("load"))
+
+
+def replayed_hours(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Candles with planted holes, filled from the archive; every fifth hour of the day was left out."""
+    lake = Lake(shared_dir(spark, "lake"), grain="day")
+    archived = conform(op.decode_trades(messages(spark, sf_dir)), TRADE_SCHEMA)
+    batch_writer(lake.trades, "trade_time", query_id="replay")(archived, 0)
+    whole = op.build_candles(archived, "1 minute")
+    candle_writer(lake.streamed, query_id="replay")(whole.filter(F.hour("window_start") % 5 != 0), 0)
+    compact(spark, lake)
+    replay_missing(spark, lake, folder_hours(spark, sf_dir), archived.select("symbol").distinct())
+    return report(lake.compacted.read(spark).select(CANDLE_SCHEMA.fieldNames()))
+
+
+def source_differences(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A partial stream against history pages that lack every fifth hour: what differs, and in which fields."""
+    streamed = stored(partial_candles(spark, sf_dir)).select(CANDLE_SCHEMA.fieldNames())
+    pages = op.decode_klines(pages_of(candles(spark, sf_dir).filter(F.hour("window_start") % 5 != 0)))
+    found = op.compare_sources(streamed, pages)
+    return report(
+        found.select(
+            "symbol",
+            "window_start",
+            "status",
+            F.array_join("fields", ",").alias("fields"),
+            F.col("stream.trade_count").alias("stream_trades"),
+            F.col("backfill.trade_count").alias("backfill_trades"),
+        )
+    )
+
+
 QUERIES: dict[str, Query] = {
     "ohlc_candles": ohlc_candles,
     "ohlc_candles_1m": ohlc_candles_1m,
@@ -621,6 +805,17 @@ QUERIES: dict[str, Query] = {
     "ingest_lag_approx": ingest_lag_approx,
     "repeated_batch": repeated_batch,
     "stream_late_rows": stream_late_rows,
+    "stream_distinct_trades": stream_distinct_trades,
+    "stream_distinct_candles": stream_distinct_candles,
+    "stream_late_trades": stream_late_trades,
+    "stream_amended_candles": stream_amended_candles,
+    "partial_merge": partial_merge,
+    "stream_rollup": stream_rollup,
+    "stream_open_candles": stream_open_candles,
+    "lag_sketch_quantiles": lag_sketch_quantiles,
+    "partition_routing_balanced": partition_routing_balanced,
+    "replayed_hours": replayed_hours,
+    "source_differences": source_differences,
 }
 
 

@@ -39,15 +39,14 @@ class Expired:
 def expired_folders(spark: SparkSession, lake: Lake, as_of: date, keep_days: int = DEFAULT_KEEP_DAYS) -> list[Expired]:
     """Day folders of everything in bronze that are more than ``keep_days`` before ``as_of``.
 
-    Folder names only, as Spark's own partition discovery lists them; both the
-    report and the deletion go by this list.
+    Folder names only, listed folder by folder, and only expired ones are held;
+    both the report and the deletion go by this list.
     """
     cutoff = as_of - timedelta(days=keep_days)
     return [
         Expired(name, table, day, path)
         for name, table in lake.raw.items()
-        for day, path in table.day_folders(spark)
-        if day < cutoff
+        for day, path in sorted(table.day_folders(spark, before=cutoff))
     ]
 
 

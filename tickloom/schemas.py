@@ -64,6 +64,51 @@ CANDLE_SCHEMA = T.StructType(
     ]
 )
 
+TICK_TYPE = T.StructType(
+    [
+        T.StructField("trade_time", T.TimestampType()),
+        T.StructField("trade_id", T.LongType()),
+        T.StructField("price", PRICE_TYPE),
+    ]
+)
+
+# a part of a candle; ``late``: from trades that came in behind their symbol's clock
+PART_SCHEMA = T.StructType(
+    [
+        T.StructField("window_start", T.TimestampType()),
+        T.StructField("window_end", T.TimestampType()),
+        T.StructField("symbol", T.StringType()),
+        T.StructField("first", TICK_TYPE),
+        T.StructField("last", TICK_TYPE),
+        T.StructField("high", PRICE_TYPE),
+        T.StructField("low", PRICE_TYPE),
+        T.StructField("volume", AMOUNT_TYPE),
+        T.StructField("quote_volume", AMOUNT_TYPE),
+        T.StructField("trade_count", T.LongType()),
+        T.StructField("late", T.BooleanType()),
+    ]
+)
+
+# the newest trade time of each symbol that a stream has seen
+CLOCK_SCHEMA = T.StructType(
+    [
+        T.StructField("symbol", T.StringType()),
+        T.StructField("newest", T.TimestampType()),
+    ]
+)
+
+LAG_SCHEMA = T.StructType(
+    [
+        T.StructField("window_start", T.TimestampType()),
+        T.StructField("symbol", T.StringType()),
+        T.StructField("trades", T.LongType()),
+        T.StructField("min_lag_ms", T.LongType()),
+        T.StructField("max_lag_ms", T.LongType()),
+        T.StructField("sum_lag_ms", T.LongType()),
+        T.StructField("sketch", T.BinaryType()),
+    ]
+)
+
 REJECT_SCHEMA = T.StructType(
     [
         T.StructField("reason", T.StringType()),

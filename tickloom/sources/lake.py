@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from collections.abc import Iterator
 from dataclasses import dataclass
 from datetime import date, datetime, timedelta, timezone
 
@@ -11,11 +12,14 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from tickloom.functions.timeparts import dt_hour, hour_floor, hour_key, parse_hour_key
-from tickloom.schemas import CANDLE_SCHEMA, REJECT_SCHEMA, TRADE_SCHEMA, conform, with_partitions
+from tickloom.schemas import CANDLE_SCHEMA, CLOCK_SCHEMA, LAG_SCHEMA, PART_SCHEMA, REJECT_SCHEMA, TRADE_SCHEMA, conform, with_partitions
 
 # Characters that Spark writes as %XX in the name of a partition folder.
 _ESCAPED = set("\"#%'*/:=?\\{[]^\x7f") | set(map(chr, range(1, 32)))
 
+#: A folder of raw trades is written by one task for so many input partitions.
+FAN_IN = 8
+
 TIME_PARTITIONS = {"hour": ("dt", "hour"), "day": ("dt",)}
 
 
@@ -134,16 +138,59 @@ class Table:
             rows = spark.createDataFrame([], with_partitions(self.schema, self.partition_by))
         return rows
 
-    def day_folders(self, spark: SparkSession, symbol: str | None = None) -> list[tuple[date, str]]:
-        """Days and paths of the folders that hold a day, oldest first: names only, no file is opened."""
-        depth = self.partition_by.index("dt") + 1
-        names = [folder_name("symbol", symbol) if c == "symbol" and symbol is not None else f"{c}=*" for c in self.partition_by[:depth]]
-        pattern = spark.sparkContext._jvm.org.apache.hadoop.fs.Path("/".join([self.path, *names]))
-        store = pattern.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
-        found = [entry.getPath() for entry in store.globStatus(pattern) or []]
-        days = [(path.getName().partition("=")[2], path.toString()) for path in found]
-        # the null partition has no date
-        return sorted((date.fromisoformat(day), path) for day, path in days if day[:1].isdigit())
+    def _batch_folder(self, query_id: str, batch_id: int) -> str:
+        """Where a table that is only dealt out by batch keeps one."""
+        return "/".join([self.path, folder_name("query_id", query_id), f"batch_id={batch_id}"])
+
+    def batch(self, spark: SparkSession, query_id: str, batch_id: int) -> DataFrame:
+        """Rows of one micro-batch, none if there was no such batch."""
+        try:
+            return spark.read.schema(self.schema).parquet(self._batch_folder(query_id, batch_id))
+        except AnalysisException as error:
+            if error.getCondition() != "PATH_NOT_FOUND":
+                raise
+            return spark.createDataFrame([], self.schema)
+
+    def run(self, spark: SparkSession, run_id: str, hours: HourRange | None = None) -> DataFrame:
+        """Rows of one run of a table that is dealt out by run."""
+        return self.read(spark, hours).filter(F.col("run_id") == run_id)
+
+    def drop_batch(self, spark: SparkSession, query_id: str, batch_id: int) -> None:
+        path = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(self._batch_folder(query_id, batch_id))
+        path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(path, True)
+
+    def day_folders(self, spark: SparkSession, symbol: str | None = None, before: date | None = None) -> Iterator[tuple[date, str]]:
+        """Days and paths of the folders that hold a day, in no order: names only, no file is opened.
+
+        One folder is listed at a time, and nothing of it is kept: with many
+        symbols and years there are more days than a driver should hold. Days
+        from ``before`` on are passed over.
+        """
+        path_of = spark.sparkContext._jvm.org.apache.hadoop.fs.Path
+        root = path_of(self.path)
+        store = root.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+
+        def inside(path, levels: tuple[str, ...]) -> Iterator[tuple[date, str]]:
+            level, *rest = levels
+            if level == "symbol" and symbol is not None:
+                own = path_of(path, folder_name("symbol", symbol))
+                if store.exists(own):
+                    yield from inside(own, tuple(rest))
+                return
+            entries = store.listStatusIterator(path)
+            while entries.hasNext():
+                found = entries.next().getPath()
+                name, _, value = found.getName().partition("=")
+                if name != level:
+                    continue
+                if rest:
+                    yield from inside(found, tuple(rest))
+                # the null partition has no date
+                elif value[:1].isdigit() and (before is None or date.fromisoformat(value) < before):
+                    yield date.fromisoformat(value), found.toString()
+
+        if store.exists(root):
+            yield from inside(root, self.partition_by[: self.partition_by.index("dt") + 1])
 
     @property
     def time_folders(self) -> tuple[str, ...]:
@@ -174,15 +221,22 @@ class Table:
         )
 
     def gathered(self, rows: DataFrame) -> DataFrame:
-        """Placed rows with the rows of each folder in one task."""
+        """Placed rows with the rows of each folder in one task, or in a few where a folder has no bound."""
         keys = [F.col(c) for c in self.partition_by]
         if "symbol" in self.partition_by:
-            # Folders of one symbol's hour or day are many and hold at most
-            # its candles of that time. Their cost is opening files, not
-            # bytes, so they are spread over every shuffle partition; with an
-            # explicit number adaptive execution does not pack them together.
+            # Folders of one symbol's hour or day are many. Their cost is
+            # opening files, not bytes, so they are spread over every shuffle
+            # partition; with an explicit number adaptive execution does not
+            # pack them together.
             width = int(rows.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-            return rows.repartition(width, *keys)
+            # A candle folder holds at most the candles of that time. A busy
+            # symbol's raw trades have no such bound: each task gets those of
+            # some input partitions only.
+            lanes = 1 if "window_start" in self.schema.fieldNames() else -(-rows.rdd.getNumPartitions() // FAN_IN)
+            if lanes <= 1:
+                return rows.repartition(width, *keys)
+            dealt = rows.withColumn("__lane", F.pmod(F.spark_partition_id(), F.lit(lanes)))
+            return dealt.repartition(width, *keys, "__lane").drop("__lane")
         # Folders holding all symbols are few and grow with the symbols, so
         # their size decides: adaptive execution splits the large ones.
         return rows.hint("rebalance", *keys)
@@ -230,10 +284,25 @@ class Lake:
         """Messages, exchange events or klines that could not be used, by the day they came in."""
         return Table(self.path("bronze", f"rejects_{of}"), REJECT_SCHEMA, ("dt", "query_id", "batch_id"))
 
+    @property
+    def late(self) -> Table:
+        """Trades that came in behind their symbol's clock, in folders of their own per micro-batch."""
+        return Table(self.path("bronze", "late_trades"), TRADE_SCHEMA, (*TIME_PARTITIONS[self.grain], "query_id", "batch_id"))
+
+    @property
+    def parts(self) -> Table:
+        """Parts of candles, as many for a window as micro-batches had trades of it."""
+        return Table(self.path("silver", "ohlc_1m_parts"), PART_SCHEMA, (*TIME_PARTITIONS[self.grain], "query_id", "batch_id"))
+
+    @property
+    def clocks(self) -> Table:
+        """The newest trade time of each symbol after each micro-batch; only the last two batches are kept."""
+        return Table(self.path("silver", "clocks"), CLOCK_SCHEMA, ("query_id", "batch_id"))
+
     @property
     def raw(self) -> dict[str, Table]:
         """Everything in bronze, which is kept for a limited time."""
-        return {"trades": self.trades, **{f"rejects_{of}": self.rejects(of) for of in ("trades", "events", "klines")}}
+        return {"trades": self.trades, "late_trades": self.late, **{f"rejects_{of}": self.rejects(of) for of in ("trades", "events", "klines")}}
 
     @property
     def streamed(self) -> Table:
@@ -256,6 +325,15 @@ class Lake:
     def gold(self, label: str) -> Table:
         return self._candles("gold", f"ohlc_{label}", by_symbol=False)
 
+    def streamed_gold(self, label: str) -> Table:
+        """Coarser candles as a stream closed them, in folders of their own per micro-batch."""
+        return self._candles("gold", f"ohlc_{label}_streamed", "query_id", "batch_id", by_symbol=False)
+
+    @property
+    def lag(self) -> Table:
+        """Sketches of the ingest lag by symbol and minute; all symbols share a folder."""
+        return Table(self.path("gold", "ingest_lag"), LAG_SCHEMA, TIME_PARTITIONS[self.grain])
+
     def candles(self, label: str) -> Table:
         """The table a reader of resolution ``label`` uses."""
         return self.compacted if label == "1m" else self.gold(label)

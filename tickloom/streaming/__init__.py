@@ -5,10 +5,13 @@ from tickloom.streaming.jobs import (
     start_event_rejects,
     start_ingest,
     start_live,
+    start_parts,
     start_rejects,
+    start_rollup,
     start_silver,
 )
-from tickloom.streaming.sinks import FileTopic, KafkaTopic, batch_writer, candle_writer
+from tickloom.streaming.sinks import FileTopic, KafkaTopic, batch_writer, candle_writer, parts_writer
+from tickloom.streaming.state import open_candles
 
 __all__ = [
     "FileTopic",
@@ -17,10 +20,14 @@ __all__ = [
     "STORE_TRIGGER",
     "batch_writer",
     "candle_writer",
+    "open_candles",
+    "parts_writer",
     "start_bronze",
     "start_event_rejects",
     "start_ingest",
     "start_live",
+    "start_parts",
     "start_rejects",
+    "start_rollup",
     "start_silver",
 ]

@@ -14,14 +14,16 @@ from pyspark.sql.streaming import StreamingQuery
 from tickloom.operators import (
     build_candles,
     candle_messages,
+    chained_rollups,
     decode_trades,
+    distinct_trades,
     keep_symbols,
     split_events,
     split_trades,
     trade_messages,
 )
 from tickloom.sources.lake import Lake, Table
-from tickloom.streaming.sinks import FileTopic, KafkaTopic, batch_writer
+from tickloom.streaming.sinks import FileTopic, KafkaTopic, batch_writer, parts_writer
 
 # Default window, watermark and triggers.
 WINDOW = "1 minute"
@@ -56,9 +58,17 @@ def start_ingest(
     )
 
 
-def start_bronze(messages: DataFrame, lake: Lake, checkpoint: str, trigger: dict = STORE_TRIGGER) -> StreamingQuery:
-    """Archive every usable trade, partitioned by symbol and time."""
+def start_bronze(
+    messages: DataFrame, lake: Lake, checkpoint: str, trigger: dict = STORE_TRIGGER, distinct_within: str | None = None
+) -> StreamingQuery:
+    """Archive every usable trade, partitioned by symbol and time.
+
+    Delivery is at least once: with ``distinct_within`` a trade whose id was
+    seen that long ago or less, in event time, is not archived again.
+    """
     valid, _ = split_trades(decode_trades(messages))
+    if distinct_within is not None:
+        valid = distinct_trades(valid, distinct_within)
     return _landed(valid, lake.trades, "trade_time", checkpoint, trigger)
 
 
@@ -98,13 +108,60 @@ def start_silver(
     watermark: str = WATERMARK,
     trigger: dict = STORE_TRIGGER,
     trade_ids_below: int | None = None,
+    distinct: bool = False,
 ) -> StreamingQuery:
-    """Store each candle once, after the watermark has passed its end."""
+    """Store each candle once, after the watermark has passed its end.
+
+    With ``distinct`` each trade counts once, however often it was delivered:
+    its id is kept for as long as its candle is open, and a copy that comes
+    later still is late for the candle too.
+    """
     valid, _ = split_trades(decode_trades(messages))
-    candles = build_candles(valid, width, watermark, trade_ids_below=trade_ids_below)
+    if distinct:
+        # the candles go by the same watermark
+        candles = build_candles(distinct_trades(valid, watermark), width, trade_ids_below=trade_ids_below)
+    else:
+        candles = build_candles(valid, width, watermark, trade_ids_below=trade_ids_below)
     return _landed(candles, lake.streamed, "window_start", checkpoint, trigger)
 
 
+def start_parts(
+    messages: DataFrame,
+    lake: Lake,
+    checkpoint: str,
+    width: str = WINDOW,
+    delay: str = WATERMARK,
+    trigger: dict = STORE_TRIGGER,
+) -> StreamingQuery:
+    """Store parts of candles batch by batch; trades behind their symbol's clock are kept apart and marked.
+
+    Nothing is dropped: every usable trade is in one part, and late ones are
+    rows of ``lake.late`` besides. ``amended_candles`` puts the parts together.
+    """
+    valid, _ = split_trades(decode_trades(messages))
+    return (
+        valid.writeStream.outputMode("append")
+        .foreachBatch(parts_writer(lake, width, delay))
+        .option("checkpointLocation", checkpoint)
+        .trigger(**trigger)
+        .start()
+    )
+
+
+def start_rollup(
+    messages: DataFrame,
+    lake: Lake,
+    checkpoint: str,
+    label: str,
+    widths: tuple[str, ...],
+    watermark: str = WATERMARK,
+    trigger: dict = STORE_TRIGGER,
+) -> StreamingQuery:
+    """Store candles of the last of ``widths``, rolled up through the others inside one stream."""
+    valid, _ = split_trades(decode_trades(messages))
+    return _landed(chained_rollups(valid, widths, watermark), lake.streamed_gold(label), "window_start", checkpoint, trigger)
+
+
 def start_live(
     messages: DataFrame,
     topic: KafkaTopic | FileTopic,

@@ -9,8 +9,10 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import DataStreamWriter
 
+from tickloom.functions import interval
+from tickloom.operators import partial_candles
 from tickloom.schemas import MESSAGE_SCHEMA, conform
-from tickloom.sources.lake import Table
+from tickloom.sources.lake import Lake, Table
 
 
 def running_query_id(batch: DataFrame) -> str:
@@ -32,10 +34,42 @@ def batch_writer(
     """
 
     def write(batch: DataFrame, batch_id: int) -> None:
-        owned = batch.withColumns(
-            {"query_id": F.lit(query_id or running_query_id(batch)), "batch_id": F.lit(batch_id)}
-        )
-        table.write_gathered(table.gathered(table.placed(owned, time_column)), sort_by=(time_column,))
+        _land(table, batch, time_column, query_id or running_query_id(batch), batch_id)
+
+    return write
+
+
+def _land(table: Table, rows: DataFrame, time_column: str, query_id: str, batch_id: int) -> None:
+    owned = rows.withColumns({"query_id": F.lit(query_id), "batch_id": F.lit(batch_id)})
+    table.write_gathered(table.gathered(table.placed(owned, time_column)), sort_by=(time_column,))
+
+
+def parts_writer(lake: Lake, width: str, delay: str, query_id: str | None = None) -> Callable[[DataFrame, int], None]:
+    """A ``foreachBatch`` function for trades: parts of candles, late trades, and the clock of each symbol.
+
+    A symbol's clock is the newest trade time that earlier batches had of it. A
+    trade is late if its window ended ``delay`` or more before that; late trades
+    are kept as they are, and their parts are marked. Clocks are the only state:
+    one row a symbol, written for each batch and read for the next, so a batch
+    that is run again finds the clocks it found before and writes the same. A
+    symbol that lags behind others loses nothing to their clocks. Batch ids
+    count from 0 without a hole, as Spark numbers the batches of a checkpoint.
+    """
+
+    def write(batch: DataFrame, batch_id: int) -> None:
+        spark, query = batch.sparkSession, query_id or running_query_id(batch)
+        before = lake.clocks.batch(spark, query, batch_id - 1)
+        closed = F.col("newest") - interval(delay)
+        ends = F.window("trade_time", width).end
+        trades = batch.join(before, "symbol", "left").withColumn("late", F.coalesce(ends <= closed, F.lit(False))).drop("newest").persist()
+        try:
+            _land(lake.late, trades.filter("late"), "trade_time", query, batch_id)
+            _land(lake.parts, partial_candles(trades, width, by=("late",)), "window_start", query, batch_id)
+            now = trades.select("symbol", F.col("trade_time").alias("newest")).unionByName(before)
+            _land(lake.clocks, now.groupBy("symbol").agg(F.max("newest").alias("newest")), "newest", query, batch_id)
+        finally:
+            trades.unpersist()
+        lake.clocks.drop_batch(spark, query, batch_id - 2)
 
     return write
 
