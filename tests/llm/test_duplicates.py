@@ -11,7 +11,7 @@ import xxhash
 from tickloom.llm import buckets, embeddings, simhash
 from tickloom.llm.components import connected_components
 from tickloom.llm.decontamination import WORD, contaminated, decontaminate
-from tickloom.llm.substrings import remove_repeats, repeated_passages, similar_sets, shingle_set, without
+from tickloom.llm.substrings import doc_hash, remove_repeats, repeated_passages, similar_sets, shingle_set, without
 
 
 class Sets:
@@ -238,6 +238,67 @@ def test_passages_with_wide_spacing(table):
     assert sorted((r.id, r.words, r.kept) for r in repeated_passages(docs).collect()) == [(1, 90, True), (2, 90, False)]
 
 
+def windows_of(text, size):
+    words = (text or "").lower().split()
+    return {tuple(words[i : i + size]) for i in range(len(words) - size + 1)}
+
+
+def test_a_passage_is_not_kept_by_a_paragraph_that_goes(table):
+    """12 goes as a near copy of 11; what 13 shares with 12 only must stay in 13."""
+    base, other = prose(400, 70).split(), prose(30, 71)
+    near = [*base[:185], *other.split(), *base[215:]]
+    docs = table([(11, " ".join(base)), (12, " ".join(near)), (13, f"{prose(30, 72)} {other} {prose(30, 73)}")])
+    out = {r.doc_id: r.text for r in remove_repeats(docs).collect()}
+    assert 12 not in out and out[11] == " ".join(base) and other in out[13]
+
+
+def test_a_passage_goes_from_a_paragraph_that_is_kept(table):
+    passage, rest = prose(40, 74), prose(40, 75)
+    docs = table([(1, f"{prose(50, 76)} {passage} {prose(50, 77)}"), (2, f"{passage} {rest}"), (3, f"{passage} {rest}\n{prose(30, 78)}")])
+    out = {r.doc_id: r.text for r in remove_repeats(docs).collect()}
+    assert passage in out[1] and out[2].split() == rest.split() and out[3].split() == prose(30, 78).split()
+    places = {(r.id, r.words, r.kept) for r in repeated_passages(docs).collect()}
+    assert {(1, 40, True), (2, 40, False), (2, 80, True), (3, 80, False)} <= places
+
+
+@pytest.mark.parametrize("seed", [1, 2])
+def test_no_removed_window_vanishes_and_none_stays_twice(table, seed):
+    """Chains of overlapping passages of few different words, in lines too short for paragraphs."""
+    rng = random.Random(seed)
+    size = 4
+    stream = [f"w{rng.randrange(6)}" for _ in range(60)]
+    docs = []
+    for k in range(40):
+        words = []
+        for _ in range(rng.randrange(1, 4)):
+            at = rng.randrange(50)
+            words += stream[at : at + rng.randrange(3, 14)] + [f"own{k}x{rng.randrange(3)}"] * rng.randrange(2)
+        docs.append((rng.choice([k, k, k % 5, None]), "\n".join(" ".join(words[i : i + 3]) for i in range(0, len(words), 3))))
+    frame = table(docs)
+    places = repeated_passages(frame, min_words=size).collect()
+    gone = defaultdict(set)
+    for r in places:
+        if not r.kept:
+            gone[r.doc, r.id].add((r.begin, r.end))
+    left, removed = defaultdict(set), set()
+    for r in frame.select("doc_id", "text", doc_hash("text").alias("h")).distinct().collect():
+        data = r.text.encode()
+        spans = [(m.start(), m.end()) for m in re.finditer(rb"\S+", data)]
+        stays = [not any(a <= b and e <= z for a, z in gone[r.h, r.doc_id]) for b, e in spans]
+        for i in range(len(spans) - size + 1):
+            window = tuple(data[b:e] for b, e in spans[i : i + size])
+            begin, end = spans[i][0], spans[i + size - 1][1]
+            if any(a <= begin and end <= z for a, z in gone[r.h, r.doc_id]):
+                removed.add(window)
+            if all(stays[i : i + size]):
+                left[window].add(r.doc_id)
+    assert len(removed) > 30 and removed <= left.keys()
+    # rows of one key are not set against each other
+    assert not [w for w, ids in left.items() if len(ids) > 1]
+    texts = {r.text for r in remove_repeats(frame, min_words=size).collect()}
+    assert set().union(*(windows_of(t, size) for t in texts)) >= {tuple(w.decode() for w in k) for k in left}
+
+
 def test_passages_of_odd_rows(odd, nothing):
     assert repeated_passages(odd).filter("NOT kept").count() == 0
     assert sorted(map(str, remove_repeats(odd).collect())) == sorted(map(str, odd.collect()))

@@ -1,5 +1,7 @@
 """Passages that repeat across documents, by paragraph MinHash banding.
 
+Equal texts are one text; of their rows the one with the smallest key stays.
+
 A paragraph is a line of ``min_words`` words or more. Equal paragraphs are one
 node; nodes that agree in a band of their MinHash meet in a bucket, where exact
 Jaccard of five-word shingles decides. Components of the links are clusters:
@@ -7,30 +9,36 @@ the paragraphs of the document with the smallest key stay, the others are
 removals. Two rows a band and eight bands find a pair of similarity 0.8 with
 probability 0.9997.
 
-A passage need not be a paragraph: every window of ``min_words`` words of a
-text, whatever its lines and spacing, is met with those of all other documents,
-and windows that follow each other are one passage. So an equal passage of
-``min_words`` words or more is found to the word. To keep most windows from being
-shuffled, anchors are met first: a shorter window in each, the one with the
-smallest hash. Equal windows have equal anchors, so only documents that share an
-anchor with another have their windows sent. Those documents are marked in a
-bitmap of fixed size; what it lets through in vain meets nothing.
+What the removed paragraphs leave is then looked through for shorter passages:
+windows of ``min_words`` words, whatever their lines and spacing, that are in
+more than one text. So an equal passage of that many words is found to the word.
+Who keeps a window is decided among places that are left, and a window goes only
+if the place that keeps it is sure to stay (see ``settled``); so none that goes
+vanishes and none is left in two documents.
+
+To keep most windows from being shuffled, anchors are met first: a shorter window
+in each, the one with the smallest hash. Equal windows have equal anchors, so
+only texts that share an anchor with another are looked through, and of their
+windows only those whose hash is in a bitmap of shared ones become rows. Tasks
+send each anchor and window with two texts at most, which is all that tells a
+shared one, so a passage of very many texts is no large group. Both bitmaps have
+a fixed size; what they let through in vain meets nothing.
 """
 
 from __future__ import annotations
 
-from bisect import bisect_right
-from collections.abc import Callable, Iterator
+from collections.abc import Iterator
+from functools import reduce
 
 import numpy as np
 import pandas as pd
 import pyarrow as pa
 import xxhash
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from tickloom.llm.buckets import links_in_buckets
-from tickloom.llm.common import ASCII_LOWER, blocks_of, hashes_of, release, space_words, stored, text_bytes
+from tickloom.llm.common import ASCII_LOWER, blocks_of, discard, hashes_of, release, space_words, stored, stored_at, text_bytes
 from tickloom.llm.components import connected_components
 
 SHINGLE = 5
@@ -45,7 +53,8 @@ GATHER = 1 << 20
 BITMAP_BITS = 1 << 26
 #: Bytes of text taken at once.
 BLOCK = 1 << 20
-LINE, RUN = 0, 1
+#: Bits of the bitmap of shared windows at most.
+WINDOW_BITS = 28
 
 OCCURRENCES = "doc long, id {id}, `begin` int, `end` int, words int, node long, body binary, bands array<long>"
 
@@ -127,7 +136,7 @@ class Texts:
 
 
 def occurrences(docs: DataFrame, key: str, text: str, min_words: int) -> DataFrame:
-    """Paragraphs of all texts; begin and end are byte places. ``doc``: a hash of key and text."""
+    """Paragraphs of all texts, and a row without a node for each text of ``min_words`` words; begin and end are byte places. ``doc``: a hash of the text."""
     kind = docs.schema[key].dataType.simpleString()
     schema = OCCURRENCES.format(id=kind)
     id_type = pa.int64()
@@ -160,8 +169,19 @@ def occurrences(docs: DataFrame, key: str, text: str, min_words: int) -> DataFra
             first.append(total)
             total += len(s)
         bands = band_keys(np.concatenate(shingles), np.array(first)).tolist() if first else []
+        nodes = np.array(nodes, np.uint64).view(np.int64).tolist()
+        for number, row_id, data in block:
+            words = len(data.split())
+            if words >= min_words:
+                doc.append(number)
+                ids.append(row_id)
+                begins.append(len(data) - len(data.lstrip()))
+                ends.append(len(data.rstrip()))
+                sizes.append(words)
+                for column in (nodes, bodies, bands):
+                    column.append(None)
         return pa.record_batch(
-            [pa.array(doc, pa.int64()), pa.array(ids, id_type), pa.array(begins, pa.int32()), pa.array(ends, pa.int32()), pa.array(sizes, pa.int32()), pa.array(np.array(nodes, np.uint64).view(np.int64)), pa.array(bodies, pa.binary()), pa.array(bands, pa.list_(pa.int64()))],
+            [pa.array(doc, pa.int64()), pa.array(ids, id_type), pa.array(begins, pa.int32()), pa.array(ends, pa.int32()), pa.array(sizes, pa.int32()), pa.array(nodes, pa.int64()), pa.array(bodies, pa.binary()), pa.array(bands, pa.list_(pa.int64()))],
             names=["doc", "id", "begin", "end", "words", "node", "body", "bands"],
         )
 
@@ -173,11 +193,11 @@ def occurrences(docs: DataFrame, key: str, text: str, min_words: int) -> DataFra
             for block in blocks_of(part, BLOCK):
                 yield rows(block)
 
-    return docs.select(doc_hash(key, text).alias("doc"), F.col(key).alias("id"), text_bytes(text).alias("text")).mapInArrow(run, schema)
+    return docs.select(doc_hash(text).alias("doc"), F.col(key).alias("id"), text_bytes(text).alias("text")).mapInArrow(run, schema)
 
 
-def doc_hash(key: str, text: str) -> Column:
-    return F.xxhash64(F.col(key), F.coalesce(F.col(text).cast("string"), F.lit("")))
+def doc_hash(text: str) -> Column:
+    return F.xxhash64(F.coalesce(F.col(text).cast("string"), F.lit("")))
 
 
 def similar_paragraphs(similarity: float = SIMILARITY):
@@ -245,19 +265,50 @@ def _numbers(table: pa.Table, column: str, kind: str) -> np.ndarray:
     return np.frombuffer(b"".join(table.column(column).to_pylist()), kind)
 
 
-def _squeezed(x: np.ndarray) -> bytes:
-    """Numbers for a shuffle, compressed: all lowest bytes first, then all second ones, and so on."""
-    planes = np.ascontiguousarray(x.view(np.uint8).reshape(len(x), -1).T).tobytes()
-    return len(planes).to_bytes(8, "little") + pa.Codec("zstd", 1).compress(planes, asbytes=True)
+def _by_key(keys: np.ndarray, docs: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+    """Keys and docs by key and doc, where each key begins, and whether it has several docs."""
+    order = np.lexsort((docs, keys))
+    keys, docs = keys[order], docs[order]
+    first = np.flatnonzero(np.append(True, keys[1:] != keys[:-1])) if len(keys) else np.zeros(0, int)
+    last = np.append(first[1:], len(keys)) - 1
+    return keys, docs, first, docs[first] != docs[last]
+
+
+def _gathered(parts: Iterator[pa.RecordBatch], found, parts_bits: int, marks: bool) -> Iterator[pa.RecordBatch]:
+    """Keys of the hash space's parts with the docs that have them: the first and the last of each key of a batch.
+
+    ``found`` gives keys and docs of a block. With ``marks``, the docs that share a key
+    with others of the batch go along: those between the two would else be lost.
+    """
+    held: list[tuple[np.ndarray, np.ndarray]] = []
+    size = 0
+
+    def batch() -> pa.RecordBatch:
+        keys, docs, first, several = _by_key(*(np.concatenate(x) for x in zip(*held, strict=True)))
+        shared = np.unique(docs[np.repeat(several, np.diff(first, append=len(keys)))]) if marks else docs[:0]
+        ends = np.append(first[1:], len(keys)) - 1
+        two = np.concatenate([first, ends[several]])
+        keys, docs = keys[two], docs[two]
+        order, cuts = _parted(keys, parts_bits)
+        keys, docs = keys[order], docs[order]
+        names = [p for p, _, _ in cuts]
+        columns = [[x[a:b].tobytes() for _, a, b in cuts] for x in (keys, docs)]
+        shares = np.array_split(shared, len(names))
+        return pa.record_batch([pa.array(names, pa.int64()), *(pa.array(c, pa.binary()) for c in columns), pa.array([x.tobytes() for x in shares], pa.binary())], names=["part", "keys", "docs", "marks"])
 
+    for part in parts:
+        for block in blocks_of(part, BLOCK, 2):
+            keys, docs = found(block)
+            held.append((keys, docs))
+            size += len(keys)
+            if size >= GATHER:
+                yield batch()
+                held, size = [], 0
+    if size:
+        yield batch()
 
-def _unsqueezed(table: pa.Table, column: str, kind: str) -> np.ndarray:
-    codec = pa.Codec("zstd")
-    out = []
-    for data in table.column(column).to_pylist():
-        planes = np.frombuffer(codec.decompress(data[8:], int.from_bytes(data[:8], "little"), asbytes=True), np.uint8)
-        out.append(np.ascontiguousarray(planes.reshape(np.dtype(kind).itemsize, -1).T).view(kind).reshape(-1))
-    return np.concatenate(out)
+
+GATHERED = "part long, keys binary, docs binary, marks binary"
 
 
 def _bits(docs: np.ndarray) -> np.ndarray:
@@ -266,226 +317,229 @@ def _bits(docs: np.ndarray) -> np.ndarray:
     return np.stack([docs % np.uint64(BITMAP_BITS), docs // np.uint64(BITMAP_BITS) % np.uint64(BITMAP_BITS)]).astype(np.int64)
 
 
+def _bit_words(docs: np.ndarray) -> pa.Table:
+    place = np.unique(_bits(docs)) if len(docs) else np.zeros(0, np.int64)
+    word = np.flatnonzero(np.append(True, place[1:] >> 6 != place[:-1] >> 6)) if len(place) else np.zeros(0, int)
+    bits = np.bitwise_or.reduceat(np.uint64(1) << (place & 63).astype(np.uint64), word) if len(place) else np.zeros(0, np.uint64)
+    return pa.table([pa.array(place[word] >> 6, pa.int64()), pa.array(bits.view(np.int64))], names=["word", "bits"])
+
+
+def _bitmap(words: DataFrame) -> np.ndarray:
+    """One bitmap of documents out of rows ``word``, ``bits``: as many rows as it has words at most."""
+    out = np.zeros(BITMAP_BITS // 64, np.uint64)
+    for row in words.groupBy("word").agg(F.bit_or("bits").alias("bits")).toLocalIterator():
+        out[row.word] = np.uint64(row.bits & 0xFFFFFFFFFFFFFFFF)
+    return out
+
+
+def _in_bitmap(spark: SparkSession, bitmap: np.ndarray):
+    """A column function: may this document be in the bitmap?"""
+    held = spark.sparkContext.broadcast(bitmap)
+
+    @F.pandas_udf("boolean")
+    def marked(docs: pd.Series) -> pd.Series:
+        one, two = _bits(docs.to_numpy(np.int64))
+        hit = [held.value[place >> 6] >> (place & 63).astype(np.uint64) & np.uint64(1) for place in (one, two)]
+        return pd.Series((hit[0] & hit[1]).astype(bool))
+
+    return marked
+
+
 def sharing_documents(rows: DataFrame, min_words: int, parts_bits: int) -> np.ndarray:
-    """A bitmap that has every document that shares an anchor with another."""
+    """A bitmap that has every text that shares an anchor with another; ``rows``: ``doc``, ``id``, ``text``."""
+
+    def anchors(block: list[tuple]) -> tuple[np.ndarray, np.ndarray]:
+        texts = Texts([data for *_, data in block])
+        at, keys = texts.anchors(min_words)
+        return keys, np.array([doc for doc, *_ in block], np.int64)[texts.owner[at]]
 
     def run(parts: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         release()
-        held: list[tuple[np.ndarray, np.ndarray]] = []
-        size = 0
+        yield from _gathered(parts, anchors, parts_bits, True)
 
-        def batch() -> pa.RecordBatch:
-            keys, docs = (np.concatenate(x) for x in zip(*held, strict=True))
-            order, cuts = _parted(keys, parts_bits)
-            keys, docs = keys[order], docs[order]
-            columns = [pa.array([p for p, _, _ in cuts], pa.int64()), *(pa.array([x[a:b].tobytes() for _, a, b in cuts], pa.binary()) for x in (keys, docs))]
-            return pa.record_batch(columns, names=["part", "keys", "docs"])
+    def meet(key: tuple, table: pa.Table) -> pa.Table:
+        keys, docs, first, several = _by_key(_numbers(table, "keys", "<u8"), _numbers(table, "docs", "<i8"))
+        return _bit_words(np.union1d(docs[np.repeat(several, np.diff(first, append=len(keys)))], _numbers(table, "marks", "<i8")))
 
-        for part in parts:
-            for block in blocks_of(part, BLOCK):
-                texts = Texts([data for *_, data in block])
-                at, keys = texts.anchors(min_words)
-                held.append((keys, np.array([doc for doc, *_ in block], np.int64)[texts.owner[at]]))
-                size += len(keys)
-                if size >= GATHER:
-                    yield batch()
-                    held, size = [], 0
-        if size:
-            yield batch()
+    return _bitmap(rows.mapInArrow(run, GATHERED).groupBy("part").applyInArrow(meet, "word long, bits long"))
 
-    def meet(key: tuple, table: pa.Table) -> pa.Table:
-        keys, docs = _numbers(table, "keys", "<u8"), _numbers(table, "docs", "<i8")
-        order = np.argsort(keys, kind="stable")
-        keys, docs = keys[order], docs[order]
-        first = np.flatnonzero(np.append(True, keys[1:] != keys[:-1]))
-        shared = np.minimum.reduceat(docs, first) != np.maximum.reduceat(docs, first)
-        place = np.unique(_bits(np.unique(docs[np.repeat(shared, np.diff(first, append=len(keys)))])))
-        word = np.flatnonzero(np.append(True, place[1:] >> 6 != place[:-1] >> 6)) if len(place) else np.zeros(0, int)
-        bits = np.bitwise_or.reduceat(np.uint64(1) << (place & 63).astype(np.uint64), word) if len(place) else np.zeros(0, np.uint64)
-        return pa.table([pa.array(place[word] >> 6, pa.int64()), pa.array(bits.view(np.int64))], names=["word", "bits"])
-
-    met = rows.mapInArrow(run, "part long, keys binary, docs binary").groupBy("part").applyInArrow(meet, "word long, bits long")
-    out = np.zeros(BITMAP_BITS // 64, np.uint64)
-    for row in met.groupBy("word").agg(F.bit_or("bits").alias("bits")).toLocalIterator():  # as many rows as the bitmap has words at most
-        out[row.word] = np.uint64(row.bits & 0xFFFFFFFFFFFFFFFF)
-    return out
 
+class Windows:
+    """The windows of some texts without what was cut out of them, in places of the texts."""
 
-def repeated_runs(rows: DataFrame, kind: str, min_words: int, parts_bits: int) -> DataFrame:
-    """Runs of windows that occur in more than one document: ``doc``, ``id``, ``begin``, ``end``, ``words``, ``passage``, ``first_id``, ``kept``."""
-    held_bits = rows.sparkSession.sparkContext.broadcast(sharing_documents(rows, min_words, parts_bits))
-    buckets = 1 << max(0, parts_bits - 1)
-    places = ("docs", "own", "number", "begin", "end")
-    types = {"docs": "<i8", "own": "<u4", "number": "<u4", "begin": "<u4", "end": "<u4", "first": "<u4", "kept": "?"}
-    sent = f"part long, ids array<{kind}>, keys binary, " + ", ".join(f"`{c}` binary" for c in places)
-    packed = f"bucket long, ids array<{kind}>, keys binary, kept binary, first binary, " + ", ".join(f"`{c}` binary" for c in places)
+    def __init__(self, block: list[tuple], size: int):
+        """Rows (doc, id, text, cuts); no window goes across a cut."""
+        pieces, self.row, base, number = [], [], [], []
+        for k, (_, _, data, cuts) in enumerate(block):
+            at = 0
+            for begin, end in [*sorted((c["begin"], c["end"]) for c in cuts or ()), (len(data), len(data))]:
+                if begin > at:
+                    pieces.append(data[at:begin])
+                    self.row.append(k)
+                    base.append(at)
+                at = max(at, end)
+        texts = Texts(pieces) if pieces else None
+        self.row = np.array(self.row, int)
+        at = texts.windows(size) if pieces else np.zeros(0, int)
+        owner = texts.owner[at] if pieces else at
+        if pieces:
+            # numbers go on from piece to piece of a text, with a gap of a window
+            words = np.bincount(texts.owner, minlength=len(pieces)) + size
+            number = np.cumsum(words) - words
+        self.keys = window_keys(texts.hashes, size)[at] if pieces else np.zeros(0, np.uint64)
+        self.owner = self.row[owner]
+        self.number = texts.number[at] + number[owner] if pieces else at
+        self.begin = texts.begin[at] + np.array(base, int)[owner] if pieces else at
+        self.end = texts.end[at + size - 1] + np.array(base, int)[owner] if pieces else at
+
+
+def shared_windows(texts: DataFrame, kind: str, min_words: int, parts_bits: int, bitmap_bits: int) -> DataFrame:
+    """``key``, ``doc``, ``id``, ``number``, ``begin``, ``end`` of every window that more than one text has, and of a few others.
+
+    ``texts``: ``doc``, ``id``, ``text``, ``cuts``, one row a text. Shared windows are
+    found first, each task sending a window once; their part of the hash space is
+    a bitmap, and all parts side by side are what the second pass goes by.
+    """
+    bits = max(bitmap_bits, parts_bits + 3)
+
+    def keys_of(block: list[tuple]) -> tuple[np.ndarray, np.ndarray]:
+        windows = Windows(block, min_words)
+        return windows.keys, np.array([doc for doc, *_ in block], np.int64)[windows.owner]
 
     def run(parts: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         release()
-        bitmap = held_bits.value
-        held: list[list[np.ndarray]] = []
-        ids: list = []
-        size, id_type = 0, None
-
-        def batch() -> pa.RecordBatch:
-            keys, *columns = (np.concatenate(x) for x in zip(*held, strict=True))
-            order, cuts = _parted(keys, parts_bits)
-            return parted_batch("part", cuts, ids, id_type, {"keys": keys[order]} | {c: x[order] for c, x in zip(places, columns, strict=True)})
+        yield from _gathered(parts, keys_of, parts_bits, False)
 
+    def meet(key: tuple, table: pa.Table) -> pa.Table:
+        keys, _, first, several = _by_key(_numbers(table, "keys", "<u8"), _numbers(table, "docs", "<i8"))
+        part = np.zeros(1 << bits - parts_bits, bool)
+        part[((keys[first][several] >> np.uint64(64 - bits)) & np.uint64(len(part) - 1)).astype(np.int64)] = True
+        return pa.table([pa.array([key[0].as_py()], pa.int64()), pa.array([np.packbits(part, bitorder="little").tobytes()], pa.binary())], names=["part", "bits"])
+
+    found = np.zeros(1 << bits - 3, np.uint8)
+    width = 1 << bits - parts_bits - 3
+    for r in texts.mapInArrow(run, GATHERED).groupBy("part").applyInArrow(meet, "part long, bits binary").toLocalIterator():  # the bitmap's size in all
+        found[r.part * width : (r.part + 1) * width] = np.frombuffer(r.bits, np.uint8)
+    held = texts.sparkSession.sparkContext.broadcast(found)
+
+    def emit(parts: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        bitmap = held.value
         for part in parts:
             id_type = part.column(1).type
-            for block in blocks_of(part, BLOCK):
-                docs = np.array([doc for doc, *_ in block], np.int64)
-                one, two = _bits(docs)
-                hit = np.ones(len(docs), bool)
-                for place in (one, two):
-                    hit &= (bitmap[place >> 6] >> (place & 63).astype(np.uint64) & np.uint64(1)).astype(bool)
-                own = np.flatnonzero(hit).tolist()
-                if not own:
-                    continue
-                texts = Texts([block[k][2] for k in own])
-                at = texts.windows(min_words)
-                owner = texts.owner[at]
-                held.append([window_keys(texts.hashes, min_words)[at], docs[own][owner], *(x.astype(np.uint32) for x in (owner + len(ids), texts.number[at], texts.begin[at], texts.end[at + min_words - 1]))])
-                ids += [block[k][1] for k in own]
-                size += len(at)
-                if size >= GATHER:
-                    yield batch()
-                    held, ids, size = [], [], 0
-        if size:
-            yield batch()
-
-    def apart(end: np.ndarray, begin: np.ndarray) -> np.ndarray:
-        return (end.astype(np.int64) - begin.astype(np.int64)).astype("<u4")
-
-    def parted_batch(name: str, cuts: list[tuple[int, int, int]], ids: list, id_type: pa.DataType, columns: dict[str, np.ndarray]) -> pa.RecordBatch:
-        """A row for each range; the numbers of ids in ``own`` and ``first`` become numbers in the row's own ``ids``."""
-        out: dict[str, list] = {c: [] for c in columns}
-        listed = []
-        numbered = [c for c in ("own", "first") if c in columns]
-        for _, a, b in cuts:
-            used, number = np.unique(np.concatenate([columns[c][a:b] for c in numbered]), return_inverse=True)
-            listed.append([ids[k] for k in used.tolist()])
-            row = {c: x[a:b] for c, x in columns.items()} | dict(zip(numbered, np.split(number, len(numbered)), strict=True))
-            for c, x in row.items():
-                out[c].append(x.tobytes() if c == "keys" else _squeezed(apart(x, row["begin"]) if c == "end" else x.astype(types[c])))
-        arrays = [pa.array([p for p, _, _ in cuts], pa.int64()), pa.array(listed, pa.list_(id_type)), *(pa.array(x, pa.binary()) for x in out.values())]
-        return pa.record_batch(arrays, names=[name, "ids", *out])
-
-    def unpacked(table: pa.Table) -> tuple[list, dict[str, np.ndarray]]:
-        listed = table.column("ids").to_pylist()
-        columns = {c: _unsqueezed(table, c, types[c]) for c in places} | {"keys": _numbers(table, "keys", "<u8")}
-        columns["end"] = columns["end"] + columns["begin"]  # sent as the length
-        shift = np.repeat(np.cumsum([0, *map(len, listed[:-1])]), [len(x) // 8 for x in table.column("keys").to_pylist()])
-        for c in ("own", "first"):
-            if c in table.column_names:
-                columns[c] = (_unsqueezed(table, c, "<u4") + shift).astype(np.uint32)
-        return [x for ids in listed for x in ids], columns
-
-    def meet(key: tuple, table: pa.Table) -> pa.Table:
-        ids, columns = unpacked(table)
-        # ids as numbers in their order, null last
-        order = sorted({x for x in ids if x is not None})
-        rank = {x: k for k, x in enumerate(order)} | {None: len(order)}
-        columns["own"] = np.array([rank[x] for x in ids], np.int64)[columns["own"]]
-        by_key = np.argsort(columns["keys"], kind="stable")
-        columns = {c: x[by_key] for c, x in columns.items()}
-        keys, docs = columns["keys"], columns["docs"]
-        begins = np.flatnonzero(np.append(True, keys[1:] != keys[:-1]))
-        size = np.diff(begins, append=len(keys))
-        columns["first"] = np.repeat(np.minimum.reduceat(columns["own"], begins), size)
-        shared = np.repeat(np.minimum.reduceat(docs, begins) != np.maximum.reduceat(docs, begins), size)
-        columns = {c: x[shared] for c, x in columns.items()}
-        columns["kept"] = columns["own"] == columns["first"]
-        bucket = (columns["docs"].view(np.uint64) % np.uint64(buckets)).astype(np.int64)
-        by_bucket = np.argsort(bucket, kind="stable")
-        cuts = np.searchsorted(bucket[by_bucket], np.arange(buckets + 1))
-        ranges = [(b, int(cuts[b]), int(cuts[b + 1])) for b in np.flatnonzero(np.diff(cuts)).tolist()]
-        columns = {c: columns[c][by_bucket] for c in ("keys", "kept", "first", *places)}
-        return pa.Table.from_batches([parted_batch("bucket", ranges, [*order, None], table.schema.field("ids").type.value_type, columns)])
-
-    def join(key: tuple, table: pa.Table) -> pa.Table:
-        ids, columns = unpacked(table)
-        columns["kept"] = _unsqueezed(table, "kept", "?")
-        order = np.lexsort((columns["number"], columns["kept"], columns["docs"]))
-        columns = {c: x[order] for c, x in columns.items()}
-        docs, kept, number = columns["docs"], columns["kept"], columns["number"].astype(np.int64)
-        # the same text in several rows has each window several times
-        follows = (docs[1:] == docs[:-1]) & (kept[1:] == kept[:-1]) & (number[1:] <= number[:-1] + 1)
-        begins = np.flatnonzero(np.append(True, ~follows))
-        ends = np.append(begins[1:], len(docs)) - 1
-        id_type = table.schema.field("ids").type.value_type
-        arrays = [
-            pa.array(docs[begins]),
-            pa.array([ids[k] for k in columns["own"][begins].tolist()], id_type),
-            pa.array(columns["begin"][begins].astype(np.int32)),
-            pa.array(columns["end"][ends].astype(np.int32)),
-            pa.array((number[ends] - number[begins] + min_words).astype(np.int32)),
-            pa.array(columns["keys"][begins].view(np.int64)),
-            pa.array([ids[k] for k in columns["first"][begins].tolist()], id_type),
-            pa.array(kept[begins]),
-        ]
-        return pa.table(arrays, names=["doc", "id", "begin", "end", "words", "passage", "first_id", "kept"])
-
-    met = rows.mapInArrow(run, sent).groupBy("part").applyInArrow(meet, packed)
-    return met.groupBy("bucket").applyInArrow(join, f"doc long, id {kind}, `begin` int, `end` int, words int, passage long, first_id {kind}, kept boolean")
-
-
-def _spans() -> Callable[[list[dict]], list[tuple]]:
-    """Paragraphs as they are, and runs that are not within one: those say nothing more."""
-
-    def merge(spans: list[dict]) -> list[tuple]:
-        lines = sorted((s["begin"], s["end"]) for s in spans if s["kind"] == LINE)
-        begins = [a for a, _ in lines]
-
-        def within(a: int, b: int) -> bool:
-            k = bisect_right(begins, a) - 1
-            return k >= 0 and b <= lines[k][1]
-
-        out = [s for s in spans if s["kind"] == LINE or not within(s["begin"], s["end"])]
-        return sorted(((s["begin"], s["end"], s["words"], s["passage"], s["first_id"], s["kept"]) for s in out), key=lambda s: s[:4])
-
-    return merge
+            for block in blocks_of(part, BLOCK, 2):
+                windows = Windows(block, min_words)
+                place = (windows.keys >> np.uint64(64 - bits)).astype(np.int64)
+                hit = (bitmap[place >> 3] >> (place & 7) & 1).astype(bool)
+                owner = windows.owner[hit]
+                arrays = [
+                    pa.array(windows.keys[hit].view(np.int64)),
+                    pa.array(np.array([doc for doc, *_ in block], np.int64)[owner]),
+                    pa.array([x for _, x, *_ in block], id_type).take(pa.array(owner)),
+                    *(pa.array(x[hit].astype(np.int32)) for x in (windows.number, windows.begin, windows.end)),
+                ]
+                yield pa.record_batch(arrays, names=["key", "doc", "id", "number", "begin", "end"])
+
+    return texts.mapInArrow(emit, f"key long, doc long, id {kind}, number int, `begin` int, `end` int")
+
+
+def settled(windows: DataFrame, min_words: int) -> DataFrame:
+    """``windows`` of several texts with ``first_id`` and ``kept``: decisions that hold together.
+
+    The smallest key that has a window keeps it. But where the keeper's place
+    overlaps with a window that the keeper loses to another, that place may go,
+    and with it the window. So a window is settled only when a place of its
+    keeper overlaps with nothing that is to go; then its other places go. What
+    is left, without places that were cut into, is decided in the next round. The
+    smallest key never loses a window, so each round settles some; chains of
+    overlapping passages are as many rounds as they are long.
+    """
+    in_text = Window.partitionBy("doc").orderBy("number")
+    so_far, from_here = in_text.rangeBetween(Window.unboundedPreceding, 0), in_text.rangeBetween(0, Window.unboundedFollowing)
+
+    def overlaps(flag: Column) -> Column:
+        """Does the window overlap with a flagged one of its text?"""
+        at = F.when(flag, F.col("number"))
+        before, after = F.max(at).over(so_far), F.min(at).over(from_here)
+        return F.coalesce(F.col("number") - before < min_words, F.lit(False)) | F.coalesce(after - F.col("number") < min_words, F.lit(False))
+
+    left, done = windows, []
+    while True:
+        facts = left.groupBy("key").agg(F.min("id").alias("first_id"), F.min("doc").alias("one"), F.max("doc").alias("other"))
+        shared = left.join(facts.filter("one <> other").select("key", "first_id"), "key")
+        told = shared.withColumn("kept", F.col("id").eqNullSafe(F.col("first_id")) | F.col("first_id").isNull())
+        told, folder = stored_at(told.withColumn("threatened", overlaps(~F.col("kept"))), "told")
+        safe = told.groupBy("key").agg(F.max(F.col("kept") & ~F.col("threatened")).alias("safe"))
+        judged = stored(told.drop("threatened").join(safe, "key"), "judged")
+        discard(windows.sparkSession, folder)
+        done.append(judged.filter("safe").drop("safe"))
+        if judged.filter("NOT safe").limit(1).count() == 0:
+            return reduce(DataFrame.unionByName, done)
+        left = judged.withColumn("cut", overlaps(F.col("safe") & ~F.col("kept"))).filter("NOT safe AND NOT cut").drop("safe", "cut", "kept", "first_id")
+
+
+def runs_of(windows: DataFrame, min_words: int) -> DataFrame:
+    """Windows that follow each other in a text, with one decision: ``doc``, ``id``, ``begin``, ``end``, ``words``, ``passage``, ``first_id``, ``kept``."""
+    alike = ["doc", "id", "first_id", "kept"]
+    order = Window.partitionBy(*alike).orderBy("number")
+    begins = F.coalesce(F.col("number") - F.lag("number").over(order) > 1, F.lit(True)).cast("int")
+    numbered = windows.withColumn("begins", begins).withColumn("run", F.sum("begins").over(order.rowsBetween(Window.unboundedPreceding, 0)))
+    return (
+        numbered.groupBy(*alike, "run")
+        .agg(F.min("begin").alias("begin"), F.max("end").alias("end"), (F.max("number") - F.min("number") + min_words).alias("words"), F.min("key").alias("passage"))
+        .drop("run")
+    )
 
 
 def repeated_passages(docs: DataFrame, key: str = "doc_id", text: str = "text", min_words: int = MIN_WORDS, similarity: float = SIMILARITY) -> DataFrame:
     """Every place of a passage that occurs in more than one document.
 
-    ``doc`` (hash of key and text), ``id``, ``begin``, ``end`` (bytes of the
-    UTF-8 text), ``words``, ``passage`` (the same for all its places),
-    ``first_id`` (smallest key with it) and ``kept`` (is this the document that
-    keeps it?). A null or empty text has no passages. Rows with equal key and
-    text count as one document; of several texts with one key none is removed
-    for another. Null keys are never first, unless all keys of a passage are
-    null: then nothing of it is removed. Other columns are ignored.
+    ``doc`` (hash of the text), ``id``, ``begin``, ``end`` (bytes of the UTF-8
+    text), ``words``, ``passage`` (the same for equal words and for similar
+    paragraphs), ``first_id`` (smallest key with it) and ``kept`` (is this the
+    document that keeps it?). A text that is equal to that of a smaller key is
+    one passage from its first to its last word. A paragraph that is similar to
+    one of a smaller key is one too. In what is left, runs of windows of
+    ``min_words`` words are. After all that is not kept has gone, every window
+    of such a run is still whole in the document that keeps it, and no window of
+    the input is left in two documents. Places of one text may overlap. A null or empty text has no
+    passages. Rows with equal key and text count as one document; of several
+    texts with one key none is removed for another. Null keys are never first,
+    unless all keys of a passage are null: then nothing of it is removed. Other
+    columns are ignored.
     """
-    lines = stored(occurrences(docs, key, text, min_words), "passages")
+    spark = docs.sparkSession
+    found = stored(occurrences(docs, key, text, min_words), "passages")
+    lines = found.filter("node IS NOT NULL")
     kind = docs.schema[key].dataType.simpleString()
-    rows = docs.select(doc_hash(key, text).alias("doc"), F.col(key).alias("id"), text_bytes(text).alias("text"))
-    size = rows.agg(F.sum(F.octet_length("text"))).first()[0] or 0
-    runs = repeated_runs(rows, kind, min_words, min(20, (size // PART_BYTES).bit_length()))
-    places = (F.min("id").alias("first_id"), F.min("doc").alias("one"), F.max("doc").alias("other"))
+    columns = ("doc", "id", "begin", "end", "words", "passage", "first_id", "kept")
+
+    # equal texts: all but the first go whole
+    whole = found.filter("node IS NULL").select("doc", "id", "begin", "end", "words").distinct()
+    copied = whole.groupBy("doc").agg(F.min("id").alias("first_id"), F.count("*").alias("rows")).filter("rows > 1").drop("rows")
+    copies = whole.join(copied, "doc").withColumn("kept", F.col("id").eqNullSafe(F.col("first_id"))).withColumn("passage", F.col("doc"))
 
+    # paragraphs: clusters of similar ones
+    places = (F.min("id").alias("first_id"), F.min("doc").alias("one"), F.max("doc").alias("other"))
     bands = lines.select("node", "bands").dropDuplicates(["node"]).select("node", F.explode("bands").alias("bucket"))
     links = links_in_buckets(bands, similar_paragraphs(similarity), payloads=lines.select("node", F.col("body").alias("payload")))
     joined = connected_components(links)
     classes = lines.groupBy("node").agg(*places).join(joined, "node", "left").withColumn("passage", F.coalesce("component", "node"))
     by_passage = classes.groupBy("passage").agg(F.min("first_id").alias("first_id"), F.min("one").alias("one"), F.max("other").alias("other")).filter("one <> other").select("passage", "first_id")
     repeated = classes.select("node", "passage").join(by_passage, "passage")
-    columns = ("doc", "id", "begin", "end", "words", "passage", "first_id", "kept")
-    spans = lines.join(repeated, "node").withColumn("kept", F.col("id").eqNullSafe(F.col("first_id"))).select(F.lit(LINE).alias("kind"), *columns).unionByName(runs.select(F.lit(RUN).alias("kind"), *columns))
-    merge = _spans()
-    by_doc = spans.distinct().groupBy("doc", "id").agg(F.collect_list(F.struct("kind", "begin", "end", "words", "passage", "first_id", "kept")).alias("spans"))
-
-    def run(parts: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for part in parts:
-            rows = [(doc, row_id, *span) for doc, row_id, spans in zip(*(c.to_pylist() for c in part.columns), strict=True) for span in merge(spans)]
-            if rows:
-                types = [pa.int64(), part.column(1).type, pa.int32(), pa.int32(), pa.int32(), pa.int64(), part.column(1).type, pa.bool_()]
-                names = ["doc", "id", "begin", "end", "words", "passage", "first_id", "kept"]
-                yield pa.record_batch([pa.array(c, t) for c, t in zip(zip(*rows, strict=True), types, strict=True)], names=names)
+    own = lines.groupBy("doc", "begin", "end", "words", "node").agg(F.min("id").alias("id"))  # each text once
+    paragraphs = own.join(repeated, "node").withColumn("kept", F.col("id").eqNullSafe(F.col("first_id")) | F.col("first_id").isNull())
+    paragraphs = stored(paragraphs.select(*columns), "paragraphs")
 
-    return by_doc.mapInArrow(run, f"doc long, id {kind}, `begin` int, `end` int, words int, passage long, first_id {kind}, kept boolean")
+    # windows of what is left
+    rows = docs.select(doc_hash(text).alias("doc"), F.col(key).alias("id"), text_bytes(text).alias("text"))
+    size = rows.agg(F.sum(F.octet_length("text"))).first()[0] or 0
+    parts_bits = min(WINDOW_BITS, (size // PART_BYTES).bit_length())
+    sharing = rows.filter(_in_bitmap(spark, sharing_documents(rows, min_words, parts_bits))("doc"))
+    cuts = paragraphs.filter("NOT kept").groupBy("doc").agg(F.collect_list(F.struct("begin", "end")).alias("cuts"))  # a text's paragraphs at most
+    texts = stored(sharing.groupBy("doc").agg(F.min("id").alias("id"), F.any_value("text").alias("text")).join(cuts, "doc", "left").select("doc", "id", "text", "cuts"), "sharing")
+    windows = shared_windows(texts, kind, min_words, parts_bits, min(WINDOW_BITS, max(20, size.bit_length() - 3)))
+    runs = runs_of(settled(stored(windows, "windows"), min_words), min_words)
+    return paragraphs.unionByName(runs.select(*columns)).unionByName(copies.select(*columns))
 
 
 def without(data: bytes, begins: list[int], ends: list[int]) -> str:
@@ -511,13 +565,23 @@ def remove_repeats(docs: DataFrame, key: str = "doc_id", text: str = "text", min
     ``n_chars``, where the table has it, is counted anew for changed texts. Rows
     with equal key and text are treated alike.
     """
-    gone = repeated_passages(docs, key, text, min_words, similarity).filter("NOT kept").groupBy(F.col("doc").alias("__doc")).agg(F.collect_list("begin").alias("__begins"), F.collect_list("end").alias("__ends"))
+    spark = docs.sparkSession
+    places = repeated_passages(docs, key, text, min_words, similarity).filter("NOT kept")
+    gone = stored(places.groupBy(F.col("doc").alias("__doc"), F.col("id").alias("__id")).agg(F.collect_list("begin").alias("__begins"), F.collect_list("end").alias("__ends")), "gone")
+
+    def words(parts: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for part in parts:
+            yield from _bit_words(part.column(0).to_numpy()).to_batches()
+
+    # only texts that lose something are shuffled
+    loses = _in_bitmap(spark, _bitmap(gone.select("__doc").mapInArrow(words, "word long, bits long")))
 
     @F.pandas_udf("string")
     def cut(texts: pd.Series, begins: pd.Series, ends: pd.Series) -> pd.Series:
         return pd.Series([None if b is None else without(t, list(b), list(e)) for t, b, e in zip(texts, begins, ends, strict=True)], dtype=object)
 
-    joined = docs.withColumn("__hash", doc_hash(key, text)).join(gone, F.col("__hash") == F.col("__doc"), "left")
+    hashed = docs.withColumn("__hash", doc_hash(text))
+    joined = hashed.filter(loses("__hash")).join(gone, (F.col("__hash") == F.col("__doc")) & F.col(key).eqNullSafe(F.col("__id")), "left")
     changed = joined.withColumn("__text", cut(text_bytes(text), F.col("__begins"), F.col("__ends")))
     kept = changed.filter("__text IS NULL OR trim(__text) <> ''")
     columns = []
@@ -528,4 +592,4 @@ def remove_repeats(docs: DataFrame, key: str = "doc_id", text: str = "text", min
         elif name == "n_chars":
             column = F.coalesce(F.char_length("__text").cast(docs.schema[name].dataType), column)
         columns.append(column.alias(name))
-    return kept.select(*columns)
+    return kept.select(*columns).unionByName(hashed.filter(~loses("__hash")).select(*[F.col(f"`{c}`") for c in docs.columns]))
