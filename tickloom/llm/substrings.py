@@ -38,7 +38,7 @@ from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from tickloom.llm.buckets import links_in_buckets
-from tickloom.llm.common import ASCII_LOWER, blocks_of, discard, hashes_of, release, space_words, stored, stored_at, text_bytes
+from tickloom.llm.common import ASCII_LOWER, blocks_of, hashes_of, release, space_words, stored, text_bytes
 from tickloom.llm.components import connected_components
 
 SHINGLE = 5
@@ -125,14 +125,20 @@ class Texts:
         return np.flatnonzero(self.owner[: max(0, len(self.owner) - size + 1)] == self.owner[size - 1 :])
 
     def anchors(self, size: int) -> tuple[np.ndarray, np.ndarray]:
-        """Places and keys of the anchors of all windows of ``size`` words: of the windows of half as many in it, the first with the smallest key."""
+        """Texts and keys of the anchors of all windows of ``size`` words: of the windows of half as many in it, the smallest key."""
         at = self.windows(size)
         if not len(at):
             return at, np.zeros(0, np.uint64)
         half = max(1, size // 2)
-        keys = window_keys(self.hashes, half)
-        place = np.unique(np.lib.stride_tricks.sliding_window_view(keys, size - half + 1).argmin(1)[at] + at)
-        return place, keys[place]
+        least = window_keys(self.hashes, half)
+        width, span = size - half + 1, 1
+        while span < width:  # smallest of 1, 2, 4, ... and then of all
+            step = min(span, width - span)
+            least = np.minimum(least[:-step], least[step:])
+            span += step
+        least, owner = least[at], self.owner[at]
+        first = np.append(True, (least[1:] != least[:-1]) | (owner[1:] != owner[:-1]))
+        return owner[first], least[first]
 
 
 def occurrences(docs: DataFrame, key: str, text: str, min_words: int) -> DataFrame:
@@ -145,14 +151,17 @@ def occurrences(docs: DataFrame, key: str, text: str, min_words: int) -> DataFra
         doc, ids, begins, ends, sizes, nodes, bodies = ([] for _ in range(7))
         shingles, first, total = [], [], 0
         paragraphs, flat = [], []
+        in_all = []
         for number, row_id, data in block:
-            at = 0
+            at = total_words = 0
             for line in data.split(b"\n"):
                 words = space_words(line)
+                total_words += len(words)
                 if len(words) >= min_words:
                     paragraphs.append((number, row_id, at, line, words, len(flat)))
                     flat += words
                 at += len(line) + 1
+            in_all.append(total_words)
         hashes = hashes_of(flat)
         for number, row_id, at, line, words, k in paragraphs:
             h = hashes[k : k + len(words)]
@@ -170,8 +179,7 @@ def occurrences(docs: DataFrame, key: str, text: str, min_words: int) -> DataFra
             total += len(s)
         bands = band_keys(np.concatenate(shingles), np.array(first)).tolist() if first else []
         nodes = np.array(nodes, np.uint64).view(np.int64).tolist()
-        for number, row_id, data in block:
-            words = len(data.split())
+        for (number, row_id, data), words in zip(block, in_all, strict=True):
             if words >= min_words:
                 doc.append(number)
                 ids.append(row_id)
@@ -350,8 +358,8 @@ def sharing_documents(rows: DataFrame, min_words: int, parts_bits: int) -> np.nd
 
     def anchors(block: list[tuple]) -> tuple[np.ndarray, np.ndarray]:
         texts = Texts([data for *_, data in block])
-        at, keys = texts.anchors(min_words)
-        return keys, np.array([doc for doc, *_ in block], np.int64)[texts.owner[at]]
+        owner, keys = texts.anchors(min_words)
+        return keys, np.array([doc for doc, *_ in block], np.int64)[owner]
 
     def run(parts: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         release()
@@ -453,28 +461,28 @@ def settled(windows: DataFrame, min_words: int) -> DataFrame:
     smallest key never loses a window, so each round settles some; chains of
     overlapping passages are as many rounds as they are long.
     """
-    in_text = Window.partitionBy("doc").orderBy("number")
-    so_far, from_here = in_text.rangeBetween(Window.unboundedPreceding, 0), in_text.rangeBetween(0, Window.unboundedFollowing)
-
-    def overlaps(flag: Column) -> Column:
-        """Does the window overlap with a flagged one of its text?"""
-        at = F.when(flag, F.col("number"))
-        before, after = F.max(at).over(so_far), F.min(at).over(from_here)
-        return F.coalesce(F.col("number") - before < min_words, F.lit(False)) | F.coalesce(after - F.col("number") < min_words, F.lit(False))
-
+    near = Window.partitionBy("doc").orderBy("number").rangeBetween(1 - min_words, min_words - 1)
     left, done = windows, []
     while True:
         facts = left.groupBy("key").agg(F.min("id").alias("first_id"), F.min("doc").alias("one"), F.max("doc").alias("other"))
-        shared = left.join(facts.filter("one <> other").select("key", "first_id"), "key")
-        told = shared.withColumn("kept", F.col("id").eqNullSafe(F.col("first_id")) | F.col("first_id").isNull())
-        told, folder = stored_at(told.withColumn("threatened", overlaps(~F.col("kept"))), "told")
-        safe = told.groupBy("key").agg(F.max(F.col("kept") & ~F.col("threatened")).alias("safe"))
-        judged = stored(told.drop("threatened").join(safe, "key"), "judged")
-        discard(windows.sparkSession, folder)
-        done.append(judged.filter("safe").drop("safe"))
-        if judged.filter("NOT safe").limit(1).count() == 0:
-            return reduce(DataFrame.unionByName, done)
-        left = judged.withColumn("cut", overlaps(F.col("safe") & ~F.col("kept"))).filter("NOT safe AND NOT cut").drop("safe", "cut", "kept", "first_id")
+        # written, so that the join reads two exchanges and adaptive execution can split a window of very many texts
+        facts = stored(facts.filter("one <> other").select("key", "first_id"), "facts")
+        kept = F.col("id").eqNullSafe(F.col("first_id")) | F.col("first_id").isNull()
+        told = left.join(facts, "key").withColumn("kept", kept)
+        told = stored(told.withColumn("threatened", F.max(~F.col("kept")).over(near)), "told")
+        # threatened places are few, and so are the windows that have no other
+        risky = told.filter("kept AND threatened").select("key").distinct()
+        sure = told.filter("kept AND NOT threatened").select("key").join(risky, "key", "left_semi").distinct()
+        unsafe = stored(risky.join(sure, "key", "left_anti"), "unsafe")
+        told = told.drop("threatened")
+        if unsafe.isEmpty():
+            return reduce(DataFrame.unionByName, [*done, told])
+        done.append(told.join(unsafe, "key", "left_anti"))
+        judged = told.join(unsafe.withColumn("unsafe", F.lit(True)), "key", "left").withColumn("unsafe", F.col("unsafe").isNotNull())
+        open_texts = judged.filter("unsafe").select("doc").distinct()
+        cut = F.max(~F.col("unsafe") & ~F.col("kept")).over(near)
+        judged = judged.join(open_texts, "doc", "left_semi").withColumn("cut", cut)
+        left = stored(judged.filter("unsafe AND NOT cut").select(windows.columns), "left")
 
 
 def runs_of(windows: DataFrame, min_words: int) -> DataFrame:
