@@ -589,7 +589,9 @@ def remove_repeats(docs: DataFrame, key: str = "doc_id", text: str = "text", min
         return pd.Series([None if b is None else without(t, list(b), list(e)) for t, b, e in zip(texts, begins, ends, strict=True)], dtype=object)
 
     hashed = docs.withColumn("__hash", doc_hash(text))
-    joined = hashed.filter(loses("__hash")).join(gone, (F.col("__hash") == F.col("__doc")) & F.col(key).eqNullSafe(F.col("__id")), "left")
+    # written, so that no task needs two Python workers: each would keep what later stages load into it
+    losing = stored(hashed.filter(loses("__hash")), "losing")
+    joined = losing.join(gone, (F.col("__hash") == F.col("__doc")) & F.col(key).eqNullSafe(F.col("__id")), "left")
     changed = joined.withColumn("__text", cut(text_bytes(text), F.col("__begins"), F.col("__ends")))
     kept = changed.filter("__text IS NULL OR trim(__text) <> ''")
     columns = []
