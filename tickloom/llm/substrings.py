@@ -34,7 +34,8 @@ import numpy as np
 import pandas as pd
 import pyarrow as pa
 import xxhash
-from pyspark.sql import Column, DataFrame, SparkSession, Window
+from pyspark import Broadcast
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from tickloom.llm.buckets import links_in_buckets
@@ -340,9 +341,8 @@ def _bitmap(words: DataFrame) -> np.ndarray:
     return out
 
 
-def _in_bitmap(spark: SparkSession, bitmap: np.ndarray):
-    """A column function: may this document be in the bitmap?"""
-    held = spark.sparkContext.broadcast(bitmap)
+def _in_bitmap(held: Broadcast):
+    """A column function: may this document be in the broadcast bitmap?"""
 
     @F.pandas_udf("boolean")
     def marked(docs: pd.Series) -> pd.Series:
@@ -401,8 +401,8 @@ class Windows:
         self.end = texts.end[at + size - 1] + np.array(base, int)[owner] if pieces else at
 
 
-def shared_windows(texts: DataFrame, kind: str, min_words: int, parts_bits: int, bitmap_bits: int) -> DataFrame:
-    """``key``, ``doc``, ``id``, ``number``, ``begin``, ``end`` of every window that more than one text has, and of a few others.
+def shared_windows(texts: DataFrame, kind: str, min_words: int, parts_bits: int, bitmap_bits: int) -> tuple[DataFrame, Broadcast]:
+    """``key``, ``doc``, ``id``, ``number``, ``begin``, ``end`` of every window that more than one text has, and of a few others; and the broadcast they need.
 
     ``texts``: ``doc``, ``id``, ``text``, ``cuts``, one row a text. Shared windows are
     found first, each task sending a window once; their part of the hash space is
@@ -447,7 +447,7 @@ def shared_windows(texts: DataFrame, kind: str, min_words: int, parts_bits: int,
                 ]
                 yield pa.record_batch(arrays, names=["key", "doc", "id", "number", "begin", "end"])
 
-    return texts.mapInArrow(emit, f"key long, doc long, id {kind}, number int, `begin` int, `end` int")
+    return texts.mapInArrow(emit, f"key long, doc long, id {kind}, number int, `begin` int, `end` int"), held
 
 
 def settled(windows: DataFrame, min_words: int) -> DataFrame:
@@ -542,11 +542,15 @@ def repeated_passages(docs: DataFrame, key: str = "doc_id", text: str = "text",
     rows = docs.select(doc_hash(text).alias("doc"), F.col(key).alias("id"), text_bytes(text).alias("text"))
     size = rows.agg(F.sum(F.octet_length("text"))).first()[0] or 0
     parts_bits = min(WINDOW_BITS, (size // PART_BYTES).bit_length())
-    sharing = rows.filter(_in_bitmap(spark, sharing_documents(rows, min_words, parts_bits))("doc"))
+    held = spark.sparkContext.broadcast(sharing_documents(rows, min_words, parts_bits))
+    sharing = rows.filter(_in_bitmap(held)("doc"))
     cuts = paragraphs.filter("NOT kept").groupBy("doc").agg(F.collect_list(F.struct("begin", "end")).alias("cuts"))  # a text's paragraphs at most
     texts = stored(sharing.groupBy("doc").agg(F.min("id").alias("id"), F.any_value("text").alias("text")).join(cuts, "doc", "left").select("doc", "id", "text", "cuts"), "sharing")
-    windows = shared_windows(texts, kind, min_words, parts_bits, min(WINDOW_BITS, max(20, size.bit_length() - 3)))
-    runs = runs_of(settled(stored(windows, "windows"), min_words), min_words)
+    held.destroy()
+    windows, held = shared_windows(texts, kind, min_words, parts_bits, min(WINDOW_BITS, max(20, size.bit_length() - 3)))
+    windows = stored(windows, "windows")
+    held.destroy()
+    runs = runs_of(settled(windows, min_words), min_words)
     return paragraphs.unionByName(runs.select(*columns)).unionByName(copies.select(*columns))
 
 
@@ -582,7 +586,7 @@ def remove_repeats(docs: DataFrame, key: str = "doc_id", text: str = "text", min
             yield from _bit_words(part.column(0).to_numpy()).to_batches()
 
     # only texts that lose something are shuffled
-    loses = _in_bitmap(spark, _bitmap(gone.select("__doc").mapInArrow(words, "word long, bits long")))
+    loses = _in_bitmap(spark.sparkContext.broadcast(_bitmap(gone.select("__doc").mapInArrow(words, "word long, bits long"))))
 
     @F.pandas_udf("string")
     def cut(texts: pd.Series, begins: pd.Series, ends: pd.Series) -> pd.Series:
