@@ -58,6 +58,45 @@ def test_chunks_without_a_mark_compose():
     assert_equal_ids(Transducer.of(BYTE_BPE), [word, "b", word[100:], " " + word[:900]])
 
 
+def unspaced(size, seed=9, alphabet="abcdefgh"):
+    rng = random.Random(seed)
+    return "".join(rng.choice(alphabet) for _ in range(size))
+
+
+@pytest.mark.parametrize("text", [unspaced(1_000_000), "x" * 1_000_000, "=-" * 300_000, "abc" * 200_000, " " * 400_000 + "x", "漢字かな" * 60_000], ids="letters x signs abc spaces cjk".split())
+def test_a_megabyte_without_a_boundary(monkeypatch, text):
+    """Chunk maps are composed in logarithmic rounds: few passes over the chunks, whatever their number."""
+    machine, passes = Transducer.of(BYTE_BPE), []
+    advance = machine._advance
+    monkeypatch.setattr(machine, "_advance", lambda state, column: passes.append(1) or advance(state, column))
+    assert_equal_ids(machine, [text])
+    blocks = 2 * -(-len(text.encode()) // bpe_fst.BLOCK)  # counted, then encoded
+    assert len(passes) <= blocks * (bpe_fst.TURNS + 2) * bpe_fst.CHUNK
+
+
+@pytest.mark.parametrize("turns", [1, 2, 8])
+def test_maps_that_are_closed_late(monkeypatch, turns):
+    """What few turns don't close is followed along the text: the same ids."""
+    monkeypatch.setattr(bpe_fst, "TURNS", turns)
+    monkeypatch.setattr(bpe_fst, "CHUNK", 4)
+    texts = [unspaced(3000, 1), "x" * 999, "a b" + unspaced(700, 2, "etaoins") + " <|endoftext|>" + unspaced(90, 3), "=-" * 200]
+    assert_equal_ids(Transducer.of(BYTE_BPE), texts)
+
+
+def test_pieces_are_entered_where_the_last_was_left(monkeypatch):
+    monkeypatch.setattr(bpe_fst, "BLOCK", 1024)
+    assert_equal_ids(Transducer.of(BYTE_BPE), [unspaced(9000), "the " * 1000, "x" * 5000 + "<|endoftext|>" + unspaced(3000, 5)])
+
+
+@settings(max_examples=60, deadline=None)
+@given(st.text(alphabet="abet 'x=<|endoftext|>漢", max_size=300), st.sampled_from([1, 2, 3, 8]))
+def test_any_text_in_small_chunks(text, chunk):
+    with pytest.MonkeyPatch.context() as patch:
+        patch.setattr(bpe_fst, "CHUNK", chunk)
+        patch.setattr(bpe_fst, "BLOCK", 8 * chunk)
+        assert_equal_ids(Transducer.of(BYTE_BPE), [text, text[3:]])
+
+
 def test_a_full_table_starts_anew(monkeypatch):
     monkeypatch.setattr(bpe_fst, "MAX_STATES", 3000)
     rng = random.Random(4)

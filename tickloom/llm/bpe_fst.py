@@ -14,12 +14,16 @@ BPE keeps two tokens apart depends on the two alone: undo their merges along
 the seam, latest first; at no time may the tokens at the seam have a merge that
 comes before the merge undone last.
 
-A text's bytes are cut into chunks of equal length that run in lockstep. A
-chunk's state map is constant after its first mark: (head, counts behind the
-head, exit state). ``Transducer.run`` evaluates the constant parts of all
-chunks at once, then composes the maps from left to right: a head runs from the
-exit state of the chunk before it. Chunks without a mark are all head and
-resolve as soon as their left neighbour has.
+A text's bytes are cut into chunks of equal length that run in lockstep. The
+state map of a chunk with a mark is constant, since the second transducer starts
+anew there. That of a chunk without one is kept for the states in which the
+chunk can be entered: those in which its left neighbour's map leaves it, and
+the start, from which all chunks run at first. Such maps converge within a few
+tokens, so two or three turns close them. A parallel prefix scan then composes
+the maps of 1, 2, 4, ... chunks (``Transducer.entries``), which gives every
+chunk its entry state, and all heads (the bytes before a chunk's first mark) run
+at once. A text with no boundary in a megabyte takes as many rounds as the
+logarithm of its chunks, not one round a chunk.
 """
 
 from __future__ import annotations
@@ -39,8 +43,12 @@ CHUNK = 256
 MAX_STATES = 1 << 17
 #: Trie nodes with at most so many tokens below tell apart only what their tokens do.
 WIDE = 16
-#: Bytes run at once.
+#: Bytes run at once; a longer text is entered again where its last piece was left.
 BLOCK = 1 << 20
+#: Tokens of a pre-token that are read off one by one; the rest is found by doubling.
+WALK = 32
+#: Turns in which all chunks' maps grow; after them only what the text itself reaches.
+TURNS = 8
 
 # The contractions that the pre-tokenizer splits off, without their apostrophe.
 CONTRACTIONS = ("s", "t", "re", "ve", "m", "ll", "d")
@@ -75,6 +83,22 @@ def byte_symbols() -> dict[str, int]:
     return {chr(b): b for b in plain} | {chr(256 + i): b for i, b in enumerate(rest)}
 
 
+def ends_before(at: np.ndarray, begin: np.ndarray, last: np.ndarray, length: np.ndarray) -> np.ndarray:
+    """``at`` and all token ends on the way back from there to ``begin``, found for 1, 2, 4, ... tokens at once."""
+    if not len(at):
+        return at
+    nowhere = len(last)
+    jump = np.full(nowhere + 1, nowhere, np.int64)
+    size = at - begin + 1
+    own = np.arange(int(size.sum())) + np.repeat(begin - (np.cumsum(size) - size), size)
+    back = own - length[last[own]]
+    jump[own] = np.where(back >= np.repeat(begin, size), back, nowhere)
+    while len(step := jump[at][jump[at] < nowhere]):
+        at = np.append(at, step)
+        jump = jump[jump]
+    return at
+
+
 class Transducer:
     """The tokenizer of one vocabulary file; ``of`` keeps the last one in a worker process."""
 
@@ -153,7 +177,7 @@ class Transducer:
         self.table = np.zeros((MAX_STATES, 128), np.int32)
         self.last = np.zeros(MAX_STATES, np.int32)
         self.states: list[tuple] = [(_open(0, -1, 0),), ()]
-        self.ids = {self.states[0]: START}
+        self.ids = {key: state for state, key in enumerate(self.states)}
         self.table[DEAD] = DEAD << 8 | 128
         self.alike: dict[tuple, int] = {}
         self.alias: dict[int, int] = {}
@@ -202,7 +226,11 @@ class Transducer:
                     before = self._stand_in(to, before)
                 if before >= -1:
                     open_starts.append((to, before, rel))
-        key = (*(_open(node, before, rel - count) for node, before, rel in open_starts), _open(0, token, 0))
+        new = self._state((*(_open(node, before, rel - count) for node, before, rel in open_starts), _open(0, token, 0)))
+        self.table[state, self.column[byte]] = new << 8 | count + 128
+
+    def _state(self, key: tuple) -> int:
+        """The number of a state, which is made if need be. Its last open start follows the prefix's last token."""
         new = self.ids.get(key)
         if new is None:
             new = len(self.states)
@@ -210,8 +238,8 @@ class Transducer:
                 raise TableFull
             self.ids[key] = new
             self.states.append(key)
-            self.last[new] = token
-        self.table[state, self.column[byte]] = new << 8 | count + 128
+            self.last[new] = (key[-1] >> 16 & (1 << BEFORE_BITS) - 1) - 1
+        return new
 
     def _columns(self, data: np.ndarray) -> np.ndarray:
         """The column of every byte; bytes met for the first time get one."""
@@ -233,8 +261,56 @@ class Transducer:
             out = self.table.reshape(-1)[at]
         return out
 
-    def run(self, data: np.ndarray, mark: np.ndarray, states: bool) -> tuple[np.ndarray, np.ndarray | None]:
-        """Per byte: the change of the token count and, if asked for, the state. ``mark``: 1 start anew, 2 skip from here."""
+    def entries(self, rows: np.ndarray, has_mark: np.ndarray, exits: np.ndarray, entry: int) -> np.ndarray:
+        """The state in which each chunk is entered; ``rows`` has a column for each chunk, ``exits`` counts where there is a mark.
+
+        Points (chunk, state) are the maps' arguments, kept in order; ``jump``
+        leads from each to the one 2^k chunks on. ``reached`` has the points that
+        the text passes in the first 2^k chunks of every run of chunks without a mark.
+        """
+        found = np.append(entry, exits[:-1]).astype(np.int32)
+        free = np.flatnonzero(~has_mark)
+        if not len(free):
+            return found
+        first = free[(free == 0) | has_mark[free - 1]]
+        begin = first << 32 | found[first].astype(np.int64)
+        points, leave = np.zeros(0, np.int64), np.zeros(0, np.int32)
+        new = np.union1d(begin, free << 32 | START)
+        turn = 0
+        while True:
+            chunk = new >> 32
+            state, columns = (new & 0xFFFFFFFF).astype(np.int32), rows[:, chunk]
+            for j in range(CHUNK):
+                state = self._advance(state, columns[j]) >> 8
+            points, leave = np.append(points, new), np.append(leave, state)
+            order = np.argsort(points)
+            points, leave = points[order], leave[order]
+            following = ((points >> 32) + 1) << 32 | leave
+            goes_on = np.append(~has_mark, False)[following >> 32]
+            at = np.minimum(np.searchsorted(points, following), len(points) - 1)
+            made = points[at] == following
+            nowhere = len(points)
+            jump = np.append(np.where(goes_on & made, at, nowhere), nowhere)
+            reached = np.searchsorted(points, begin)
+            while len(step := jump[reached][jump[reached] < nowhere]):
+                reached = np.append(reached, step)
+                jump = jump[jump]
+            if len(reached) == len(free):
+                found[points[reached] >> 32] = points[reached] & 0xFFFFFFFF
+                behind = (points[reached] >> 32) + 1
+                inside = behind < len(found)
+                found[behind[inside]] = leave[reached][inside]
+                return found
+            turn += 1
+            asked = np.arange(len(points)) if turn < TURNS else reached
+            asked = asked[(goes_on & ~made)[asked]]
+            new = np.unique(following[asked])
+
+    def run(self, data: np.ndarray, mark: np.ndarray, states: bool, entry: int = START) -> tuple[np.ndarray, np.ndarray | None, int]:
+        """Per byte: the change of the token count and, if asked for, the state; and the state behind whole chunks.
+
+        ``mark``: 1 start anew, 2 skip from here. ``entry``: the state before the first byte.
+        """
         n = len(data)
         lanes = max(1, -(-n // CHUNK))
         padded = np.zeros(lanes * CHUNK, np.uint8)
@@ -257,29 +333,23 @@ class Transducer:
             np.right_shift(out, 8, out=state)
             if states:
                 seen[j] = state
-        # compose the maps: run each head from the exit state of the chunk before
-        exits = state
-        todo = np.flatnonzero(head > 0)
-        known = has_mark.copy()
-        while len(todo):
-            ready = (todo == 0) | known[todo - 1]
-            now, todo = todo[ready], todo[~ready]
-            state = np.where(now == 0, START, exits[now - 1]).astype(np.int32)
-            order = np.argsort(-head[now], kind="stable")
-            now, state = now[order], state[order]
-            lengths = head[now]
-            for j in range(int(lengths[0])):
-                k = int(np.searchsorted(-lengths, -j, side="left"))  # those with length > j
-                out = self._advance(state[:k], rows[j, now[:k]])
-                change[j, now[:k]] = out & 255
-                state[:k] = out >> 8
-                if states:
-                    seen[j, now[:k]] = state[:k]
-            whole = ~has_mark[now]
-            exits[now[whole]] = state[whole]
-            known[now] = True
+        leave = state[-1]
+        # all heads at once, long ones first, each from the state in which its chunk is entered
+        state = self.entries(rows, has_mark, state, entry)
+        now = np.argsort(-head, kind="stable")
+        now = now[head[now] > 0]
+        state, lengths = state[now], head[now]
+        for j in range(int(lengths[0]) if len(now) else 0):
+            k = int(np.searchsorted(-lengths, -j, side="left"))  # those with length > j
+            out = self._advance(state[:k], rows[j, now[:k]])
+            change[j, now[:k]] = out & 255
+            state[:k] = out >> 8
+            if states:
+                seen[j, now[:k]] = state[:k]
+        if not has_mark[-1]:
+            leave = state[now == lanes - 1][0]
         counts = change.T.reshape(-1)[:n].astype(np.int16) - 128
-        return counts, None if seen is None else seen.T.reshape(-1)[:n]
+        return counts, None if seen is None else seen.T.reshape(-1)[:n], int(leave)
 
     def _marked(self, texts: list[bytes]) -> tuple[np.ndarray, np.ndarray, np.ndarray, list[tuple[int, int, int]]]:
         """Bytes, marks, the offset of each text, and special tokens as (start, end, id)."""
@@ -342,45 +412,31 @@ class Transducer:
         if block:
             yield block
 
-    def _run_safely(self, data: np.ndarray, mark: np.ndarray, states: bool):
-        """A pass with a fresh table if the old one is full; short parts, cut at marks, always fit into a fresh one."""
-        try:
-            counts, seen = self.run(data, mark, states)
-            return counts, None if seen is None else self.last[seen]
-        except TableFull:
-            self.clear()
-            if len(data) < MAX_STATES // 2:
-                counts, seen = self.run(data, mark, states)
-                return counts, None if seen is None else self.last[seen]
-            cuts = np.flatnonzero(mark)
-            cut = int(cuts[np.searchsorted(cuts, len(data) // 2)]) if len(cuts) and cuts[-1] > len(data) // 2 else int(cuts[-1]) if len(cuts) else 0
-            if not 0 < cut < len(data):
-                return self._serial(data, states)
-            parts = [self._run_safely(data[:cut], mark[:cut], states), self._run_safely(data[cut:], mark[cut:], states)]
-            return np.concatenate([p[0] for p in parts]), np.concatenate([p[1] for p in parts]) if states else None
-
-    def _serial(self, data: np.ndarray, states: bool):
-        """One very long pre-token with more states than the table holds: the table starts anew on the way."""
-        counts, last = np.empty(len(data), np.int16), np.empty(len(data), np.int32)
-        state = START
-        self._columns(data)
-        for i, byte in enumerate(data.tolist()):
-            if not self.table[state, self.column[byte]]:
-                try:
-                    self._step(state, byte)
-                except TableFull:
-                    here = self.states[state]
-                    self.clear()
-                    self._columns(data)
-                    state = self.ids.setdefault(here, 2)
-                    if state == 2:
-                        self.states.append(here)
-                    self._step(state, byte)
-            packed = int(self.table[state, self.column[byte]])
-            state = packed >> 8
-            counts[i] = (packed & 255) - 128
-            last[i] = self.last[state]
-        return counts, last if states else None
+    def _run_safely(self, data: np.ndarray, mark: np.ndarray, states: bool) -> tuple[np.ndarray, np.ndarray | None]:
+        """Changes of the count and last tokens, in pieces of at most BLOCK bytes.
+
+        A piece is entered in the state in which the one before it was left. If
+        the table has no room left it starts anew, and a piece that has no room in
+        a new table is halved.
+        """
+        counts, last = np.empty(len(data), np.int16), np.empty(len(data), np.int32) if states else None
+        here, at, size, anew = self.states[START], 0, BLOCK, -1
+        while at < len(data):
+            to = min(at + size, len(data))
+            try:
+                counts[at:to], seen, leave = self.run(data[at:to], mark[at:to], states, self._state(here))
+            except TableFull:
+                if anew == at:
+                    if to - at <= CHUNK:
+                        raise
+                    size = max((to - at) // 2 // CHUNK, 1) * CHUNK
+                self.clear()
+                anew = at
+                continue
+            if states:
+                last[at:to] = self.last[seen]
+            here, at, size = self.states[leave], to, min(2 * size, BLOCK)
+        return counts, last
 
     def count(self, texts: list[bytes]) -> np.ndarray:
         """Tokens of each text (valid UTF-8)."""
@@ -407,14 +463,14 @@ class Transducer:
             end = np.append(begin[1:], len(data))[: len(begin)]
             total = np.concatenate([[0], np.cumsum(counts, dtype=np.int64)])
             ids = np.empty(int(total[-1]), np.int32)
-            at, slot = end - 1, total[end] - 1  # walk back from the end of each pre-token
-            while len(at):
-                token = last[at]
-                ids[slot] = token
-                at = at - self.length[token]
-                slot = slot - 1
+            at = end - 1  # walk back from the end of each pre-token
+            for _ in range(WALK):
+                ids[total[at + 1] - 1] = last[at]
+                at = at - self.length[last[at]]
                 more = at >= begin
-                at, slot, begin = at[more], slot[more], begin[more]
+                at, begin = at[more], begin[more]
+            at = ends_before(at, begin, last, self.length)
+            ids[total[at + 1] - 1] = last[at]
             all_ids.append(ids)
             all_counts.append(total[offsets[1:]] - total[offsets[:-1]])
         if not all_ids:
