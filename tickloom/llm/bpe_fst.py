@@ -169,6 +169,9 @@ class Transducer:
             self.first[node] = len(self.ordered)
             stack.append((node, True))
             stack.extend((x & 0xFFFFFFFF, False) for x in sorted(below.get(node, ()), reverse=True))
+        self.place = [0] * len(self.length)
+        for place, token in enumerate(self.ordered):
+            self.place[token] = place
 
     def clear(self) -> None:
         self.column = np.full(256, -1, np.int32)  # of each byte that has been met
@@ -180,6 +183,7 @@ class Transducer:
         self.ids = {key: state for state, key in enumerate(self.states)}
         self.table[DEAD] = DEAD << 8 | 128
         self.alike: dict[tuple, int] = {}
+        self.allowed: dict[int, tuple] = {}  # by node and stand-in
         self.alias: dict[int, int] = {}
 
     def keeps_apart(self, left: int, right: int) -> bool:
@@ -198,16 +202,23 @@ class Transducer:
             else:
                 return True
 
-    def _stand_in(self, node: int, before: int) -> int:
-        """A token that allows the same tokens below the node as ``before`` does, or -2 if none is allowed."""
+    def _stand_in(self, node: int, before: int, above: tuple | None) -> int:
+        """A token that allows the same tokens below the node as ``before`` does, or -2 if none is allowed.
+
+        ``above``: what ``before`` allows below the node's parent, where that is known.
+        """
         known = self.alias.get(node << BEFORE_BITS | before)
         if known is None:
-            tokens = self.ordered[self.first[node] : self.end[node]]
-            if len(tokens) > WIDE:
+            first, end = self.first[node], self.end[node]
+            if above is None and end - first > WIDE:
                 known = before
             else:
-                allowed = tuple(t for t in tokens if self.keeps_apart(before, t))
+                if above is None:
+                    allowed = tuple(t for t in self.ordered[first:end] if self.keeps_apart(before, t))
+                else:
+                    allowed = tuple(t for t in above if first <= self.place[t] < end)
                 known = self.alike.setdefault((node, allowed), before) if allowed else -2
+                self.allowed[node << BEFORE_BITS | known] = allowed
             self.alias[node << BEFORE_BITS | before] = known
         return known
 
@@ -219,11 +230,13 @@ class Transducer:
             to = self.child.get(node << 8 | byte)
             if to is None:
                 continue
-            if token < 0 and self.token[to] >= 0 and (before < 0 or self.keeps_apart(before, self.token[to])):
-                token, count = self.token[to], rel + 1
+            whole = self.token[to]
+            above = self.allowed.get(node << BEFORE_BITS | before) if before >= 0 else None
+            if token < 0 and whole >= 0 and (before < 0 or (whole in above if above is not None else self.keeps_apart(before, whole))):
+                token, count = whole, rel + 1
             if self.inner[to]:
                 if before >= 0:
-                    before = self._stand_in(to, before)
+                    before = self._stand_in(to, before, above)
                 if before >= -1:
                     open_starts.append((to, before, rel))
         new = self._state((*(_open(node, before, rel - count) for node, before, rel in open_starts), _open(0, token, 0)))
