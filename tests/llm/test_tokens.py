@@ -13,7 +13,7 @@ from tokenizers import Tokenizer
 
 from tickloom.llm import bpe_fst
 from tickloom.llm.bpe_fst import Transducer
-from tickloom.llm.packing import Shard, pack
+from tickloom.llm.packing import Shard, pack, ranks, signatures
 from tickloom.llm.queries import BYTE_BPE, piece_digests
 from tickloom.llm.token_counts import count_tokens
 
@@ -160,3 +160,115 @@ def test_windows_are_full(sizes):
     items = [(k, 0, np.arange(n)) for k, n in enumerate(sizes)]
     rooms = [room for _, room in Shard(items, np.ones(10), 4.0).windows(8)]
     assert all(r == 0 for r in rooms[:-1]) and len(rooms) == -(-sum(sizes) // 8)
+
+
+def plain_bm25(items, seed, idf, mean):
+    """Okapi's formula, term by term."""
+    out = []
+    for ids in items:
+        tf = [list(ids).count(t) for t in sorted(set(items[seed]))]
+        out.append(sum(idf[t] * n * 2.2 / (n + 1.2 * (0.25 + 0.75 * len(ids) / mean)) for t, n in zip(sorted(set(items[seed])), tf, strict=True) if n))
+    return out
+
+
+def plain_windows(items, idf, mean, size):
+    """Seeds in order; unused neighbours, best first, that fit; the best one left is cut and seeds the next window."""
+    scores = [plain_bm25(items, k, idf, mean) for k in range(len(items))]
+    left = {k: (0, len(x)) for k, x in enumerate(items)}
+    out, seed = [], None
+    while left or seed is not None:
+        if seed is None:
+            seed = min(left)
+            start, length = left.pop(seed)
+        pieces, room = [(seed, start, length)], size - length
+        ranked = sorted(left, key=lambda k: (-scores[seed][k], k))
+        for k in ranked:
+            if left[k][1] <= room and room:
+                pieces.append((k, *left.pop(k)))
+                room -= pieces[-1][2]
+        seed = None
+        rest = [k for k in ranked if k in left]
+        if room and rest:
+            seed = rest[0]
+            start, length = left.pop(seed)
+            pieces.append((seed, start, room))
+            start, length = start + room, length - room
+        out.append(pieces)
+    return out
+
+
+@pytest.mark.parametrize("seed", range(6))
+def test_shard_against_plain_bm25(seed):
+    rng = np.random.default_rng(seed)
+    items = [np.minimum(rng.zipf(1.3, rng.integers(1, 40)), 50) for _ in range(60)]
+    df = np.bincount(np.concatenate([np.unique(x) for x in items]), minlength=51)
+    idf = np.log1p((60 - df + 0.5) / (df + 0.5))
+    shard = Shard([(k, 0, x) for k, x in enumerate(items)], idf, 20.0)
+    for k in range(60):
+        assert np.allclose(shard.scores(k), plain_bm25(items, k, idf, 20.0), rtol=1e-12)
+    assert [pieces for pieces, _ in shard.windows(64)] == plain_windows(items, idf, 20.0, 64)
+
+
+def test_signatures_are_the_earliest_terms():
+    """Shared terms only, each once; the first agrees as often as the weighted Jaccard similarity says."""
+    idf = np.log1p(np.linspace(1, 50, 3000))
+    rank = ranks(idf, np.arange(3000) >= 10)
+    assert sorted(rank[10:]) == list(range(2990)) and set(rank[:10]) == {(1 << 21) - 1}
+    items = [np.array([5, 700, 40, 700, 900, 2500]), np.array([3]), np.array([40, 40])]
+    for ids, code in zip(items, signatures(items, rank).tolist(), strict=True):
+        want = [*sorted({int(r) for r in rank[ids]} - {(1 << 21) - 1}), *[(1 << 21) - 1] * 3][:3]
+        assert [code >> 42, code >> 21 & (1 << 21) - 1, code & (1 << 21) - 1] == want
+    rng = np.random.default_rng(2)
+    same, expected = 0, 0.0
+    for _ in range(2000):
+        both, one, two = np.split(rng.choice(np.arange(10, 3000), 90, replace=False), [40, 65])
+        a, b = signatures([np.append(both, one), np.append(both, two)], rank)
+        same += a >> 42 == b >> 42
+        expected += idf[both].sum() / (idf[both].sum() + idf[one].sum() + idf[two].sum())
+    assert abs(same - expected) < 100
+
+
+def test_neighbours_meet_from_anywhere(table):
+    """Near copies that stand far apart in the table are in one sequence; by position alone they would not be."""
+    rng = random.Random(8)
+    letters = ["".join(rng.sample("abcdefghijklmnopqrstuvwxyz", 6)) for _ in range(30)]
+    topics = [[unspaced(6, 100 * t + k, letters[t]) for k in range(60)] for t in range(30)]
+    docs = table([(k, " ".join(rng.choice(topics[k % 30]) for _ in range(60))) for k in range(240)])
+    rows = pack(docs.repartition(3), BYTE_BPE, window=2048, shard_tokens=8192).collect()
+    sequences = defaultdict(set)
+    for r in rows:
+        sequences[r.sequence_id].add(r.doc_id % 30)
+    pieces = sum(len([r for r in rows if r.sequence_id == s]) for s in sequences)
+    assert sum(map(len, sequences.values())) < 0.5 * pieces  # several documents of a topic each
+
+
+def test_hot_copies_and_long_texts(table):
+    """A third of all rows are one text, some texts fill windows alone, keys repeat: every id once, no gaps."""
+    docs = table([(k, unspaced(40, k) + " the end") for k in range(60)] + [(k % 7, "copy of a copy") for k in range(45)] + [(500 + k, "long text " * 400) for k in range(3)])
+    rows = piece_digests(pack(docs.repartition(4), BYTE_BPE, window=128, shard_tokens=700))
+    assert assert_packed(docs, rows.collect(), 128) <= int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+
+
+def shard_recall(texts, size, order):
+    """How often the best BM25 neighbour among all items is in the own shard of so many tokens."""
+    items = [np.array([*ids, 1]) for ids in library(texts)]
+    items = [x[len(x) // 2048 * 2048 :] for x in items if len(x) % 2048]
+    df = np.bincount(np.concatenate([np.unique(x) for x in items]))
+    idf = np.log1p((len(items) - df + 0.5) / (df + 0.5))
+    sizes = np.array(list(map(len, items)))
+    at = np.lexsort((np.arange(len(items)), signatures(items, ranks(idf, df > 1)))) if order else np.arange(len(items))
+    own = np.empty(len(items), int)
+    own[at] = (np.cumsum(sizes[at]) - 1) // size
+    index, met = Shard([(k, 0, x) for k, x in enumerate(items)], idf, sizes.mean()), 0
+    for seed in range(0, len(items), 3):
+        scores = index.scores(seed)
+        scores[seed] = -1
+        met += scores[own == own[seed]].max() >= scores.max()
+    return met / len(range(0, len(items), 3))
+
+
+def test_shards_by_content_hold_more_neighbours(spark):
+    """On sf0.01 in about a dozen shards; the README has the figures of sf0.1."""
+    texts = [r.text or "" for r in spark.read.parquet("/root/testdata/sf0.01/documents.parquet").select("text").collect()]
+    by_position, by_content = shard_recall(texts, 1 << 16, False), shard_recall(texts, 1 << 16, True)
+    assert by_content > 2 * by_position

@@ -1,19 +1,24 @@
 """Packing documents into fixed windows, filled with lexically similar documents.
 
-Documents are tokenized once into a stored table. The table is read in shards,
-consecutive rows of about ``shard_tokens`` tokens. A document's full windows
-are sequences of their own; what remains of it is an item. Each shard has a
-BM25 inverted index of its items; the term statistics (document frequencies of
-all token ids, number of documents, mean length) come from all documents. The
-first unused item is a seed: its BM25 neighbours that are unused fill its
-window, best first, as long as they fit whole; the best one left is cut to
-fill the rest, and what remains of it is the next seed. So only the last window
-of a scan partition is padded: items of an unfinished window move on to the
-next shard of the partition.
-
-Nothing is shuffled but the 50 thousand term counts of each task; a task holds
-one shard and one Arrow batch. Skewed keys don't matter: shards are cut by
-position. A neighbour is looked for within the shard.
+Documents are tokenized once into a stored table. A document's full windows are
+sequences of their own; what remains of it is an item. Items are dealt to shards
+by content: every term draws a time from an exponential distribution whose rate
+is its inverse document frequency, and items are ordered by their three earliest
+terms. So two items begin with the same term with a probability of their Jaccard
+similarity, weighted by inverse document frequencies, however large the table is.
+The order is a range partitioning; a hot group, copies for example, is cut by row
+numbers wherever a partition ends.
+
+A shard is about ``shard_tokens`` tokens of consecutive items and has a BM25
+inverted index; the term statistics (document frequencies of all token ids,
+number of documents, mean length) come from all documents. The first unused item
+is a seed: its BM25 neighbours that are unused fill its window, best first, as
+long as they fit whole; the best one left is cut to fill the rest, and what
+remains of it is the next seed. So only the last window of a partition is padded:
+items of an unfinished window move on to the next shard of the partition.
+
+Shuffled are the 50 thousand term counts of each task, and the items once. A task
+holds one shard and one Arrow batch. A neighbour is looked for within the shard.
 """
 
 from __future__ import annotations
@@ -33,6 +38,8 @@ from tickloom.llm.common import blocks_of, release, stored, text_bytes, valid_ut
 WINDOW = 2048
 END_ID = 1
 SHARD_TOKENS = 1 << 20
+#: Terms that an item is dealt by, and the bits of each one's rank.
+DEALT_BY, RANK_BITS = 3, 21
 # The usual BM25 constants.
 K1, B = 1.2, 0.75
 
@@ -93,6 +100,32 @@ def term_statistics(tokens: DataFrame) -> DataFrame:
     return found.mapInArrow(run, "term long, df long").groupBy("term").agg(F.sum("df").alias("df"))
 
 
+def ranks(idf: np.ndarray, shared: np.ndarray) -> np.ndarray:
+    """The order of all terms by -log(u) / idf, u a hash of the term in (0, 1); terms that are not shared come last."""
+    x = (np.arange(len(idf), dtype=np.uint64) + np.uint64(1)) * np.uint64(0x9E3779B97F4A7C15)
+    x = (x ^ x >> np.uint64(30)) * np.uint64(0xBF58476D1CE4E5B9)
+    x = (x ^ x >> np.uint64(27)) * np.uint64(0x94D049BB133111EB)
+    u = ((x ^ x >> np.uint64(31)) >> np.uint64(11)).astype(float) / (1 << 53) + 2.0**-54
+    last = (1 << RANK_BITS) - 1
+    rank = np.full(len(idf), last, np.int64)
+    order = np.argsort(-np.log(u) / np.maximum(idf, 1e-12), kind="stable")
+    order = order[shared[order]]
+    rank[order] = np.minimum(np.arange(len(order)), last)
+    return rank
+
+
+def signatures(items: list[np.ndarray], rank: np.ndarray) -> np.ndarray:
+    """Each item's earliest terms, the first in the highest bits. No item is empty."""
+    sizes = np.array(list(map(len, items)))
+    begin = np.cumsum(sizes) - sizes
+    flat, out = rank[np.concatenate(items)], np.zeros(len(items), np.int64)
+    for _ in range(DEALT_BY):
+        least = np.minimum.reduceat(flat, begin)
+        out = out << RANK_BITS | least
+        flat[flat == np.repeat(least, sizes)] = (1 << RANK_BITS) - 1
+    return out
+
+
 class Shard:
     """An inverted index of items and the windows filled from it."""
 
@@ -180,78 +213,109 @@ def pack(docs: DataFrame, vocabulary: str, window: int = WINDOW, end_id: int = E
     documents, total = counts.pop(-1, 0), counts.pop(-2, 0)
     df = np.zeros(max(counts, default=0) + 1)
     df[list(counts)] = list(counts.values())
-    statistics = spark.sparkContext.broadcast((np.log1p((documents - df + 0.5) / (df + 0.5)), min(window, total / max(documents, 1))))
+    idf = np.log1p((documents - df + 0.5) / (df + 0.5))
+    statistics = spark.sparkContext.broadcast((idf, min(window, total / max(documents, 1)), ranks(idf, df > 1)))
     kind = docs.schema[key].dataType.simpleString()
     width = id_type(vocabulary, end_id)
+    pieces = f"`{key}` {kind}, start long, length long, ids binary, doc_tokens long, sequence_id long, offset long"
 
-    def run(parts: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    def batch(rows: list[tuple], key_type: pa.DataType) -> pa.RecordBatch:
+        """Rows: key, tokens of the document, start, ids, sequence, offset."""
+        keys, sizes, start, ids, sequence, offset = zip(*rows, strict=True)
+        return pa.record_batch(
+            [
+                pa.array(keys, key_type),
+                pa.array(start, pa.int64()),
+                pa.array(list(map(len, ids)), pa.int64()),
+                pa.array([x.astype("<u4").tobytes() for x in ids], pa.binary()),
+                pa.array(sizes, pa.int64()),
+                pa.array(sequence, pa.int64()),
+                pa.array(offset, pa.int64()),
+            ],
+            names=[key, "start", "length", "ids", "doc_tokens", "sequence_id", "offset"],
+        )
+
+    def whole(parts: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        """Full windows; their sequences have even numbers."""
+        sequence = TaskContext.get().partitionId() << 33
+        for part in parts:
+            for block in blocks_of(part, BLOCK):
+                rows = []
+                for doc, data in block:
+                    ids = np.frombuffer(data, width)
+                    for start in range(0, len(ids) // window * window, window):
+                        rows.append((doc, len(ids), start, ids[start : start + window], sequence, 0))
+                        sequence += 2
+                yield batch(rows, part.column(0).type)
+
+    def items_of(parts: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        """What remains of the documents, with the signature and a number of its own."""
+        rank = statistics.value[2]
+        number = TaskContext.get().partitionId() << 33
+        for part in parts:
+            for block in blocks_of(part, BLOCK):
+                sizes = [len(data) // int(width[2]) for _, data in block]
+                tails = [(k, n // window * window, np.frombuffer(data, width)[n // window * window :]) for k, ((_, data), n) in enumerate(zip(block, sizes, strict=True)) if n % window]
+                if not tails:
+                    continue
+                own, start, ids = zip(*tails, strict=True)
+                yield pa.record_batch(
+                    [
+                        pa.array([block[k][0] for k in own], part.column(0).type),
+                        pa.array([sizes[k] for k in own], pa.int64()),
+                        pa.array(start, pa.int64()),
+                        pa.array(signatures(ids, rank)),
+                        pa.array(np.arange(number, number + len(own))),
+                        pa.array([x.tobytes() for x in ids], pa.binary()),
+                    ],
+                    names=["id", "size", "start", "deal", "number", "ids"],
+                )
+                number += len(own)
+
+    def filled(parts: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        """Windows of items; their sequences have odd numbers."""
         release()
-        idf, mean = statistics.value
-        sequence = TaskContext.get().partitionId() << 32
-        keys: list = []
-        sizes: list[int] = []
+        idf, mean, _ = statistics.value
+        sequence = (TaskContext.get().partitionId() << 33) + 1
+        owners: list[tuple] = []  # key, tokens of the document
         items: list[tuple[int, int, np.ndarray]] = []
-        held = 0
-        full: list[tuple] = []
-
-        def batch(pieces: list[tuple]) -> pa.RecordBatch:
-            doc, start, ids, seq, offset = zip(*pieces, strict=True)
-            return pa.record_batch(
-                [
-                    pa.array([keys[d] for d in doc], key_type),
-                    pa.array(start, pa.int64()),
-                    pa.array(list(map(len, ids)), pa.int64()),
-                    pa.array([x.astype("<u4").tobytes() for x in ids], pa.binary()),
-                    pa.array([sizes[d] for d in doc], pa.int64()),
-                    pa.array(seq, pa.int64()),
-                    pa.array(offset, pa.int64()),
-                ],
-                names=[key, "start", "length", "ids", "doc_tokens", "sequence_id", "offset"],
-            )
-
-        def filled(last: bool) -> Iterator[pa.RecordBatch]:
+        held, key_type = 0, None
+
+        def shard(last: bool) -> Iterator[pa.RecordBatch]:
             """Pack the held items; an unfinished window is written only at the end, else its items stay."""
-            nonlocal sequence, held, items, full, keys, sizes
+            nonlocal sequence, held, items, owners
             rest: list[tuple[int, int, np.ndarray]] = []
-            out = full
-            if items:
-                shard = Shard(items, idf, mean)
-                for pieces, room in shard.windows(window):
-                    cut = [(items[i][0], s, items[i][2][s - items[i][1] : s - items[i][1] + n]) for i, s, n in pieces]
-                    if room and not last:
-                        rest = cut
-                        continue
-                    offset = 0
-                    for doc, start, ids in cut:
-                        out.append((doc, start, ids, sequence, offset))
-                        offset += len(ids)
-                    sequence += 1
-            if out:
-                yield batch(out)
+            rows = []
+            for found, room in Shard(items, idf, mean).windows(window):
+                cut = [(items[i][0], s, items[i][2][s - items[i][1] : s - items[i][1] + n]) for i, s, n in found]
+                if room and not last:
+                    rest = cut
+                    continue
+                offset = 0
+                for doc, start, ids in cut:
+                    rows.append((*owners[doc], start, ids, sequence, offset))
+                    offset += len(ids)
+                sequence += 2
+            if rows:
+                yield batch(rows, key_type)
             # documents of the items that stay are numbered anew
-            full, held = [], sum(len(x) for _, _, x in rest)
+            held = sum(len(x) for _, _, x in rest)
             items = [(k, s, x) for k, (_, s, x) in enumerate(rest)]
-            keys, sizes = [keys[d] for d, _, _ in rest], [sizes[d] for d, _, _ in rest]
+            owners = [owners[d] for d, _, _ in rest]
 
-        key_type = None
         for part in parts:
             key_type = part.column(0).type
-            for doc_key, data in (row for rows in blocks_of(part, BLOCK) for row in rows):
+            for doc, size, start, data in (row for rows in blocks_of(part, BLOCK) for row in rows):
                 ids = np.frombuffer(data, width)
-                doc = len(keys)
-                keys.append(doc_key)
-                sizes.append(len(ids))
-                whole = len(ids) // window * window
-                for start in range(0, whole, window):
-                    full.append((doc, start, ids[start : start + window], sequence, 0))
-                    sequence += 1
-                if whole < len(ids):
-                    items.append((doc, whole, ids[whole:].copy()))
+                items.append((len(owners), start, ids))
+                owners.append((doc, size))
                 held += len(ids)
                 if held >= shard_tokens:
-                    yield from filled(False)
-        if key_type is not None:
-            yield from filled(True)
+                    yield from shard(False)
+        if items:
+            yield from shard(True)
 
-    schema = f"`{key}` {kind}, start long, length long, ids binary, doc_tokens long, sequence_id long, offset long"
-    return tokens.filter("ids IS NOT NULL").select(key, "ids").mapInArrow(run, schema)
+    rows = tokens.filter("ids IS NOT NULL").select(key, "ids")
+    items = rows.mapInArrow(items_of, f"id {kind}, size long, start long, deal long, number long, ids binary")
+    dealt = items.repartitionByRange("deal", "number").sortWithinPartitions("deal", "number").select("id", "size", "start", "ids")
+    return rows.filter(F.length("ids") >= window * int(width[2])).mapInArrow(whole, pieces).unionByName(dealt.mapInArrow(filled, pieces))
