@@ -38,6 +38,8 @@ from tickloom.llm.common import blocks_of, release, stored, text_bytes, valid_ut
 WINDOW = 2048
 END_ID = 1
 SHARD_TOKENS = 1 << 20
+#: Neighbours of a seed that are ranked before the others.
+NEAREST = 32
 #: Terms that an item is dealt by, and the bits of each one's rank.
 DEALT_BY, RANK_BITS = 3, 21
 # The usual BM25 constants.
@@ -127,14 +129,18 @@ def signatures(items: list[np.ndarray], rank: np.ndarray) -> np.ndarray:
 
 
 class Shard:
-    """An inverted index of items and the windows filled from it."""
+    """An inverted index of items and the windows filled from it.
+
+    Terms that an eighth of the items have are rows of a matrix, added up whole;
+    all others are postings. Used items leave the index whenever they are a
+    third of it.
+    """
 
     def __init__(self, items: list[tuple[int, int, np.ndarray]], idf: np.ndarray, mean: float):
         """Items: (document, start, ids)."""
         self.items = items
         self.start = np.array([s for _, s, _ in items], np.int64)
         self.length = np.array([len(x) for _, _, x in items], np.int64)
-        self.end = self.start + self.length
         self.terms, where, tf = [], [], []
         for k, (_, _, ids) in enumerate(items):
             term, n = np.unique(ids, return_counts=True)
@@ -145,20 +151,41 @@ class Shard:
         where = np.concatenate(where)
         tf = np.concatenate(tf).astype(np.float64)
         weight = idf[term] * tf * (K1 + 1) / (tf + K1 * (1 - B + B * self.length[where] / mean))
+        count = np.bincount(term)
+        common = np.flatnonzero(count * 8 >= len(items))
+        self.row = np.full(len(count), -1, np.int32)
+        self.row[common] = np.arange(len(common))
+        self.matrix = np.zeros((len(common), len(items)))
+        dense = self.row[term] >= 0
+        self.matrix[self.row[term[dense]], where[dense]] = weight[dense]
+        term, where, weight = term[~dense], where[~dense], weight[~dense]
         order = np.argsort(term, kind="stable")
         self.posting, self.weight = where[order], weight[order]
-        self.first = np.searchsorted(term[order], np.arange(int(term.max()) + 2))
+        self.first = np.searchsorted(term[order], np.arange(len(count) + 1))
+        self.live = np.arange(len(items))
 
     def scores(self, seed: int) -> np.ndarray:
-        begin, end = self.first[self.terms[seed]], self.first[self.terms[seed] + 1]
+        """The score of every live item."""
+        row = self.row[self.terms[seed]]
+        rare = self.terms[seed][row < 0]
+        begin, end = self.first[rare], self.first[rare + 1]
         n = end - begin
         at = np.arange(int(n.sum())) + np.repeat(begin - (np.cumsum(n) - n), n)
-        return np.bincount(self.posting[at], self.weight[at], len(self.items))
+        return self.matrix[row[row >= 0]].sum(0) + np.bincount(self.posting[at], self.weight[at], len(self.live))
+
+    def forget(self, unused: np.ndarray) -> None:
+        """Only unused items stay live."""
+        stay = unused[self.live]
+        number = np.cumsum(stay) - 1
+        kept = stay[self.posting]
+        self.first = np.append(0, np.cumsum(kept))[self.first]
+        self.posting, self.weight = number[self.posting[kept]], self.weight[kept]
+        self.matrix, self.live = self.matrix[:, stay], self.live[stay]
 
     def windows(self, size: int) -> Iterator[tuple[list[tuple[int, int, int]], int]]:
         """Each window's pieces (item, start, length) and its free room; only the last has any."""
         unused = np.ones(len(self.items), bool)
-        seed, next_item = -1, 0
+        seed, next_item, left = -1, 0, len(unused)
         while True:
             if seed < 0:
                 while next_item < len(unused) and not unused[next_item]:
@@ -166,34 +193,43 @@ class Shard:
                 if next_item == len(unused):
                     return
                 seed = next_item
-            unused[seed] = False
+            if unused[seed]:
+                unused[seed] = False
+                left -= 1
             pieces = [(seed, int(self.start[seed]), int(self.length[seed]))]
             room = size - int(self.length[seed])
-            score = self.scores(seed) if room else None
-            seed = -1
-            if room:
-                free = np.flatnonzero(unused)
-                ranked = free[np.argsort(-score[free], kind="stable")]
-                fits, at = self.length[ranked], 0
-                while room and at < len(ranked):
-                    small = fits[at:] <= room
-                    step = int(small.argmax())
-                    if not small[step]:
+            if room and left:
+                if left * 3 < len(self.live) * 2:
+                    self.forget(unused)
+                score = self.scores(seed)
+                free = np.flatnonzero(unused[self.live])
+                free, score = self.live[free], score[free]
+                # the best neighbours first; of the others only those are ranked that still fit
+                least = np.partition(score, -NEAREST)[-NEAREST] if len(score) > NEAREST else -1.0
+                for near in (True, False):
+                    at = np.flatnonzero((score >= least) if near else (score < least) & (self.length[free] <= room))
+                    for item in free[at[np.argsort(-score[at], kind="stable")]].tolist():
+                        n = int(self.length[item])
+                        if n <= room:
+                            pieces.append((item, int(self.start[item]), n))
+                            unused[item] = False
+                            left -= 1
+                            room -= n
+                            if not room:
+                                break
+                    if not room:
                         break
-                    at += step
-                    item = int(ranked[at])
-                    pieces.append((item, int(self.start[item]), int(fits[at])))
-                    unused[item] = False
-                    room -= int(fits[at])
-                    at += 1
-                if room:
-                    left = ranked[unused[ranked]]
-                    if len(left):
-                        seed = int(left[0])
-                        pieces.append((seed, int(self.start[seed]), room))
-                        self.start[seed] += room
-                        self.length[seed] -= room
-                        room = 0
+                seed = -1
+                if room and left:
+                    seed = int(free[np.where(unused[free], score, -1.0).argmax()])
+                    unused[seed] = False
+                    left -= 1
+                    pieces.append((seed, int(self.start[seed]), room))
+                    self.start[seed] += room
+                    self.length[seed] -= room
+                    room = 0
+            else:
+                seed = -1
             yield pieces, room
 
 
