@@ -1,8 +1,10 @@
 """SimHash, vectors, passages and benchmark overlaps against brute force."""
 
+import math
 import random
 import re
 from collections import defaultdict
+from itertools import combinations
 
 import numpy as np
 import pytest
@@ -343,12 +345,27 @@ def slow_overlaps(docs, items):
     out = {}
     for key, text in docs:
         words = WORD.findall((text or "").lower())
-        hits = [(i, n, min(ks)) for w, ks in windows.items() for n in [len(w)] for i in range(len(words) - n + 1) if sum(x != y for x, y in zip(w, words[i : i + n], strict=True)) <= (2 if n == 13 else 0)]
+        hits = [(i, n, min(ks)) for w, ks in windows.items() for n in [len(w)] for i in range(len(words) - n + 1) if sum(x != y for x, y in zip(w, words[i : i + n], strict=True)) <= (2 if n == 13 else 1)]
         if hits:
             out[key] = (min(k for *_, k in hits), len({i for i, *_ in hits}), min(i for i, *_ in hits), max(i + n - 1 for i, n, _ in hits))
     return out
 
 
+@pytest.mark.parametrize("size", range(8, 14))
+def test_each_substituted_word_is_found(spark, table, size):
+    """Any one word of an item of 8 to 12 words may be another, any two of 13; one more and it is no overlap."""
+    words, allowed = prose(size, 70 + size).split(), 2 if size == 13 else 1
+    docs = []
+    for n in range(allowed + 2):
+        for places in combinations(range(size), n):
+            changed = ["other" if k in places else w for k, w in enumerate(words)]
+            docs.append((len(docs), " ".join([prose(9, 400), *changed, prose(9, 401)])))
+    bench = spark.createDataFrame([(5, " ".join(words))], "item_id long, text string")
+    got = {r.doc_id: (r.item_id, r.n_windows, r.first_word, r.last_word) for r in contaminated(table(docs), bench).collect()}
+    assert got == slow_overlaps(docs, [(5, " ".join(words))])
+    assert len(got) == sum(math.comb(size, n) for n in range(allowed + 1))
+
+
 def test_benchmark_overlaps(spark, table, odd):
     rng = random.Random(6)
     items = [(k, prose(n, 50 + k)) for k, n in enumerate([30, 13, 12, 8, 7, 40, 0])] + [(90, None), (91, prose(30, 50))]

@@ -46,18 +46,27 @@ def test_scores(table, odd, frequent):
     def p(w):
         return (words[w] + 0.1) / below
 
+    def quantised(n):
+        return float(COUNTS[np.searchsorted(LEVELS, n, side="right")])
+
     def score(own):
-        history = [None, *own[:-1]]
-        return sum(math.log10((pairs[h, w] + MU * p(w)) / ((texts if h is None else words[h]) + MU)) for h, w in zip(history, own, strict=True))
+        history, out = [None, *own[:-1]], 0.0
+        for h, w in zip(history, own, strict=True):
+            before = texts if h is None else words[h]
+            out += math.log10((min(quantised(pairs[h, w]), before) + MU * p(w)) / (before + MU))
+        return out
 
     want = sorted((str(key), held(key), len(own), sum(words[w] > 0 for w in own), total, round(sum(math.log10(p(w)) for w in own), 6)) for key, own in rows)
     result = score_texts(docs, held_out_column("doc_id", 10, 0), bits=SMALL, frequent=frequent).collect()
     assert sorted((str(r.doc_id), r.held_out, r.n_tokens, r.n_known, r.train_tokens, round(r.base_score, 6)) for r in result) == want
-    # counts in the filter are quantised in steps of a half
-    exact = {(str(key), len(own)): score(own) / len(own) for key, own in rows if len(own) < 1000}
+    got, exact = defaultdict(list), defaultdict(list)
     for r in result:
-        if (str(r.doc_id), r.n_tokens) in exact and r.doc_id != 6:
-            assert abs(r.score / r.n_tokens - exact[str(r.doc_id), r.n_tokens]) < 0.2
+        got[r.doc_id].append(r.score)
+    for key, own in rows:
+        exact[key].append(score(own))
+    assert got.keys() == exact.keys()
+    for key in exact:
+        assert np.allclose(sorted(got[key]), sorted(exact[key]), rtol=1e-9, atol=1e-6)
 
 
 def test_scores_without_training(nothing, table):
@@ -142,6 +151,73 @@ def test_long_texts_are_read_whole(monkeypatch):
     assert (whole[0] == parts[0]).all() and (whole[1] == parts[1]).all()
 
 
+def plain_ngrams(text):
+    """Counts by column: runs of other characters than letters are a space; n-grams of 1 to 4 characters, hashed one by one."""
+    letters = "".join(c if c.isalpha() else " " for c in text.lower())
+    padded = f" {re.sub(' +', ' ', letters)} "
+    out = Counter()
+    for n in range(1, 5):
+        for i in range(len(padded) - n + 1):
+            gram = 0
+            for k, c in enumerate(padded[i : i + n]):
+                gram = (gram * 0x01000193 + ord(c) + k + 1) % 2**32
+            out[(gram ^ gram >> 15) * 0x9E3779B1 % 2**32 >> 16] += 1
+    return out
+
+
+def plain_ftrl(rows, labels):
+    """FTRL-proximal coordinate by coordinate, with softmax over the labels."""
+    bias = language_id.FEATURES
+    z, n = defaultdict(float), defaultdict(float)
+
+    def weight(c, k):
+        if abs(z[c, k]) <= language_id.L1:
+            return 0.0
+        return -(z[c, k] - math.copysign(language_id.L1, z[c, k])) / ((language_id.BETA + math.sqrt(n[c, k])) / language_id.ALPHA + language_id.L2)
+
+    order = np.random.default_rng(5)
+    for _ in range(language_id.EPOCHS):
+        for label, x in (rows[i] for i in order.permutation(len(rows))):
+            x = {**x, bias: 1.0}
+            w = {(c, k): weight(c, k) for c in x for k in range(labels)}
+            e = [math.exp(sum(w[c, k] * v for c, v in x.items())) for k in range(labels)]
+            for (c, k), old in w.items():
+                g = (e[k] / sum(e) - (k == label)) * x[c]
+                z[c, k] += g - (math.sqrt(n[c, k] + g * g) - math.sqrt(n[c, k])) / language_id.ALPHA * old
+                n[c, k] += g * g
+    return {place: weight(*place) for place in list(z)}
+
+
+def test_scores_against_a_plain_model(labelled):
+    """The whole fit and every prediction from the texts again: counts, TF-IDF, FTRL, softmax with the fitted temperature."""
+    texts = ["Der Tag", "12 %", "  où déjà — garçon, où!", "ß", "ÀÉÎ el\nniño" * 40]
+    for text in texts:
+        columns, counts = features(text.encode())
+        assert dict(zip(columns.tolist(), counts.tolist(), strict=True)) == (plain_ngrams(text) if any(map(str.isalpha, text)) else {})
+    rows = [r for r in labelled.collect() if r.lang]
+    model = train_language_model(labelled, F.lit(True))
+    df = Counter(c for r in rows if any(map(str.isalpha, r.text or "")) for c in plain_ngrams(r.text))
+    assert all(math.isclose(model.idf[c], math.log((1 + len(rows)) / (1 + df[c])) + 1) for c in range(language_id.FEATURES))
+
+    def vector(text):
+        x = {c: math.log1p(n) * model.idf[c] for c, n in plain_ngrams(text).items()}
+        norm = math.sqrt(sum(v * v for v in x.values()))
+        return {c: v / norm for c, v in x.items()}
+
+    some = [(model.labels.index(r.lang), vector(r.text)) for r in rows if r.doc_id and r.doc_id > 10][::10]
+    weights, bias = language_id.fit_weights([(k, np.array(list(x)), np.array(list(x.values()))) for k, x in some], 3)
+    want = plain_ftrl(some, 3)
+    assert all(math.isclose(w, bias[k] if c == language_id.FEATURES else weights[c, k], rel_tol=1e-4, abs_tol=1e-6) for (c, k), w in want.items())
+    assert (weights != 0).sum() == sum(w != 0 for (c, _), w in want.items() if c < language_id.FEATURES)
+    got = {(r.doc_id, r.lang_pred): r.score for r in predict_languages(labelled, model).collect() if r.doc_id and r.doc_id > 10}
+    for r in rows:
+        if r.doc_id and r.doc_id > 10:
+            x = vector(r.text)
+            e = [math.exp((sum(float(model.weights[c, k]) * v for c, v in x.items()) + model.bias[k]) / model.temperature) for k in range(3)]
+            best = max(range(3), key=lambda k: e[k])
+            assert math.isclose(got[r.doc_id, model.labels[best]], e[best] / sum(e), rel_tol=1e-5)
+
+
 def test_weights_separate_and_stay_sparse():
     rows = [(k % 2, np.array([k % 2, 2, 3 + k % 50]), np.array([0.7, 0.7, 0.1])) for k in range(400)]
     weights, _ = language_id.fit_weights(rows, 2)

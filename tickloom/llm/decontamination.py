@@ -9,8 +9,9 @@ that pass are joined with the benchmark's on their hashes, each distinct window
 once, and verified word by word.
 
 Words are runs of letters and digits in lower case. A benchmark text of 8 to 12
-words is one window that must be met exactly; a shorter one is no evidence and
-is not looked for.
+words is one window in three blocks; each of three seeds ignores one of them, so
+one substituted word is found. A shorter text is no evidence and is not looked
+for.
 """
 
 from __future__ import annotations
@@ -30,6 +31,8 @@ from tickloom.llm.common import Numbers, blocks_of, release, stored, text_bytes
 WINDOW = 13
 SHORTEST = 8
 SUBSTITUTIONS = 2
+#: Of a benchmark text of 8 to 12 words.
+SHORT_SUBSTITUTIONS = 1
 BLOCKS = ((0, 4), (4, 7), (7, 10), (10, 13))
 #: Bits of the bitmap, a fixed size; two are set for each hash.
 BITMAP_BITS = 1 << 26
@@ -63,12 +66,14 @@ def _span(words: np.ndarray, begin: int, end: int, count: int) -> np.ndarray:
 
 
 def seed_keys(words: np.ndarray, length: int = WINDOW) -> np.ndarray:
-    """(seeds, windows): the hashes of all windows of that many words; one seed that sees all words below 13."""
+    """(seeds, windows): the hashes of all windows of that many words under each pair of blocks; three blocks below 13 words."""
     count = len(words) - length + 1
     if count <= 0:
         return np.zeros((0, 0), np.uint64)
     if length < WINDOW:
-        return _mix(_span(words, 0, length, count) + MULTIPLIERS[13 + length])[None]
+        ends = [k * length // 3 for k in range(4)]
+        blocks = [_span(words, a, b, count) for a, b in zip(ends, ends[1:], strict=False)]
+        return np.stack([_mix((blocks[a] ^ MULTIPLIERS[length]) * MULTIPLIERS[22 + s] + blocks[b]) for s, (a, b) in enumerate(combinations(range(3), 2))])
     blocks = [_span(words, a, b, count) for a, b in BLOCKS]
     return np.stack([_mix((blocks[a] ^ MULTIPLIERS[26 + s % 4]) * MULTIPLIERS[22 + s] + blocks[b]) for s, (a, b) in enumerate(combinations(range(len(BLOCKS)), 2))])
 
@@ -121,7 +126,7 @@ def contaminated(docs: DataFrame, benchmark: DataFrame, key: str = "doc_id", tex
     """The rows that overlap with a benchmark text: ``doc`` (hash of key and text), ``key``, ``item_id`` (the smallest), ``n_windows``, ``first_word``, ``last_word``.
 
     An overlap is a window of 13 consecutive words of which two at most differ
-    from a benchmark window (8 to 12 words: none). Null and empty texts overlap
+    from a benchmark window (a whole text of 8 to 12 words: one at most). Null and empty texts overlap
     with nothing; an empty table on either side gives no rows. Rows with equal
     key and text are one. Other columns are ignored.
     """
@@ -173,7 +178,7 @@ def contaminated(docs: DataFrame, benchmark: DataFrame, key: str = "doc_id", tex
     distinct = hits.select("window", "length", "words", "seeds").dropDuplicates(["window", "length"]).withColumn("seed", F.explode("seeds")).drop("seeds")
     differing = F.aggregate(F.zip_with("words", "test", lambda x, y: (x != y).cast("int")), F.lit(0), lambda s, x: s + x)
     joined = distinct.join(tests.select("seed", "length", F.col("words").alias("test"), "item"), ["seed", "length"])
-    verified = joined.filter(differing <= F.when(F.col("length") == WINDOW, SUBSTITUTIONS).otherwise(0)).groupBy("window", "length").agg(F.min("item").alias("item"))
+    verified = joined.filter(differing <= F.when(F.col("length") == WINDOW, SUBSTITUTIONS).otherwise(SHORT_SUBSTITUTIONS)).groupBy("window", "length").agg(F.min("item").alias("item"))
     return (
         hits.select("doc", "id", "place", "length", "window")
         .join(verified, ["window", "length"])
