@@ -225,6 +225,14 @@ def test_weights_separate_and_stay_sparse():
     assert (weights[60:] == 0).all()
 
 
+def test_the_sample_stays_as_it_was_sent(labelled, monkeypatch):
+    """The driver holds four bytes a feature of the sampled rows."""
+    held, fit = [], language_id.fit_weights
+    monkeypatch.setattr(language_id, "fit_weights", lambda rows, *rest: held.extend(rows) or fit(rows, *rest))
+    train_language_model(labelled, F.lit(True))
+    assert held and all(columns.nbytes + counts.nbytes == 4 * len(columns) for _, columns, counts in held)
+
+
 def test_rows_without_keys_crowd_out_no_language(table):
     docs = table([(None, t) for t in sentences(GERMAN, 4200, 1)], "de").unionByName(table(list(enumerate(sentences(SPANISH, 60, 2))), "es"))
     model = train_language_model(docs, F.lit(True))

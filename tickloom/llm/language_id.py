@@ -12,7 +12,7 @@ sees the document frequencies (one number a column) and the sample's features.
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 from dataclasses import dataclass
 
 import numpy as np
@@ -75,7 +75,7 @@ class LanguageModel:
     temperature: float = 1.0
 
     def vector(self, columns: np.ndarray, counts: np.ndarray) -> np.ndarray:
-        x = np.log1p(counts) * self.idf[columns]
+        x = np.log1p(counts, dtype=np.float64) * self.idf[columns]
         return x / (np.sqrt((x * x).sum()) or 1.0)
 
     def probabilities(self, columns: np.ndarray, counts: np.ndarray) -> np.ndarray:
@@ -92,8 +92,14 @@ class LanguageModel:
         return self.labels[best], float(p[best])
 
 
-def fit_weights(rows: list[tuple[int, np.ndarray, np.ndarray]], labels: int) -> tuple[np.ndarray, np.ndarray]:
-    """FTRL-proximal over (label, columns, values): weights (columns, labels) and biases; the last column is the bias."""
+def fit_weights(
+    rows: list[tuple[int, np.ndarray, np.ndarray]], labels: int, vector: Callable[[np.ndarray, np.ndarray], np.ndarray] = lambda columns, values: values
+) -> tuple[np.ndarray, np.ndarray]:
+    """FTRL-proximal over (label, columns, values): weights (columns, labels) and biases; the last column is the bias.
+
+    ``vector`` makes the values of a row from its columns and counts each time
+    the row is met, so that the sample is held as counts only.
+    """
     z, n = np.zeros((FEATURES + 1, labels)), np.zeros((FEATURES + 1, labels))
 
     def weights(z: np.ndarray, n: np.ndarray) -> np.ndarray:
@@ -104,7 +110,7 @@ def fit_weights(rows: list[tuple[int, np.ndarray, np.ndarray]], labels: int) ->
     for _ in range(EPOCHS):
         for k in order.permutation(len(rows)):
             label, columns, values = rows[k]
-            at, x = np.append(columns, FEATURES), np.append(values, 1.0)[:, None]
+            at, x = np.append(columns, FEATURES), np.append(vector(columns, values), 1.0)[:, None]
             own_z, own_n = z[at], n[at]
             w = weights(own_z, own_n)
             logits = (w * x).sum(0)
@@ -179,10 +185,11 @@ def train_language_model(docs: DataFrame, training: Column, label: str = "lang",
     place = F.row_number().over(Window.partitionBy("label").orderBy("draw", "columns", "counts"))
     sampled = sampled.withColumn("place", place).filter(F.col("place") <= share)
     sample = sorted((r.draw, number[r.label], r.columns, r.counts) for r in sampled.orderBy("draw", "label").limit(SAMPLE_ROWS).collect())
-    decoded = [(k, np.frombuffer(c, "<u2").astype(np.int64), np.frombuffer(n, "<u2").astype(np.int64)) for _, k, c, n in sample if c]
+    # views of four bytes a feature: what the driver holds is what it was sent
+    decoded = [(k, np.frombuffer(c, "<u2"), np.frombuffer(n, "<u2")) for _, k, c, n in sample if c]
     model = LanguageModel(labels, idf, np.zeros((FEATURES, len(labels)), np.float32), np.zeros(len(labels)))
     fit = [row for k, row in enumerate(decoded) if k % 5]
-    model.weights, model.bias = fit_weights([(k, c, model.vector(c, n)) for k, c, n in fit or decoded], len(labels))
+    model.weights, model.bias = fit_weights(fit or decoded, len(labels), model.vector)
     model.temperature = fit_temperature(model, decoded[::5])
     return model
 
