@@ -1,12 +1,14 @@
 """Streams over files shaped like a topic: closed and open candles, late rows, restarts."""
 
 import json
+from datetime import datetime
 
 import pytest
 from pyspark.sql import functions as F
 
 from helpers import message, texts
 from tickloom.operators import build_candles, decode_trades, latest_messages, split_trades
+from tickloom.plans import registry
 from tickloom.schemas import CANDLE_SCHEMA, MESSAGE_SCHEMA
 from tickloom.sources import Lake, file_messages, kafka_messages
 from tickloom.streaming import (
@@ -164,3 +166,19 @@ def test_topic_defaults():
     assert STORE_TRIGGER == {"processingTime": "30 seconds"}
     assert LIVE_TRIGGER == {"processingTime": "2 seconds"}
     assert KafkaTopic("host:9092", "ohlc.1m").topic == "ohlc.1m"
+
+
+def test_no_task_writes_or_reads_a_sent_part_as_a_whole(spark, tmp_path, monkeypatch):
+    """The tasks of a part write its files, and the stream takes them as one batch."""
+    monkeypatch.setattr(registry, "shared_dir", lambda spark, purpose: str(tmp_path / purpose))
+    rows = [(n, datetime(2024, 1, 1, n % 24), n, "view", 1.0, '{"k": 2}') for n in range(120)]
+    events = spark.createDataFrame(rows, "event_id long, ts timestamp_ntz, user_id long, event_type string, value double, props string").repartition(3)
+    counts = []
+
+    def start(messages):
+        count = messages.writeStream.foreachBatch(lambda batch, number: counts.append((number, batch.count())))
+        return count.option("checkpointLocation", str(tmp_path / "c")).trigger(availableNow=True).start()
+
+    registry.sent_in_parts(spark, [events.filter("event_id < 80"), events.filter("event_id >= 80")], start)
+    assert counts == [(0, 80), (1, 40)]
+    assert [len(list((tmp_path / "events" / f"part={n}").glob("*.parquet"))) for n in (0, 1)] == [3, 3]

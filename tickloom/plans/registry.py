@@ -586,11 +586,15 @@ def stream_late_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
 # ---- streams that lose nothing ---------------------------------------------------------
 
 
-def sent_in_files(spark: SparkSession, parts: list[DataFrame], start: Callable[[DataFrame], StreamingQuery]) -> None:
-    """Send each part of ``events`` as a file of its own, with a restart of the stream after each."""
+def sent_in_parts(spark: SparkSession, parts: list[DataFrame], start: Callable[[DataFrame], StreamingQuery]) -> None:
+    """Send each part of ``events`` as a folder of its own, with a restart of the stream after each.
+
+    The tasks that read a part write its files, and the stream takes all new
+    files as one batch: no task has a part as a whole.
+    """
     landed = shared_dir(spark, "events")
     for number, part in enumerate(parts):
-        part.coalesce(1).write.parquet(f"{landed}/part={number}")
+        part.write.parquet(f"{landed}/part={number}")
         stream = spark.readStream.schema(part.schema).parquet(f"{landed}/*")
         start(op.trade_messages(message_fields(stream))).awaitTermination()
 
@@ -612,7 +616,7 @@ def stream_distinct_trades(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The archive of a topic that delivered many trades twice or three times, across batches and a restart."""
     lake = Lake(shared_dir(spark, "bronze"), grain="day")
     checkpoint = shared_dir(spark, "checkpoint")
-    sent_in_files(
+    sent_in_parts(
         spark,
         resent_events(spark, sf_dir),
         lambda messages: start_bronze(messages, lake, checkpoint, {"availableNow": True}, distinct_within=DISTINCT_WITHIN),
@@ -624,7 +628,7 @@ def stream_distinct_candles(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Closed candles of the same topic: each trade counts once."""
     lake = Lake(shared_dir(spark, "silver"), grain="day")
     checkpoint = shared_dir(spark, "checkpoint")
-    sent_in_files(
+    sent_in_parts(
         spark,
         resent_events(spark, sf_dir),
         lambda messages: start_silver(messages, lake, checkpoint, CANDLE_WIDTH, trigger={"availableNow": True}, distinct=True),
@@ -639,7 +643,7 @@ def parts_lake(spark: SparkSession, sf_dir: str) -> Lake:
     events = read_table(spark, sf_dir, "events")
     held = F.col("event_id") % HELD_BACK == 0
     behind = F.col("event_type") == HISTORY_SYMBOL
-    sent_in_files(
+    sent_in_parts(
         spark,
         [events.filter(~held & ~behind), events.filter(~held & behind), events.filter(held)],
         lambda messages: start_parts(messages, lake, checkpoint, CANDLE_WIDTH, trigger={"availableNow": True}),
