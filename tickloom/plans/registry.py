@@ -566,20 +566,16 @@ def repeated_batch(spark: SparkSession, sf_dir: str) -> DataFrame:
 def stream_late_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Events that come in after the watermark has passed their window do not count.
 
-    The table is sent in three files: the first half by time, then the rest,
+    The table is sent in three parts: the first half by time, then the rest,
     then a copy of the first hour's events, which is far too late.
     """
     lake = Lake(shared_dir(spark, "silver"), grain="day")
-    landed = shared_dir(spark, "events")
     events = read_table(spark, sf_dir, "events")
     bounds = events.agg(F.min("ts").alias("first"), F.max("ts").alias("last")).first()
     middle = bounds.first + (bounds.last - bounds.first) / 2
     parts = [events.filter(F.col("ts") < F.lit(middle)), events.filter(F.col("ts") >= F.lit(middle)), events.filter(F.col("ts") < F.lit(bounds.first + timedelta(hours=1)))]
     checkpoint = shared_dir(spark, "checkpoint")
-    for number, part in enumerate(parts):
-        part.coalesce(1).write.parquet(f"{landed}/part={number}")
-        stream = spark.readStream.schema(events.schema).parquet(f"{landed}/*")
-        start_silver(op.trade_messages(message_fields(stream)), lake, checkpoint, width=CANDLE_WIDTH, trigger={"availableNow": True}).awaitTermination()
+    sent_in_parts(spark, parts, lambda messages: start_silver(messages, lake, checkpoint, width=CANDLE_WIDTH, trigger={"availableNow": True}))
     return report(lake.streamed.read(spark).select(CANDLE_SCHEMA.fieldNames()))
 
 
