@@ -104,6 +104,37 @@ def test_a_full_table_starts_anew(monkeypatch):
     assert_equal_ids(Transducer(BYTE_BPE), texts)
 
 
+def test_short_words_are_merged_once():
+    """A text of short words makes no states; words met again are looked up."""
+    machine, rng = Transducer(BYTE_BPE), random.Random(4)
+    words = ["".join(rng.choice("abtheringé漢'1!") for _ in range(rng.randrange(1, 8))) for _ in range(3000)]
+    texts = [" ".join(words[k : k + 30]) for k in range(0, 3000, 30)]
+
+    def assert_ids():
+        ids, counts = machine.encode([t.encode() for t in texts])
+        want = library(texts)
+        assert counts.tolist() == [len(x) for x in want]
+        assert ids.tolist() == [i for x in want for i in x]
+
+    assert_ids()
+    known = machine.words.known
+    assert len(machine.states) == 2 and known > 1000
+    assert_ids()
+    assert machine.words.known == known
+
+
+@pytest.mark.parametrize("change", [("MAX_WORDS", 40), ("SHORT", 8), ("SHORT", 17)])
+def test_words_that_are_forgotten_or_too_long(monkeypatch, change):
+    monkeypatch.setattr(bpe_fst, *change)
+    assert_equal_ids(Transducer(BYTE_BPE), [*ODD, *(unspaced(n) for n in range(1, 40)), *(" " + unspaced(n, n) for n in range(1, 40))])
+
+
+def test_words_with_equal_keys(monkeypatch):
+    """Only a word's bytes tell whether it is the one that was remembered."""
+    monkeypatch.setattr(bpe_fst.Words, "ODD", (np.uint64(0),) * 3)
+    assert_equal_ids(Transducer(BYTE_BPE), [*ODD, "a the that then thatthat abcdefghijklmnopq abcdefghijklmnopr"])
+
+
 def test_counts_of_odd_rows(odd):
     rows = count_tokens(odd, BYTE_BPE).collect()
     texts = [r.text for r in odd.select("text").collect()]

@@ -24,6 +24,9 @@ the maps of 1, 2, 4, ... chunks (``Transducer.entries``), which gives every
 chunk its entry state, and all heads (the bytes before a chunk's first mark) run
 at once. A text with no boundary in a megabyte takes as many rounds as the
 logarithm of its chunks, not one round a chunk.
+
+``encode`` runs the transducers only where they pay: a pre-token of at most
+``SHORT`` bytes is merged once, many in step, and then looked up (see ``Words``).
 """
 
 from __future__ import annotations
@@ -49,6 +52,10 @@ BLOCK = 1 << 20
 WALK = 32
 #: Turns in which all chunks' maps grow; after them only what the text itself reaches.
 TURNS = 8
+#: Bytes of a pre-token that is remembered with its ids: its first 16 and its last eight are all of it.
+SHORT = 24
+#: Pre-tokens remembered at most; then anew. They take about 70 bytes each.
+MAX_WORDS = 1 << 20
 
 # The contractions that the pre-tokenizer splits off, without their apostrophe.
 CONTRACTIONS = ("s", "t", "re", "ve", "m", "ll", "d")
@@ -99,6 +106,155 @@ def ends_before(at: np.ndarray, begin: np.ndarray, last: np.ndarray, length: np.
     return at
 
 
+def ranges(begin: np.ndarray, size: np.ndarray) -> np.ndarray:
+    """All places of the given ranges, one range after the other."""
+    return np.arange(int(size.sum())) + np.repeat(begin - (np.cumsum(size) - size), size)
+
+
+class Words:
+    """Pre-tokens of at most ``SHORT`` bytes and their ids, as met; lookups compare all bytes."""
+
+    # Odd multipliers of the hash function.
+    ODD = tuple(np.uint64(x) for x in (0x9E3779B97F4A7C15, 0xBF58476D1CE4E5B9, 0x94D049BB133111EB))
+
+    def __init__(self, byte_ids: np.ndarray, pair_rank: dict[tuple[int, int], int], made: list[int]):
+        """``made``: the token of each merge, by rank."""
+        self.byte_ids, self.made = byte_ids, np.array([*made, -1], np.int32)
+        self.none = len(made)
+        self.pairs = np.array([left << 32 | right for left, right in pair_rank], np.int64)
+        order = np.argsort(self.pairs)
+        self.pairs, self.pair_rank = np.append(self.pairs[order], -1), np.append(np.fromiter(pair_rank.values(), np.int32, len(pair_rank))[order], self.none).astype(np.int32)
+        self.byte_pairs = self._rank(np.repeat(byte_ids, 256), np.tile(byte_ids, 256)).reshape(256, 256)
+        self.clear()
+
+    def clear(self) -> None:
+        self.known = 0
+        #: a word by the upper bits of its key, or the next free place
+        self.slots = np.full(1 << 12, -1, np.int32)
+        self.key = np.zeros(0, np.uint64)
+        self.parts = np.zeros((3, 0), np.uint64)
+        self.size, self.count = np.zeros(0, np.int8), np.zeros(0, np.int8)
+        self.at = np.zeros(0, np.int64)
+        self.used = 0
+        self.ids = np.zeros(0, np.int32)
+
+    def _rank(self, left: np.ndarray, right: np.ndarray) -> np.ndarray:
+        pair = left.astype(np.int64) << 32 | right
+        at = np.searchsorted(self.pairs[:-1], pair)
+        return np.where(self.pairs[at] == pair, self.pair_rank[at], self.none)
+
+    def merged(self, rows: np.ndarray, size: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """The ids of words, one after the other, and their number; each turn makes the earliest merge of every word.
+
+        ``rows``: a word's bytes, padded.
+        """
+        none, width = self.none, rows.shape[1]
+        inside = np.arange(1, width) < size[:, None]
+        rank = np.where(inside, self.byte_pairs[rows[:, :-1], rows[:, 1:]], none)
+        rank = np.concatenate([rank, np.full((len(rows), 2), none)], 1).astype(np.int32)  # as wide as ids and one more
+        ids = np.concatenate([self.byte_ids[rows], np.zeros((len(rows), 1))], 1).astype(np.int32)
+        out, left = np.zeros((len(rows), width), np.int32), size.copy()
+        own, columns = np.arange(len(rows)), np.arange(width)
+        while len(own):
+            at = rank.argmin(1)
+            k = np.arange(len(own))
+            best = rank[k, at]
+            done = best == none
+            if done.any():
+                out[own[done]] = ids[done, :-1]
+                go = ~done
+                own, at, best, rank, ids = own[go], at[go], best[go], rank[go], ids[go]
+                k = np.arange(len(own))
+                if not len(own):
+                    break
+            left[own] -= 1
+            behind = columns > at[:, None]
+            ids[:, :-1] = np.where(behind, ids[:, 1:], ids[:, :-1])
+            rank[:, :-1] = np.where(behind, rank[:, 1:], rank[:, :-1])
+            ids[k, at] = self.made[best]
+            last = left[own] - 1
+            rank[k, at] = np.where(at < last, self._rank(ids[k, at], ids[k, at + 1]), none)
+            follows = np.flatnonzero(at > 0)
+            before = at[follows] - 1
+            rank[follows, before] = self._rank(ids[follows, before], ids[follows, before + 1])
+        return out[np.arange(width) < left[:, None]], left
+
+    def find(self, data: np.ndarray, begin: np.ndarray, size: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """Where in ``ids`` each word's ids begin, how many they are, and whether the word is there at all; words are learned first."""
+        padded = np.concatenate([np.zeros(8, np.uint8), data, np.zeros(SHORT, np.uint8)])
+        eight = np.ndarray((len(data) + SHORT,), "<u8", padded, strides=(1,))  # the bytes from each place on
+        full, small = np.uint64(0xFFFFFFFFFFFFFFFF), size.astype(np.uint64)
+        unused = (np.uint64(8) - np.minimum(small, np.uint64(8))) * np.uint64(8)
+        parts = [eight[begin + 8] & full >> unused, eight[begin + size] & full << unused]
+        parts.append(np.where(size > 16, eight[begin + 16], np.uint64(0)))
+        key = (parts[0] ^ small * self.ODD[0]) * self.ODD[1]
+        for part in parts[1:]:
+            key = (key ^ key >> np.uint64(32) ^ part) * self.ODD[2]
+        key = (key ^ key >> np.uint64(29)) * self.ODD[1]
+        key ^= key >> np.uint64(32)
+        word = self._look(key)
+        new = np.flatnonzero(word < 0)
+        if len(new):
+            unique, first, inverse = np.unique(key[new], return_index=True, return_inverse=True)
+            if self.known and self.known + len(unique) > MAX_WORDS:
+                self.clear()
+                return self.find(data, begin, size)
+            word[new] = self.known + inverse
+            new = new[first]
+            order = np.argsort(size[new], kind="stable")
+            ids, count = [], np.empty(len(new), np.int64)
+            at = np.empty(len(new), np.int64)
+            cuts = [0, *np.searchsorted(size[new][order], (8, 16), side="right").tolist(), len(new)]
+            for k, low, high in zip((8, 16, SHORT), cuts, cuts[1:], strict=False):
+                some = order[low:high]
+                own = new[some]
+                if len(own):
+                    own_ids, count[some] = self.merged(padded[begin[own][:, None] + np.arange(8, 8 + k)], size[own])
+                    ids.append(own_ids)
+            at[order] = self.used + np.cumsum(count[order]) - count[order]
+            self._learn(unique, [x[new] for x in parts], size[new], at, count, np.concatenate(ids))
+        known = (self.size[word] == size) & np.logical_and.reduce([own[word] == x for own, x in zip(self.parts, parts, strict=True)])
+        return self.at[word], self.count[word].astype(np.int64), known
+
+    def _look(self, key: np.ndarray) -> np.ndarray:
+        """The number of each key's word, or -1."""
+        shift = np.uint64(65 - len(self.slots).bit_length())
+        slot = (key >> shift).astype(np.int64)
+        word = self.slots[slot]
+        open_keys = np.flatnonzero(word >= 0)
+        open_keys = open_keys[self.key[word[open_keys]] != key[open_keys]]
+        while len(open_keys):
+            slot[open_keys] = (slot[open_keys] + 1) & len(self.slots) - 1
+            word[open_keys] = self.slots[slot[open_keys]]
+            open_keys = open_keys[word[open_keys] >= 0]
+            open_keys = open_keys[self.key[word[open_keys]] != key[open_keys]]
+        return word
+
+    def _learn(self, key: np.ndarray, parts: list[np.ndarray], size: np.ndarray, at: np.ndarray, count: np.ndarray, ids: np.ndarray) -> None:
+        """Add words with different keys."""
+        begin, end = self.known, self.known + len(key)
+        if end > len(self.key):
+            more = max(end, 2 * len(self.key)) - len(self.key)
+            self.key, self.size, self.count, self.at = (np.append(x, np.zeros(more, x.dtype)) for x in (self.key, self.size, self.count, self.at))
+            self.parts = np.append(self.parts, np.zeros((3, more), np.uint64), axis=1)
+        if self.used + len(ids) > len(self.ids):
+            self.ids = np.append(self.ids, np.zeros(max(self.used + len(ids) - len(self.ids), len(self.ids)), np.int32))
+        self.key[begin:end], self.parts[:, begin:end], self.size[begin:end] = key, parts, size
+        self.at[begin:end], self.count[begin:end] = at, count
+        self.ids[self.used : self.used + len(ids)] = ids
+        self.known, self.used = end, self.used + len(ids)
+        to_place = np.arange(begin, end, dtype=np.int32)
+        if 2 * end > len(self.slots):
+            self.slots = np.full(1 << (4 * end - 1).bit_length(), -1, np.int32)
+            to_place = np.arange(end, dtype=np.int32)
+        slot = (self.key[to_place] >> np.uint64(65 - len(self.slots).bit_length())).astype(np.int64)
+        while len(to_place):
+            free = self.slots[slot] < 0
+            self.slots[slot[free]] = to_place[free]
+            left = self.slots[slot] != to_place
+            to_place, slot = to_place[left], (slot[left] + 1) & len(self.slots) - 1
+
+
 class Transducer:
     """The tokenizer of one vocabulary file; ``of`` keeps the last one in a worker process."""
 
@@ -139,12 +295,16 @@ class Transducer:
             self.length[token] = len(text.encode())
         self._index_subtrees()
         vocab = model["vocab"]
+        made = []
         for rank, merge in enumerate(model["merges"]):
             left, right = merge if isinstance(merge, list) else merge.split(" ")
             whole = vocab[left + right]
             self.rank[whole] = rank
             self.parts[whole] = (vocab[left], vocab[right])
             self.pair_rank[vocab[left], vocab[right]] = rank
+            made.append(whole)
+        byte_ids = np.array([self.token[self.child[b]] if b in self.child else -1 for b in range(256)], np.int32)
+        self.words = Words(byte_ids, self.pair_rank, made) if (byte_ids >= 0).all() else None
         self.clear()
 
     @staticmethod
@@ -383,8 +543,11 @@ class Transducer:
                     at = joined.find(content, at + 1)
         for begin, end, _ in specials:
             section[begin] = section[end] = True
-        lead = np.flatnonzero((data & 0xC0) != 0x80)
-        cp = np.frombuffer(joined.decode("utf-8").encode("utf-32-le"), np.uint32)
+        if joined.isascii():
+            lead, cp = np.arange(n), data
+        else:
+            lead = np.flatnonzero((data & 0xC0) != 0x80)
+            cp = np.frombuffer(joined.decode("utf-8").encode("utf-32-le"), np.uint32)
         kind = char_classes()[cp]
         first = section[lead]
         starts = np.ones(len(cp), bool)
@@ -469,23 +632,47 @@ class Transducer:
         all_ids, all_counts = [], []
         for block in self.blocks(texts):
             data, mark, offsets, specials = self._marked(block)
-            counts, last = self._run_safely(data, mark, True)
-            for begin, end, token in specials:
-                counts[begin], last[end - 1] = 1, token
             begin = np.flatnonzero(mark)
-            end = np.append(begin[1:], len(data))[: len(begin)]
-            total = np.concatenate([[0], np.cumsum(counts, dtype=np.int64)])
-            ids = np.empty(int(total[-1]), np.int32)
-            at = end - 1  # walk back from the end of each pre-token
-            for _ in range(WALK):
-                ids[total[at + 1] - 1] = last[at]
-                at = at - self.length[last[at]]
-                more = at >= begin
-                at, begin = at[more], begin[more]
-            at = ends_before(at, begin, last, self.length)
-            ids[total[at + 1] - 1] = last[at]
-            all_ids.append(ids)
-            all_counts.append(total[offsets[1:]] - total[offsets[:-1]])
+            size = np.diff(begin, append=len(data))
+            count, source = np.zeros(len(begin), np.int64), np.zeros(len(begin), np.int64)
+            plain = mark[begin] == 1
+            short = plain & (size <= SHORT) if self.words else np.zeros(len(begin), bool)
+            if short.any():
+                source[short], count[short], known = self.words.find(data, begin[short], size[short])
+                short[np.flatnonzero(short)[~known]] = False
+            long = plain & ~short
+            known_ids = self.words.ids[: self.words.used] if self.words else np.zeros(0, np.int32)
+            found = [known_ids]
+            if long.any():
+                at = ranges(begin[long], size[long])
+                ids, count[long] = self._encode_marked(data[at], mark[at])
+                source[long] = np.cumsum(count[long]) - count[long] + len(known_ids)
+                found.append(ids)
+            if specials:
+                special = np.searchsorted(begin, [b for b, _, _ in specials])
+                count[special] = 1
+                source[special] = np.arange(len(specials)) + sum(map(len, found))
+                found.append(np.array([token for *_, token in specials], np.int32))
+            all_ids.append((np.concatenate(found) if len(found) > 1 else known_ids)[ranges(source, count)])
+            total = np.append(0, np.cumsum(count))[np.searchsorted(begin, offsets)]
+            all_counts.append(np.diff(total))
         if not all_ids:
             return np.zeros(0, np.int32), np.zeros(0, np.int64)
         return np.concatenate(all_ids), np.concatenate(all_counts)
+
+    def _encode_marked(self, data: np.ndarray, mark: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """All ids of pre-tokens by the transducer, and the number of each one's."""
+        counts, last = self._run_safely(data, mark, True)
+        begin = first = np.flatnonzero(mark)
+        end = np.append(begin[1:], len(data))
+        total = np.concatenate([[0], np.cumsum(counts, dtype=np.int64)])
+        ids = np.empty(int(total[-1]), np.int32)
+        at = end - 1  # walk back from the end of each pre-token
+        for _ in range(WALK):
+            ids[total[at + 1] - 1] = last[at]
+            at = at - self.length[last[at]]
+            more = at >= begin
+            at, begin = at[more], begin[more]
+        at = ends_before(at, begin, last, self.length)
+        ids[total[at + 1] - 1] = last[at]
+        return ids, total[end] - total[first]
