@@ -11,9 +11,10 @@ import pytest
 import xxhash
 
 from tickloom.llm import buckets, embeddings, simhash
+from tickloom.llm.common import byte_hashes
 from tickloom.llm.components import connected_components
 from tickloom.llm.decontamination import WORD, contaminated, decontaminate
-from tickloom.llm.substrings import doc_hash, remove_repeats, repeated_passages, similar_sets, shingle_set, without
+from tickloom.llm.substrings import Texts, doc_hash, remove_repeats, repeated_passages, similar_sets, shingle_set, without
 
 
 class Sets:
@@ -170,6 +171,35 @@ def test_quantisation_bound():
     assert (np.abs(true - near) <= bound + embeddings.SLACK).all()
 
 
+def test_buckets_with_the_same_members_are_compared_once(spark):
+    members = {1: [1, 2, 3], 2: [3, 2, 1], 3: [1, 2], 4: [1, 2, 2], 5: [7], 6: [2, 1], 7: [4, 5], 8: [1, 3, 3]}
+    rows = spark.createDataFrame([(b, n) for b, nodes in members.items() for n in nodes], "bucket long, node long")
+    assert sorted(map(tuple, buckets.different_buckets(rows).collect())) == [(1, 3), (3, 2), (4, 3), (7, 2), (8, 3)]
+    payloads = rows.selectExpr("node", "cast('' AS binary) AS payload")
+
+    def chain(nodes, payload, group):
+        at = np.flatnonzero(group[1:] == group[:-1])
+        return at, at + 1
+
+    links = buckets.links_in_buckets(rows.filter("bucket NOT IN (4, 8)"), chain, payloads=payloads).collect()
+    assert sorted(tuple(sorted(r)) for r in links) in ([(1, 2), (1, 2), (2, 3), (4, 5)], [(1, 2), (1, 2), (1, 3), (4, 5)], [(1, 2), (1, 3), (2, 3), (4, 5)])
+
+
+def test_word_hashes():
+    """Words are hashed by their bytes alone, wherever they stand and however long they are."""
+    rng = random.Random(5)
+    words = ["", *("".join(rng.choice("aB") for _ in range(rng.choice([1, 2, 7, 8, 9, 16, 17, 63, 64, 65, 200]))) for _ in range(600)), "a" * 8, "a" * 9, "a" * 16, "é"]
+    texts = [" \t".join(words[k : k + 9]).encode() for k in range(0, len(words), 9)]
+    found = Texts([*texts, b"", b" \n"])
+    plain = [w for t in texts for w in t.translate(bytes.maketrans(b"AB", b"ab")).split()]
+    assert found.lasting_hashes().tolist() == [xxhash.xxh64_intdigest(w) for w in plain]
+    hashes = found.hashes().tolist()
+    by_word = dict(zip(plain, hashes, strict=True))
+    assert hashes == [by_word[w] for w in plain] and len(set(hashes)) == len(by_word)
+    assert [texts[k][a:b].lower() for k, a, b in zip(found.owner, found.begin, found.end, strict=True)] == plain
+    assert not len(byte_hashes(b"", np.zeros(0, int), np.zeros(0, int)))
+
+
 def prose(count, seed):
     rng = random.Random(seed)
     return " ".join("".join(rng.choice("bcdfglmnprst") + rng.choice("aeiou") for _ in range(rng.randrange(1, 4))) for _ in range(count))

@@ -27,9 +27,24 @@ SMALL_ROWS = 1 << 14
 Compare = Callable[[np.ndarray, list, np.ndarray], tuple[np.ndarray, np.ndarray]]
 
 
-def grouped_tiles(rows: DataFrame, tile: int = TILE) -> DataFrame:
-    """``bucket``, ``node`` and other columns: adds ``lo`` and ``hi``, the pair of tiles; a row is repeated for each pair it is part of."""
-    sizes = rows.groupBy("bucket").agg(F.count("*").alias("size")).filter("size > 1")
+def different_buckets(rows: DataFrame) -> DataFrame:
+    """``bucket`` and ``size`` of one of all buckets with the same members, if they are more than one: what these link is found once.
+
+    Members are told by their number and by sums over the halves of their hashes.
+    """
+    h = F.xxhash64("node")
+    halves = F.sum(h.bitwiseAND(F.lit(0xFFFFFFFF))).alias("low"), F.sum(F.shiftrightunsigned(h, 32)).alias("high")
+    members = rows.groupBy("bucket").agg(F.count("*").alias("size"), *halves, F.min("node").alias("least"), F.max("node").alias("most"))
+    return members.filter("size > 1").groupBy("size", "low", "high", "least", "most").agg(F.min("bucket").alias("bucket")).select("bucket", "size")
+
+
+def grouped_tiles(rows: DataFrame, tile: int = TILE, sizes: DataFrame | None = None) -> DataFrame:
+    """``bucket``, ``node`` and other columns: adds ``lo`` and ``hi``, the pair of tiles; a row is repeated for each pair it is part of.
+
+    ``sizes``: ``bucket`` and ``size`` of the buckets asked for, else of all.
+    """
+    if sizes is None:
+        sizes = rows.groupBy("bucket").agg(F.count("*").alias("size")).filter("size > 1")
     tiles = F.ceil(F.col("size") / tile).cast("int")
     own = F.pmod(F.xxhash64("node"), tiles).cast("int")
     placed = rows.join(sizes, "bucket").withColumns({"tiles": tiles, "own": own}).withColumn("other", F.explode(F.sequence(F.lit(0), F.col("tiles") - 1)))
@@ -41,9 +56,9 @@ def links_in_buckets(rows: DataFrame, compare: Compare, tile: int = TILE, payloa
 
     ``rows``: ``bucket`` (long), ``node`` (long). ``payloads``: ``node``,
     ``payload`` (binary), repeats allowed; only those of nodes that share a
-    bucket travel.
+    bucket travel, and of buckets with the same members one is compared.
     """
-    tiles = grouped_tiles(rows, tile)
+    tiles = grouped_tiles(rows, tile, None if payloads is None else different_buckets(rows))
     if payloads is None:
         tiles = tiles.withColumn("payload", F.lit(None).cast("binary"))
     else:

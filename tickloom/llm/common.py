@@ -98,11 +98,30 @@ class Numbers(dict):
         return value
 
 
-def hashes_of(words: list[bytes]) -> np.ndarray:
-    """A 64-bit hash of every word; each different word is hashed once, and nothing is remembered."""
-    number = Numbers()
-    ids = np.fromiter(map(number.__getitem__, words), np.int64, len(words))
-    return np.fromiter(map(xxhash.xxh64_intdigest, number), np.uint64, len(number))[ids]
+# Odd multipliers of the hash function.
+ODD = tuple(np.uint64(x) for x in (0x9E3779B97F4A7C15, 0xBF58476D1CE4E5B9, 0x94D049BB133111EB))
+#: Bytes of a word that are hashed in step with the others'.
+IN_STEP = 64
+
+
+def byte_hashes(data: bytes, begin: np.ndarray, end: np.ndarray) -> np.ndarray:
+    """A 64-bit hash of every range of bytes, eight bytes of all of them at a time; few ranges may be long."""
+    padded = np.frombuffer(data + bytes(8), np.uint8)
+    eight = np.ndarray((len(data) + 1,), "<u8", padded, strides=(1,))  # the bytes from each place on
+    size = end - begin
+    key = size.astype(np.uint64) * ODD[0]
+    todo, at, left = np.flatnonzero(size <= IN_STEP), begin, size
+    if len(todo) < len(size):
+        at, left = at[todo], left[todo]
+    while len(todo):
+        unused = (8 - np.minimum(left, 8)).astype(np.uint64) * np.uint64(8)
+        h = (key[todo] ^ eight[at] & np.uint64(0xFFFFFFFFFFFFFFFF) >> unused) * ODD[1]
+        key[todo] = (h ^ h >> np.uint64(32)) * ODD[2]
+        on = np.flatnonzero(left > 8)
+        todo, at, left = todo[on], at[on] + 8, left[on] - 8
+    for k in np.flatnonzero(size > IN_STEP).tolist():
+        key[k] = xxhash.xxh64_intdigest(data[begin[k] : end[k]])
+    return key ^ key >> np.uint64(29)
 
 
 def shared_folder(spark: SparkSession, purpose: str) -> str:

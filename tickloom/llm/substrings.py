@@ -39,7 +39,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from tickloom.llm.buckets import links_in_buckets
-from tickloom.llm.common import ASCII_LOWER, blocks_of, hashes_of, release, space_words, stored, text_bytes
+from tickloom.llm.common import ASCII_LOWER, blocks_of, byte_hashes, release, stored, text_bytes
 from tickloom.llm.components import connected_components
 
 SHINGLE = 5
@@ -107,19 +107,35 @@ def window_keys(words: np.ndarray, size: int) -> np.ndarray:
 
 
 class Texts:
-    """The words of some texts: hashes, places in bytes of their text, and the text of each."""
+    """The words of some texts: places in bytes of their text, the text of each, and hashes."""
 
     def __init__(self, texts: list[bytes]):
         joined = b"\n".join(texts)
-        inside = np.zeros(len(joined) + 2, np.int8)
+        inside = np.zeros(len(joined) + 2, bool)
         inside[1:-1] = ~BLANK[np.frombuffer(joined, np.uint8)]
-        change = np.diff(inside)
-        begin, end = np.flatnonzero(change == 1), np.flatnonzero(change == -1)
-        first = np.cumsum([0, *(len(t) + 1 for t in texts[:-1])])
-        self.hashes = hashes_of(space_words(joined))
-        self.owner = np.searchsorted(first, begin, side="right") - 1
-        self.begin, self.end = begin - first[self.owner], end - first[self.owner]
-        self.number = np.arange(len(begin)) - np.searchsorted(begin, first)[self.owner]
+        edges = np.flatnonzero(inside[1:] != inside[:-1])
+        #: places in the joined texts
+        self.at, self.to = edges[::2], edges[1::2]
+        self.lower = joined.translate(ASCII_LOWER)
+        self.first = np.cumsum([0, *(len(t) + 1 for t in texts[:-1])])
+        first_word = np.searchsorted(self.at, self.first)
+        self.words = np.diff(first_word, append=len(self.at))  # of each text
+        self.owner = np.repeat(np.arange(len(texts)), self.words)
+        self.begin, self.end = self.at - self.first[self.owner], self.to - self.first[self.owner]
+        self.number = np.arange(len(self.at)) - first_word[self.owner]
+
+    def hashes(self) -> np.ndarray:
+        """Of each word."""
+        return byte_hashes(self.lower, self.at, self.to)
+
+    def lasting_hashes(self, some: np.ndarray | slice = slice(None)) -> np.ndarray:
+        """XXH64 of some words, which results depend on; each different word is hashed once."""
+        at, to = self.at[some], self.to[some]
+        number, different = pd.factorize(byte_hashes(self.lower, at, to))
+        one = np.empty(len(different), np.int64)
+        one[number] = np.arange(len(number))
+        found = (xxhash.xxh64_intdigest(self.lower[a:b]) for a, b in zip(at[one].tolist(), to[one].tolist(), strict=True))
+        return np.fromiter(found, np.uint64, len(one))[number]
 
     def windows(self, size: int) -> np.ndarray:
         """Where a window of ``size`` words of one text begins."""
@@ -131,7 +147,7 @@ class Texts:
         if not len(at):
             return at, np.zeros(0, np.uint64)
         half = max(1, size // 2)
-        least = window_keys(self.hashes, half)
+        least = window_keys(self.hashes(), half)
         width, span = size - half + 1, 1
         while span < width:  # smallest of 1, 2, 4, ... and then of all
             step = min(span, width - span)
@@ -149,48 +165,41 @@ def occurrences(docs: DataFrame, key: str, text: str, min_words: int) -> DataFra
     id_type = pa.int64()
 
     def rows(block: list[tuple]) -> pa.RecordBatch:
-        doc, ids, begins, ends, sizes, nodes, bodies = ([] for _ in range(7))
-        shingles, first, total = [], [], 0
-        paragraphs, flat = [], []
-        in_all = []
-        for number, row_id, data in block:
-            at = total_words = 0
-            for line in data.split(b"\n"):
-                words = space_words(line)
-                total_words += len(words)
-                if len(words) >= min_words:
-                    paragraphs.append((number, row_id, at, line, words, len(flat)))
-                    flat += words
-                at += len(line) + 1
-            in_all.append(total_words)
-        hashes = hashes_of(flat)
-        for number, row_id, at, line, words, k in paragraphs:
-            h = hashes[k : k + len(words)]
-            body = b" ".join(words)
-            doc.append(number)
-            ids.append(row_id)
-            begins.append(at)
-            ends.append(at + len(line))
-            sizes.append(len(words))
-            nodes.append(xxhash.xxh64_intdigest(body))
-            bodies.append(body)
-            s = shingle_hashes(h)
-            shingles.append(s)
-            first.append(total)
-            total += len(s)
-        bands = band_keys(np.concatenate(shingles), np.array(first)).tolist() if first else []
-        nodes = np.array(nodes, np.uint64).view(np.int64).tolist()
-        for (number, row_id, data), words in zip(block, in_all, strict=True):
-            if words >= min_words:
-                doc.append(number)
-                ids.append(row_id)
-                begins.append(len(data) - len(data.lstrip()))
-                ends.append(len(data.rstrip()))
-                sizes.append(words)
-                for column in (nodes, bodies, bands):
-                    column.append(None)
+        numbers, row_ids, texts = zip(*block, strict=True)
+        words = Texts(list(texts))
+        # the lines of all texts: equal to those of the joined texts
+        ends = np.append(np.flatnonzero(np.frombuffer(words.lower, np.uint8) == 10), len(words.lower))
+        starts = np.append(0, ends[:-1] + 1)
+        first_word = np.searchsorted(words.at, starts)
+        in_line = np.diff(first_word, append=len(words.at))
+        lines = np.flatnonzero(in_line >= min_words)
+        starts, ends, sizes = starts[lines], ends[lines], in_line[lines]
+        owner = np.searchsorted(words.first, starts, side="right") - 1
+        bodies = [b" ".join(words.lower[a:b].split()) for a, b in zip(starts.tolist(), ends.tolist(), strict=True)]
+        nodes = np.array(list(map(xxhash.xxh64_intdigest, bodies)), np.uint64).view(np.int64)
+        hashes = words.lasting_hashes(np.repeat(in_line >= min_words, in_line))
+        count = np.maximum(sizes - SHINGLE + 1, 0)
+        line = np.repeat(np.arange(len(lines)), sizes)
+        shingles = shingle_hashes(hashes)
+        shingles = shingles[line[: len(shingles)] == line[len(line) - len(shingles) :]]
+        bands = band_keys(shingles, np.cumsum(count) - count) if len(lines) else np.zeros((0, BANDS), np.int64)
+        long = np.flatnonzero(words.words >= min_words).tolist()
+        own = [*owner.tolist(), *long]
+        begins = [*(starts - words.first[owner]).tolist(), *(len(texts[k]) - len(texts[k].lstrip()) for k in long)]
+        ends = [*(ends - words.first[owner]).tolist(), *(len(texts[k].rstrip()) for k in long)]
+        none = [None] * len(long)
+        keys = pa.ListArray.from_arrays(pa.array(np.arange(0, bands.size + 1, BANDS, dtype=np.int32)), pa.array(bands.reshape(-1)))
         return pa.record_batch(
-            [pa.array(doc, pa.int64()), pa.array(ids, id_type), pa.array(begins, pa.int32()), pa.array(ends, pa.int32()), pa.array(sizes, pa.int32()), pa.array(nodes, pa.int64()), pa.array(bodies, pa.binary()), pa.array(bands, pa.list_(pa.int64()))],
+            [
+                pa.array([numbers[k] for k in own], pa.int64()),
+                pa.array([row_ids[k] for k in own], id_type),
+                pa.array(begins, pa.int32()),
+                pa.array(ends, pa.int32()),
+                pa.array([*sizes.tolist(), *words.words[long].tolist()], pa.int32()),
+                pa.array([*nodes.tolist(), *none], pa.int64()),
+                pa.array([*bodies, *none], pa.binary()),
+                pa.concat_arrays([keys, pa.nulls(len(long), keys.type)]),
+            ],
             names=["doc", "id", "begin", "end", "words", "node", "body", "bands"],
         )
 
@@ -394,7 +403,7 @@ class Windows:
             # numbers go on from piece to piece of a text, with a gap of a window
             words = np.bincount(texts.owner, minlength=len(pieces)) + size
             number = np.cumsum(words) - words
-        self.keys = window_keys(texts.hashes, size)[at] if pieces else np.zeros(0, np.uint64)
+        self.keys = window_keys(texts.lasting_hashes(), size)[at] if pieces else np.zeros(0, np.uint64)
         self.owner = self.row[owner]
         self.number = texts.number[at] + number[owner] if pieces else at
         self.begin = texts.begin[at] + np.array(base, int)[owner] if pieces else at
