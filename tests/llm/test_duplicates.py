@@ -337,6 +337,18 @@ def test_passages_of_odd_rows(odd, nothing):
     assert repeated_passages(nothing).collect() == [] and remove_repeats(nothing).collect() == []
 
 
+def test_a_task_needs_one_python_worker(table):
+    """A function that a filter runs too is run twice a row, in two workers a task."""
+    passage = " ".join(f"w{k}" for k in range(30))
+    docs = table([(1, f"one {passage}"), (2, f"another {passage} here"), (3, "nothing of it")])
+
+    def functions(frame):
+        return sorted(re.findall(r"ArrowEvalPython \[(\w+)", frame._jdf.queryExecution().executedPlan().toString()))
+
+    assert functions(simhash.keep_one_of_each(docs)) == []  # from the written fingerprints
+    assert functions(remove_repeats(docs)) == ["cut", "marked"]  # each on its side of the union
+
+
 def test_cutting_out():
     assert without(b"aa bb cc\ndd", [3], [5]) == "aa cc\ndd"
     assert without(b"aa\nbb\n\ncc", [3], [5]) == "aa\n\ncc"

@@ -201,8 +201,9 @@ def simhash_groups(docs: DataFrame, key: str = "doc_id", text: str = "text", shi
 
 def keep_one_of_each(docs: DataFrame, key: str = "doc_id", text: str = "text", shingle: int = SHINGLE, radius: int = RADIUS) -> DataFrame:
     """The table without near-duplicates: of each component the row with the smallest key (null keys last), then fingerprint, stays, once."""
-    marked = docs.select(*[F.col(f"`{c}`") for c in docs.columns], fingerprint_column(text, shingle).alias("__fp"))
-    fps = stored(marked.select(F.col(key).alias("id"), F.col("__fp").alias("fp")), "simhash")
+    # written, so that no text is hashed again where the join looks for null fingerprints, by a second Python worker of the task
+    marked = stored(docs.select(*[F.col(f"`{c}`") for c in docs.columns], fingerprint_column(text, shingle).alias("__fp")), "simhash")
+    fps = marked.select(F.col(key).alias("id"), F.col("__fp").alias("fp"))
     found = fingerprint_components(fps, "id", radius).select("fp", "label")
     best = fps.join(found, "fp").groupBy("label").agg(F.min(F.struct(F.col("id").isNull().alias("none"), "id", "fp")).alias("best"))
     kept = best.select(F.col("best.id").alias("__id"), F.col("best.fp").alias("__kept"))

@@ -605,7 +605,8 @@ def remove_repeats(docs: DataFrame, key: str = "doc_id", text: str = "text", min
     # written, so that no task needs two Python workers: each would keep what later stages load into it
     losing = stored(hashed.filter(loses("__hash")), "losing")
     joined = losing.join(gone, (F.col("__hash") == F.col("__doc")) & F.col(key).eqNullSafe(F.col("__id")), "left")
-    changed = joined.withColumn("__text", cut(text_bytes(text), F.col("__begins"), F.col("__ends")))
+    # not deterministic as far as the optimizer goes: else the filter cuts each text once more, in a second Python worker of the task
+    changed = joined.withColumn("__text", cut.asNondeterministic()(text_bytes(text), F.col("__begins"), F.col("__ends")))
     kept = changed.filter("__text IS NULL OR trim(__text) <> ''")
     columns = []
     for name in docs.columns:
