@@ -14,7 +14,7 @@ from tokenizers import Tokenizer
 from tickloom.llm import bpe_fst
 from tickloom.llm.bpe_fst import Transducer
 from tickloom.llm.packing import Shard, pack, ranks, signatures
-from tickloom.llm.queries import BYTE_BPE, piece_digests
+from tickloom.llm.queries import BYTE_BPE, QUERIES, piece_digests
 from tickloom.llm.token_counts import count_tokens
 
 LIBRARY = Tokenizer.from_file(public_tokenizers.path("byte_bpe_50k.json"))
@@ -303,3 +303,15 @@ def test_shards_by_content_hold_more_neighbours(spark):
     texts = [r.text or "" for r in spark.read.parquet("/root/testdata/sf0.01/documents.parquet").select("text").collect()]
     by_position, by_content = shard_recall(texts, 1 << 16, False), shard_recall(texts, 1 << 16, True)
     assert by_content > 2 * by_position
+
+
+def test_texts_are_read_in_small_batches(spark, table, tmp_path):
+    """A reader held 4,096 texts at once in the JVM, in arrays that grow by doubling."""
+    table([(i, f"text {i} " * 40) for i in range(600)]).coalesce(1).write.parquet(f"{tmp_path}/documents.parquet")
+    setting = "spark.sql.parquet.columnarReaderBatchSize"
+    spark.conf.unset(setting)
+    assert QUERIES["op2_packing"](spark, str(tmp_path)).select("doc_id").distinct().count() == 600
+    texts = spark.read.parquet(f"{tmp_path}/documents.parquet").select("text")
+    assert len(texts.collect()) == 600
+    to_rows = texts._jdf.queryExecution().executedPlan().children().apply(0)
+    assert to_rows.metrics().apply("numInputBatches").value() == 3

@@ -73,16 +73,19 @@ def release() -> None:
 
 #: Bytes of an Arrow batch on its way to a Python worker and back; each running task holds a few.
 BATCH_BYTES = 8 << 20
+#: Rows that a Parquet reader holds at once in the JVM, in arrays as long as all their texts; a task has one or two readers.
+READER_ROWS = 256
 
 
 def prepare(spark: SparkSession) -> None:
-    """What the operators' Python workers need of the session: small batches, and the package.
+    """What the operators need of the session: small batches, and the package for their Python workers.
 
     Workers on this machine look for the package where the driver found it; a
     cluster is given it with --py-files. Batch size is bounded by bytes, since a
-    row may hold a text of any length.
+    row may hold a text of any length; Parquet readers can bound rows only.
     """
     spark.conf.set("spark.sql.execution.arrow.maxBytesPerBatch", str(BATCH_BYTES))
+    spark.conf.set("spark.sql.parquet.columnarReaderBatchSize", str(READER_ROWS))
     root = str(Path(__file__).resolve().parents[2])
     environment = spark.sparkContext.environment
     paths = [p for p in environment.get("PYTHONPATH", "").split(os.pathsep) if p]
