@@ -5,8 +5,10 @@ import random
 import re
 
 import numpy as np
+import pyarrow as pa
 import pytest
 
+from tickloom.llm import phrases
 from tickloom.llm.phrases import collocations, ranked, scored_phrases, tile_counts
 
 
@@ -100,3 +102,65 @@ def test_ranks_are_dense_and_by_frequency(spark):
     got = sorted((r.id, -r.n, r.left) for r in ranked(frame, ["left", "right"], "ranks").collect())
     assert [g[0] for g in got] == list(range(1000))
     assert [g[1:] for g in got] == sorted(g[1:] for g in got)
+
+
+@pytest.mark.parametrize("lookup_rows", [1 << 18, 0])
+def test_spark_takes_no_block_apart(spark, monkeypatch, lookup_rows):
+    """The JVM makes no row of a block's keys, gathers none, and has no table of all pairs of a task's blocks."""
+    plans = []
+    for name in ("stored", "stored_at"):
+
+        def noted(df, *args, f=getattr(phrases, name)):
+            plans.append(df._jdf.queryExecution().executedPlan().toString())
+            return f(df, *args)
+
+        monkeypatch.setattr(phrases, name, noted)
+    rows = texts_of(1, 60, 40)
+    frame = spark.createDataFrame(rows, "text string, lang string").repartition(2)
+    out = scored_phrases(frame, longest=3, least=4, lookup_rows=lookup_rows)
+    assert out.count() > 5
+    assert len(plans) > 8
+    for plan in plans:
+        assert "Generate" not in plan
+        assert "collect_list" not in plan
+        if "MapInArrow" in plan and "partial_sum" in plan:
+            assert plan.index("partial_sum") < plan.index("Exchange") < plan.index("MapInArrow")
+
+
+@pytest.mark.parametrize("scale", [1, 1 << 24, 1 << 33])
+def test_pairs_are_added_up_in_bounded_parts(monkeypatch, scale):
+    monkeypatch.setattr(phrases, "MERGED", 50)
+    monkeypatch.setattr(phrases, "SENT", 16)
+    draw = np.random.default_rng(1)
+    expected, blocks = collections.Counter(), []
+    for size in (0, 1, 30, 200, 7, 7, 7, 7, 7, 7, 7, 7):
+        pairs = sorted({(int(a) * scale, int(b) * scale) for a, b in draw.integers(0, 15, (size, 2))})
+        counts = draw.integers(1, 9, len(pairs))
+        expected.update({p: int(n) for p, n in zip(pairs, counts, strict=True)})
+        left, right = (np.array([p[i] for p in pairs], np.int64) for i in (0, 1))
+        blocks.append(pa.record_batch([pa.array([phrases.packed(left)]), pa.array([phrases.packed(right)]), pa.array([phrases.packed(counts, "<i4")])], names=["left", "right", "counts"]))
+    out = list(phrases.pair_sums(iter(blocks)))
+    got = collections.Counter()
+    for batch in out:
+        assert batch.num_rows <= 16
+        for row in batch.to_pylist():
+            got[row["left"], row["right"]] += row["n"]
+    assert got == expected
+    assert sum(b.num_rows for b in out) < sum(len(b.column(0)[0].as_py()) // 8 for b in blocks)
+    assert list(phrases.pair_sums(iter([]))) == []
+
+
+def test_words_are_added_up_in_bounded_parts(monkeypatch):
+    monkeypatch.setattr(phrases, "MERGED", 8)
+    monkeypatch.setattr(phrases, "SENT", 3)
+    texts = [("en", "a b é"), ("de", "a b"), ("en", ""), ("en", "a b c d e f g"), ("de", "a"), ("en", "a")]
+    blocks = [pa.record_batch([pa.array([lang]), pa.array([text.encode()]), pa.array([phrases.packed(np.arange(1, len(text.split()) + 1), "<i4")])], names=["lang", "words", "counts"]) for lang, text in texts]
+    expected, got = collections.Counter(), collections.Counter()
+    for lang, text in texts:
+        expected.update({(lang, w): i for i, w in enumerate(text.split(), 1)})
+    out = list(phrases.word_sums(iter(blocks)))
+    for batch in out:
+        assert batch.num_rows <= 3
+        for row in batch.to_pylist():
+            got[row["lang"], row["word"]] += row["n"]
+    assert got == expected

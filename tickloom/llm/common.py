@@ -138,10 +138,11 @@ def stored(df: DataFrame, purpose: str) -> DataFrame:
     return stored_at(df, purpose)[0]
 
 
-def stored_at(df: DataFrame, purpose: str) -> tuple[DataFrame, str]:
-    """The same, with the folder, for :func:`discard`."""
+def stored_at(df: DataFrame, purpose: str, page_rows: int | None = None) -> tuple[DataFrame, str]:
+    """The same, with the folder, for :func:`discard`; ``page_rows``: at most so many rows a page, for rows of megabytes."""
     path = shared_folder(df.sparkSession, purpose)
-    df.write.option("compression", "zstd").parquet(path)
+    pages = {} if page_rows is None else {"parquet.page.row.count.limit": str(page_rows)}
+    df.write.option("compression", "zstd").options(**pages).parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path), path
 
 

@@ -11,13 +11,17 @@ two phrases of k words that overlap in all but one make one of k + 1. A phrase
 that is frequent is found, since all its parts are.
 
 The counts are summed on the map side, so a common pair costs one row a block
-and nothing gathers its places. A block finds the numbers of its own distinct
-words or pairs in a broadcast table as long as that table is below
+at most and nothing gathers its places. A block finds the numbers of its own
+distinct words or pairs in a broadcast table as long as that table is below
 ``LOOKUP_ROWS`` and ``LOOKUP_BYTES``, and by a join beyond; results are the same.
+
+A block's words, pairs, counts and places are binary values, one each. Spark
+hands them on; they are taken apart and put together in the Python tasks.
 """
 
 from __future__ import annotations
 
+from collections import Counter, defaultdict
 from collections.abc import Iterator
 from functools import reduce
 
@@ -42,7 +46,13 @@ LOOKUP_ROWS, LOOKUP_BYTES = 1 << 18, 16 << 20
 #: Phrases of a language are cut to the first ``top`` in so many parts before they meet.
 RANK_PARTS = 64
 PLACE_BITS = 33
+#: A task adds up the counts of so many pairs, or half as many words, before it sends them; rows of a batch it sends.
+MERGED, SENT = 1 << 19, 1 << 16
+#: Rows of a page of a written block table; by itself Parquet would gather a hundred, which are a whole file.
+PAGE = 1
 
+WORD, PAIR = ["lang", "word"], ["left", "right"]
+BLOCK_OF_PAIRS = pa.schema([("block", pa.int64()), *((k, pa.binary()) for k in ("left", "right", "counts", "ids"))])
 BREAK = b"."
 TRANSLATION = bytes(BREAK[0] if b in PIECE_ENDS else ASCII_LOWER[b] for b in range(256))
 
@@ -55,9 +65,8 @@ def words_of(texts: list[bytes]) -> list[bytes]:
 
 
 def word_blocks(docs: DataFrame, lang: str, text: str, unknown: str) -> DataFrame:
-    """``block``, its distinct (lang, word) ``keys``, their ``counts``, and the key's place for each word (-1: a break)."""
-    key_type = pa.list_(pa.struct([("lang", pa.string()), ("word", pa.string())]))
-    names = ["block", "keys", "counts", "ids"]
+    """``block``, ``lang``, ``n`` words, the distinct ``words`` between spaces, their ``counts``, and for each word the place of its distinct one (-1: a break)."""
+    names = ["block", "lang", "n", "words", "counts", "ids"]
 
     def run(parts: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         number = TaskContext.get().partitionId() << PLACE_BITS
@@ -71,12 +80,21 @@ def word_blocks(docs: DataFrame, lang: str, text: str, unknown: str) -> DataFram
                     seen = Numbers({BREAK: 0})
                     ids = np.fromiter(map(seen.__getitem__, words), np.int32, len(words)) - 1
                     counts = np.bincount(ids + 1, minlength=len(seen))[1:]
-                    keys = [{"lang": name, "word": w.decode()} for w in list(seen)[1:]]
-                    yield pa.record_batch([pa.array([number]), pa.array([keys], key_type), pa.array([counts], pa.list_(pa.int64())), pa.array([ids.astype("<i4").tobytes()], pa.binary())], names=names)
+                    columns = [[number], [name], [int(counts.sum())], [b" ".join(list(seen)[1:])], [packed(counts, "<i4")], [packed(ids, "<i4")]]
+                    yield pa.record_batch([pa.array(c, t) for c, t in zip(columns, [pa.int64(), pa.string(), pa.int64(), *[pa.binary()] * 3], strict=True)], names=names)
                     number += 1
 
     named = docs.select(F.coalesce(F.col(lang).cast("string"), F.lit(unknown)).alias("lang"), text_bytes(text).alias("text"))
-    return named.mapInArrow(run, "block long, keys array<struct<lang string, word string>>, counts array<long>, ids binary")
+    return named.mapInArrow(run, "block long, lang string, n long, words binary, counts binary, ids binary")
+
+
+def packed(numbers: np.ndarray, kind: str = "<i8") -> bytes:
+    """Numbers as one binary value: Spark hands it on as it is, where it would take an array apart."""
+    return numbers.astype(kind, copy=False).tobytes()
+
+
+def unpacked(value: pa.Scalar, kind: str = "<i8") -> np.ndarray:
+    return np.frombuffer(value.as_buffer(), kind)
 
 
 def tile_counts(left: np.ndarray, right: np.ndarray, tile: int = TILE) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
@@ -120,7 +138,7 @@ def tile_counts(left: np.ndarray, right: np.ndarray, tile: int = TILE) -> tuple[
 
 def ranked(counted: DataFrame, keys: list[str], purpose: str) -> DataFrame:
     """A written table with an ``id`` from 0 by falling ``n``, ties by ``keys``; no task sees more than its range."""
-    counted = stored(counted, purpose)  # sorting by ranges reads its input twice
+    counted = written(counted, purpose)[0]  # sorting by ranges reads its input twice
     placed = stored(counted.orderBy(F.desc("n"), *keys).withColumn("place", F.monotonically_increasing_id()), purpose)
     part = F.shiftright("place", PLACE_BITS)
     sizes = sorted((r.part, r.rows) for r in placed.groupBy(part.alias("part")).agg(F.count("*").alias("rows")).collect())  # a row a partition
@@ -128,25 +146,91 @@ def ranked(counted: DataFrame, keys: list[str], purpose: str) -> DataFrame:
     for name, rows in sizes:
         offsets.append((name, first))
         first += rows
-    before = placed.sparkSession.createDataFrame(offsets, "part long, before long")
+    # from Arrow: of a list, Spark makes rows in Python workers, which stay
+    before = placed.sparkSession.createDataFrame(pa.table([pa.array(c, pa.int64()) for c in zip((-1, 0), *offsets, strict=True)], ["part", "before"]))
     numbered = placed.withColumn("part", part).join(F.broadcast(before), "part")
     return numbered.select((F.col("before") + F.col("place").bitwiseAND((1 << PLACE_BITS) - 1)).alias("id"), *keys, "n")
 
 
+def slices(columns: list[np.ndarray | pa.Array], names: list[str]) -> Iterator[pa.RecordBatch]:
+    """Columns as batches of ``SENT`` rows."""
+    for begin in range(0, len(columns[0]), SENT):
+        yield pa.record_batch([pa.array(c[begin : begin + SENT]) for c in columns], names=names)
+
+
+def word_sums(parts: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """``lang``, ``word``, ``n``: the words of blocks, added up as far as ``MERGED`` of them go."""
+    sums: dict[str, Counter[bytes]] = defaultdict(Counter)
+
+    def taken() -> Iterator[pa.RecordBatch]:
+        for lang, found in sums.items():
+            yield from slices([pa.array([lang]).take(pa.array(np.zeros(len(found), np.int32))), pa.array(list(found), pa.binary()).cast(pa.string()), np.fromiter(found.values(), np.int64, len(found))], ["lang", "word", "n"])
+        sums.clear()
+
+    for part in parts:
+        for lang, words, counts in zip(*part.columns, strict=True):
+            found = sums[lang.as_py()]
+            for word, n in zip(words.as_py().split(), unpacked(counts, "<i4").tolist(), strict=True):
+                found[word] += n
+            if sum(map(len, sums.values())) >= MERGED // 2:
+                yield from taken()
+    yield from taken()
+
+
+def added_up(parts: list[list[np.ndarray]]) -> list[np.ndarray]:
+    """The distinct pairs of all parts and the sums of their counts."""
+    left, right, counts = (np.concatenate(c) for c in zip(*parts, strict=True))
+    width = int(right.max()).bit_length()
+    if int(left.max()).bit_length() + width < 64:
+        order = np.argsort(left << width | right)
+    else:
+        order = np.lexsort((right, left))
+    left, right = left[order], right[order]
+    begin = np.flatnonzero(np.append(True, (left[1:] != left[:-1]) | (right[1:] != right[:-1])))
+    return [left[begin], right[begin], np.add.reduceat(counts[order], begin)]
+
+
+def pair_sums(parts: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """``left``, ``right``, ``n``: the pairs of blocks, added up as far as ``MERGED`` of them go."""
+    held: list[list[np.ndarray]] = []
+    names = ["left", "right", "n"]
+    for part in parts:
+        for left, right, counts in zip(*part.columns, strict=True):
+            held.append([unpacked(left), unpacked(right), unpacked(counts, "<i4").astype(np.int64)])
+            if sum(len(h[0]) for h in held) >= MERGED:
+                held = [added_up(held)]
+                if len(held[0][0]) >= MERGED // 2:
+                    yield from slices(held.pop(), names)
+    if held:
+        yield from slices(added_up(held), names)
+
+
+def written(df: DataFrame, purpose: str, page_rows: int | None = None) -> tuple[DataFrame, str]:
+    """:func:`stored_at`; then the driver collects its garbage, without which the shuffle files of what is written stay on disk."""
+    out = stored_at(df, purpose, page_rows)
+    df.sparkSession.sparkContext._jvm.System.gc()
+    return out
+
+
 def frequent(blocks: DataFrame, keys: list[str], least: int, purpose: str) -> DataFrame:
     """``id``, ``keys`` and ``n`` of what the blocks count at least ``least`` times."""
-    counts = blocks.select(F.explode(F.arrays_zip("keys", "counts")).alias("z")).select("z.keys.*", F.col("z.counts").alias("n"))
-    return ranked(counts.groupBy(*keys).agg(F.sum("n").alias("n")).filter(F.col("n") >= least), keys, purpose)
+    if keys == WORD:
+        counts = blocks.select("lang", "words", "counts").mapInArrow(word_sums, "lang string, word string, n long")
+    else:
+        counts = blocks.select("left", "right", "counts").mapInArrow(pair_sums, "left long, right long, n long")
+    # the tasks have added up what they can; dealt out first, the rows need no second table on that side
+    return ranked(counts.repartition(*keys).groupBy(*keys).agg(F.sum("n").alias("n")).filter(F.col("n") >= least), keys, purpose)
 
 
 class Lookup:
-    """Numbers of words or pairs in sorted arrays, for the blocks of a task."""
+    """Numbers of words or pairs, for the blocks of a task."""
 
     def __init__(self, table: pa.Table, keys: list[str]):
-        self.words = keys == ["lang", "word"]
         ids = table.column("id").to_numpy()
-        if self.words:
-            self.known = dict(zip(zip(*(table.column(k).to_pylist() for k in keys), strict=True), ids.tolist(), strict=True))
+        if keys == WORD:
+            self.known: dict[str, dict[bytes, int]] = defaultdict(dict)
+            for lang, word, number in zip(table.column("lang").to_pylist(), table.column("word").cast(pa.binary()).to_pylist(), ids.tolist(), strict=True):
+                self.known[lang][word] = number
             return
         left, right = (table.column(k).to_numpy() for k in keys)
         self.rights = np.unique(right)
@@ -155,11 +239,13 @@ class Lookup:
         order = np.argsort(code)
         self.code, self.ids = code[order], ids[order]
 
-    def numbers(self, keys: pa.StructArray) -> np.ndarray:
-        """The id of each key, -1 if it has none."""
-        if self.words:
-            return np.array([self.known.get(k, -1) for k in zip(keys.field(0).to_pylist(), keys.field(1).to_pylist(), strict=True)], np.int64)
-        left, right = keys.field(0).to_numpy(), keys.field(1).to_numpy()
+    def words(self, lang: str, words: list[bytes]) -> np.ndarray:
+        """The id of each word, -1 if it has none."""
+        known = self.known.get(lang, {})
+        return np.array([known.get(w, -1) for w in words], np.int64)
+
+    def pairs(self, left: np.ndarray, right: np.ndarray) -> np.ndarray:
+        """The id of each pair, -1 if it has none."""
         if not len(self.code):
             return np.full(len(left), -1, np.int64)
         row = np.minimum(np.searchsorted(self.lefts, left), len(self.lefts) - 1)
@@ -170,48 +256,68 @@ class Lookup:
         return np.where(hit, self.ids[at], -1)
 
 
-def answered(blocks: DataFrame, known: DataFrame, keys: list[str], lookup_rows: int) -> tuple[DataFrame, object]:
-    """Blocks with ``keys`` or, beyond a broadcast's size, with ``numbers``; and the broadcast, if there is one."""
+def asked_words(parts: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """``block``, ``place``, ``lang``, ``word`` of the words of blocks."""
+    for part in parts:
+        for block, lang, words in zip(*part.columns, strict=True):
+            found = pa.array(words.as_py().split(), pa.binary()).cast(pa.string())
+            yield from slices([np.full(len(found), block.as_py()), np.arange(len(found), dtype=np.int32), pa.array([lang.as_py()]).take(pa.array(np.zeros(len(found), np.int32))), found], ["block", "place", *WORD])
+
+
+def asked_pairs(parts: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """``block``, ``place``, ``left``, ``right`` of the pairs of blocks."""
+    for part in parts:
+        for block, left, right in zip(*part.columns, strict=True):
+            left, right = unpacked(left), unpacked(right)
+            yield from slices([np.full(len(left), block.as_py()), np.arange(len(left), dtype=np.int32), left, right], ["block", "place", *PAIR])
+
+
+def next_block(block: int, numbers: np.ndarray, ids: np.ndarray) -> list[tuple[str, pa.Array]]:
+    """The columns of a block of the pairs of neighbouring numbers, of none without any; ``numbers``: those of its keys, -1 if unknown."""
+    here = np.append(numbers, -1)[ids]  # place -1 stays -1
+    both = (here[:-1] >= 0) & (here[1:] >= 0)
+    if not both.any():
+        return []
+    left, right, counts, place = tile_counts(here[:-1][both], here[1:][both])
+    out = np.full(len(both), -1, np.int32)
+    out[both] = place
+    values = {"left": packed(left), "right": packed(right), "counts": packed(counts, "<i4"), "ids": packed(out, "<i4")}
+    return [("block", pa.array([block], pa.int64())), *((k, pa.array([v], pa.binary())) for k, v in values.items())]
+
+
+def next_blocks(blocks: DataFrame, known: DataFrame, keys: list[str], lookup_rows: int) -> tuple[DataFrame, list[str]]:
+    """Blocks of the pairs of neighbouring numbers, those without any go; and the folders that they are made from."""
     spark = blocks.sparkSession
-    width = F.octet_length("word") + F.octet_length("lang") if keys == ["lang", "word"] else F.lit(16)
+    columns = ["lang", "words"] if keys == WORD else PAIR
+    schema = "block long, left binary, right binary, counts binary, ids binary"
+    width = F.octet_length("word") + F.octet_length("lang") if keys == WORD else F.lit(16)
     size = known.agg(F.count("*").alias("rows"), F.coalesce(F.sum(width), F.lit(0)).alias("bytes")).first()
     if size.rows <= lookup_rows and size.bytes <= LOOKUP_BYTES:
-        return blocks.select("block", "keys", "ids"), spark.sparkContext.broadcast((known.select("id", *keys).toArrow(), keys))
-    asked = blocks.select("block", F.posexplode("keys").alias("place", "key")).select("block", "place", "key.*")
-    found = asked.join(known.select("id", *keys), keys).groupBy("block").agg(F.collect_list(F.struct("place", "id")).alias("numbers"))  # at most a block's keys
-    return blocks.select("block", F.size("keys").alias("keys"), "ids").join(found, "block").select("block", "numbers", "keys", "ids"), None
+        table = spark.sparkContext.broadcast((known.select("id", *keys).toArrow(), keys))
 
+        def run(parts: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+            lookup = Lookup(*table.value)
+            for part in parts:
+                for block, a, b, ids in zip(*part.columns, strict=True):
+                    numbers = lookup.words(a.as_py(), b.as_py().split()) if keys == WORD else lookup.pairs(unpacked(a), unpacked(b))
+                    if out := next_block(block.as_py(), numbers, unpacked(ids, "<i4")):
+                        yield pa.record_batch(dict(out))
 
-def next_blocks(blocks: DataFrame, known: DataFrame, keys: list[str], lookup_rows: int) -> DataFrame:
-    """Blocks of the pairs of neighbouring numbers; those without any go."""
-    rows, table = answered(blocks, known, keys, lookup_rows)
-    key_type = pa.struct([("left", pa.int64()), ("right", pa.int64())])
-    names = ["block", "keys", "counts", "ids"]
+        return blocks.select("block", *columns, "ids").mapInArrow(run, schema), []
 
-    def run(parts: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        lookup = None if table is None else Lookup(*table.value)
-        for part in parts:
-            for i in range(part.num_rows):
-                block = part.column(0)[i].as_py()
-                if lookup:
-                    numbers = lookup.numbers(part.column(1).slice(i, 1).flatten())
-                else:
-                    found = part.column(1).slice(i, 1).flatten()
-                    numbers = np.full(part.column(2)[i].as_py(), -1, np.int64)
-                    numbers[found.field(0).to_numpy()] = found.field(1).to_numpy()
-                ids = np.frombuffer(part.column(part.num_columns - 1)[i].as_py(), "<i4")
-                here = np.append(numbers, -1)[ids]  # place -1 stays -1
-                both = (here[:-1] >= 0) & (here[1:] >= 0)
-                if not both.any():
-                    continue
-                left, right, counts, place = tile_counts(here[:-1][both], here[1:][both])
-                out = np.full(len(both), -1, "<i4")
-                out[both] = place
-                pairs = pa.StructArray.from_arrays([pa.array(left), pa.array(right)], fields=list(key_type))
-                ends = pa.array([0, len(left)], pa.int32())
-                yield pa.record_batch([pa.array([block]), pa.ListArray.from_arrays(ends, pairs), pa.ListArray.from_arrays(ends, pa.array(counts)), pa.array([out.tobytes()], pa.binary())], names=names)
-
-    return rows.mapInArrow(run, "block long, keys array<struct<left bigint, right bigint>>, counts array<long>, ids binary")
+    def met(block: pa.Table, found: pa.Table) -> pa.Table:
+        ids = unpacked(block.column("ids")[0], "<i4")
+        numbers = np.full(int(ids.max(initial=-1)) + 1, -1, np.int64)
+        numbers[found.column("place").to_numpy()] = found.column("id").to_numpy()
+        out = next_block(block.column("block")[0].as_py(), numbers, ids) if found.num_rows else []
+        return pa.table(dict(out) or {f.name: pa.array([], f.type) for f in BLOCK_OF_PAIRS}, schema=BLOCK_OF_PAIRS)
+
+    if keys == WORD:
+        asked = blocks.select("block", *columns).mapInArrow(asked_words, "block long, place int, lang string, word string")
+    else:
+        asked = blocks.select("block", *columns).mapInArrow(asked_pairs, "block long, place int, left long, right long")
+    found, folder = written(asked.join(known.select("id", *keys), keys).select("block", "place", "id"), "numbers")  # the questions go before blocks are dealt out
+    return blocks.select("block", "ids").groupBy("block").cogroup(found.groupBy("block")).applyInArrow(met, schema), [folder]  # at most a block's keys
 
 
 def scored_phrases(
@@ -234,18 +340,19 @@ def scored_phrases(
     texts have no phrases; equal rows count each. Other columns are ignored,
     whatever their names. An empty table gives no rows.
     """
-    blocks, folder = stored_at(word_blocks(docs, lang, text, unknown), "words")
-    spark, keys = docs.sparkSession, ["lang", "word"]
-    totals = blocks.filter(F.size("keys") > 0).select(F.col("keys")[0]["lang"].alias("lang"), F.aggregate("counts", F.lit(0).cast("long"), lambda a, x: a + x).alias("n"))
-    totals = stored(totals.groupBy("lang").agg(F.sum("n").alias("n")), "totals")
+    blocks, folder = written(word_blocks(docs, lang, text, unknown), "words", PAGE)
+    spark, keys = docs.sparkSession, WORD
+    totals = stored(blocks.groupBy("lang").agg(F.sum("n").alias("n")), "totals")
     known = frequent(blocks, keys, least, "ranks")
     one = F.array("n")
     levels = [stored(known.select("id", "lang", F.array("word").alias("words"), one.alias("prefixes"), one.alias("suffixes"), "n"), "phrases")]
     pairs = []
     for size in range(2, longest + 1):
-        blocks, new = stored_at(next_blocks(blocks, known, keys, lookup_rows), "pairs")
-        discard(spark, folder)
-        folder, keys = new, ["left", "right"]
+        paired, used = next_blocks(blocks, known, keys, lookup_rows)
+        blocks, new = written(paired, "pairs", PAGE)
+        for old in (folder, *used):
+            discard(spark, old)
+        folder, keys = new, PAIR
         known = frequent(blocks, keys, least, "ranks")
         shorter = levels[-1]
         a = shorter.select(F.col("id").alias("left"), "lang", "words", "prefixes")
