@@ -46,8 +46,10 @@ LOOKUP_ROWS, LOOKUP_BYTES = 1 << 18, 16 << 20
 #: Phrases of a language are cut to the first ``top`` in so many parts before they meet.
 RANK_PARTS = 64
 PLACE_BITS = 33
-#: A task adds up the counts of so many pairs, or half as many words, before it sends them; rows of a batch it sends.
-MERGED, SENT = 1 << 19, 1 << 16
+#: A task adds up the counts of so many pairs, or a quarter as many words, before it sends them; rows of a batch it sends.
+MERGED, SENT = 1 << 20, 1 << 16
+#: A join is asked for the keys of so many parts of the blocks in turn; only one part's questions are on disk.
+ASKED_PARTS = 4
 #: Rows of a page of a written block table; by itself Parquet would gather a hundred, which are a whole file.
 PAGE = 1
 
@@ -172,37 +174,47 @@ def word_sums(parts: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             found = sums[lang.as_py()]
             for word, n in zip(words.as_py().split(), unpacked(counts, "<i4").tolist(), strict=True):
                 found[word] += n
-            if sum(map(len, sums.values())) >= MERGED // 2:
+            if sum(map(len, sums.values())) >= MERGED // 4:
                 yield from taken()
     yield from taken()
 
 
-def added_up(parts: list[list[np.ndarray]]) -> list[np.ndarray]:
-    """The distinct pairs of all parts and the sums of their counts."""
-    left, right, counts = (np.concatenate(c) for c in zip(*parts, strict=True))
-    width = int(right.max()).bit_length()
-    if int(left.max()).bit_length() + width < 64:
-        order = np.argsort(left << width | right)
-    else:
-        order = np.lexsort((right, left))
-    left, right = left[order], right[order]
-    begin = np.flatnonzero(np.append(True, (left[1:] != left[:-1]) | (right[1:] != right[:-1])))
-    return [left[begin], right[begin], np.add.reduceat(counts[order], begin)]
+def added_up(codes: list[np.ndarray], counts: list[np.ndarray]) -> tuple[np.ndarray, np.ndarray]:
+    """The distinct codes of all parts and the sums of their counts."""
+    code = np.concatenate(codes)
+    order = np.argsort(code)
+    code = code[order]
+    begin = np.flatnonzero(np.append(True, code[1:] != code[:-1]))
+    return code[begin], np.add.reduceat(np.concatenate(counts)[order], begin)
 
 
 def pair_sums(parts: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """``left``, ``right``, ``n``: the pairs of blocks, added up as far as ``MERGED`` of them go."""
-    held: list[list[np.ndarray]] = []
+    """``left``, ``right``, ``n``: the pairs of blocks, added up as far as ``MERGED`` of them go; those beyond 31 bits as they are."""
+    codes: list[np.ndarray] = []
+    sums: list[np.ndarray] = []
     names = ["left", "right", "n"]
+
+    def taken() -> Iterator[pa.RecordBatch]:
+        code, count = codes.pop(), sums.pop()
+        yield from slices([code >> 32, code & 0xFFFFFFFF, count], names)
+
     for part in parts:
-        for left, right, counts in zip(*part.columns, strict=True):
-            held.append([unpacked(left), unpacked(right), unpacked(counts, "<i4").astype(np.int64)])
-            if sum(len(h[0]) for h in held) >= MERGED:
-                held = [added_up(held)]
-                if len(held[0][0]) >= MERGED // 2:
-                    yield from slices(held.pop(), names)
-    if held:
-        yield from slices(added_up(held), names)
+        for row in zip(*part.columns, strict=True):
+            left, right, counts = unpacked(row[0]), unpacked(row[1]), unpacked(row[2], "<i4").astype(np.int64)
+            if max(left.max(initial=0), right.max(initial=0)) >= 1 << 31:
+                yield from slices([left, right, counts], names)
+                continue
+            codes.append(left << 32 | right)
+            sums.append(counts)
+            if sum(map(len, codes)) >= MERGED:
+                code, count = added_up(codes, sums)
+                codes[:], sums[:] = [code], [count]
+                if len(code) >= MERGED // 2:
+                    yield from taken()
+    if codes:
+        code, count = added_up(codes, sums)
+        codes[:], sums[:] = [code], [count]
+        yield from taken()
 
 
 def written(df: DataFrame, purpose: str, page_rows: int | None = None) -> tuple[DataFrame, str]:
@@ -312,12 +324,18 @@ def next_blocks(blocks: DataFrame, known: DataFrame, keys: list[str], lookup_row
         out = next_block(block.column("block")[0].as_py(), numbers, ids) if found.num_rows else []
         return pa.table(dict(out) or {f.name: pa.array([], f.type) for f in BLOCK_OF_PAIRS}, schema=BLOCK_OF_PAIRS)
 
-    if keys == WORD:
-        asked = blocks.select("block", *columns).mapInArrow(asked_words, "block long, place int, lang string, word string")
-    else:
-        asked = blocks.select("block", *columns).mapInArrow(asked_pairs, "block long, place int, left long, right long")
-    found, folder = written(asked.join(known.select("id", *keys), keys).select("block", "place", "id"), "numbers")  # the questions go before blocks are dealt out
-    return blocks.select("block", "ids").groupBy("block").cogroup(found.groupBy("block")).applyInArrow(met, schema), [folder]  # at most a block's keys
+    found, folders = [], []
+    for part in range(ASKED_PARTS):
+        some = blocks.select("block", *columns).filter(F.pmod(F.xxhash64("block"), F.lit(ASKED_PARTS)) == part)
+        if keys == WORD:
+            asked = some.mapInArrow(asked_words, "block long, place int, lang string, word string")
+        else:
+            asked = some.mapInArrow(asked_pairs, "block long, place int, left long, right long")
+        answers, folder = written(asked.join(known.select("id", *keys), keys).select("block", "place", "id"), "numbers")
+        found.append(answers)
+        folders.append(folder)
+    numbers = reduce(DataFrame.unionByName, found)
+    return blocks.select("block", "ids").groupBy("block").cogroup(numbers.groupBy("block")).applyInArrow(met, schema), folders  # at most a block's keys
 
 
 def scored_phrases(
