@@ -204,6 +204,8 @@ def pair_sums(parts: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             if max(left.max(initial=0), right.max(initial=0)) >= 1 << 31:
                 yield from slices([left, right, counts], names)
                 continue
+            if not len(left):
+                continue
             codes.append(left << 32 | right)
             sums.append(counts)
             if sum(map(len, codes)) >= MERGED:
